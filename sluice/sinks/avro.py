@@ -1,0 +1,127 @@
+"""Avro objects; needs Spark's avro package, which encodes the records.
+
+Spark turns each record into Avro bytes. What is added here is the container
+around them: a header and blocks of records with sync markers.
+"""
+
+from __future__ import annotations
+
+import hashlib
+import json
+import struct
+import zlib
+from collections.abc import Sequence
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from sluice.functions.formats import envelope_columns, unwrap
+from sluice.sinks.codecs import Encoder, encode
+from sluice.sinks.files import Piece, _pieces
+
+# The container's magic bytes, block codecs and record name.
+MAGIC = b"Obj\x01"
+BLOCK_CODECS = ("null", "deflate", "snappy", "zstandard")
+RECORD_NAME = "connector_records"
+
+
+def avro_rows(
+    grouped: DataFrame,
+    part: Column,
+    fields: Sequence[str],
+    envelope: bool,
+    map_keys: Sequence[str],
+) -> tuple[DataFrame, str]:
+    from pyspark.sql.avro.functions import to_avro
+
+    keyed = grouped.withColumn("_part", part).withColumn("_at", F.col("offset"))
+    keep = ["file_name", "_part", "_at"]
+    columns = (
+        envelope_columns(keyed, fields, *keep)
+        if envelope
+        else unwrap(keyed, fields[0], *keep, map_keys=map_keys)
+    )
+    data = [c for c in columns.columns if c not in keep]
+    record = columns.select(F.struct(*data).alias("record"))
+    schema = _avro_schema(record)
+    rows = columns.select(
+        "file_name",
+        F.col("_part").alias("part"),
+        F.col("_at").alias("offset"),
+        to_avro(F.struct(*data), schema).alias("payload"),
+    )
+    return rows, schema
+
+
+def _avro_schema(record: DataFrame) -> str:
+    jvm = record.sparkSession.sparkContext._jvm
+    converters = getattr(jvm, "org.apache.spark.sql.avro.SchemaConverters")
+    data_type = record._jdf.schema().apply(0).dataType()
+    return converters.toAvroType(data_type, False, RECORD_NAME, "").toString()
+
+
+def varint(n: int) -> bytes:
+    n = (n << 1) ^ (n >> 63)
+    out = bytearray()
+    while n > 0x7F:
+        out.append((n & 0x7F) | 0x80)
+        n >>= 7
+    out.append(n)
+    return bytes(out)
+
+
+def header(schema: str, codec: str, sync: bytes) -> bytes:
+    meta = {"avro.schema": schema.encode(), "avro.codec": codec.encode()}
+    entries = b"".join(
+        varint(len(k)) + k.encode() + varint(len(v)) + v for k, v in meta.items()
+    )
+    return MAGIC + varint(len(meta)) + entries + varint(0) + sync
+
+
+def block(records: list[bytes], codec: str, sync: bytes) -> bytes:
+    data = b"".join(records)
+    if codec == "deflate":
+        deflate = zlib.compressobj(wbits=-15)
+        data = deflate.compress(data) + deflate.flush()
+    elif codec == "snappy":
+        data = pa.Codec("snappy").compress(data, asbytes=True) + struct.pack(">I", zlib.crc32(data))
+    elif codec == "zstandard":
+        data = pa.Codec("zstd").compress(data, asbytes=True)
+    return varint(len(records)) + varint(len(data)) + data + sync
+
+
+class AvroPiece(Piece):
+    """Header, then one block per batch; the marker follows from the file name."""
+
+    def __init__(self, staging, name, part, schema, codec, compression):
+        super().__init__(staging, name, part)
+        self._codec = codec
+        self._sync = hashlib.md5(name.encode(), usedforsecurity=False).digest()
+        self._head = encode(header(schema, codec, self._sync), compression)
+        self.out.write(self._head)
+        self._body = Encoder(self.out, compression)
+
+    def add(self, batch: pa.RecordBatch) -> None:
+        self._body.feed(block(batch["payload"].to_pylist(), self._codec, self._sync))
+        self.n += batch.num_rows
+
+    def close(self) -> tuple:
+        body = self._body.finish()
+        self.out.close()
+        return self.row(len(self._head), len(self._head) + body, 0)
+
+
+def avro_stage(staging: str, schema: str, compression: str, options: dict[str, str]):
+    codec = options.get("avro.codec", "null")
+    if codec not in BLOCK_CODECS:
+        raise ValueError(f"avro.codec must be one of {BLOCK_CODECS}, got {codec!r}")
+    json.loads(schema)
+
+    def stage(batches):
+        yield from _pieces(
+            batches,
+            lambda name, part: AvroPiece(staging, name, part, schema, codec, compression),
+        )
+
+    return stage
