@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -41,3 +43,21 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="sluice-")
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Makes this package importable in Python workers, once per application."""
+    context = spark.sparkContext
+    if getattr(context, "_sluice_shipped", False):
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    package = os.path.basename(here)
+    archive = os.path.join(tempfile.mkdtemp(prefix="sluice-"), f"{package}.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for folder, _, files in os.walk(here):
+            for name in files:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    out.write(full, os.path.join(package, os.path.relpath(full, here)))
+    context.addPyFile(archive)
+    context._sluice_shipped = True

@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from sluice.functions.formats import csv_line, envelope_columns, json_line, unwrap
 from sluice.operators.slices import SLICE_WIDTH
+from sluice.session import ship_package
 from sluice.sinks import store
 from sluice.sinks.codecs import CODECS, Encoder, encode
 
@@ -69,6 +70,7 @@ def write_files(
     if compression not in CODECS:
         raise ValueError(f"compression must be one of {CODECS}, got {compression!r}")
     spark = grouped.sparkSession
+    ship_package(spark)
     staging = f"{path.rstrip('/')}/{STAGING}/{uuid.uuid4().hex}"
     part = F.call_function("div", F.col("offset"), F.lit(part_offsets)).alias("part")
     place = ["file_name", "part", "offset"]

@@ -88,8 +88,10 @@ def decompressed(raw, compression: str):
 def _listing(spark: SparkSession, root: str, glob: str | None) -> DataFrame:
     from pyspark.sql import functions as F
 
+    from sluice.session import ship_package
     from sluice.sources.objects import object_key_of
 
+    ship_package(spark)
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
