@@ -97,11 +97,18 @@ def json_array(lines: Column) -> Column:
 def header_map(headers: Column) -> Column:
     """Headers by name; of a repeated name the last one counts."""
     names = F.transform(headers, lambda h: h["key"])
-    last = F.filter(
-        headers,
-        lambda h, i: F.array_position(F.slice(names, i + F.lit(2), F.size(names)), h["key"]) == 0,
-    )
-    return F.map_from_entries(last)
+
+    def last_of_each(backwards: Column) -> Column:
+        return F.transform(
+            F.array(F.transform(backwards, lambda h: h["key"])),
+            lambda known: F.map_from_entries(
+                F.filter(backwards, lambda h, i: F.array_position(known, h["key"]) == i + 1)
+            ),
+        )[0]
+
+    return F.when(
+        F.size(F.array_distinct(names)) == F.size(names), F.map_from_entries(headers)
+    ).otherwise(F.transform(F.array(F.reverse(headers)), last_of_each)[0])
 
 
 def check_header_types(types: Column) -> Column:

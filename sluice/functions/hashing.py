@@ -9,14 +9,18 @@ from pyspark.sql import functions as F
 def utf16_hash(text: Column) -> Column:
     """32-bit polynomial hash (factor 31) over the UTF-16 units of a string."""
     units = F.hex(F.encode(text, "UTF-16BE"))
-    positions = F.sequence(F.lit(1), F.length(units), F.lit(4))
-    unsigned = F.when(F.length(units) == 0, F.lit(0).cast("bigint")).otherwise(
-        F.aggregate(
-            positions,
+
+    def fold(units: Column) -> Column:
+        return F.aggregate(
+            F.sequence(F.lit(1), F.length(units), F.lit(4)),
             F.lit(0).cast("bigint"),
             lambda h, i: (h * 31 + F.conv(F.substring(units, i, 4), 16, 10).cast("bigint"))
             .bitwiseAND(F.lit(0xFFFFFFFF)),
         )
+
+    # The one-element array works the units out once, not per character.
+    unsigned = F.when(text == "", F.lit(0).cast("bigint")).otherwise(
+        F.transform(F.array(units), fold)[0]
     )
     return F.when(unsigned >= 2**31, unsigned - F.lit(2**32)).otherwise(unsigned)
 

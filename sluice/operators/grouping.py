@@ -84,6 +84,16 @@ def group_records(
     return started.withColumn("file_name", name).drop("_key_string", _LOCAL, "_rendered_time")
 
 
+def is_placed(template: str, *, max_records: int = 0, schema_rotation: bool = False) -> bool:
+    """Whether ``group_records`` leaves each file as ordered stretches in its tasks.
+
+    Groupings that end in a window over slices do, and so do key-based ones,
+    whose files hold one record. Unlimited ones end in a join and do not.
+    """
+    mode = check_grouping(upgrade_template(template), max_records)
+    return mode.startswith("key") or bool(max_records) or schema_rotation
+
+
 def prefix_literal(prefix: str) -> str:
     if "{{" in prefix:
         raise ValueError("the static prefix takes no variables")

@@ -16,11 +16,24 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-SLICE_WIDTH = 1 << 20
+SLICE_WIDTH = 1 << 18
 SLICE = "_slice"
 
 
-def with_slice(df: DataFrame, position: str = "offset", width: int = SLICE_WIDTH) -> DataFrame:
+def with_slice(
+    df: DataFrame,
+    position: str = "offset",
+    width: int = SLICE_WIDTH,
+    slice_by: str | None = None,
+) -> DataFrame:
+    """Adds the slice of each row.
+
+    Rows that already come in bounded, ordered stretches, such as the blocks
+    a file is read in, name that column in ``slice_by``; ``position`` then
+    orders the rows of a stretch.
+    """
+    if slice_by:
+        return df.withColumn(SLICE, F.col(slice_by))
     if width < 1:
         raise ValueError("slice width must be at least 1")
     at = F.col(position)
@@ -54,13 +67,14 @@ def row_numbers(
     position: str,
     *,
     width: int = SLICE_WIDTH,
+    slice_by: str | None = None,
     name: str = "row_no",
 ) -> DataFrame:
     """1-based rank of each row in its group, in order of ``position``.
 
     ``position`` must be unique within the group.
     """
-    sliced = with_slice(df, position, width)
+    sliced = with_slice(df, position, width, slice_by)
     counts = sliced.groupBy(*by, SLICE).agg(F.count(F.lit(1)).alias("_n"))
     bases = counts.select(
         *by, SLICE, F.coalesce(F.sum("_n").over(before(by)), F.lit(0)).alias("_base")
@@ -103,16 +117,22 @@ def running_totals(
 
 
 def cut_at_first(
-    df: DataFrame, by: Sequence[str], position: str, stop: Column, *, width: int = SLICE_WIDTH
+    df: DataFrame,
+    by: Sequence[str],
+    position: str,
+    stop: Column,
+    *,
+    width: int = SLICE_WIDTH,
+    slice_by: str | None = None,
 ) -> DataFrame:
     """Keeps the rows before the first one where ``stop`` holds, per group."""
-    sliced = with_slice(df, position, width)
+    sliced = with_slice(df, position, width, slice_by)
     stops = sliced.groupBy(*by, SLICE).agg(F.min(F.when(stop, F.col(position))).alias("_stop"))
-    cuts = stops.select(
-        *by, SLICE, F.min("_stop").over(W.partitionBy(*by).orderBy(SLICE)).alias("_cut")
-    )
+    open_slices = stops.withColumn(
+        "_ended", F.coalesce(F.bool_or(F.col("_stop").isNotNull()).over(before(by)), F.lit(False))
+    ).filter(~F.col("_ended"))
     return (
-        attach(sliced, cuts, by)
-        .filter(F.col("_cut").isNull() | (F.col(position) < F.col("_cut")))
-        .drop(SLICE, "_cut")
+        attach(sliced, open_slices.drop("_ended"), by)
+        .filter(F.col("_stop").isNull() | (F.col(position) < F.col("_stop")))
+        .drop(SLICE, "_stop")
     )

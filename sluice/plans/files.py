@@ -35,7 +35,12 @@ def write_jsonl_gzip(spark, sf_dir):
     grouped = group_records(records, CHANGELOG, max_records=1000)
     path = scratch_path(spark, "jsonl")
     write_files(
-        grouped, path, "jsonl", fields=["key", "value", "offset"], compression="gzip"
+        grouped,
+        path,
+        "jsonl",
+        fields=["key", "value", "offset"],
+        compression="gzip",
+        presorted=True,
     ).count()
     read = read_objects(spark, path, "jsonl", compression="gzip", on_error="fail")
     return read.select("object_key", "value")
@@ -51,7 +56,7 @@ def write_csv(spark, sf_dir):
 
     grouped = group_records(_one_flush(spark, sf_dir), CHANGELOG + ".csv", max_records=1000)
     path = scratch_path(spark, "csv")
-    write_files(grouped, path, "csv", fields=["key", "value", "offset"]).count()
+    write_files(grouped, path, "csv", fields=["key", "value", "offset"], presorted=True).count()
     return read_lines(spark, path).select("object_key", "line")
 
 
@@ -66,7 +71,7 @@ def write_parquet(spark, sf_dir):
     )
     path = scratch_path(spark, "parquet")
     fields = ["key", "value", "offset", "timestamp"]
-    write_files(grouped, path, "parquet", fields=fields, compression="zstd").count()
+    write_files(grouped, path, "parquet", fields=fields, compression="zstd", presorted=True).count()
     return read_objects(spark, path, "parquet")
 
 

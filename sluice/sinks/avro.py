@@ -94,8 +94,8 @@ def block(records: list[bytes], codec: str, sync: bytes) -> bytes:
 class AvroPiece(Piece):
     """Header, then one block per batch; the marker follows from the file name."""
 
-    def __init__(self, staging, name, part, schema, codec, compression):
-        super().__init__(staging, name, part)
+    def __init__(self, staging, name, schema, codec, compression):
+        super().__init__(staging, name)
         self._codec = codec
         self._sync = hashlib.md5(name.encode(), usedforsecurity=False).digest()
         self._head = encode(header(schema, codec, self._sync), compression)
@@ -104,7 +104,6 @@ class AvroPiece(Piece):
 
     def add(self, batch: pa.RecordBatch) -> None:
         self._body.feed(block(batch["payload"].to_pylist(), self._codec, self._sync))
-        self.n += batch.num_rows
 
     def close(self) -> tuple:
         body = self._body.finish()
@@ -121,7 +120,7 @@ def avro_stage(staging: str, schema: str, compression: str, options: dict[str, s
     def stage(batches):
         yield from _pieces(
             batches,
-            lambda name, part: AvroPiece(staging, name, part, schema, codec, compression),
+            lambda name: AvroPiece(staging, name, schema, codec, compression),
         )
 
     return stage

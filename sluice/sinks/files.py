@@ -43,7 +43,10 @@ FRAMES = {
     "jsonl": (b"", b"\n", b""),
     "json": (b"[\n", b",\n", b"\n]"),
 }
-_PIECE = "file_name string, part bigint, piece string, head bigint, size bigint, tail bigint, n_records bigint"
+_PIECE = (
+    "file_name string, first bigint, last bigint, piece string, head bigint, size bigint,"
+    " tail bigint, n_records bigint"
+)
 
 
 def write_files(
@@ -57,13 +60,20 @@ def write_files(
     value_encoding: str = "base64",
     map_keys: Sequence[str] = (),
     part_offsets: int = SLICE_WIDTH,
+    presorted: bool = False,
     options: dict[str, str] | None = None,
 ) -> DataFrame:
     """Writes every file of ``grouped`` below ``path``; returns what was written.
 
-    The result has ``file_name, n_records, n_bytes, n_parts``. A Parquet file
-    of more than one part becomes a folder of that name with one file per
-    part, since Parquet files cannot be joined bytewise.
+    ``grouped`` is one flush. The result has ``file_name, n_records, n_bytes,
+    n_parts``. A Parquet file of more than one part becomes a folder of that
+    name with one file per part, since Parquet files cannot be joined
+    bytewise.
+
+    ``presorted`` says that the tasks of ``grouped`` already hold stretches
+    of each file in offset order, as ``grouping.is_placed`` tells of a
+    grouping; the records are then not shuffled again. An order that does not
+    hold fails the job.
     """
     if fmt not in OUTPUT_FORMATS:
         raise ValueError(f"output format must be one of {OUTPUT_FORMATS}, got {fmt!r}")
@@ -95,11 +105,9 @@ def write_files(
         rows, schema = avro_rows(grouped, part, fields, envelope, map_keys)
         stage = avro_stage(staging, schema, compression, options or {})
 
-    pieces = (
-        rows.repartition("file_name", "part")
-        .sortWithinPartitions(*place)
-        .mapInArrow(stage, _PIECE)
-    )
+    if not presorted:
+        rows = rows.repartition("file_name", "part").sortWithinPartitions(*place)
+    pieces = rows.mapInArrow(stage, _PIECE)
     pieces.write.mode("overwrite").parquet(f"{staging}/manifest")
     written = publish(spark.read.parquet(f"{staging}/manifest"), path, staging, fmt, compression)
     return written
@@ -141,7 +149,7 @@ def _runs(batch: pa.RecordBatch) -> Iterator[tuple[str, int, int, int]]:
 
 
 def _pieces(batches, start_piece) -> Iterator[pa.RecordBatch]:
-    """Drives writers over sorted batches: one piece per (file, part)."""
+    """Drives writers over ordered batches: one piece per stretch of a file."""
     current, writer, done = None, None, []
     try:
         for batch in batches:
@@ -149,8 +157,9 @@ def _pieces(batches, start_piece) -> Iterator[pa.RecordBatch]:
                 if (name, part) != current:
                     if writer:
                         done.append(writer.close())
-                    current, writer = (name, part), start_piece(name, part)
-                writer.add(batch.slice(start, end - start))
+                        writer = None
+                    current, writer = (name, part), start_piece(name)
+                writer.take(batch.slice(start, end - start))
             if len(done) >= 1024:
                 yield _piece_batch(done)
                 done = []
@@ -165,23 +174,44 @@ def _pieces(batches, start_piece) -> Iterator[pa.RecordBatch]:
 
 
 def _piece_batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
-    names = ["file_name", "part", "piece", "head", "size", "tail", "n_records"]
-    return pa.RecordBatch.from_arrays(
-        [pa.array(column, kind) for column, kind in zip(zip(*rows), kinds)], names=names
-    )
+    number = pa.int64()
+    fields = {
+        "file_name": pa.string(),
+        "first": number,
+        "last": number,
+        "piece": pa.string(),
+        "head": number,
+        "size": number,
+        "tail": number,
+        "n_records": number,
+    }
+    arrays = [pa.array(column, kind) for column, kind in zip(zip(*rows), fields.values())]
+    return pa.RecordBatch.from_arrays(arrays, names=list(fields))
 
 
 class Piece:
     """An open piece below the staging folder, named for this attempt only."""
 
-    def __init__(self, staging: str, name: str, part: int):
-        self.name, self.part, self.n = name, part, 0
+    at = "offset"
+
+    def __init__(self, staging: str, name: str):
+        self.name, self.n = name, 0
+        self.first = self.last = None
         self.path = f"{staging}/pieces/{uuid.uuid4().hex}"
         self.out = store.open_output(self.path)
 
+    def take(self, batch: pa.RecordBatch) -> None:
+        offsets = batch[self.at].to_numpy()
+        if (offsets[1:] <= offsets[:-1]).any() or (self.n and offsets[0] <= self.last):
+            raise ValueError(f"offsets of {self.name} do not rise")
+        if self.first is None:
+            self.first = int(offsets[0])
+        self.last = int(offsets[-1])
+        self.add(batch)
+        self.n += batch.num_rows
+
     def row(self, head: int, size: int, tail: int) -> tuple:
-        return (self.name, self.part, self.path, head, size, tail, self.n)
+        return (self.name, self.first, self.last, self.path, head, size, tail, self.n)
 
     def abandon(self) -> None:
         self.out.close()
@@ -190,8 +220,8 @@ class Piece:
 class TextPiece(Piece):
     """Head, records with separators between them, tail: each its own stream."""
 
-    def __init__(self, staging, name, part, frame, compression):
-        super().__init__(staging, name, part)
+    def __init__(self, staging, name, frame, compression):
+        super().__init__(staging, name)
         before, self._between, self._after = frame
         self._compression = compression
         self._head = encode(before, compression)
@@ -205,7 +235,6 @@ class TextPiece(Piece):
         if self.n:
             self._body.feed(self._between)
         self._body.feed(text.as_py())
-        self.n += batch.num_rows
 
     def close(self) -> tuple:
         body = self._body.finish()
@@ -216,13 +245,14 @@ class TextPiece(Piece):
 
 
 class ParquetPiece(Piece):
-    def __init__(self, staging, name, part, schema, options):
-        super().__init__(staging, name, part)
+    at = "_at"
+
+    def __init__(self, staging, name, schema, options):
+        super().__init__(staging, name)
         self._writer = pq.ParquetWriter(self.out, schema, **options)
 
     def add(self, batch: pa.RecordBatch) -> None:
         self._writer.write_batch(batch.drop_columns(["file_name", "part", "_at"]))
-        self.n += batch.num_rows
 
     def close(self) -> tuple:
         self._writer.close()
@@ -234,7 +264,7 @@ class ParquetPiece(Piece):
 def _text_stage(staging: str, frame: tuple[bytes, bytes, bytes], compression: str):
     def stage(batches):
         yield from _pieces(
-            batches, lambda name, part: TextPiece(staging, name, part, frame, compression)
+            batches, lambda name: TextPiece(staging, name, frame, compression)
         )
 
     return stage
@@ -246,8 +276,8 @@ def _parquet_stage(staging: str, compression: str, options: dict[str, str]):
     def stage(batches):
         schema = None
 
-        def start(name, part):
-            return ParquetPiece(staging, name, part, schema, settings)
+        def start(name):
+            return ParquetPiece(staging, name, schema, settings)
 
         def seen():
             nonlocal schema
@@ -265,12 +295,17 @@ def publish(
 ) -> DataFrame:
     """Moves or assembles the staged pieces into their objects."""
     between = encode(FRAMES[fmt][1], compression) if fmt in FRAMES else b""
-    by_part = W.partitionBy("file_name").orderBy("part")
+    by_part = W.partitionBy("file_name").orderBy("first")
     earlier = by_part.rowsBetween(W.unboundedPreceding, -1)
     whole = W.partitionBy("file_name")
     body = F.col("size") - F.col("head") - F.col("tail")
+    apart = F.coalesce(F.max("last").over(earlier) < F.col("first"), F.lit(True))
+    name = F.when(apart, F.col("file_name")).otherwise(
+        F.raise_error(F.concat(F.lit("pieces overlap in "), F.col("file_name"))).cast("string")
+    )
     laid_out = manifest.select(
-        "*",
+        name.alias("file_name"),
+        *[c for c in manifest.columns if c != "file_name"],
         F.row_number().over(by_part).alias("number"),
         F.count(F.lit(1)).over(whole).alias("n_parts"),
         F.coalesce(F.sum(body + len(between)).over(earlier), F.lit(0)).alias("body_before"),

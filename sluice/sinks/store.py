@@ -33,6 +33,11 @@ def open_input(path: str):
     return store.open_input_stream(inner, compression=None)
 
 
+def open_random(path: str):
+    store, inner = file_system(path)
+    return store.open_input_file(inner)
+
+
 def open_output(path: str):
     store, inner = file_system(path)
     if is_local(path):

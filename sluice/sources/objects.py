@@ -6,6 +6,8 @@ An object table has ``object_key`` and, where the bytes are at hand,
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -114,6 +116,7 @@ def jsonl_records(
     by: tuple[str, ...] = ("object_key",),
     position: str = "position",
     slice_width: int = SLICE_WIDTH,
+    slice_by: str | None = None,
 ) -> DataFrame:
     """Lines of JSON-lines objects as records with a ``value``.
 
@@ -123,7 +126,7 @@ def jsonl_records(
     clean = clean_lines(lines)
     bad = is_bad_json(F.col("line"))
     if on_error == "truncate":
-        kept = cut_at_first(clean, by, position, bad, width=slice_width)
+        kept = cut_at_first(clean, by, position, bad, width=slice_width, slice_by=slice_by)
     elif on_error == "drop":
         kept = clean.filter(~bad)
     elif on_error == "fail":
@@ -180,24 +183,43 @@ def tolerate(records: DataFrame, error: Column, *, tolerance: str = "none") -> D
     )
 
 
+Keep = Callable[[Column], Column]
+
+
+def _reader(spark: SparkSession, glob: str | None):
+    reader = spark.read.option("recursiveFileLookup", "true")
+    return reader.option("pathGlobFilter", glob) if glob else reader
+
+
+def _file_key(root: str) -> Column:
+    return object_key_of(_decoded(F.col("_metadata.file_path")), root)
+
+
+def _kept(files: DataFrame, key: Column, keep: Keep | None) -> DataFrame:
+    """Applied to the scan itself, so unwanted objects are not opened."""
+    return files.filter(keep(key)) if keep else files
+
+
 def read_lines(
-    spark: SparkSession, root: str, *, compression: str = "none", glob: str | None = None
+    spark: SparkSession,
+    root: str,
+    *,
+    compression: str = "none",
+    keep: Keep | None = None,
+    glob: str | None = None,
 ) -> DataFrame:
     """Lines of every object below ``root`` with their place in it.
 
     Uncompressed objects are read in splits: ``block`` is where the split
-    starts, ``position`` rises within it. A compressed object is one stream,
-    so one task walks through it.
+    starts, ``row`` rises within it. A compressed object is one stream, so
+    one task walks through it and numbers its blocks.
     """
     if compression != "none":
         from sluice.sources.streams import read_compressed_lines
 
-        return read_compressed_lines(spark, root, compression=compression, glob=glob)
-    reader = spark.read.option("recursiveFileLookup", "true")
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    return reader.text(root).select(
-        object_key_of(_decoded(F.col("_metadata.file_path")), root).alias("object_key"),
+        return read_compressed_lines(spark, root, compression=compression, keep=keep, glob=glob)
+    return _kept(_reader(spark, glob).text(root), _file_key(root), keep).select(
+        _file_key(root).alias("object_key"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("row"),
         F.col("value").alias("line"),
@@ -212,55 +234,38 @@ def read_objects(
     compression: str = "none",
     chunk_size: int = DEFAULT_CHUNK,
     on_error: str = "truncate",
+    progress: DataFrame | None = None,
+    keep: Keep | None = None,
     glob: str | None = None,
 ) -> DataFrame:
     """Records of the objects below ``root``: ``object_key`` and ``value``.
 
-    Parquet and Avro give their own columns in place of ``value``.
+    Parquet and Avro give their own columns in place of ``value``. ``keep``
+    tells from the object key whether to read an object. With ``progress``
+    (``object_key, record_count``, one row each) the records an object has
+    already given are skipped; jsonl and bytes only.
     """
     if fmt not in INPUT_FORMATS:
         raise ValueError(f"input format must be one of {INPUT_FORMATS}, got {fmt!r}")
     if fmt in ("parquet", "avro"):
-        reader = spark.read.format(fmt).option("recursiveFileLookup", "true")
+        reader = _reader(spark, glob).format(fmt)
         if fmt == "parquet":
             reader = reader.option("mergeSchema", "true")
-        if glob:
-            reader = reader.option("pathGlobFilter", glob)
         loaded = reader.load(root)
-        key = object_key_of(_decoded(F.col("_metadata.file_path")), root)
-        return loaded.select(key.alias("object_key"), *[F.col(f"`{c}`") for c in loaded.columns])
-    if fmt == "jsonl":
-        lines = read_lines(spark, root, compression=compression, glob=glob)
-        return file_jsonl(lines, on_error=on_error)
-    if compression != "none":
-        from sluice.sources.streams import read_compressed_chunks
-
-        return read_compressed_chunks(
-            spark, root, compression=compression, chunk_size=chunk_size, glob=glob
+        return _kept(loaded, _file_key(root), keep).select(
+            _file_key(root).alias("object_key"), *[F.col(f"`{c}`") for c in loaded.columns]
         )
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    loaded = reader.load(root).filter(F.col("length") > 0)
-    return bytes_chunks(
-        loaded.select(object_key_of(F.col("path"), root).alias("object_key"), "content"), chunk_size
-    )
 
+    from sluice.sources import progress as prog
+    from sluice.sources import streams
 
-def file_jsonl(lines: DataFrame, *, on_error: str = "truncate") -> DataFrame:
-    """``jsonl_records`` for lines that are placed by (block, row)."""
-    if on_error != "truncate":
-        return jsonl_records(lines, on_error=on_error).drop("block", "row")
-    clean = clean_lines(lines)
-    place = F.struct("block", "row")
-    cuts = (
-        clean.filter(is_bad_json(F.col("line")))
-        .groupBy("object_key")
-        .agg(F.min(place).alias("_cut"))
-    )
-    return (
-        clean.join(cuts, "object_key", "left")
-        .filter(F.col("_cut").isNull() | (place < F.col("_cut")))
-        .drop("block", "row", "_cut")
-        .withColumnRenamed("line", "value")
-    )
+    if fmt == "jsonl":
+        lines = read_lines(spark, root, compression=compression, keep=keep, glob=glob)
+        records = jsonl_records(lines, on_error=on_error, position="row", slice_by="block")
+        if progress is not None:
+            records = prog.resume(records, progress, position="row", slice_by="block")
+        return records.drop("block", "row", "record_no")
+    how = {"chunk_size": chunk_size, "progress": progress, "keep": keep, "glob": glob}
+    if compression == "none":
+        return streams.read_ranges(spark, root, **how)
+    return streams.read_compressed_chunks(spark, root, compression=compression, **how)

@@ -15,10 +15,21 @@ RING_SIZE = 1000
 
 
 def record_numbers(
-    records: DataFrame, *, position: str = "position", slice_width: int = SLICE_WIDTH
+    records: DataFrame,
+    *,
+    position: str = "position",
+    slice_width: int = SLICE_WIDTH,
+    slice_by: str | None = None,
 ) -> DataFrame:
     """Number of each record in its object, from 1."""
-    return row_numbers(records, ["object_key"], position, width=slice_width, name="record_no")
+    return row_numbers(
+        records,
+        ["object_key"],
+        position,
+        width=slice_width,
+        slice_by=slice_by,
+        name="record_no",
+    )
 
 
 def object_progress(records: DataFrame, *by: str) -> DataFrame:
@@ -33,14 +44,16 @@ def resume(
     by: Sequence[str] = ("object_key",),
     position: str = "position",
     slice_width: int = SLICE_WIDTH,
+    slice_by: str | None = None,
 ) -> DataFrame:
     """Records not read yet: those past the stored count of their object.
 
     ``progress`` has ``by`` and ``record_count``, one row per object. It is
     matched to the slice table, not to the records, so a large object does
-    not make one large join key.
+    not make one large join key. Lines read from files have ``position="row"``
+    and ``slice_by="block"``.
     """
-    sliced = with_slice(records, position, slice_width)
+    sliced = with_slice(records, position, slice_width, slice_by)
     per_slice = (
         sliced.groupBy(*by, SLICE)
         .agg(F.count(F.lit(1)).alias("_n"))

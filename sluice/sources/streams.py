@@ -9,12 +9,16 @@ from __future__ import annotations
 import gzip
 import io
 import struct
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 BATCH_ROWS = 4096
+# Rows per block of a compressed object, and bytes per range of a plain one.
+BLOCK_ROWS = 1 << 18
+RANGE_BYTES = 32 << 20
 # The magic bytes and header length of a framed snappy stream.
 SNAPPY_MAGIC = b"\x82SNAPPY\x00"
 SNAPPY_HEADER = SNAPPY_MAGIC + struct.pack(">ii", 1, 1)
@@ -85,21 +89,107 @@ def decompressed(raw, compression: str):
     raise ValueError(f"unknown compression {compression!r}")
 
 
-def _listing(spark: SparkSession, root: str, glob: str | None) -> DataFrame:
-    from pyspark.sql import functions as F
-
+def _listing(
+    spark: SparkSession,
+    root: str,
+    keep: Callable[[Column], Column] | None,
+    glob: str | None,
+    progress: DataFrame | None = None,
+) -> DataFrame:
+    """Non-empty objects with the number of records each has already given."""
     from sluice.session import ship_package
-    from sluice.sources.objects import object_key_of
+    from sluice.sources.objects import _kept, _reader, object_key_of
 
     ship_package(spark)
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    listed = reader.load(root).filter(F.col("length") > 0)
-    return listed.select(object_key_of(F.col("path"), root).alias("object_key"), "path").repartition(
-        spark.sparkContext.defaultParallelism * 4, "path"
+    key = object_key_of(F.col("path"), root)
+    found = _reader(spark, glob).format("binaryFile").load(root).filter(F.col("length") > 0)
+    listed = _kept(found, key, keep).select(key.alias("object_key"), "path", "length")
+    if progress is None:
+        return listed.withColumn("done", F.lit(0).cast("bigint"))
+    return (
+        listed.join(progress.select("object_key", "record_count"), "object_key", "left")
+        .withColumn("done", F.coalesce("record_count", F.lit(0)).cast("bigint"))
+        .drop("record_count")
+    )
+
+
+def _spread(df: DataFrame, *by: str) -> DataFrame:
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism * 4, *by)
+
+
+def read_ranges(
+    spark: SparkSession,
+    root: str,
+    *,
+    chunk_size: int,
+    progress: DataFrame | None = None,
+    keep: Callable[[Column], Column] | None = None,
+    glob: str | None = None,
+) -> DataFrame:
+    """Fixed-size chunks of plain objects.
+
+    An object is cut into ranges of whole chunks, so a large one is read by
+    many tasks and never held as one value. Reading starts behind the chunks
+    already done.
+    """
+    if chunk_size < 1:
+        raise ValueError("chunk size must be at least 1")
+    per_range = max(1, RANGE_BYTES // chunk_size) * chunk_size
+    begin = F.col("done") * chunk_size
+    starts = F.sequence(begin, F.col("length") - 1, F.lit(per_range).cast("bigint"))
+    ranges = (
+        _listing(spark, root, keep, glob, progress)
+        .filter(begin < F.col("length"))
+        .select("object_key", "path", F.explode(starts).alias("start"))
     )
 
+    def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from sluice.sinks.store import open_random
+
+        for batch in batches:
+            for row in batch.to_pylist():
+                with open_random(row["path"]) as source:
+                    source.seek(row["start"])
+                    first = row["start"] // chunk_size + 1
+                    yield from _chunk_batches(
+                        row["object_key"], source, chunk_size, first, per_range // chunk_size
+                    )
+
+    return _spread(ranges, "path", "start").mapInArrow(
+        chunks, "object_key string, record_no bigint, value binary"
+    )
+
+
+def _chunk_batches(
+    key: str, source, size: int, first: int, limit: int | None
+) -> Iterator[pa.RecordBatch]:
+    """Chunks from where ``source`` stands, a few megabytes to a batch."""
+    per_batch = max(1, (4 << 20) // size)
+    number = first
+    while limit is None or number < first + limit:
+        room = per_batch if limit is None else min(per_batch, first + limit - number)
+        held: list[bytes] = []
+        while len(held) < room and (data := _fill(source, size)):
+            held.append(data)
+        if held:
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "object_key": pa.array([key] * len(held), pa.string()),
+                    "record_no": pa.array(range(number, number + len(held)), pa.int64()),
+                    "value": pa.array(held, pa.binary()),
+                }
+            )
+        number += len(held)
+        if len(held) < room:
+            return
+
+
+def _fill(source, size: int) -> bytes:
+    data = b""
+    while len(data) < size and (more := source.read(size - len(data))):
+        data += more
+    return data
+
 
 def _open(path: str, compression: str):
     from sluice.sinks.store import open_input
@@ -108,7 +198,12 @@ def _open(path: str, compression: str):
 
 
 def read_compressed_lines(
-    spark: SparkSession, root: str, *, compression: str, glob: str | None = None
+    spark: SparkSession,
+    root: str,
+    *,
+    compression: str,
+    keep: Callable[[Column], Column] | None = None,
+    glob: str | None = None,
 ) -> DataFrame:
     def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -134,41 +229,42 @@ def read_compressed_lines(
         return pa.RecordBatch.from_pydict(
             {
                 "object_key": pa.array([key] * n, pa.string()),
-                "block": pa.array([0] * n, pa.int64()),
+                "block": pa.array([at // BLOCK_ROWS for at in range(first, first + n)], pa.int64()),
                 "row": pa.array(range(first, first + n), pa.int64()),
                 "line": pa.array(held, pa.string()),
             }
         )
 
-    return _listing(spark, root, glob).mapInArrow(
+    return _spread(_listing(spark, root, keep, glob), "path").mapInArrow(
         lines, "object_key string, block bigint, row bigint, line string"
     )
 
 
 def read_compressed_chunks(
-    spark: SparkSession, root: str, *, compression: str, chunk_size: int, glob: str | None = None
+    spark: SparkSession,
+    root: str,
+    *,
+    compression: str,
+    chunk_size: int,
+    progress: DataFrame | None = None,
+    keep: Callable[[Column], Column] | None = None,
+    glob: str | None = None,
 ) -> DataFrame:
     def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for key, path in zip(batch["object_key"].to_pylist(), batch["path"].to_pylist()):
-                with _open(path, compression) as plain:
-                    number = 0
-                    while data := _fill(plain, chunk_size):
-                        number += 1
-                        yield pa.RecordBatch.from_pydict(
-                            {
-                                "object_key": pa.array([key], pa.string()),
-                                "record_no": pa.array([number], pa.int32()),
-                                "value": pa.array([data], pa.binary()),
-                            }
-                        )
-
-    def _fill(plain, size: int) -> bytes:
-        data = b""
-        while len(data) < size and (more := plain.read(size - len(data))):
-            data += more
-        return data
-
-    return _listing(spark, root, glob).mapInArrow(
-        chunks, "object_key string, record_no int, value binary"
+            for row in batch.to_pylist():
+                with _open(row["path"], compression) as plain:
+                    _discard(plain, row["done"] * chunk_size)
+                    yield from _chunk_batches(
+                        row["object_key"], plain, chunk_size, row["done"] + 1, None
+                    )
+
+    listed = _listing(spark, root, keep, glob, progress)
+    return _spread(listed, "path").mapInArrow(
+        chunks, "object_key string, record_no bigint, value binary"
     )
+
+
+def _discard(source, n: int) -> None:
+    while n > 0 and (data := source.read(min(n, 1 << 20))):
+        n -= len(data)

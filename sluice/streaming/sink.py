@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from sluice.operators.grouping import group_records
+from sluice.operators.grouping import group_records, is_placed
 from sluice.sinks.files import write_files
 
 # How often buffers are written, and how much is read per write.
@@ -79,6 +79,7 @@ def flush_batch(
     **options,
 ) -> DataFrame:
     """Groups and writes one flush; schema rotation goes with columnar formats."""
+    rotation = fmt in ("avro", "parquet")
     grouped = group_records(
         batch.withColumn("batch_id", F.lit(batch_id).cast("bigint")),
         template,
@@ -86,6 +87,7 @@ def flush_batch(
         ts_source=ts_source,
         tz=tz,
         prefix=prefix,
-        schema_rotation=fmt in ("avro", "parquet"),
+        schema_rotation=rotation,
     )
-    return write_files(grouped, path, fmt, **options)
+    placed = is_placed(template, max_records=max_records, schema_rotation=rotation)
+    return write_files(grouped, path, fmt, presorted=placed, **options)

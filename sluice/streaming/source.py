@@ -34,8 +34,7 @@ def read_stream(
     """Records of new objects below ``root``, with topic and partition by name.
 
     Bad JSON lines are left out one by one here: a stream cannot look back
-    into an object to cut it at its first bad line. ``objects.file_jsonl``
-    does that per micro-batch.
+    into an object to cut it at its first bad line, as ``read_objects`` does.
     """
     reader = spark.readStream.option("recursiveFileLookup", "true")
     if objects_per_batch:
