@@ -26,6 +26,11 @@ def _type_of(df: DataFrame, column: str) -> T.DataType:
     return df.schema[column].dataType
 
 
+def base64_line(data: Column) -> Column:
+    """Base64 without the line breaks Spark may put into long values."""
+    return F.replace(F.base64(data), F.lit("\r\n"), F.lit(""))
+
+
 def _plain_bytes(df: DataFrame, column: str) -> Column:
     if not isinstance(_type_of(df, column), (T.StringType, T.BinaryType)):
         raise TypeError(f"csv takes string or binary in {column!r}, got {_type_of(df, column)}")
@@ -37,9 +42,9 @@ def csv_headers(headers: Column) -> Column:
 
     def one(h: Column) -> Column:
         return F.concat(
-            F.base64(F.encode(h["key"], "UTF-8")),
+            base64_line(F.encode(h["key"], "UTF-8")),
             F.lit(":"),
-            F.coalesce(F.base64(h["value"].cast("binary")), F.lit("")),
+            F.coalesce(base64_line(h["value"].cast("binary")), F.lit("")),
             F.lit(";"),
         )
 
@@ -53,10 +58,10 @@ def csv_line(df: DataFrame, fields: Sequence[str], *, value_encoding: str = "bas
 
     def field(name: str) -> Column:
         if name == "key":
-            text = F.base64(_plain_bytes(df, "key"))
+            text = base64_line(_plain_bytes(df, "key"))
         elif name == "value":
             raw = _plain_bytes(df, "value")
-            text = F.base64(raw) if value_encoding == "base64" else raw.cast("string")
+            text = base64_line(raw) if value_encoding == "base64" else raw.cast("string")
         elif name == "offset":
             text = F.col("offset").cast("string")
         elif name == "timestamp":

@@ -78,9 +78,8 @@ def list_objects(
     *,
     prefix: str = "",
     after: str | None = None,
-    keep_empty: bool = False,
 ) -> DataFrame:
-    """Objects below ``root`` without their bytes, in key order."""
+    """Non-empty objects below ``root`` without their bytes, in key order."""
     found = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
@@ -92,7 +91,7 @@ def list_objects(
             F.col("modificationTime").alias("modified"),
         )
     )
-    return list_after(found if keep_empty else skip_empty(found), prefix=prefix, after=after)
+    return list_after(skip_empty(found), prefix=prefix, after=after)
 
 
 def java_trim(text: Column) -> Column:

@@ -132,15 +132,18 @@ def read_ranges(
     many tasks and never held as one value. Reading starts behind the chunks
     already done.
     """
+    return range_chunks(_listing(spark, root, keep, glob, progress), chunk_size)
+
+
+def range_chunks(listed: DataFrame, chunk_size: int) -> DataFrame:
+    """Chunks of listed objects (``object_key, path, length, done``)."""
     if chunk_size < 1:
         raise ValueError("chunk size must be at least 1")
     per_range = max(1, RANGE_BYTES // chunk_size) * chunk_size
     begin = F.col("done") * chunk_size
     starts = F.sequence(begin, F.col("length") - 1, F.lit(per_range).cast("bigint"))
-    ranges = (
-        _listing(spark, root, keep, glob, progress)
-        .filter(begin < F.col("length"))
-        .select("object_key", "path", F.explode(starts).alias("start"))
+    ranges = listed.filter(begin < F.col("length")).select(
+        "object_key", "path", F.explode(starts).alias("start")
     )
 
     def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -205,6 +208,12 @@ def read_compressed_lines(
     keep: Callable[[Column], Column] | None = None,
     glob: str | None = None,
 ) -> DataFrame:
+    return compressed_lines(_listing(spark, root, keep, glob), compression)
+
+
+def compressed_lines(listed: DataFrame, compression: str) -> DataFrame:
+    """Lines of listed objects, each read as one stream."""
+
     def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for key, path in zip(batch["object_key"].to_pylist(), batch["path"].to_pylist()):
@@ -235,7 +244,7 @@ def read_compressed_lines(
             }
         )
 
-    return _spread(_listing(spark, root, keep, glob), "path").mapInArrow(
+    return _spread(listed, "path").mapInArrow(
         lines, "object_key string, block bigint, row bigint, line string"
     )
 
@@ -250,6 +259,13 @@ def read_compressed_chunks(
     keep: Callable[[Column], Column] | None = None,
     glob: str | None = None,
 ) -> DataFrame:
+    listed = _listing(spark, root, keep, glob, progress)
+    return compressed_chunks(listed, compression, chunk_size)
+
+
+def compressed_chunks(listed: DataFrame, compression: str, chunk_size: int) -> DataFrame:
+    """Chunks of listed objects, each read as one stream."""
+
     def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
@@ -259,7 +275,6 @@ def read_compressed_chunks(
                         row["object_key"], plain, chunk_size, row["done"] + 1, None
                     )
 
-    listed = _listing(spark, root, keep, glob, progress)
     return _spread(listed, "path").mapInArrow(
         chunks, "object_key string, record_no bigint, value binary"
     )

@@ -12,10 +12,11 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from sluice.functions.naming import match_source_name
-from sluice.sources.objects import _decoded, bytes_chunks, clean_lines, is_bad_json, object_key_of
+from sluice.session import ship_package
+from sluice.sources.objects import _decoded, clean_lines, is_bad_json, object_key_of
+from sluice.sources.streams import compressed_chunks, compressed_lines, range_chunks
 
-# Fixed value: objects listed per page.
-PAGE_SIZE = 10
+_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
 def read_stream(
@@ -27,33 +28,42 @@ def read_stream(
     target_topic: str | None = None,
     schema: T.StructType | str | None = None,
     chunk_size: int = 4096,
+    compression: str = "none",
     objects_per_batch: int | None = None,
     bytes_per_batch: str | None = None,
     glob: str | None = None,
 ) -> DataFrame:
     """Records of new objects below ``root``, with topic and partition by name.
 
+    A micro-batch takes ``bytes_per_batch`` or ``objects_per_batch`` where one
+    is given, else all new objects.
+
     Bad JSON lines are left out one by one here: a stream cannot look back
     into an object to cut it at its first bad line, as ``read_objects`` does.
     """
     reader = spark.readStream.option("recursiveFileLookup", "true")
-    if objects_per_batch:
-        reader = reader.option("maxFilesPerTrigger", objects_per_batch)
-    elif bytes_per_batch:
+    if bytes_per_batch:
         reader = reader.option("maxBytesPerTrigger", bytes_per_batch)
+    elif objects_per_batch:
+        reader = reader.option("maxFilesPerTrigger", objects_per_batch)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
 
     if fmt == "jsonl":
-        lines = reader.format("text").load(root)
-        records = clean_lines(
-            lines.select(_key(root).alias("object_key"), F.col("value").alias("line"))
-        ).filter(~is_bad_json(F.col("line")))
+        if compression == "none":
+            lines = reader.format("text").load(root)
+            lines = lines.select(_key(root).alias("object_key"), F.col("value").alias("line"))
+        else:
+            lines = compressed_lines(_listed(reader, root), compression)
+            lines = lines.select("object_key", "line")
+        records = clean_lines(lines).filter(~is_bad_json(F.col("line")))
         records = records.withColumnRenamed("line", "value")
     elif fmt == "bytes":
-        files = reader.format("binaryFile").load(root).filter(F.col("length") > 0)
-        named = files.select(object_key_of(F.col("path"), root).alias("object_key"), "content")
-        records = bytes_chunks(named, chunk_size)
+        listed = _listed(reader, root)
+        if compression == "none":
+            records = range_chunks(listed, chunk_size)
+        else:
+            records = compressed_chunks(listed, compression, chunk_size)
     elif fmt in ("parquet", "avro"):
         if schema is None:
             raise ValueError(f"a {fmt} stream needs a schema")
@@ -74,6 +84,18 @@ def read_stream(
     )
 
 
+def _listed(reader, root: str) -> DataFrame:
+    """New objects without their bytes, which tasks read themselves."""
+    files = reader.format("binaryFile").schema(_FILE_SCHEMA).load(root).filter(F.col("length") > 0)
+    ship_package(files.sparkSession)
+    return files.select(
+        object_key_of(F.col("path"), root).alias("object_key"),
+        "path",
+        "length",
+        F.lit(0).cast("bigint").alias("done"),
+    )
+
+
 def _key(root: str):
     return object_key_of(_decoded(F.col("_metadata.file_path")), root)
 

@@ -1,0 +1,250 @@
+"""Writing files and reading them back."""
+
+import gzip
+import hashlib
+import io
+import json
+import os
+import zlib
+
+import pyarrow as pa
+import pyarrow.parquet as pq
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from sluice.operators.grouping import group_records, is_placed
+from sluice.sinks import avro, store
+from sluice.sinks.files import publish, write_files
+from sluice.sources.streams import decompressed
+
+CHANGELOG = "{{topic}}-{{partition}}-{{start_offset}}"
+SCHEMA = "topic string, partition int, offset bigint, timestamp_ms bigint, key string, value string, key_schema_id int, value_schema_id int"
+ROWS = [("t", p, o, 1000 + o, f"k{o % 3}", f"value {o}", 1, 1 if o < 30 else 2) for p in (0, 1) for o in range(p * 5, 50, p + 1)]
+
+
+def contents(root):
+    found = {}
+    for folder, dirs, names in os.walk(root):
+        dirs[:] = [d for d in dirs if not d.startswith("_")]
+        for name in names:
+            with open(os.path.join(folder, name), "rb") as f:
+                found[os.path.relpath(os.path.join(folder, name), root)] = f.read()
+    return found
+
+
+def expected(limit):
+    files = {}
+    for p in (0, 1):
+        rows = [r for r in ROWS if r[1] == p]
+        for i in range(0, len(rows), limit or len(rows)):
+            chunk = rows[i : i + (limit or len(rows))]
+            files[f"t-{p}-{chunk[0][2]}"] = [r[2] for r in chunk]
+    return files
+
+
+def render(fmt, offsets):
+    if fmt == "csv":
+        return "\n".join(str(o) for o in offsets).encode()
+    lines = [f'{{"offset":{o}}}' for o in offsets]
+    return ("\n".join(lines) if fmt == "jsonl" else "[\n" + ",\n".join(lines) + "\n]").encode()
+
+
+@pytest.fixture(scope="module")
+def records(spark):
+    return spark.createDataFrame(ROWS, SCHEMA).cache()
+
+
+@pytest.mark.parametrize("compression", ["none", "gzip", "snappy", "zstd"])
+@pytest.mark.parametrize("fmt", ["csv", "json", "jsonl"])
+@pytest.mark.parametrize("parts", [7, 1 << 18])
+def test_text_files(records, tmp_path, fmt, compression, parts):
+    grouped = group_records(records, CHANGELOG)
+    manifest = write_files(
+        grouped, str(tmp_path), fmt, fields=["offset"], compression=compression, part_offsets=parts
+    )
+    files = {
+        name: decompressed(io.BytesIO(data), compression).read()
+        for name, data in contents(tmp_path).items()
+    }
+    assert files == {name: render(fmt, offsets) for name, offsets in expected(0).items()}
+    rows = {r["file_name"]: r for r in manifest.collect()}
+    assert {n: r["n_records"] for n, r in rows.items()} == {n: len(o) for n, o in expected(0).items()}
+    assert all((r["n_parts"] > 1) == (parts == 7) for r in rows.values())
+
+
+@pytest.mark.parametrize("limit", [1, 4, 17])
+def test_presorted_writes_the_same(records, tmp_path, limit):
+    grouped = group_records(records, CHANGELOG, max_records=limit, slice_width=8)
+    assert is_placed(CHANGELOG, max_records=limit) and not is_placed(CHANGELOG)
+    for way in (False, True):
+        write_files(grouped, f"{tmp_path}/{way}", "json", fields=["offset"], presorted=way, part_offsets=8)
+        assert contents(f"{tmp_path}/{way}") == {n: render("json", o) for n, o in expected(limit).items()}
+
+
+def test_order_that_does_not_hold_fails(records, tmp_path):
+    falling = group_records(records, CHANGELOG).coalesce(1).sortWithinPartitions("file_name", F.desc("offset"))
+    with pytest.raises(PySparkException, match="do not rise"):
+        write_files(falling, str(tmp_path), "csv", fields=["offset"], presorted=True)
+    assert contents(tmp_path) == {}
+
+
+def test_overlapping_pieces_fail(spark, tmp_path):
+    pieces = spark.createDataFrame(
+        [("f", 0, 5, "x", 0, 1, 0, 1), ("f", 3, 9, "y", 0, 1, 0, 1)],
+        "file_name string, first bigint, last bigint, piece string, head bigint, size bigint, tail bigint, n_records bigint",
+    )
+    with pytest.raises(PySparkException, match="overlap"):
+        publish(pieces, str(tmp_path), str(tmp_path / "_staging"), "csv", "none")
+
+
+def test_same_name_is_replaced(records, tmp_path):
+    for value in ("one", "two"):
+        grouped = group_records(records.withColumn("value", F.lit(value)), "{{key}}")
+        write_files(grouped, str(tmp_path), "csv", fields=["value"], value_encoding="none", presorted=True)
+        assert contents(tmp_path) == {f"k{i}": value.encode() for i in range(3)}
+
+
+def test_nothing_is_published_when_a_record_fails(records, tmp_path):
+    broken = F.when(F.col("offset") == 49, F.raise_error(F.lit("broken record"))).otherwise(F.col("value"))
+    grouped = group_records(records.withColumn("value", broken), CHANGELOG, max_records=5)
+    with pytest.raises(PySparkException, match="broken record"):
+        write_files(grouped, str(tmp_path), "csv")
+    assert contents(tmp_path) == {}
+
+
+def test_publishing_again_changes_nothing(spark, records, tmp_path):
+    """A publish that is repeated after a lost executor finds its moves done."""
+    grouped = group_records(records, CHANGELOG)
+    write_files(grouped, str(tmp_path), "jsonl", fields=["offset"])
+    before = contents(tmp_path)
+    run = os.listdir(tmp_path / "_staging")[0]
+    staging = f"{tmp_path}/_staging/{run}"
+    publish(spark.read.parquet(f"{staging}/manifest"), str(tmp_path), staging, "jsonl", "none")
+    assert contents(tmp_path) == before
+
+
+@pytest.mark.parametrize("name", ["../x", "a/../../x", "/etc/x", ""])
+def test_names_stay_below_the_root(name):
+    with pytest.raises(ValueError):
+        store.object_path("/data", name)
+
+
+def test_names_with_folders(records, tmp_path):
+    grouped = group_records(records, "{{topic}}/{{partition}}/{{start_offset}}", prefix="p/")
+    write_files(grouped, f"file://{tmp_path}", "csv", fields=["offset"])
+    assert set(contents(tmp_path)) == {"p/t/0/0", "p/t/1/5"}
+
+
+@pytest.mark.parametrize("compression, codec", [("none", "UNCOMPRESSED"), ("gzip", "GZIP"), ("snappy", "SNAPPY"), ("zstd", "ZSTD")])
+def test_parquet(records, tmp_path, compression, codec):
+    grouped = group_records(records, CHANGELOG, schema_rotation=True)
+    write_files(grouped, str(tmp_path), "parquet", fields=["key", "value", "offset"], compression=compression, presorted=True)
+    files = contents(tmp_path)
+    assert set(files) == {"t-0-0", "t-0-30", "t-1-5", "t-1-31"}
+    table = pq.read_table(io.BytesIO(files["t-0-30"]))
+    assert table.column("offset").to_pylist() == list(range(30, 50))
+    assert table.column_names == ["key", "value", "offset"]
+    assert pq.ParquetFile(io.BytesIO(files["t-0-30"])).metadata.row_group(0).column(0).compression == codec
+
+
+def test_large_parquet_becomes_a_folder(spark, records, tmp_path):
+    write_files(group_records(records, CHANGELOG), str(tmp_path), "parquet", fields=["offset"], part_offsets=20)
+    assert set(contents(tmp_path)) == {f"t-{p}-{s}/part-0000{i}.parquet" for p, s in ((0, 0), (1, 5)) for i in range(3)}
+    read = spark.read.parquet(f"{tmp_path}/t-0-0").collect()
+    assert sorted(r["offset"] for r in read) == list(range(50))
+
+
+def test_unwrapped_parquet(records, tmp_path):
+    named = records.withColumn("value", F.struct(F.col("offset").alias("id"), F.lit("n").alias("name")))
+    write_files(group_records(named, CHANGELOG), str(tmp_path), "parquet", envelope=False)
+    table = pq.read_table(io.BytesIO(contents(tmp_path)["t-1-5"]))
+    assert table.column_names == ["id", "name"]
+    maps = records.withColumn("value", F.create_map(F.lit("id"), "offset"))
+    write_files(group_records(maps, CHANGELOG), f"{tmp_path}/m", "parquet", envelope=False, map_keys=["id"])
+    assert pq.read_table(io.BytesIO(contents(f"{tmp_path}/m")["t-0-0"])).column("id").to_pylist() == list(range(50))
+
+
+def test_bare_json(records, tmp_path):
+    write_files(group_records(records, CHANGELOG), str(tmp_path), "jsonl", fields=["key"], envelope=False, compression="gzip")
+    lines = gzip.decompress(contents(tmp_path)["t-1-5"]).decode().split("\n")
+    assert [json.loads(line) for line in lines] == [r[4] for r in ROWS if r[1] == 1]
+
+
+def test_arguments(records, tmp_path):
+    for how in ({"fmt": "xml"}, {"compression": "lzo"}, {"fields": ["nope"]}):
+        with pytest.raises(ValueError):
+            write_files(group_records(records, CHANGELOG), str(tmp_path), **how)
+
+
+def read_container(data):
+    """Header fields and (count, bytes) of the blocks of an Avro container."""
+    source = io.BytesIO(data)
+
+    def number():
+        shift = n = 0
+        while True:
+            byte = source.read(1)[0]
+            n |= (byte & 0x7F) << shift
+            if byte < 0x80:
+                return (n >> 1) ^ -(n & 1)
+            shift += 7
+
+    assert source.read(4) == b"Obj\x01"
+    meta = {}
+    for _ in range(number()):
+        name = source.read(number()).decode()
+        meta[name] = source.read(number())
+    assert number() == 0
+    sync = source.read(16)
+    blocks = []
+    while source.tell() < len(data):
+        blocks.append((number(), source.read(number())))
+        assert source.read(16) == sync
+    return meta, blocks
+
+
+@pytest.mark.parametrize("codec", avro.BLOCK_CODECS)
+def test_avro_container(codec):
+    sync = hashlib.md5(b"f").digest()
+    records = [b"\x02a", b"\x04bb" * 100]
+    data = avro.header('"string"', codec, sync) + avro.block(records, codec, sync) + avro.block([b"\x00"], codec, sync)
+    meta, blocks = read_container(data)
+    assert meta == {"avro.schema": b'"string"', "avro.codec": codec.encode()}
+    undo = {
+        "null": bytes,
+        "deflate": lambda b: zlib.decompress(b, wbits=-15),
+        "snappy": lambda b: pa.Codec("snappy").decompress(b[:-4], len(b"".join(records)), asbytes=True),
+        "zstandard": lambda b: pa.CompressedInputStream(pa.BufferReader(b), "zstd").read(),
+    }[codec]
+    assert [n for n, _ in blocks] == [2, 1]
+    assert undo(blocks[0][1]) == b"".join(records)
+
+
+def test_avro_pieces_join(spark, tmp_path):
+    """Pieces of one container, staged and assembled by the writer."""
+    from sluice.session import ship_package
+    from sluice.sinks.files import _PIECE
+
+    ship_package(spark)
+    staging = f"{tmp_path}/_staging/run"
+    rows = spark.range(100).selectExpr("'f.avro' as file_name", "id div 30 as part", "id as offset", "cast(concat(char(2), 'x') as binary) as payload")
+    stage = avro.avro_stage(staging, '"string"', "none", {"avro.codec": "deflate"})
+    pieces = rows.repartition("file_name", "part").sortWithinPartitions("file_name", "part", "offset").mapInArrow(stage, _PIECE)
+    pieces.write.parquet(f"{staging}/manifest")
+    publish(spark.read.parquet(f"{staging}/manifest"), str(tmp_path), staging, "avro", "none")
+    meta, blocks = read_container(contents(tmp_path)["f.avro"])
+    assert sum(n for n, _ in blocks) == 100
+    assert b"".join(zlib.decompress(b, wbits=-15) for _, b in blocks) == b"\x02x" * 100
+
+
+def test_avro_write_needs_its_package(records, tmp_path):
+    with pytest.raises(Exception, match="(?i)avro"):
+        write_files(group_records(records, CHANGELOG), str(tmp_path), "avro")
+
+
+@pytest.mark.parametrize("n", [0, 1, -1, 63, 64, -65, 2**40])
+def test_varint(n):
+    data = avro.varint(n)
+    value = sum((b & 0x7F) << (7 * i) for i, b in enumerate(data))
+    assert (value >> 1) ^ -(value & 1) == n
