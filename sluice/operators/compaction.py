@@ -28,9 +28,12 @@ def compact_records(
     """
     if not check_grouping(template).startswith("key"):
         raise ValueError(f"{template!r} is not a key-based name")
-    name = render(
-        prefix + template,
-        record_bindings(topic=F.col("topic"), partition=F.col("partition"), key=F.col("key")),
+    name = F.concat(
+        F.lit(prefix),
+        render(
+            template,
+            record_bindings(topic=F.col("topic"), partition=F.col("partition"), key=F.col("key")),
+        ),
     )
     flush = [c for c in ("batch_id",) if c in records.columns]
     group = ["file_name"] if across_flushes else [*flush, "file_name"]

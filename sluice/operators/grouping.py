@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -23,7 +23,20 @@ from sluice.functions.naming import (
 )
 from sluice.functions.timestamps import time_unit
 from sluice.operators.compaction import compact_records
-from sluice.operators.slices import SLICE, SLICE_WIDTH, attach, before, running, with_slice, within
+from sluice.operators.slices import (
+    SEED,
+    SLICE,
+    SLICE_WIDTH,
+    attach,
+    before,
+    carried,
+    local_rank,
+    running,
+    with_seeds,
+    with_slice,
+    within,
+    without_seeds,
+)
 
 _LOCAL = "_local_time"
 _STATE = "_state"
@@ -72,7 +85,7 @@ def group_records(
         started = _group_starts(records, by, slice_width)
 
     name = render(
-        prefix_literal(prefix) + template,
+        template,
         record_bindings(
             topic=F.col("topic"),
             partition=F.col("partition"),
@@ -81,7 +94,7 @@ def group_records(
             local=F.col(_LOCAL),
         ),
     )
-    return started.withColumn("file_name", name).drop("_key_string", _LOCAL, "_rendered_time")
+    return started.withColumn("file_name", F.concat(F.lit(prefix), name)).drop("_key_string", _LOCAL, "_rendered_time")
 
 
 def is_placed(template: str, *, max_records: int = 0, schema_rotation: bool = False) -> bool:
@@ -94,12 +107,6 @@ def is_placed(template: str, *, max_records: int = 0, schema_rotation: bool = Fa
     return mode.startswith("key") or bool(max_records) or schema_rotation
 
 
-def prefix_literal(prefix: str) -> str:
-    if "{{" in prefix:
-        raise ValueError("the static prefix takes no variables")
-    return prefix
-
-
 def _require_schemas(records: DataFrame) -> DataFrame:
     """Rotation by schema needs a key schema and a value schema on every record."""
     known = F.col("key_schema_id").isNotNull() & F.col("value_schema_id").isNotNull()
@@ -120,16 +127,41 @@ def _group_starts(records: DataFrame, by: Sequence[str], width: int) -> DataFram
     return attach(sliced, starts, by).drop(SLICE)
 
 
-def _changed(by: Sequence[str]):
-    """True on a record whose state differs from the one before it in its slice."""
-    previous = F.lag(_STATE).over(within(by, "offset"))
-    return F.coalesce(previous != F.col(_STATE), F.lit(False))
+def _differs(window) -> Column:
+    """True where the state is not that of the row before, seeds included."""
+    previous = F.lag(_STATE).over(window)
+    return previous.isNull() | (previous != F.col(_STATE))
 
 
-def _edge(by: Sequence[str]):
-    """True on a slice that starts with a state its predecessor did not end with."""
-    previous = F.lag("_last_state").over(W.partitionBy(*by).orderBy(SLICE))
-    return previous.isNull() | (previous != F.col("_first_state"))
+def _state_per_slice(marked: DataFrame, by: Sequence[str], position: str) -> DataFrame:
+    """Per slice: records, states at its ends, and where the state last changed in it."""
+    inside = F.col("_change") & F.col("_follows")
+    return marked.groupBy(*by, SLICE).agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.min("offset").alias("_first"),
+        F.min_by(_STATE, "offset").alias("_first_state"),
+        F.max_by(_STATE, "offset").alias("_last_state"),
+        F.max(F.when(inside, F.col(position))).alias("_last_change"),
+    )
+
+
+def _mark_changes(sliced: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Marks changes of state inside slices; the first row of a slice follows nothing."""
+    window = within(by, "offset")
+    return (
+        sliced.withColumn("_rank", F.row_number().over(window))
+        .withColumn("_change", _differs(window))
+        .withColumn("_follows", F.col("_rank") > 1)
+    )
+
+
+def _with_edges(per_slice: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Adds the state before each slice and whether the slice starts with another."""
+    earlier = F.lag("_last_state").over(W.partitionBy(*by).orderBy(SLICE))
+    return per_slice.withColumn("_state_before", earlier).withColumn(
+        "_edge",
+        F.col("_state_before").isNull() | (F.col("_state_before") != F.col("_first_state")),
+    )
 
 
 def _run_starts(
@@ -137,33 +169,27 @@ def _run_starts(
 ) -> DataFrame:
     """Unlimited files that start anew whenever the state changes."""
     sliced = with_slice(records, "offset", width).withColumn(_STATE, F.struct(*state))
-    marked = sliced.withColumn("_change", _changed(by))
-    per_slice = (
-        marked.groupBy(*by, SLICE)
-        .agg(
-            F.min("offset").alias("_first"),
-            F.min_by(_STATE, "offset").alias("_first_state"),
-            F.max_by(_STATE, "offset").alias("_last_state"),
-            F.max(F.when(F.col("_change"), F.col("offset"))).alias("_last_change"),
-        )
-        .withColumn("_edge_start", F.when(_edge(by), F.col("_first")))
-        .withColumn("_latest", F.coalesce("_last_change", "_edge_start"))
-        .select(
-            *by,
-            SLICE,
-            F.coalesce("_edge_start", F.max("_latest").over(before(by))).alias("_entry"),
-        )
+    narrow = sliced.select(*by, SLICE, "offset", _STATE)
+    per_slice = _with_edges(_state_per_slice(_mark_changes(narrow, by), by, "offset"), by)
+    latest = F.coalesce("_last_change", F.when(F.col("_edge"), F.col("_first")))
+    seeds = per_slice.withColumn("_latest", latest).select(
+        *by,
+        SLICE,
+        F.col("_state_before").alias(_STATE),
+        F.max("_latest").over(before(by)).alias("_entry"),
     )
-    change = F.when(F.col("_change"), F.col("offset"))
-    return (
-        attach(sliced, per_slice, by)
-        .withColumn("_change", _changed(by))
+    change = F.when(F.col(SEED).isNull() & F.col("_change"), F.col("offset"))
+    started = (
+        with_seeds(sliced, seeds)
+        .withColumn("_change", _differs(within(by, "offset")))
         .withColumn(
             "start_offset",
-            F.coalesce(F.max(change).over(running(by, "offset")), F.col("_entry")),
+            F.coalesce(
+                F.max(change).over(running(by, "offset")), carried("_entry", by, "offset")
+            ),
         )
-        .drop(SLICE, _STATE, "_change", "_entry")
     )
+    return without_seeds(started, _STATE, "_change", "_entry")
 
 
 def _limited_starts(
@@ -175,59 +201,56 @@ def _limited_starts(
         sliced = sliced.withColumn(_STATE, F.struct(*state))
     narrow = sliced.select(*by, SLICE, "offset", *([_STATE] if state else []))
 
-    runs = _run_entries(narrow, by, bool(state))
-    heads = (
-        _mark_heads(attach(narrow, runs, by), by, max_records, bool(state))
+    seeds = _run_seeds(narrow, by, bool(state))
+    last_heads = (
+        _mark_heads(with_seeds(narrow, seeds), by, max_records, bool(state))
         .groupBy(*by, SLICE)
         .agg(F.max(F.when(F.col("_head"), F.col("offset"))).alias("_last_head"))
         .select(*by, SLICE, F.max("_last_head").over(before(by)).alias("_entry"))
     )
-    carried = runs.join(heads, [*by, SLICE])
+    marked = _mark_heads(
+        with_seeds(sliced, seeds.join(last_heads, [*by, SLICE])), by, max_records, bool(state)
+    )
     head = F.when(F.col("_head"), F.col("offset"))
-    return (
-        _mark_heads(attach(sliced, carried, by), by, max_records, bool(state))
-        .withColumn(
-            "start_offset", F.coalesce(F.max(head).over(running(by, "offset")), F.col("_entry"))
-        )
-        .drop(SLICE, _STATE, "_base", "_run", "_head", "_entry")
+    started = marked.withColumn(
+        "start_offset",
+        F.coalesce(F.max(head).over(running(by, "offset")), carried("_entry", by, "offset")),
     )
+    return without_seeds(started, _STATE, "_base", "_run", "_head", "_entry")
 
 
-def _run_entries(narrow: DataFrame, by: Sequence[str], stateful: bool) -> DataFrame:
-    """Per slice: records before it, and the rank at which its first run began."""
-    base = F.coalesce(F.sum("_n").over(before(by)), F.lit(0))
+def _run_seeds(narrow: DataFrame, by: Sequence[str], stateful: bool) -> DataFrame:
+    """Per slice: records before it, the rank at which the run in progress began,
+    and the state it has."""
+    base = F.coalesce(F.sum("_n").over(before(by)), F.lit(0)).alias("_base")
     if not stateful:
         counts = narrow.groupBy(*by, SLICE).agg(F.count(F.lit(1)).alias("_n"))
-        return counts.select(*by, SLICE, base.alias("_base"), F.lit(1).cast("bigint").alias("_run"))
-    rank = F.row_number().over(within(by, "offset"))
+        return counts.select(*by, SLICE, base, F.lit(1).cast("bigint").alias("_run"))
+    per_slice = _with_edges(_state_per_slice(_mark_changes(narrow, by), by, "_rank"), by)
+    latest = F.coalesce(
+        F.col("_base") + F.col("_last_change"), F.when(F.col("_edge"), F.col("_base") + 1)
+    )
     return (
-        narrow.withColumn("_change", F.when(_changed(by), rank))
-        .groupBy(*by, SLICE)
-        .agg(
-            F.count(F.lit(1)).alias("_n"),
-            F.min_by(_STATE, "offset").alias("_first_state"),
-            F.max_by(_STATE, "offset").alias("_last_state"),
-            F.max("_change").alias("_last_change"),
-        )
-        .withColumn("_base", base)
-        .withColumn("_edge_run", F.when(_edge(by), F.col("_base") + 1))
-        .withColumn("_latest", F.coalesce(F.col("_base") + F.col("_last_change"), "_edge_run"))
+        per_slice.select("*", base)
+        .withColumn("_latest", latest)
         .select(
             *by,
             SLICE,
             "_base",
-            F.coalesce("_edge_run", F.max("_latest").over(before(by))).alias("_run"),
+            F.max("_latest").over(before(by)).alias("_run"),
+            F.col("_state_before").alias(_STATE),
         )
     )
 
 
 def _mark_heads(df: DataFrame, by: Sequence[str], max_records: int, stateful: bool) -> DataFrame:
     """Marks the record that opens each file."""
-    df = df.withColumn("_rank", F.col("_base") + F.row_number().over(within(by, "offset")))
-    run = F.col("_run")
+    rank = carried("_base", by, "offset") + local_rank(by, "offset")
+    run = carried("_run", by, "offset")
+    df = df.withColumn("_rank", rank)
     if stateful:
-        df = df.withColumn("_change", F.when(_changed(by), F.col("_rank")))
+        changed = F.col(SEED).isNull() & _differs(within(by, "offset"))
+        df = df.withColumn("_change", F.when(changed, F.col("_rank")))
         run = F.coalesce(F.max("_change").over(running(by, "offset")), run)
-    return df.withColumn("_head", F.pmod(F.col("_rank") - run, F.lit(max_records)) == 0).drop(
-        "_rank", "_change"
-    )
+    head = F.col(SEED).isNull() & (F.pmod(F.col("_rank") - run, F.lit(max_records)) == 0)
+    return df.withColumn("_head", head).drop("_rank", "_change")

@@ -5,7 +5,11 @@ Offsets are unique within a partition, so a stretch of ``width`` consecutive
 offsets, a *slice*, holds at most ``width`` records whatever the data looks
 like. Every running computation here is done in two steps: one row per slice
 is worked out first (a small table, windowed over the group), then each
-record is finished inside its own slice with what came before it.
+record is finished inside its own slice.
+
+What came before a slice reaches its records as a *seed*: a row of the small
+table that joins the records by union and sorts before them. So the records
+are shuffled and sorted once, however many slices there are.
 """
 
 from __future__ import annotations
@@ -18,6 +22,7 @@ from pyspark.sql import functions as F
 
 SLICE_WIDTH = 1 << 18
 SLICE = "_slice"
+SEED = "_seed"
 
 
 def with_slice(
@@ -44,7 +49,7 @@ def with_slice(
 
 def within(by: Sequence[str], position: str):
     """Window over one slice in order: bounded by the slice width."""
-    return W.partitionBy(*by, SLICE).orderBy(position)
+    return W.partitionBy(*by, SLICE).orderBy(F.col(position).asc_nulls_first())
 
 
 def before(by: Sequence[str]):
@@ -61,6 +66,28 @@ def attach(df: DataFrame, per_slice: DataFrame, by: Sequence[str]) -> DataFrame:
     return df.join(per_slice, [*by, SLICE])
 
 
+def with_seeds(df: DataFrame, seeds: DataFrame) -> DataFrame:
+    """The rows and their seeds; ``seeds`` has the group, the slice and what to carry.
+
+    A seed has no position and so comes first in ``within`` and ``running``.
+    """
+    return df.unionByName(seeds.withColumn(SEED, F.lit(True)), allowMissingColumns=True)
+
+
+def carried(name: str, by: Sequence[str], position: str) -> Column:
+    """A value of the seed of the row's slice."""
+    return F.first(name).over(running(by, position))
+
+
+def without_seeds(df: DataFrame, *drop: str) -> DataFrame:
+    return df.filter(F.col(SEED).isNull()).drop(SLICE, SEED, *drop)
+
+
+def local_rank(by: Sequence[str], position: str) -> Column:
+    """Rank in the slice, the seed not counted."""
+    return F.row_number().over(within(by, position)) - 1
+
+
 def row_numbers(
     df: DataFrame,
     by: Sequence[str],
@@ -79,11 +106,8 @@ def row_numbers(
     bases = counts.select(
         *by, SLICE, F.coalesce(F.sum("_n").over(before(by)), F.lit(0)).alias("_base")
     )
-    return (
-        attach(sliced, bases, by)
-        .withColumn(name, F.col("_base") + F.row_number().over(within(by, position)))
-        .drop(SLICE, "_base")
-    )
+    rank = carried("_base", by, position) + local_rank(by, position)
+    return without_seeds(with_seeds(sliced, bases).withColumn(name, rank), "_base")
 
 
 def running_totals(
@@ -95,25 +119,19 @@ def running_totals(
     width: int = SLICE_WIDTH,
 ) -> DataFrame:
     """Adds a running sum of each expression up to and including the row."""
-    sliced = with_slice(df, position, width)
-    sums = sliced.groupBy(*by, SLICE).agg(
-        *[F.sum(expr).alias(f"_sum_{name}") for name, expr in totals.items()]
+    sliced = with_slice(df, position, width).withColumns(
+        {f"_add_{name}": expr for name, expr in totals.items()}
+    )
+    added = [f"_add_{name}" for name in totals]
+    sums = sliced.groupBy(*by, SLICE).agg(*[F.sum(a).alias(a) for a in added])
+    # A seed adds all that came before its slice.
+    seeds = sums.select(
+        *by, SLICE, *[F.coalesce(F.sum(a).over(before(by)), F.lit(0)).alias(a) for a in added]
     )
-    bases = sums.select(
-        *by,
-        SLICE,
-        *[
-            F.coalesce(F.sum(f"_sum_{name}").over(before(by)), F.lit(0)).alias(f"_base_{name}")
-            for name in totals
-        ],
+    summed = with_seeds(sliced, seeds).withColumns(
+        {name: F.sum(f"_add_{name}").over(running(by, position)) for name in totals}
     )
-    out = attach(sliced, bases, by)
-    for name, expr in totals.items():
-        out = out.withColumn(
-            name,
-            F.col(f"_base_{name}") + F.coalesce(F.sum(expr).over(running(by, position)), F.lit(0)),
-        )
-    return out.drop(SLICE, *[f"_base_{name}" for name in totals])
+    return without_seeds(summed, *added)
 
 
 def cut_at_first(
