@@ -29,9 +29,9 @@ from sluice.operators.slices import (
     SLICE_WIDTH,
     attach,
     before,
-    carried,
-    local_rank,
+    rank,
     running,
+    seeded,
     with_seeds,
     with_slice,
     within,
@@ -97,14 +97,23 @@ def group_records(
     return started.withColumn("file_name", F.concat(F.lit(prefix), name)).drop("_key_string", _LOCAL, "_rendered_time")
 
 
-def is_placed(template: str, *, max_records: int = 0, schema_rotation: bool = False) -> bool:
-    """Whether ``group_records`` leaves each file as ordered stretches in its tasks.
+def placed_width(
+    template: str,
+    *,
+    max_records: int = 0,
+    schema_rotation: bool = False,
+    slice_width: int = SLICE_WIDTH,
+) -> int:
+    """Offsets per ordered stretch that ``group_records`` leaves in its tasks.
 
-    Groupings that end in a window over slices do, and so do key-based ones,
-    whose files hold one record. Unlimited ones end in a join and do not.
+    Groupings that end in a window over slices leave each slice of a file
+    whole and in order, and key-based ones have files of one record; the
+    writer need not shuffle them again. Unlimited ones end in a join and give
+    0, for no order at all.
     """
     mode = check_grouping(upgrade_template(template), max_records)
-    return mode.startswith("key") or bool(max_records) or schema_rotation
+    placed = mode.startswith("key") or max_records or schema_rotation
+    return slice_width if placed else 0
 
 
 def _require_schemas(records: DataFrame) -> DataFrame:
@@ -178,16 +187,11 @@ def _run_starts(
         F.col("_state_before").alias(_STATE),
         F.max("_latest").over(before(by)).alias("_entry"),
     )
-    change = F.when(F.col(SEED).isNull() & F.col("_change"), F.col("offset"))
+    start = seeded("_entry", F.when(F.col("_change"), F.col("offset")))
     started = (
         with_seeds(sliced, seeds)
         .withColumn("_change", _differs(within(by, "offset")))
-        .withColumn(
-            "start_offset",
-            F.coalesce(
-                F.max(change).over(running(by, "offset")), carried("_entry", by, "offset")
-            ),
-        )
+        .withColumn("start_offset", F.max(start).over(running(by, "offset")))
     )
     return without_seeds(started, _STATE, "_change", "_entry")
 
@@ -211,11 +215,8 @@ def _limited_starts(
     marked = _mark_heads(
         with_seeds(sliced, seeds.join(last_heads, [*by, SLICE])), by, max_records, bool(state)
     )
-    head = F.when(F.col("_head"), F.col("offset"))
-    started = marked.withColumn(
-        "start_offset",
-        F.coalesce(F.max(head).over(running(by, "offset")), carried("_entry", by, "offset")),
-    )
+    start = seeded("_entry", F.when(F.col("_head"), F.col("offset")))
+    started = marked.withColumn("start_offset", F.max(start).over(running(by, "offset")))
     return without_seeds(started, _STATE, "_base", "_run", "_head", "_entry")
 
 
@@ -225,7 +226,7 @@ def _run_seeds(narrow: DataFrame, by: Sequence[str], stateful: bool) -> DataFram
     base = F.coalesce(F.sum("_n").over(before(by)), F.lit(0)).alias("_base")
     if not stateful:
         counts = narrow.groupBy(*by, SLICE).agg(F.count(F.lit(1)).alias("_n"))
-        return counts.select(*by, SLICE, base, F.lit(1).cast("bigint").alias("_run"))
+        return counts.select(*by, SLICE, base)
     per_slice = _with_edges(_state_per_slice(_mark_changes(narrow, by), by, "_rank"), by)
     latest = F.coalesce(
         F.col("_base") + F.col("_last_change"), F.when(F.col("_edge"), F.col("_base") + 1)
@@ -245,12 +246,11 @@ def _run_seeds(narrow: DataFrame, by: Sequence[str], stateful: bool) -> DataFram
 
 def _mark_heads(df: DataFrame, by: Sequence[str], max_records: int, stateful: bool) -> DataFrame:
     """Marks the record that opens each file."""
-    rank = carried("_base", by, "offset") + local_rank(by, "offset")
-    run = carried("_run", by, "offset")
-    df = df.withColumn("_rank", rank)
+    df = df.withColumn("_rank", rank("_base", by, "offset"))
+    run: Column = F.lit(1)
     if stateful:
-        changed = F.col(SEED).isNull() & _differs(within(by, "offset"))
-        df = df.withColumn("_change", F.when(changed, F.col("_rank")))
-        run = F.coalesce(F.max("_change").over(running(by, "offset")), run)
+        df = df.withColumn("_change", _differs(within(by, "offset")))
+        began = seeded("_run", F.when(F.col("_change"), F.col("_rank")))
+        run = F.max(began).over(running(by, "offset"))
     head = F.col(SEED).isNull() & (F.pmod(F.col("_rank") - run, F.lit(max_records)) == 0)
     return df.withColumn("_head", head).drop("_rank", "_change")

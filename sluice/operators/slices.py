@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-SLICE_WIDTH = 1 << 18
+SLICE_WIDTH = 1 << 16
 SLICE = "_slice"
 SEED = "_seed"
 
@@ -74,18 +74,18 @@ def with_seeds(df: DataFrame, seeds: DataFrame) -> DataFrame:
     return df.unionByName(seeds.withColumn(SEED, F.lit(True)), allowMissingColumns=True)
 
 
-def carried(name: str, by: Sequence[str], position: str) -> Column:
-    """A value of the seed of the row's slice."""
-    return F.first(name).over(running(by, position))
+def seeded(name: str, own: Column) -> Column:
+    """The carried value on a seed, a row's own value on a row."""
+    return F.when(F.col(SEED).isNotNull(), F.col(name)).otherwise(own)
 
 
 def without_seeds(df: DataFrame, *drop: str) -> DataFrame:
     return df.filter(F.col(SEED).isNull()).drop(SLICE, SEED, *drop)
 
 
-def local_rank(by: Sequence[str], position: str) -> Column:
-    """Rank in the slice, the seed not counted."""
-    return F.row_number().over(within(by, position)) - 1
+def rank(base: str, by: Sequence[str], position: str) -> Column:
+    """1-based rank in the group, counting on from the seed's ``base``."""
+    return F.sum(seeded(base, F.lit(1).cast("bigint"))).over(running(by, position))
 
 
 def row_numbers(
@@ -106,8 +106,8 @@ def row_numbers(
     bases = counts.select(
         *by, SLICE, F.coalesce(F.sum("_n").over(before(by)), F.lit(0)).alias("_base")
     )
-    rank = carried("_base", by, position) + local_rank(by, position)
-    return without_seeds(with_seeds(sliced, bases).withColumn(name, rank), "_base")
+    numbered = with_seeds(sliced, bases).withColumn(name, rank("_base", by, position))
+    return without_seeds(numbered, "_base")
 
 
 def running_totals(

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluice.operators.grouping import group_records
+from sluice.operators.slices import SLICE_WIDTH
 from sluice.plans.catalogue import RECORDS, query, table
 from sluice.plans.formats import _B64_KEY, _B64_VALUE, _JSON_KEY, _K
 from sluice.plans.grouping import CHANGELOG, _starts
@@ -40,7 +41,7 @@ def write_jsonl_gzip(spark, sf_dir):
         "jsonl",
         fields=["key", "value", "offset"],
         compression="gzip",
-        presorted=True,
+        placed=SLICE_WIDTH,
     ).count()
     read = read_objects(spark, path, "jsonl", compression="gzip", on_error="fail")
     return read.select("object_key", "value")
@@ -56,7 +57,7 @@ def write_csv(spark, sf_dir):
 
     grouped = group_records(_one_flush(spark, sf_dir), CHANGELOG + ".csv", max_records=1000)
     path = scratch_path(spark, "csv")
-    write_files(grouped, path, "csv", fields=["key", "value", "offset"], presorted=True).count()
+    write_files(grouped, path, "csv", fields=["key", "value", "offset"], placed=SLICE_WIDTH).count()
     return read_lines(spark, path).select("object_key", "line")
 
 
@@ -71,7 +72,7 @@ def write_parquet(spark, sf_dir):
     )
     path = scratch_path(spark, "parquet")
     fields = ["key", "value", "offset", "timestamp"]
-    write_files(grouped, path, "parquet", fields=fields, compression="zstd", presorted=True).count()
+    write_files(grouped, path, "parquet", fields=fields, compression="zstd", placed=SLICE_WIDTH).count()
     return read_objects(spark, path, "parquet")
 
 

@@ -21,6 +21,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf: s
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # A slice fits: windows need not copy their rows to a spillable buffer.
+        .config("spark.sql.windowExec.buffer.in.memory.threshold", str(1 << 16))
     )
     for name, value in conf.items():
         builder = builder.config(name.replace("__", "."), value)

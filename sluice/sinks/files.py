@@ -30,13 +30,14 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from sluice.functions.formats import csv_line, envelope_columns, json_line, unwrap
-from sluice.operators.slices import SLICE_WIDTH
 from sluice.session import ship_package
 from sluice.sinks import store
 from sluice.sinks.codecs import CODECS, Encoder, encode
 
 OUTPUT_FORMATS = ("avro", "csv", "json", "jsonl", "parquet")
 STAGING = "_staging"
+# Offsets per part of a file that is shuffled for writing.
+PART_OFFSETS = 1 << 18
 # What stands before, between and after the records of a file.
 FRAMES = {
     "csv": (b"", b"\n", b""),
@@ -59,8 +60,8 @@ def write_files(
     compression: str = "none",
     value_encoding: str = "base64",
     map_keys: Sequence[str] = (),
-    part_offsets: int = SLICE_WIDTH,
-    presorted: bool = False,
+    part_offsets: int = PART_OFFSETS,
+    placed: int = 0,
     options: dict[str, str] | None = None,
 ) -> DataFrame:
     """Writes every file of ``grouped`` below ``path``; returns what was written.
@@ -70,10 +71,10 @@ def write_files(
     name with one file per part, since Parquet files cannot be joined
     bytewise.
 
-    ``presorted`` says that the tasks of ``grouped`` already hold stretches
-    of each file in offset order, as ``grouping.is_placed`` tells of a
-    grouping; the records are then not shuffled again. An order that does not
-    hold fails the job.
+    ``placed`` says that the tasks of ``grouped`` already hold every stretch
+    of so many offsets of a file in order, as ``grouping.placed_width`` tells
+    of a grouping; the records are then not shuffled again. An order that
+    does not hold fails the job.
     """
     if fmt not in OUTPUT_FORMATS:
         raise ValueError(f"output format must be one of {OUTPUT_FORMATS}, got {fmt!r}")
@@ -82,7 +83,7 @@ def write_files(
     spark = grouped.sparkSession
     ship_package(spark)
     staging = f"{path.rstrip('/')}/{STAGING}/{uuid.uuid4().hex}"
-    part = F.call_function("div", F.col("offset"), F.lit(part_offsets)).alias("part")
+    part = F.call_function("div", F.col("offset"), F.lit(placed or part_offsets)).alias("part")
     place = ["file_name", "part", "offset"]
 
     if fmt in FRAMES:
@@ -105,7 +106,7 @@ def write_files(
         rows, schema = avro_rows(grouped, part, fields, envelope, map_keys)
         stage = avro_stage(staging, schema, compression, options or {})
 
-    if not presorted:
+    if not placed:
         rows = rows.repartition("file_name", "part").sortWithinPartitions(*place)
     pieces = rows.mapInArrow(stage, _PIECE)
     pieces.write.mode("overwrite").parquet(f"{staging}/manifest")

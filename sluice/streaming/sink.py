@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from sluice.operators.grouping import group_records, is_placed
+from sluice.operators.grouping import group_records, placed_width
 from sluice.sinks.files import write_files
 
 # How often buffers are written, and how much is read per write.
@@ -89,5 +89,5 @@ def flush_batch(
         prefix=prefix,
         schema_rotation=rotation,
     )
-    placed = is_placed(template, max_records=max_records, schema_rotation=rotation)
-    return write_files(grouped, path, fmt, presorted=placed, **options)
+    placed = placed_width(template, max_records=max_records, schema_rotation=rotation)
+    return write_files(grouped, path, fmt, placed=placed, **options)

@@ -13,7 +13,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from sluice.operators.grouping import group_records, is_placed
+from sluice.operators.grouping import group_records, placed_width
 from sluice.sinks import avro, store
 from sluice.sinks.files import publish, write_files
 from sluice.sources.streams import decompressed
@@ -74,18 +74,19 @@ def test_text_files(records, tmp_path, fmt, compression, parts):
 
 
 @pytest.mark.parametrize("limit", [1, 4, 17])
-def test_presorted_writes_the_same(records, tmp_path, limit):
+def test_placed_records_write_the_same(records, tmp_path, limit):
     grouped = group_records(records, CHANGELOG, max_records=limit, slice_width=8)
-    assert is_placed(CHANGELOG, max_records=limit) and not is_placed(CHANGELOG)
-    for way in (False, True):
-        write_files(grouped, f"{tmp_path}/{way}", "json", fields=["offset"], presorted=way, part_offsets=8)
+    width = placed_width(CHANGELOG, max_records=limit, slice_width=8)
+    assert width == 8 and placed_width(CHANGELOG) == 0
+    for way in (0, width):
+        write_files(grouped, f"{tmp_path}/{way}", "json", fields=["offset"], placed=way, part_offsets=9)
         assert contents(f"{tmp_path}/{way}") == {n: render("json", o) for n, o in expected(limit).items()}
 
 
 def test_order_that_does_not_hold_fails(records, tmp_path):
     falling = group_records(records, CHANGELOG).coalesce(1).sortWithinPartitions("file_name", F.desc("offset"))
     with pytest.raises(PySparkException, match="do not rise"):
-        write_files(falling, str(tmp_path), "csv", fields=["offset"], presorted=True)
+        write_files(falling, str(tmp_path), "csv", fields=["offset"], placed=1 << 16)
     assert contents(tmp_path) == {}
 
 
@@ -101,7 +102,7 @@ def test_overlapping_pieces_fail(spark, tmp_path):
 def test_same_name_is_replaced(records, tmp_path):
     for value in ("one", "two"):
         grouped = group_records(records.withColumn("value", F.lit(value)), "{{key}}")
-        write_files(grouped, str(tmp_path), "csv", fields=["value"], value_encoding="none", presorted=True)
+        write_files(grouped, str(tmp_path), "csv", fields=["value"], value_encoding="none", placed=1 << 16)
         assert contents(tmp_path) == {f"k{i}": value.encode() for i in range(3)}
 
 
@@ -139,7 +140,7 @@ def test_names_with_folders(records, tmp_path):
 @pytest.mark.parametrize("compression, codec", [("none", "UNCOMPRESSED"), ("gzip", "GZIP"), ("snappy", "SNAPPY"), ("zstd", "ZSTD")])
 def test_parquet(records, tmp_path, compression, codec):
     grouped = group_records(records, CHANGELOG, schema_rotation=True)
-    write_files(grouped, str(tmp_path), "parquet", fields=["key", "value", "offset"], compression=compression, presorted=True)
+    write_files(grouped, str(tmp_path), "parquet", fields=["key", "value", "offset"], compression=compression, placed=1 << 16)
     files = contents(tmp_path)
     assert set(files) == {"t-0-0", "t-0-30", "t-1-5", "t-1-31"}
     table = pq.read_table(io.BytesIO(files["t-0-30"]))
