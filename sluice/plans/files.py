@@ -7,13 +7,14 @@ from pyspark.sql import functions as F
 
 from sluice.operators.grouping import group_records
 from sluice.operators.slices import SLICE_WIDTH
-from sluice.plans.catalogue import RECORDS, query, table
+from sluice.plans.catalogue import DIALOGUE, RECORDS, query, table
 from sluice.plans.formats import _B64_KEY, _B64_VALUE, _JSON_KEY, _K
 from sluice.plans.grouping import CHANGELOG, _starts
 from sluice.session import scratch_path
 from sluice.sinks.files import write_files
-from sluice.sources.objects import read_objects
-from sluice.sources.records import event_records
+from sluice.sources.connector import read_records
+from sluice.sources.objects import read_lines, read_objects
+from sluice.sources.records import conversation_records, event_records
 from sluice.streaming.sink import write_stream
 from sluice.streaming.source import publish_stream, read_stream
 
@@ -53,8 +54,6 @@ def write_jsonl_gzip(spark, sf_dir):
            {_B64_KEY} || ',' || {_B64_VALUE} || ',' || "offset" AS line FROM files"""
 )
 def write_csv(spark, sf_dir):
-    from sluice.sources.objects import read_lines
-
     grouped = group_records(_one_flush(spark, sf_dir), CHANGELOG + ".csv", max_records=1000)
     path = scratch_path(spark, "csv")
     write_files(grouped, path, "csv", fields=["key", "value", "offset"], placed=SLICE_WIDTH).count()
@@ -83,8 +82,6 @@ def write_parquet(spark, sf_dir):
 )
 def stream_flush_files(spark, sf_dir):
     """The table as a stream through the sink: one micro-batch, one flush."""
-    from sluice.sources.objects import read_lines
-
     schema = table(spark, sf_dir, "events").schema
     events = (
         spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
@@ -119,3 +116,132 @@ def stream_read_objects(spark, sf_dir):
         records, scratch_path(spark, "checkpoint"), path=out, available_now=True
     ).awaitTermination()
     return spark.read.parquet(out).select("topic", "partition", "value")
+
+
+@query(
+    f"""WITH {DIALOGUE}, ranked AS (
+          SELECT *, row_number() OVER (PARTITION BY key
+                      ORDER BY topic DESC, "partition" DESC, "offset" DESC) AS rn FROM dialogue)
+        SELECT 'k' || key AS object_key,
+               '{{"value":' || to_json(value) || ',"offset":' || "offset" || '}}' AS value
+        FROM ranked WHERE rn = 1"""
+)
+def stream_compact_by_key(spark, sf_dir):
+    """The last record of each key, one object each; the table is one flush."""
+    schema = table(spark, sf_dir, "conversations").schema
+    turns = spark.readStream.schema(schema).option("pathGlobFilter", "conversations.parquet")
+    path = scratch_path(spark, "compact")
+    write_stream(
+        conversation_records(turns.parquet(sf_dir)).drop("batch_id"),
+        path,
+        "k{{key}}",
+        scratch_path(spark, "checkpoint"),
+        fmt="jsonl",
+        fields=["value", "offset"],
+        available_now=True,
+    ).awaitTermination()
+    return read_objects(spark, path, "jsonl", on_error="fail")
+
+
+@query(
+    """WITH files AS (SELECT source || '/' || lang AS object_key,
+             hex(encode(string_agg(text, chr(10) ORDER BY doc_id))) AS h FROM documents GROUP BY ALL),
+         numbered AS (SELECT object_key, h, unnest(range(1, CAST(ceil(length(h) / 16384.0) AS BIGINT) + 1))
+                        AS n FROM files)
+       SELECT object_key, n AS record_no, length(substring(h, (n - 1) * 16384 + 1, 16384)) // 2 AS size,
+              md5(substring(h, (n - 1) * 16384 + 1, 16384)) AS digest FROM numbered"""
+)
+def read_bytes_files(spark, sf_dir):
+    """Documents written to one object per source and language, read as chunks."""
+    documents = table(spark, sf_dir, "documents").select(
+        F.concat_ws("/", "source", "lang").alias("file_name"),
+        F.col("doc_id").alias("offset"),
+        F.col("text").alias("value"),
+    )
+    path = scratch_path(spark, "bytes")
+    write_files(documents, path, "csv", value_encoding="none").count()
+    return read_objects(spark, path, "bytes", chunk_size=8192).select(
+        "object_key",
+        "record_no",
+        F.octet_length("value").cast("bigint").alias("size"),
+        F.md5(F.hex("value").cast("binary")).alias("digest"),
+    )
+
+
+_JSON_FILES = (
+    _starts(_ALL, limit=1500)
+    + f""", named AS (SELECT *, topic || '/' || "partition" || '/' || start_offset AS object_key,
+             '{{"key":' || {_JSON_KEY} || ',"offset":' || "offset" || '}}' AS line FROM files)"""
+)
+
+
+def _json_objects(spark, sf_dir, purpose: str) -> str:
+    path = scratch_path(spark, purpose)
+    template = "{{topic}}/{{partition}}/{{start_offset}}"
+    grouped = group_records(_one_flush(spark, sf_dir), template, max_records=1500)
+    write_files(
+        grouped, path, "jsonl", fields=["key", "offset"], compression="zstd", placed=SLICE_WIDTH
+    ).count()
+    return path
+
+
+@query(
+    _JSON_FILES
+    + """ SELECT 'target' AS topic, "partition", object_key AS key_text, line AS value, start_offset
+          FROM named WHERE starts_with(object_key, 'view/') AND object_key > 'view/1'
+            AND "partition" % 2 = 1"""
+)
+def read_source_records(spark, sf_dir):
+    """One task's share of the objects after a start key, read to a given topic."""
+    records = read_records(
+        spark,
+        _json_objects(spark, sf_dir, "source"),
+        "{{topic}}/{{partition}}/{{start_offset}}",
+        "jsonl",
+        target_topic="target",
+        prefix="view/",
+        after="view/1",
+        tasks=2,
+        task=1,
+        distribution="partition",
+        compression="zstd",
+    )
+    return records.select(
+        "topic", "partition", F.decode("key", "UTF-8").alias("key_text"), "value", "start_offset"
+    )
+
+
+@query(
+    _JSON_FILES
+    + """ SELECT object_key, line AS value FROM (
+            SELECT *, row_number() OVER (PARTITION BY object_key ORDER BY "offset") AS n,
+                   count(*) OVER (PARTITION BY object_key) // 3 AS done FROM named)
+          WHERE n > done"""
+)
+def resume_files(spark, sf_dir):
+    """Objects of which the first third has been read before."""
+    path = _json_objects(spark, sf_dir, "resume")
+    third = F.call_function("div", F.count(F.lit(1)), F.lit(3))
+    progress = (
+        read_lines(spark, path, compression="zstd")
+        .groupBy("object_key")
+        .agg(third.alias("record_count"))
+    )
+    return read_objects(spark, path, "jsonl", compression="zstd", progress=progress)
+
+
+@query(
+    _starts(_ALL, limit=800)
+    + f""" SELECT {_FILE} AS object_key, '[' || chr(10) || string_agg('{{"offset":' || "offset" || '}}',
+             ',' || chr(10) ORDER BY "offset") || chr(10) || ']' AS content FROM files GROUP BY ALL"""
+)
+def write_json_snappy(spark, sf_dir):
+    """JSON array files, framed snappy; the record limit bounds each text."""
+    grouped = group_records(_one_flush(spark, sf_dir), CHANGELOG, max_records=800)
+    path = scratch_path(spark, "json")
+    write_files(
+        grouped, path, "json", fields=["offset"], compression="snappy", placed=SLICE_WIDTH
+    ).count()
+    lines = read_lines(spark, path, compression="snappy")
+    ordered = F.array_sort(F.collect_list(F.struct("block", "row", "line")))
+    return lines.groupBy("object_key").agg(F.array_join(ordered["line"], "\n").alias("content"))
