@@ -323,10 +323,10 @@ def publish(
                 )
             ),
         )
-        _run(laid_out.select("piece", "target"), _mover(path))
+        _run(laid_out.select("piece", "target"), _mover(path), "piece")
     else:
         singles = laid_out.filter("n_parts = 1")
-        _run(singles.select("piece", F.col("file_name").alias("target")), _mover(path))
+        _run(singles.select("piece", F.col("file_name").alias("target")), _mover(path), "piece")
         parts = laid_out.filter("n_parts > 1")
         if not parts.isEmpty():
             _assemble(parts, path, staging, between)
@@ -338,9 +338,16 @@ def publish(
     )
 
 
-def _run(rows: DataFrame, task) -> None:
-    """Runs a task over rows for its effect; one count comes back per partition."""
-    rows.mapInArrow(task, "n bigint").agg(F.sum("n")).collect()
+def _run(rows: DataFrame, task, by: str, order: str | None = None) -> None:
+    """Runs a task over rows for its effect; one count comes back per partition.
+
+    Rows are few bytes but much work, so they are spread over the cluster by
+    a fixed number of partitions, which Spark does not merge by size.
+    """
+    spread = rows.repartition(rows.sparkSession.sparkContext.defaultParallelism * 4, by)
+    if order:
+        spread = spread.sortWithinPartitions(by, order)
+    spread.mapInArrow(task, "n bigint").agg(F.sum("n")).collect()
 
 
 def _counted(batches, act) -> Iterator[pa.RecordBatch]:
@@ -379,8 +386,8 @@ def _assemble(parts: DataFrame, path: str, staging: str, between: bytes) -> None
             ),
         )
 
-    _run(parts.repartition("piece"), place)
-    _run(parts.filter("number = 1").select("file_name"), finish)
+    _run(parts, place, "piece")
+    _run(parts.filter("number = 1").select("file_name"), finish, "file_name")
 
 
 def _copy_into_place(row: dict, staging: str, between: bytes) -> None:
@@ -423,7 +430,7 @@ def _join_streams(parts: DataFrame, path: str, between: bytes) -> None:
                 n += 1
         yield pa.RecordBatch.from_pydict({"n": pa.array([n], pa.int64())})
 
-    _run(parts.repartition("file_name").sortWithinPartitions("file_name", "number"), task)
+    _run(parts, task, "file_name", "number")
 
 
 def _copy(source, out, length: int) -> None:

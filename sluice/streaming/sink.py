@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from sluice.functions.naming import default_template
 from sluice.operators.grouping import group_records, placed_width
 from sluice.sinks.files import write_files
 
@@ -25,7 +26,7 @@ FLUSH_BYTES = 60 * 1024 * 1024
 def write_stream(
     records: DataFrame,
     path: str,
-    template: str,
+    template: str | None,
     checkpoint: str,
     *,
     fmt: str = "csv",
@@ -37,12 +38,21 @@ def write_stream(
     compression: str = "none",
     interval: str = FLUSH_INTERVAL,
     available_now: bool = False,
+    persist: bool = False,
     on_flush: Callable[[DataFrame, int], None] | None = None,
     **options,
 ) -> StreamingQuery:
-    """Starts the sink. ``on_flush`` gets each flush's manifest."""
+    """Starts the sink. ``on_flush`` gets each flush's manifest.
+
+    Grouping reads a batch more than once, mostly a few narrow columns.
+    ``persist`` keeps it for the flush, for sources where reading again is
+    dear, such as a log.
+    """
+    template = template or default_template(fmt, compression)
 
     def flush(batch: DataFrame, batch_id: int) -> None:
+        if persist:
+            batch = batch.persist()
         written = flush_batch(
             batch,
             batch_id,
@@ -59,6 +69,8 @@ def write_stream(
         )
         if on_flush:
             on_flush(written, batch_id)
+        if persist:
+            batch.unpersist()
 
     writer = records.writeStream.foreachBatch(flush).option("checkpointLocation", checkpoint)
     trigger = {"availableNow": True} if available_now else {"processingTime": interval}

@@ -54,7 +54,7 @@ def test_one_batch_is_one_flush_and_restarts_go_on(spark, tmp_path):
 
 def test_limited_stream(spark, tmp_path):
     feed(spark, f"{tmp_path}/in", "a", range(0, 7))
-    run(spark, tmp_path, max_records=2)
+    run(spark, tmp_path, template=None, max_records=2, persist=True)
     assert set(contents(f"{tmp_path}/out")) == {"t-0-0", "t-0-4", "t-1-1", "t-1-5"}
 
 
