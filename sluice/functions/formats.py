@@ -143,11 +143,14 @@ def envelope_columns(df: DataFrame, fields: Sequence[str], *keep: str) -> DataFr
     return df.select(*keep, *[column(f) for f in check_fields(fields)])
 
 
-def unwrap(df: DataFrame, field: str, *keep: str, map_keys: Sequence[str] = ()) -> DataFrame:
+def unwrap(
+    df: DataFrame, field: str, *keep: str, map_keys: Sequence[str] = (), strict: bool = True
+) -> DataFrame:
     """One field without its envelope.
 
     A struct becomes its own columns, a map one column per key in
-    ``map_keys``, anything else one column named after the field.
+    ``map_keys``, anything else one column named after the field. A record
+    with a key that has no column fails, unless ``strict`` is off.
     """
     check_fields([field], envelope=False)
     source = "timestamp_ms" if field == "timestamp" else field
@@ -155,7 +158,16 @@ def unwrap(df: DataFrame, field: str, *keep: str, map_keys: Sequence[str] = ())
     if isinstance(kind, T.StructType):
         return df.select(*keep, f"{source}.*")
     if isinstance(kind, T.MapType) and field == "value":
-        return df.select(*keep, *[F.col(source)[k].alias(k) for k in map_keys])
+        unknown = unknown_keys(df, map_keys)
+        error = F.raise_error(F.concat(F.lit("no column for "), F.array_join(unknown, ", ")))
+
+        def column(key: str) -> Column:
+            found = F.col(source)[key]
+            if strict:
+                found = F.when(F.size(unknown) > 0, error.cast(kind.valueType)).otherwise(found)
+            return found.alias(key)
+
+        return df.select(*keep, *[column(k) for k in map_keys])
     return df.select(*keep, F.col(source).alias(field))
 
 
@@ -173,4 +185,5 @@ def all_record_keys(df: DataFrame) -> list[str]:
 
 def unknown_keys(df: DataFrame, known: Sequence[str]) -> Column:
     """Keys of a record's map that the file's columns do not have."""
-    return F.array_except(F.map_keys("value"), F.array(*[F.lit(k) for k in known]))
+    keys = F.coalesce(F.map_keys("value"), F.array())
+    return F.array_except(keys, F.array(*[F.lit(k) for k in known]))

@@ -10,9 +10,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from sluice.functions.naming import default_template
 from sluice.operators.grouping import group_records, placed_width
@@ -23,6 +24,26 @@ FLUSH_INTERVAL = "10 seconds"
 FLUSH_BYTES = 60 * 1024 * 1024
 
 
+def record_stream(
+    spark: SparkSession,
+    path: str,
+    schema: StructType | str,
+    fmt: str = "parquet",
+    *,
+    bytes_per_flush: int = FLUSH_BYTES,
+    **options: str,
+) -> DataFrame:
+    """Records from a growing folder, so many bytes of files to a flush."""
+    return (
+        spark.readStream.format(fmt)
+        .schema(schema)
+        .option("recursiveFileLookup", "true")
+        .option("maxBytesPerTrigger", bytes_per_flush)
+        .options(**options)
+        .load(path)
+    )
+
+
 def write_stream(
     records: DataFrame,
     path: str,

@@ -131,8 +131,11 @@ def test_unwrap(spark, records):
     maps = spark.sql("select * from values (0L, map('a', 1)), (1L, map('b', 2, 'a', 3)) t(offset, value)")
     first = fmt.first_record_keys(maps, "offset")
     assert first == ["a"]
-    assert [r.asDict() for r in fmt.unwrap(maps, "value", "offset", map_keys=first).orderBy("offset").collect()] == [
-        {"offset": 0, "a": 1}, {"offset": 1, "a": 3},
-    ]
+    loose = fmt.unwrap(maps, "value", "offset", map_keys=first, strict=False).orderBy("offset")
+    assert [r.asDict() for r in loose.collect()] == [{"offset": 0, "a": 1}, {"offset": 1, "a": 3}]
+    with pytest.raises(PySparkException, match="no column for b"):
+        fmt.unwrap(maps, "value", map_keys=first).collect()
+    whole = fmt.unwrap(maps, "value", "offset", map_keys=["a", "b"]).orderBy("offset")
+    assert [tuple(r) for r in whole.collect()] == [(0, 1, None), (1, 3, 2)]
     assert lines(maps, fmt.unknown_keys(maps, first)) == [[], ["b"]]
     assert fmt.all_record_keys(maps) == ["a", "b"]

@@ -13,7 +13,7 @@ from sluice.functions.naming import match_source_name
 from sluice.sinks.codecs import encode
 from sluice.sources import objects as obj
 from sluice.sources import progress as prog
-from sluice.sources.records import conversation_records, log_records
+from sluice.sources.records import conversation_records, log_records, read_log
 from sluice.sources.streams import decompressed
 
 
@@ -240,6 +240,11 @@ def test_log_records(spark):
     assert log_records(log.withColumn("headers", F.lit(None).cast("array<struct<key:string,value:binary>>"))).first()["headers"] == []
 
 
+def test_a_log_needs_its_package(spark):
+    with pytest.raises(PySparkException, match="(?i)kafka"):
+        read_log(spark, "host:1", "t")
+
+
 def test_conversation_offsets_rise_with_turns(spark, sf_dir):
     records = conversation_records(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
     assert records.select("topic", "partition", "offset").distinct().count() == records.count()

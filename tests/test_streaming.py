@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sluice.sinks.codecs import encode
 from sluice.sources.objects import read_lines
-from sluice.streaming.sink import write_stream
+from sluice.streaming.sink import record_stream, write_stream
 from sluice.streaming.source import publish_stream, read_stream
 from test_sinks import contents
 
@@ -92,6 +92,21 @@ def test_a_failing_flush_is_not_committed(spark, tmp_path):
     assert read_lines(spark, f"{tmp_path}/out").count() == 4
 
 
+def test_flushes_are_capped_by_bytes(spark, tmp_path):
+    for i in range(4):
+        feed(spark, f"{tmp_path}/in", str(i), range(10 * i, 10 * i + 10))
+    flushes = []
+    write_stream(
+        record_stream(spark, f"{tmp_path}/in", SCHEMA, bytes_per_flush=1),
+        f"{tmp_path}/out",
+        CHANGELOG,
+        f"{tmp_path}/cp",
+        available_now=True,
+        on_flush=lambda m, i: flushes.append(m.agg(F.sum("n_records")).first()[0]),
+    ).awaitTermination()
+    assert flushes == [10, 10, 10, 10]
+
+
 def put(root, name, data):
     os.makedirs(os.path.dirname(f"{root}/{name}"), exist_ok=True)
     with open(f"{root}/{name}", "wb") as out:
