@@ -206,15 +206,16 @@ def _limited_starts(
     narrow = sliced.select(*by, SLICE, "offset", *([_STATE] if state else []))
 
     seeds = _run_seeds(narrow, by, bool(state))
-    last_heads = (
+    carry = [c for c in seeds.columns if c not in (*by, SLICE)]
+    # What a seed carries is handed on beside the last head of its slice.
+    handed_on = [F.max(F.when(F.col(SEED), F.col(c))).alias(c) for c in carry]
+    seeds = (
         _mark_heads(with_seeds(narrow, seeds), by, max_records, bool(state))
         .groupBy(*by, SLICE)
-        .agg(F.max(F.when(F.col("_head"), F.col("offset"))).alias("_last_head"))
-        .select(*by, SLICE, F.max("_last_head").over(before(by)).alias("_entry"))
-    )
-    marked = _mark_heads(
-        with_seeds(sliced, seeds.join(last_heads, [*by, SLICE])), by, max_records, bool(state)
+        .agg(F.max(F.when(F.col("_head"), F.col("offset"))).alias("_last_head"), *handed_on)
+        .select(*by, SLICE, *carry, F.max("_last_head").over(before(by)).alias("_entry"))
     )
+    marked = _mark_heads(with_seeds(sliced, seeds), by, max_records, bool(state))
     start = seeded("_entry", F.when(F.col("_head"), F.col("offset")))
     started = marked.withColumn("start_offset", F.max(start).over(running(by, "offset")))
     return without_seeds(started, _STATE, "_base", "_run", "_head", "_entry")

@@ -61,7 +61,7 @@ def read_records(
     distribution: str = "object_hash",
     compression: str = "none",
     chunk_size: int = DEFAULT_CHUNK,
-    on_error: str = "truncate",
+    on_error: str = "drop",
     progress: DataFrame | None = None,
 ) -> DataFrame:
     """Records of the matching objects below ``root``.

@@ -17,9 +17,10 @@ from sluice.operators.slices import SLICE_WIDTH, cut_at_first
 # Chunk size of the bytes format, and the formats there are.
 DEFAULT_CHUNK = 4096
 INPUT_FORMATS = ("avro", "bytes", "jsonl", "parquet")
-# Fixed value: characters that make a line blank (tab to return, the four
-# separators, and the Unicode spaces that may break a line).
-_BLANK = (
+# What is trimmed off a line, and the spaces beyond those that
+# make up a blank line (the Unicode spaces that may break a line).
+_TRIMMED = "".join(map(chr, range(0x21)))
+_WIDE_BLANK = (
     "^[\\x09-\\x0d\\x1c-\\x20\\u1680\\u2000-\\u2006\\u2008-\\u200a"
     "\\u2028\\u2029\\u205f\\u3000]*$"
 )
@@ -96,12 +97,15 @@ def list_objects(
 
 def java_trim(text: Column) -> Column:
     """Removes everything up to the space character from both ends."""
-    return F.regexp_replace(text, "^[\\x00-\\x20]+|[\\x00-\\x20]+$", "")
+    return F.btrim(text, F.lit(_TRIMMED))
 
 
 def clean_lines(lines: DataFrame, line: str = "line") -> DataFrame:
     """Drops blank lines and trims the others."""
-    return lines.filter(~F.col(line).rlike(_BLANK)).withColumn(line, java_trim(F.col(line)))
+    trimmed = lines.withColumn(line, java_trim(F.col(line)))
+    # Only a line that begins beyond ASCII can still be blank; the rest skip the pattern.
+    wide_blank = (F.ascii(line) > 127) & F.col(line).rlike(_WIDE_BLANK)
+    return trimmed.filter((F.col(line) != "") & ~wide_blank)
 
 
 def is_bad_json(line: Column) -> Column:
@@ -111,7 +115,7 @@ def is_bad_json(line: Column) -> Column:
 def jsonl_records(
     lines: DataFrame,
     *,
-    on_error: str = "truncate",
+    on_error: str = "drop",
     by: tuple[str, ...] = ("object_key",),
     position: str = "position",
     slice_width: int = SLICE_WIDTH,
@@ -119,8 +123,9 @@ def jsonl_records(
 ) -> DataFrame:
     """Lines of JSON-lines objects as records with a ``value``.
 
-    ``truncate`` ends an object silently at its first bad line, ``drop``
-    leaves out the bad lines only, ``fail`` stops the job.
+    ``drop`` leaves out the bad lines, which ``rejects`` lists; ``truncate``
+    ends an object silently at its first bad line and takes a second pass
+    over the lines; ``fail`` stops the job.
     """
     clean = clean_lines(lines)
     bad = is_bad_json(F.col("line"))
@@ -232,7 +237,7 @@ def read_objects(
     *,
     compression: str = "none",
     chunk_size: int = DEFAULT_CHUNK,
-    on_error: str = "truncate",
+    on_error: str = "drop",
     progress: DataFrame | None = None,
     keep: Keep | None = None,
     glob: str | None = None,

@@ -107,9 +107,9 @@ def test_jsonl_across_splits(spark, tmp_path, small_splits):
     def ids(df):
         return {k: sorted(json.loads(v)["id"] for v in vs) for k, vs in values(df).items()}
 
-    cut = obj.read_objects(spark, str(tmp_path), "jsonl")
+    cut = obj.read_objects(spark, str(tmp_path), "jsonl", on_error="truncate")
     assert ids(cut) == {"good.jsonl": list(range(1000)), "bad.jsonl": list(range(613))}
-    dropped = obj.read_objects(spark, str(tmp_path), "jsonl", on_error="drop")
+    dropped = obj.read_objects(spark, str(tmp_path), "jsonl")
     assert ids(dropped)["bad.jsonl"] == [i for i in range(1000) if i not in (613, 700)]
     assert ids(dropped)["first.jsonl"] == list(range(1, 10))
     with pytest.raises(PySparkException, match="not JSON"):
@@ -117,10 +117,18 @@ def test_jsonl_across_splits(spark, tmp_path, small_splits):
     assert obj.rejects(lines).count() == 3
 
     progress = spark.createDataFrame([("good.jsonl", 777), ("bad.jsonl", 700)], "object_key string, record_count bigint")
-    rest = obj.read_objects(spark, str(tmp_path), "jsonl", progress=progress)
+    rest = obj.read_objects(spark, str(tmp_path), "jsonl", on_error="truncate", progress=progress)
     assert ids(rest) == {"good.jsonl": list(range(777, 1000))}
 
 
+def test_blank_and_trimmed_lines(spark):
+    """Blank as Character.isWhitespace sees it, trimmed up to the space character."""
+    lines = ["", " ", "\t\x0b\x0c\x1c\x1f ", "\u2003\u3000", "\u2003 x", "\u00a0", "\x00\x01a b\x02 ", " \u2007 ", "é "]
+    df = spark.createDataFrame([(line,) for line in lines], "line string")
+    kept = [r[0] for r in obj.clean_lines(df).collect()]
+    assert kept == ["\u2003 x", "\u00a0", "a b", "\u2007", "é"]
+
+
 @pytest.mark.parametrize("compression", ["gzip", "snappy", "zstd"])
 def test_compressed(spark, tmp_path, compression, monkeypatch):
     monkeypatch.setattr("sluice.sources.streams.BATCH_ROWS", 7)
@@ -128,7 +136,7 @@ def test_compressed(spark, tmp_path, compression, monkeypatch):
     put(str(tmp_path), "a.jsonl", encode(jsonl(100, bad=(61,)).encode(), compression))
     # Two streams, one after the other, are one object.
     put(str(tmp_path), "b.jsonl", encode(b'{"id":1}\n{"id":', compression) + encode(b"2}\n", compression))
-    read = values(obj.read_objects(spark, str(tmp_path), "jsonl", compression=compression))
+    read = values(obj.read_objects(spark, str(tmp_path), "jsonl", compression=compression, on_error="truncate"))
     assert sorted(json.loads(v)["id"] for v in read["a.jsonl"]) == list(range(61))
     assert sorted(json.loads(v)["id"] for v in read["b.jsonl"]) == [1, 2]
     data = values(obj.read_objects(spark, str(tmp_path), "bytes", compression=compression, chunk_size=9))
