@@ -9,7 +9,7 @@ Three Spark jobs, none of which sends data or names through the driver:
    successful attempts are in it.
 3. *publish*: a file of one piece is moved into place; the pieces of a larger
    one are first put together, each copied to its byte position by its own
-   task.
+   task (Parquet: row group by row group, up to ``parquet_pieces`` by a task).
 
 Nothing appears under its final name before all pieces are staged, and names
 follow from the data, so a repeated flush puts the same objects in place.
@@ -38,12 +38,15 @@ OUTPUT_FORMATS = ("avro", "csv", "json", "jsonl", "parquet")
 STAGING = "_staging"
 # Offsets per part of a file that is shuffled for writing.
 PART_OFFSETS = 1 << 18
+# Pieces that one task copies into one Parquet object.
+PARQUET_PIECES = 256
 # What stands before, between and after the records of a file.
 FRAMES = {
     "csv": (b"", b"\n", b""),
     "jsonl": (b"", b"\n", b""),
     "json": (b"[\n", b",\n", b"\n]"),
 }
+FRAMELESS = (b"", b"", b"")
 _PIECE = (
     "file_name string, first bigint, last bigint, piece string, head bigint, size bigint,"
     " tail bigint, n_records bigint"
@@ -62,14 +65,14 @@ def write_files(
     map_keys: Sequence[str] = (),
     part_offsets: int = PART_OFFSETS,
     placed: int = 0,
+    parquet_pieces: int = PARQUET_PIECES,
     options: dict[str, str] | None = None,
 ) -> DataFrame:
     """Writes every file of ``grouped`` below ``path``; returns what was written.
 
     ``grouped`` is one flush. The result has ``file_name, n_records, n_bytes,
-    n_parts``. A Parquet file of more than one part becomes a folder of that
-    name with one file per part, since Parquet files cannot be joined
-    bytewise.
+    n_parts``. A Parquet file of more than ``parquet_pieces`` parts becomes a
+    folder of that name, since Parquet files cannot be joined bytewise.
 
     ``placed`` says that the tasks of ``grouped`` already hold every stretch
     of so many offsets of a file in order, as ``grouping.placed_width`` tells
@@ -99,7 +102,8 @@ def write_files(
         columns = _columns(keyed, fields, envelope, map_keys, ["file_name", "_part", "_at"])
         rows = columns.withColumnsRenamed({"_part": "part"})
         place = ["file_name", "part", "_at"]
-        stage = _parquet_stage(staging, compression, options or {})
+        options = {"compression": compression, **(options or {})}
+        stage = _parquet_stage(staging, options)
     else:
         from sluice.sinks.avro import avro_rows, avro_stage
 
@@ -110,8 +114,17 @@ def write_files(
         rows = rows.repartition("file_name", "part").sortWithinPartitions(*place)
     pieces = rows.mapInArrow(stage, _PIECE)
     pieces.write.mode("overwrite").parquet(f"{staging}/manifest")
-    written = publish(spark.read.parquet(f"{staging}/manifest"), path, staging, fmt, compression)
-    return written
+    manifest = spark.read.parquet(f"{staging}/manifest")
+    if fmt == "parquet":
+        _publish_parquet(_in_order(manifest), path, staging, options, parquet_pieces)
+    else:
+        publish(manifest, path, staging, FRAMES.get(fmt, FRAMELESS), compression)
+    store.remove_tree(f"{staging}/pieces")
+    return manifest.groupBy("file_name").agg(
+        F.sum("n_records").alias("n_records"),
+        F.sum("size").alias("n_bytes"),
+        F.count(F.lit(1)).cast("bigint").alias("n_parts"),
+    )
 
 
 def _payload(
@@ -271,14 +284,12 @@ def _text_stage(staging: str, frame: tuple[bytes, bytes, bytes], compression: st
     return stage
 
 
-def _parquet_stage(staging: str, compression: str, options: dict[str, str]):
-    settings = {"compression": compression, **options}
-
+def _parquet_stage(staging: str, options: dict):
     def stage(batches):
         schema = None
 
         def start(name):
-            return ParquetPiece(staging, name, schema, settings)
+            return ParquetPiece(staging, name, schema, options)
 
         def seen():
             nonlocal schema
@@ -291,51 +302,58 @@ def _parquet_stage(staging: str, compression: str, options: dict[str, str]):
     return stage
 
 
-def publish(
-    manifest: DataFrame, path: str, staging: str, fmt: str, compression: str
-) -> DataFrame:
-    """Moves or assembles the staged pieces into their objects."""
-    between = encode(FRAMES[fmt][1], compression) if fmt in FRAMES else b""
-    by_part = W.partitionBy("file_name").orderBy("first")
-    earlier = by_part.rowsBetween(W.unboundedPreceding, -1)
-    whole = W.partitionBy("file_name")
-    body = F.col("size") - F.col("head") - F.col("tail")
+def _in_order(manifest: DataFrame) -> DataFrame:
+    """The pieces of each file numbered by their offsets, which must not overlap."""
+    by_offset = W.partitionBy("file_name").orderBy("first")
+    earlier = by_offset.rowsBetween(W.unboundedPreceding, -1)
     apart = F.coalesce(F.max("last").over(earlier) < F.col("first"), F.lit(True))
     name = F.when(apart, F.col("file_name")).otherwise(
         F.raise_error(F.concat(F.lit("pieces overlap in "), F.col("file_name"))).cast("string")
     )
-    laid_out = manifest.select(
+    body = F.col("size") - F.col("head") - F.col("tail")
+    return manifest.select(
         name.alias("file_name"),
         *[c for c in manifest.columns if c != "file_name"],
-        F.row_number().over(by_part).alias("number"),
-        F.count(F.lit(1)).over(whole).alias("n_parts"),
-        F.coalesce(F.sum(body + len(between)).over(earlier), F.lit(0)).alias("body_before"),
+        F.row_number().over(by_offset).alias("number"),
+        F.count(F.lit(1)).over(W.partitionBy("file_name")).alias("n_parts"),
+        F.coalesce(F.sum(body).over(earlier), F.lit(0)).alias("bodies_before"),
     )
-    if fmt == "parquet":
-        laid_out = laid_out.withColumn(
-            "target",
-            F.when(F.col("n_parts") == 1, F.col("file_name")).otherwise(
-                F.concat(
-                    F.col("file_name"),
-                    F.lit("/part-"),
-                    F.lpad((F.col("number") - 1).cast("string"), 5, "0"),
-                    F.lit(".parquet"),
-                )
-            ),
-        )
-        _run(laid_out.select("piece", "target"), _mover(path), "piece")
-    else:
-        singles = laid_out.filter("n_parts = 1")
-        _run(singles.select("piece", F.col("file_name").alias("target")), _mover(path), "piece")
-        parts = laid_out.filter("n_parts > 1")
-        if not parts.isEmpty():
-            _assemble(parts, path, staging, between)
-    store.remove_tree(f"{staging}/pieces")
-    return manifest.groupBy("file_name").agg(
-        F.sum("n_records").alias("n_records"),
-        F.sum("size").alias("n_bytes"),
-        F.count(F.lit(1)).cast("bigint").alias("n_parts"),
+
+
+def publish(
+    manifest: DataFrame,
+    path: str,
+    staging: str,
+    frame: tuple[bytes, bytes, bytes],
+    compression: str,
+) -> None:
+    """Moves or assembles the staged pieces into their objects."""
+    between = encode(frame[1], compression)
+    pieces = _in_order(manifest)
+    singles = pieces.filter("n_parts = 1")
+    _run(singles.select("piece", F.col("file_name").alias("target")), _mover(path), "piece")
+    parts = pieces.filter("n_parts > 1")
+    if parts.isEmpty():
+        return
+    if not store.is_local(path):
+        _run(parts, _joiner(path, between), "file_name", "number")
+        return
+    _run(parts, _placer(staging, between), "piece")
+    _run(parts.filter("number = 1").select("file_name"), _finisher(path, staging), "file_name")
+
+
+def _publish_parquet(
+    pieces: DataFrame, path: str, staging: str, options: dict, per_object: int
+) -> None:
+    part = F.call_function("div", F.col("number") - 1, F.lit(per_object))
+    target = F.when(F.col("n_parts") <= per_object, F.col("file_name")).otherwise(
+        F.concat("file_name", F.lit("/part-"), F.lpad(part.cast("string"), 5, "0"), F.lit(".parquet"))
     )
+    pieces = pieces.withColumn("target", target)
+    _run(pieces.filter("n_parts = 1").select("piece", "target"), _mover(path), "piece")
+    parts = pieces.filter("n_parts > 1").select("piece", "target", "number")
+    if not parts.isEmpty():
+        _run(parts, _merger(path, staging, options), "target", "number")
 
 
 def _run(rows: DataFrame, task, by: str, order: str | None = None) -> None:
@@ -366,52 +384,84 @@ def _mover(path: str):
     return task
 
 
-def _assembled(staging: str, name: str) -> str:
+def _merger(path: str, staging: str, options: dict):
+    """Copies the row groups of Parquet pieces, in order, into their object."""
+
+    def task(batches):
+        current = out = writer = merged = None
+        n = 0
+
+        def finish():
+            writer.close()
+            out.close()
+            store.move(merged, store.object_path(path, current))
+
+        for batch in batches:
+            for row in batch.to_pylist():
+                with store.open_random(row["piece"]) as source:
+                    piece = pq.ParquetFile(source)
+                    if row["target"] != current:
+                        if writer:
+                            finish()
+                        current = row["target"]
+                        merged = f"{staging}/pieces/{uuid.uuid4().hex}"
+                        out = store.open_output(merged)
+                        writer = pq.ParquetWriter(out, piece.schema_arrow, **options)
+                    for group in range(piece.num_row_groups):
+                        writer.write_table(piece.read_row_group(group))
+                n += 1
+        if writer:
+            finish()
+        yield pa.RecordBatch.from_pydict({"n": pa.array([n], pa.int64())})
+
+    return task
+
+
+def _whole(staging: str, name: str) -> str:
     return f"{staging}/pieces/whole-{hashlib.sha256(name.encode()).hexdigest()}"
 
 
-def _assemble(parts: DataFrame, path: str, staging: str, between: bytes) -> None:
-    if not store.is_local(path):
-        _join_streams(parts, path, between)
-        return
+def _placer(staging: str, between: bytes):
+    """Copies pieces to their byte positions; a retry writes the same bytes."""
+
+    def place(row: dict) -> None:
+        first, last = row["number"] == 1, row["number"] == row["n_parts"]
+        skip = 0 if first else row["head"]
+        length = row["size"] - skip - (0 if last else row["tail"])
+        # One head, the bodies before this one, and what stands between them.
+        at = 0 if first else row["head"] + row["bodies_before"] + (row["number"] - 2) * len(between)
+        target = store.local_path(_whole(staging, row["file_name"]))
+        handle = os.open(target, os.O_WRONLY | os.O_CREAT, 0o644)
+        with os.fdopen(handle, "wb") as out, open(store.local_path(row["piece"]), "rb") as source:
+            out.seek(at)
+            if not first:
+                out.write(between)
+            source.seek(skip)
+            _copy(source, out, length)
+
+    def task(batches):
+        yield from _counted(batches, place)
+
+    return task
 
-    def place(batches):
-        yield from _counted(batches, lambda r: _copy_into_place(r, staging, between))
 
-    def finish(batches):
+def _finisher(path: str, staging: str):
+    def task(batches):
         yield from _counted(
             batches,
             lambda r: store.move(
-                _assembled(staging, r["file_name"]), store.object_path(path, r["file_name"])
+                _whole(staging, r["file_name"]), store.object_path(path, r["file_name"])
             ),
         )
 
-    _run(parts, place, "piece")
-    _run(parts.filter("number = 1").select("file_name"), finish, "file_name")
-
-
-def _copy_into_place(row: dict, staging: str, between: bytes) -> None:
-    """Copies one piece to its byte position; a retry writes the same bytes."""
-    first, last = row["number"] == 1, row["number"] == row["n_parts"]
-    skip = 0 if first else row["head"]
-    # The file's head is written by the first piece and counted for the rest.
-    at = 0 if first else row["head"] + row["body_before"] - len(between)
-    length = row["size"] - skip - (0 if last else row["tail"])
-    target = store.local_path(_assembled(staging, row["file_name"]))
-    handle = os.open(target, os.O_WRONLY | os.O_CREAT, 0o644)
-    with os.fdopen(handle, "wb") as out, open(store.local_path(row["piece"]), "rb") as source:
-        out.seek(at)
-        if not first:
-            out.write(between)
-        source.seek(skip)
-        _copy(source, out, length)
+    return task
 
 
-def _join_streams(parts: DataFrame, path: str, between: bytes) -> None:
+def _joiner(path: str, between: bytes):
     """Object stores have no positional writes: one stream per large object."""
 
     def task(batches):
-        current, out = None, None
+        current = out = None
         n = 0
         for batch in batches:
             for row in batch.to_pylist():
@@ -421,16 +471,16 @@ def _join_streams(parts: DataFrame, path: str, between: bytes) -> None:
                     out = store.open_output(store.object_path(path, current))
                 if not first:
                     out.write(between)
+                skip = 0 if first else row["head"]
                 with store.open_input(row["piece"]) as source:
-                    source.read(0 if first else row["head"])
-                    skip = 0 if first else row["head"]
+                    source.read(skip)
                     _copy(source, out, row["size"] - skip - (0 if last else row["tail"]))
                 if last:
                     out.close()
                 n += 1
         yield pa.RecordBatch.from_pydict({"n": pa.array([n], pa.int64())})
 
-    _run(parts, task, "file_name", "number")
+    return task
 
 
 def _copy(source, out, length: int) -> None:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from sluice.operators.grouping import group_records, placed_width
 from sluice.sinks import avro, store
-from sluice.sinks.files import publish, write_files
+from sluice.sinks.files import FRAMELESS, FRAMES, _joiner, _run, publish, write_files
 from sluice.sources.streams import decompressed
 
 CHANGELOG = "{{topic}}-{{partition}}-{{start_offset}}"
@@ -96,7 +96,22 @@ def test_overlapping_pieces_fail(spark, tmp_path):
         "file_name string, first bigint, last bigint, piece string, head bigint, size bigint, tail bigint, n_records bigint",
     )
     with pytest.raises(PySparkException, match="overlap"):
-        publish(pieces, str(tmp_path), str(tmp_path / "_staging"), "csv", "none")
+        publish(pieces, str(tmp_path), str(tmp_path / "_staging"), FRAMES["csv"], "none")
+
+
+def test_stores_without_positions_get_one_stream(spark, tmp_path):
+    """The way of joining parts that object stores need, on a local folder."""
+    from sluice.session import ship_package
+
+    ship_package(spark)
+    bodies = [b"[\n" + body + b"\n]" for body in (b"1", b"22", b"333")]
+    rows = []
+    for i, data in enumerate(bodies):
+        (tmp_path / f"piece{i}").write_bytes(data)
+        rows.append(("f", i + 1, 3, f"{tmp_path}/piece{i}", 2, len(data), 2))
+    parts = spark.createDataFrame(rows, "file_name string, number int, n_parts int, piece string, head bigint, size bigint, tail bigint")
+    _run(parts, _joiner(f"{tmp_path}/out", b",\n"), "file_name", "number")
+    assert contents(tmp_path / "out") == {"f": b"[\n1,\n22,\n333\n]"}
 
 
 def test_same_name_is_replaced(records, tmp_path):
@@ -121,7 +136,7 @@ def test_publishing_again_changes_nothing(spark, records, tmp_path):
     before = contents(tmp_path)
     run = os.listdir(tmp_path / "_staging")[0]
     staging = f"{tmp_path}/_staging/{run}"
-    publish(spark.read.parquet(f"{staging}/manifest"), str(tmp_path), staging, "jsonl", "none")
+    publish(spark.read.parquet(f"{staging}/manifest"), str(tmp_path), staging, FRAMES["jsonl"], "none")
     assert contents(tmp_path) == before
 
 
@@ -149,8 +164,15 @@ def test_parquet(records, tmp_path, compression, codec):
     assert pq.ParquetFile(io.BytesIO(files["t-0-30"])).metadata.row_group(0).column(0).compression == codec
 
 
-def test_large_parquet_becomes_a_folder(spark, records, tmp_path):
-    write_files(group_records(records, CHANGELOG), str(tmp_path), "parquet", fields=["offset"], part_offsets=20)
+def test_parquet_parts_become_one_object(records, tmp_path):
+    write_files(group_records(records, CHANGELOG), str(tmp_path), "parquet", fields=["key", "offset"], part_offsets=7, compression="zstd")
+    files = contents(tmp_path)
+    assert {n: pq.read_table(io.BytesIO(d)).column("offset").to_pylist() for n, d in files.items()} == expected(0)
+    assert pq.ParquetFile(io.BytesIO(files["t-0-0"])).metadata.row_group(0).column(0).compression == "ZSTD"
+
+
+def test_very_large_parquet_becomes_a_folder(spark, records, tmp_path):
+    write_files(group_records(records, CHANGELOG), str(tmp_path), "parquet", fields=["offset"], part_offsets=10, parquet_pieces=2)
     assert set(contents(tmp_path)) == {f"t-{p}-{s}/part-0000{i}.parquet" for p, s in ((0, 0), (1, 5)) for i in range(3)}
     read = spark.read.parquet(f"{tmp_path}/t-0-0").collect()
     assert sorted(r["offset"] for r in read) == list(range(50))
@@ -233,7 +255,7 @@ def test_avro_pieces_join(spark, tmp_path):
     stage = avro.avro_stage(staging, '"string"', "none", {"avro.codec": "deflate"})
     pieces = rows.repartition("file_name", "part").sortWithinPartitions("file_name", "part", "offset").mapInArrow(stage, _PIECE)
     pieces.write.parquet(f"{staging}/manifest")
-    publish(spark.read.parquet(f"{staging}/manifest"), str(tmp_path), staging, "avro", "none")
+    publish(spark.read.parquet(f"{staging}/manifest"), str(tmp_path), staging, FRAMELESS, "none")
     meta, blocks = read_container(contents(tmp_path)["f.avro"])
     assert sum(n for n, _ in blocks) == 100
     assert b"".join(zlib.decompress(b, wbits=-15) for _, b in blocks) == b"\x02x" * 100
