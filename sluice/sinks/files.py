@@ -66,13 +66,16 @@ def write_files(
     part_offsets: int = PART_OFFSETS,
     placed: int = 0,
     parquet_pieces: int = PARQUET_PIECES,
+    staging: str | None = None,
     options: dict[str, str] | None = None,
 ) -> DataFrame:
     """Writes every file of ``grouped`` below ``path``; returns what was written.
 
     ``grouped`` is one flush. The result has ``file_name, n_records, n_bytes,
     n_parts``. A Parquet file of more than ``parquet_pieces`` parts becomes a
-    folder of that name, since Parquet files cannot be joined bytewise.
+    folder of that name, since Parquet files cannot be joined bytewise. The
+    result is read from the manifest below ``staging``, a new folder unless
+    one is given.
 
     ``placed`` says that the tasks of ``grouped`` already hold every stretch
     of so many offsets of a file in order, as ``grouping.placed_width`` tells
@@ -85,7 +88,7 @@ def write_files(
         raise ValueError(f"compression must be one of {CODECS}, got {compression!r}")
     spark = grouped.sparkSession
     ship_package(spark)
-    staging = f"{path.rstrip('/')}/{STAGING}/{uuid.uuid4().hex}"
+    staging = staging or staging_path(path)
     part = F.call_function("div", F.col("offset"), F.lit(placed or part_offsets)).alias("part")
     place = ["file_name", "part", "offset"]
 
@@ -127,6 +130,10 @@ def write_files(
     )
 
 
+def staging_path(path: str) -> str:
+    return f"{path.rstrip('/')}/{STAGING}/{uuid.uuid4().hex}"
+
+
 def _payload(
     df: DataFrame, fmt: str, fields: Sequence[str], envelope: bool, value_encoding: str
 ) -> Column:

@@ -17,7 +17,8 @@ from pyspark.sql.types import StructType
 
 from sluice.functions.naming import default_template
 from sluice.operators.grouping import group_records, placed_width
-from sluice.sinks.files import write_files
+from sluice.sinks.files import staging_path, write_files
+from sluice.sinks.store import remove_tree
 
 # How often buffers are written, and how much is read per write.
 FLUSH_INTERVAL = "10 seconds"
@@ -74,6 +75,7 @@ def write_stream(
     def flush(batch: DataFrame, batch_id: int) -> None:
         if persist:
             batch = batch.persist()
+        staging = staging_path(path)
         written = flush_batch(
             batch,
             batch_id,
@@ -86,10 +88,12 @@ def write_stream(
             tz=tz,
             envelope=envelope,
             compression=compression,
+            staging=staging,
             **options,
         )
         if on_flush:
             on_flush(written, batch_id)
+        remove_tree(staging)
         if persist:
             batch.unpersist()
 

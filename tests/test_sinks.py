@@ -114,6 +114,13 @@ def test_stores_without_positions_get_one_stream(spark, tmp_path):
     assert contents(tmp_path / "out") == {"f": b"[\n1,\n22,\n333\n]"}
 
 
+@pytest.mark.parametrize("fmt", ["csv", "json", "parquet"])
+def test_no_records_no_files(records, tmp_path, fmt):
+    grouped = group_records(records.filter("offset < 0"), CHANGELOG, max_records=2)
+    assert write_files(grouped, str(tmp_path), fmt, fields=["offset"], placed=1 << 16).collect() == []
+    assert contents(tmp_path) == {}
+
+
 def test_same_name_is_replaced(records, tmp_path):
     for value in ("one", "two"):
         grouped = group_records(records.withColumn("value", F.lit(value)), "{{key}}")

@@ -43,6 +43,7 @@ def test_one_batch_is_one_flush_and_restarts_go_on(spark, tmp_path):
     assert run(spark, tmp_path) == []
     feed(spark, f"{tmp_path}/in", "b", range(10, 16))
     assert run(spark, tmp_path) == [(1, 6)]
+    assert os.listdir(f"{tmp_path}/out/_staging") == []
     # State ends with the flush: the second one opens files of its own.
     assert contents(f"{tmp_path}/out") == {
         "t-0-0": b"v0\nv2\nv4\nv6\nv8",
