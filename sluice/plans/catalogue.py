@@ -16,11 +16,11 @@ class Query:
     sql: str | None
 
 
-def query(sql: str | None = None):
-    """Registers a function under its own name."""
+def query(sql: str | None = None, name: str | None = None):
+    """Registers a function under its own or the given name."""
 
     def register(run: Callable[[SparkSession, str], DataFrame]):
-        QUERIES[run.__name__] = Query(run, sql)
+        QUERIES[name or run.__name__] = Query(run, sql)
         return run
 
     return register

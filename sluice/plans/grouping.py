@@ -223,7 +223,8 @@ def file_threshold_flags(spark, sf_dir):
          min("offset") AS min_offset, max("offset") AS max_offset,
          CAST(sum(20 + coalesce(octet_length(encode(key)), 0)
                   + coalesce(octet_length(encode(value)), 0)) AS BIGINT) AS n_bytes
-       FROM files GROUP BY ALL"""
+       FROM files GROUP BY ALL""",
+    name="file_manifest",
 )
 def file_manifest_unlimited(spark, sf_dir):
     return file_manifest(group_records(_records(spark, sf_dir), CHANGELOG))
@@ -238,7 +239,8 @@ def file_manifest_unlimited(spark, sf_dir):
          min("offset") = min(start_offset) AS starts_at_first,
          count(*) FILTER (WHERE prev >= "offset") = 0 AS rising,
          count(*) <= 3 AS within_limit
-       FROM steps GROUP BY ALL"""
+       FROM steps GROUP BY ALL""",
+    name="file_audit",
 )
 def file_audit_limited(spark, sf_dir):
     grouped = group_records(_records(spark, sf_dir), HOURLY, ts_source="event", max_records=3)

@@ -133,6 +133,6 @@ def name_extract(spark, sf_dir):
     return named.select("offset", *[c.alias(v) for v, c in found.items()])
 
 
-@query(f"""WITH {RECORDS} SELECT "offset", coalesce(key, 'null') AS key_text FROM records""")
+@query(f"""WITH {RECORDS} SELECT "offset", coalesce(key, 'null') AS key_text FROM records""", name="key_string")
 def key_text(spark, sf_dir):
     return _records(spark, sf_dir).select("offset", key_string(F.col("key")).alias("key_text"))

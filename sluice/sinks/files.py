@@ -337,16 +337,11 @@ def publish(
     """Moves or assembles the staged pieces into their objects."""
     between = encode(frame[1], compression)
     pieces = _in_order(manifest)
-    singles = pieces.filter("n_parts = 1")
-    _run(singles.select("piece", F.col("file_name").alias("target")), _mover(path), "piece")
-    parts = pieces.filter("n_parts > 1")
-    if parts.isEmpty():
-        return
     if not store.is_local(path):
-        _run(parts, _joiner(path, between), "file_name", "number")
-        return
-    _run(parts, _placer(staging, between), "piece")
-    _run(parts.filter("number = 1").select("file_name"), _finisher(path, staging), "file_name")
+        _run(pieces, _joiner(path, between), "file_name", "number")
+    elif _run(pieces, _placer(path, staging, between), "piece"):
+        whole = pieces.filter("n_parts > 1 and number = 1").select("file_name")
+        _run(whole, _finisher(path, staging), "file_name")
 
 
 def _publish_parquet(
@@ -356,15 +351,12 @@ def _publish_parquet(
     target = F.when(F.col("n_parts") <= per_object, F.col("file_name")).otherwise(
         F.concat("file_name", F.lit("/part-"), F.lpad(part.cast("string"), 5, "0"), F.lit(".parquet"))
     )
-    pieces = pieces.withColumn("target", target)
-    _run(pieces.filter("n_parts = 1").select("piece", "target"), _mover(path), "piece")
-    parts = pieces.filter("n_parts > 1").select("piece", "target", "number")
-    if not parts.isEmpty():
-        _run(parts, _merger(path, staging, options), "target", "number")
+    pieces = pieces.select("piece", target.alias("target"), "number", "n_parts")
+    _run(pieces, _merger(path, staging, options), "target", "number")
 
 
-def _run(rows: DataFrame, task, by: str, order: str | None = None) -> None:
-    """Runs a task over rows for its effect; one count comes back per partition.
+def _run(rows: DataFrame, task, by: str, order: str | None = None) -> int:
+    """Runs a task over rows for its effect; the sum of what its partitions report.
 
     Rows are few bytes but much work, so they are spread over the cluster by
     a fixed number of partitions, which Spark does not merge by size.
@@ -372,23 +364,11 @@ def _run(rows: DataFrame, task, by: str, order: str | None = None) -> None:
     spread = rows.repartition(rows.sparkSession.sparkContext.defaultParallelism * 4, by)
     if order:
         spread = spread.sortWithinPartitions(by, order)
-    spread.mapInArrow(task, "n bigint").agg(F.sum("n")).collect()
-
-
-def _counted(batches, act) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for row in batch.to_pylist():
-            act(row)
-        yield pa.RecordBatch.from_pydict({"n": pa.array([batch.num_rows], pa.int64())})
-
+    return spread.mapInArrow(task, "n bigint").agg(F.sum("n")).first()[0] or 0
 
-def _mover(path: str):
-    def task(batches):
-        yield from _counted(
-            batches, lambda r: store.move(r["piece"], store.object_path(path, r["target"]))
-        )
 
-    return task
+def _report(n: int) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict({"n": pa.array([n], pa.int64())})
 
 
 def _merger(path: str, staging: str, options: dict):
@@ -405,6 +385,10 @@ def _merger(path: str, staging: str, options: dict):
 
         for batch in batches:
             for row in batch.to_pylist():
+                n += 1
+                if row["n_parts"] == 1:
+                    store.move(row["piece"], store.object_path(path, row["target"]))
+                    continue
                 with store.open_random(row["piece"]) as source:
                     piece = pq.ParquetFile(source)
                     if row["target"] != current:
@@ -416,10 +400,9 @@ def _merger(path: str, staging: str, options: dict):
                         writer = pq.ParquetWriter(out, piece.schema_arrow, **options)
                     for group in range(piece.num_row_groups):
                         writer.write_table(piece.read_row_group(group))
-                n += 1
         if writer:
             finish()
-        yield pa.RecordBatch.from_pydict({"n": pa.array([n], pa.int64())})
+        yield _report(n)
 
     return task
 
@@ -428,8 +411,12 @@ def _whole(staging: str, name: str) -> str:
     return f"{staging}/pieces/whole-{hashlib.sha256(name.encode()).hexdigest()}"
 
 
-def _placer(staging: str, between: bytes):
-    """Copies pieces to their byte positions; a retry writes the same bytes."""
+def _placer(path: str, staging: str, between: bytes):
+    """Moves files of one piece and copies other pieces to their byte positions.
+
+    Reports the pieces copied, whose files are still to be moved. A retry
+    writes the same bytes to the same places.
+    """
 
     def place(row: dict) -> None:
         first, last = row["number"] == 1, row["number"] == row["n_parts"]
@@ -447,19 +434,27 @@ def _placer(staging: str, between: bytes):
             _copy(source, out, length)
 
     def task(batches):
-        yield from _counted(batches, place)
+        copied = 0
+        for batch in batches:
+            for row in batch.to_pylist():
+                if row["n_parts"] == 1:
+                    store.move(row["piece"], store.object_path(path, row["file_name"]))
+                else:
+                    place(row)
+                    copied += 1
+        yield _report(copied)
 
     return task
 
 
 def _finisher(path: str, staging: str):
     def task(batches):
-        yield from _counted(
-            batches,
-            lambda r: store.move(
-                _whole(staging, r["file_name"]), store.object_path(path, r["file_name"])
-            ),
-        )
+        n = 0
+        for batch in batches:
+            for name in batch["file_name"].to_pylist():
+                store.move(_whole(staging, name), store.object_path(path, name))
+                n += 1
+        yield _report(n)
 
     return task
 
@@ -472,6 +467,10 @@ def _joiner(path: str, between: bytes):
         n = 0
         for batch in batches:
             for row in batch.to_pylist():
+                n += 1
+                if row["n_parts"] == 1:
+                    store.move(row["piece"], store.object_path(path, row["file_name"]))
+                    continue
                 first, last = row["number"] == 1, row["number"] == row["n_parts"]
                 if row["file_name"] != current:
                     current = row["file_name"]
@@ -484,8 +483,7 @@ def _joiner(path: str, between: bytes):
                     _copy(source, out, row["size"] - skip - (0 if last else row["tail"]))
                 if last:
                     out.close()
-                n += 1
-        yield pa.RecordBatch.from_pydict({"n": pa.array([n], pa.int64())})
+        yield _report(n)
 
     return task
 

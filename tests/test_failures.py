@@ -32,7 +32,7 @@ def flaky(name):
         return lost_once
     setattr(files, name, task_of)
 
-for name in ("_text_stage", "_mover"):
+for name in ("_text_stage", "_placer", "_finisher"):
     flaky(name)
 
 rows = spark.range(1000).select(
