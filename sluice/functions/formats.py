@@ -101,19 +101,17 @@ def json_array(lines: Column) -> Column:
 
 def header_map(headers: Column) -> Column:
     """Headers by name; of a repeated name the last one counts."""
-    names = F.transform(headers, lambda h: h["key"])
-
-    def last_of_each(backwards: Column) -> Column:
-        return F.transform(
-            F.array(F.transform(backwards, lambda h: h["key"])),
-            lambda known: F.map_from_entries(
-                F.filter(backwards, lambda h, i: F.array_position(known, h["key"]) == i + 1)
-            ),
-        )[0]
-
-    return F.when(
-        F.size(F.array_distinct(names)) == F.size(names), F.map_from_entries(headers)
-    ).otherwise(F.transform(F.array(F.reverse(headers)), last_of_each)[0])
+
+    def with_names(backwards: Column) -> Column:
+        last_only = F.filter(
+            headers, lambda h, i: F.array_position(backwards, h["key"]) == F.size(backwards) - i
+        )
+        repeats = F.size(F.array_distinct(backwards)) < F.size(backwards)
+        return F.map_from_entries(F.when(repeats, last_only).otherwise(headers))
+
+    # The one-element array works the names out once, not per header.
+    names = F.reverse(F.transform(headers, lambda h: h["key"]))
+    return F.transform(F.array(names), with_names)[0]
 
 
 def check_header_types(types: Column) -> Column:

@@ -70,12 +70,23 @@ def file_audit(
 
 
 def schema_guard(grouped: DataFrame) -> DataFrame:
-    """Files that hold more than one key or value schema."""
-    ids = F.struct("key_schema_id", "value_schema_id")
+    """Per file, whether it holds one key schema and one value schema."""
+    ids = ("key_schema_id", "value_schema_id")
+    one = F.lit(True)
+    for c in ids:
+        known = F.col(f"_known_{c}")
+        one = one & (
+            (known == 0) | ((known == F.col("_n")) & (F.col(f"_low_{c}") == F.col(f"_high_{c}")))
+        )
     return (
         grouped.groupBy(*_file_key(grouped))
-        .agg(F.min(ids).alias("_low"), F.max(ids).alias("_high"))
-        .select(*_file_key(grouped), (F.col("_low") == F.col("_high")).alias("one_schema"))
+        .agg(
+            F.count(F.lit(1)).alias("_n"),
+            *[F.count(c).alias(f"_known_{c}") for c in ids],
+            *[F.min(c).alias(f"_low_{c}") for c in ids],
+            *[F.max(c).alias(f"_high_{c}") for c in ids],
+        )
+        .select(*_file_key(grouped), one.alias("one_schema"))
     )
 
 

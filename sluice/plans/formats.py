@@ -137,6 +137,14 @@ def unwrap_map(spark, sf_dir):
     return fmt.unwrap(records, "value", "offset", map_keys=keys)
 
 
+@query(_sql("'events' AS source, topic AS type"))
+def unwrap_map_all_keys(spark, sf_dir):
+    """A column for every key in use, whichever record has it."""
+    headers = fmt.header_map(F.col("headers"))
+    records = _records(spark, sf_dir).withColumn("value", headers)
+    return fmt.unwrap(records, "value", "offset", map_keys=fmt.all_record_keys(records))
+
+
 @query(_sql("value"))
 def unwrap_primitive(spark, sf_dir):
     return fmt.unwrap(_records(spark, sf_dir), "value", "offset")

@@ -87,9 +87,8 @@ def merge_progress(
     both = stored.select(*columns, F.lit(None).cast("bigint").alias("seq")).unionByName(
         updates.select(*columns, F.col("seq").cast("bigint"))
     )
-    merged = both.groupBy(*by).agg(
-        F.max(F.struct("seq", "record_count"))["record_count"].alias("record_count")
-    )
+    order = F.coalesce("seq", F.lit(-(2**63)).cast("bigint"))
+    merged = both.groupBy(*by).agg(F.max_by("record_count", order).alias("record_count"))
     if removed is not None:
         merged = merged.join(removed.select(*by).distinct(), list(by), "left_anti")
     return merged

@@ -279,6 +279,10 @@ def test_schema_guard(spark):
     grouped = group_records(spark.createDataFrame(rows, SCHEMA), CHANGELOG)
     guard = {r["file_name"]: r["one_schema"] for r in schema_guard(grouped).collect()}
     assert guard == {"t-0-0": False, "t-1-0": True}
+    nulls = [rec("t", 0, 0, vs=None), rec("t", 0, 1), rec("t", 1, 0, vs=None), rec("t", 1, 1, vs=None)]
+    grouped_nulls = group_records(spark.createDataFrame(nulls, SCHEMA), CHANGELOG)
+    guard = {r["file_name"]: r["one_schema"] for r in schema_guard(grouped_nulls).collect()}
+    assert guard == {"t-0-0": False, "t-1-0": True}
     with pytest.raises(PySparkException, match="schema changed"):
         require_one_schema(grouped).collect()
     assert require_one_schema(grouped.filter("partition = 1")).count() == 2
