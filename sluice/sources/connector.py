@@ -63,6 +63,7 @@ def read_records(
     chunk_size: int = DEFAULT_CHUNK,
     on_error: str = "drop",
     progress: DataFrame | None = None,
+    listing: DataFrame | None = None,
 ) -> DataFrame:
     """Records of the matching objects below ``root``.
 
@@ -81,6 +82,7 @@ def read_records(
         on_error=on_error,
         progress=progress,
         keep=keep,
+        listing=listing,
     )
     if fmt in ("parquet", "avro"):
         fields = [F.col(f"`{c}`") for c in read.columns if c != "object_key"]

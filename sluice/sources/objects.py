@@ -211,6 +211,7 @@ def read_lines(
     compression: str = "none",
     keep: Keep | None = None,
     glob: str | None = None,
+    listing: DataFrame | None = None,
 ) -> DataFrame:
     """Lines of every object below ``root`` with their place in it.
 
@@ -218,16 +219,29 @@ def read_lines(
     starts, ``row`` rises within it. A compressed object is one stream, so
     one task walks through it and numbers its blocks.
     """
-    if compression != "none":
-        from sluice.sources.streams import read_compressed_lines
-
-        return read_compressed_lines(spark, root, compression=compression, keep=keep, glob=glob)
-    return _kept(_reader(spark, glob).text(root), _file_key(root), keep).select(
-        _file_key(root).alias("object_key"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("row"),
-        F.col("value").alias("line"),
-    )
+    if listing is None and compression == "none":
+        return _kept(_reader(spark, glob).text(root), _file_key(root), keep).select(
+            _file_key(root).alias("object_key"),
+            F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("row"),
+            F.col("value").alias("line"),
+        )
+    from sluice.sources import streams
+
+    listed = _listed(spark, root, keep, glob, listing)
+    if compression == "none":
+        return streams.range_lines(listed)
+    return streams.compressed_lines(listed, compression)
+
+
+def _listed(
+    spark: SparkSession, root: str, keep: Keep | None, glob: str | None, listing: DataFrame | None
+) -> DataFrame:
+    from sluice.sources import streams
+
+    if listing is None:
+        return streams.list_files(spark, root, keep=keep, glob=glob)
+    return _kept(listing, F.col("object_key"), keep).select("object_key", "path", "length")
 
 
 def read_objects(
@@ -241,17 +255,22 @@ def read_objects(
     progress: DataFrame | None = None,
     keep: Keep | None = None,
     glob: str | None = None,
+    listing: DataFrame | None = None,
 ) -> DataFrame:
     """Records of the objects below ``root``: ``object_key`` and ``value``.
 
     Parquet and Avro give their own columns in place of ``value``. ``keep``
     tells from the object key whether to read an object. With ``progress``
     (``object_key, record_count``, one row each) the records an object has
-    already given are skipped; jsonl and bytes only.
+    already given are skipped. ``listing`` (``object_key, path, length``),
+    such as a store's inventory, takes the place of listing ``root``, which
+    Spark does on the driver. The last two are for jsonl and bytes only.
     """
     if fmt not in INPUT_FORMATS:
         raise ValueError(f"input format must be one of {INPUT_FORMATS}, got {fmt!r}")
     if fmt in ("parquet", "avro"):
+        if listing is not None or progress is not None:
+            raise ValueError(f"{fmt} objects take neither a listing nor progress")
         reader = _reader(spark, glob).format(fmt)
         if fmt == "parquet":
             reader = reader.option("mergeSchema", "true")
@@ -264,12 +283,14 @@ def read_objects(
     from sluice.sources import streams
 
     if fmt == "jsonl":
-        lines = read_lines(spark, root, compression=compression, keep=keep, glob=glob)
+        lines = read_lines(
+            spark, root, compression=compression, keep=keep, glob=glob, listing=listing
+        )
         records = jsonl_records(lines, on_error=on_error, position="row", slice_by="block")
         if progress is not None:
             records = prog.resume(records, progress, position="row", slice_by="block")
         return records.drop("block", "row", "record_no")
-    how = {"chunk_size": chunk_size, "progress": progress, "keep": keep, "glob": glob}
+    listed = streams.with_done(_listed(spark, root, keep, glob, listing), progress)
     if compression == "none":
-        return streams.read_ranges(spark, root, **how)
-    return streams.read_compressed_chunks(spark, root, compression=compression, **how)
+        return streams.range_chunks(listed, chunk_size)
+    return streams.compressed_chunks(listed, compression, chunk_size)

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import gzip
 import io
+import itertools
 import struct
 from collections.abc import Callable, Iterator
 
@@ -15,6 +16,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sluice.session import ship_package
+
+_LINES = "object_key string, block bigint, row bigint, line string"
 BATCH_ROWS = 4096
 # Rows per block of a compressed object, and bytes per range of a plain one.
 BLOCK_ROWS = 1 << 18
@@ -89,21 +93,23 @@ def decompressed(raw, compression: str):
     raise ValueError(f"unknown compression {compression!r}")
 
 
-def _listing(
+def list_files(
     spark: SparkSession,
     root: str,
-    keep: Callable[[Column], Column] | None,
-    glob: str | None,
-    progress: DataFrame | None = None,
+    *,
+    keep: Callable[[Column], Column] | None = None,
+    glob: str | None = None,
 ) -> DataFrame:
-    """Non-empty objects with the number of records each has already given."""
-    from sluice.session import ship_package
+    """Non-empty objects below ``root``: ``object_key, path, length``."""
     from sluice.sources.objects import _kept, _reader, object_key_of
 
-    ship_package(spark)
     key = object_key_of(F.col("path"), root)
     found = _reader(spark, glob).format("binaryFile").load(root).filter(F.col("length") > 0)
-    listed = _kept(found, key, keep).select(key.alias("object_key"), "path", "length")
+    return _kept(found, key, keep).select(key.alias("object_key"), "path", "length")
+
+
+def with_done(listed: DataFrame, progress: DataFrame | None = None) -> DataFrame:
+    """Adds the number of records each object has already given."""
     if progress is None:
         return listed.withColumn("done", F.lit(0).cast("bigint"))
     return (
@@ -114,29 +120,17 @@ def _listing(
 
 
 def _spread(df: DataFrame, *by: str) -> DataFrame:
+    ship_package(df.sparkSession)
     return df.repartition(df.sparkSession.sparkContext.defaultParallelism * 4, *by)
 
 
-def read_ranges(
-    spark: SparkSession,
-    root: str,
-    *,
-    chunk_size: int,
-    progress: DataFrame | None = None,
-    keep: Callable[[Column], Column] | None = None,
-    glob: str | None = None,
-) -> DataFrame:
-    """Fixed-size chunks of plain objects.
+def range_chunks(listed: DataFrame, chunk_size: int) -> DataFrame:
+    """Fixed-size chunks of plain objects (``object_key, path, length, done``).
 
     An object is cut into ranges of whole chunks, so a large one is read by
     many tasks and never held as one value. Reading starts behind the chunks
     already done.
     """
-    return range_chunks(_listing(spark, root, keep, glob, progress), chunk_size)
-
-
-def range_chunks(listed: DataFrame, chunk_size: int) -> DataFrame:
-    """Chunks of listed objects (``object_key, path, length, done``)."""
     if chunk_size < 1:
         raise ValueError("chunk size must be at least 1")
     per_range = max(1, RANGE_BYTES // chunk_size) * chunk_size
@@ -200,67 +194,82 @@ def _open(path: str, compression: str):
     return decompressed(open_input(path), compression)
 
 
-def read_compressed_lines(
-    spark: SparkSession,
-    root: str,
-    *,
-    compression: str,
-    keep: Callable[[Column], Column] | None = None,
-    glob: str | None = None,
-) -> DataFrame:
-    return compressed_lines(_listing(spark, root, keep, glob), compression)
-
+def range_lines(listed: DataFrame) -> DataFrame:
+    """Lines of listed plain objects, read in ranges.
 
-def compressed_lines(listed: DataFrame, compression: str) -> DataFrame:
-    """Lines of listed objects, each read as one stream."""
+    A line belongs to the range its first byte is in.
+    """
+    starts = F.sequence(
+        F.lit(0).cast("bigint"), F.col("length") - 1, F.lit(RANGE_BYTES).cast("bigint")
+    )
+    ranges = listed.filter("length > 0").select("object_key", "path", F.explode(starts).alias("start"))
+    width = RANGE_BYTES
 
     def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from sluice.sinks.store import open_random
+
         for batch in batches:
-            for key, path in zip(batch["object_key"].to_pylist(), batch["path"].to_pylist()):
-                with _open(path, compression) as plain:
-                    text = io.TextIOWrapper(plain, encoding="utf-8", errors="replace")
-                    yield from _batched(key, (line.rstrip("\r\n") for line in text))
-
-    def _batched(key: str, lines: Iterator[str]) -> Iterator[pa.RecordBatch]:
-        held: list[str] = []
-        first = 0
-        for line in lines:
-            held.append(line)
-            if len(held) == BATCH_ROWS:
-                yield _line_batch(key, first, held)
-                first += len(held)
-                held = []
-        if held:
-            yield _line_batch(key, first, held)
+            for row in batch.to_pylist():
+                with open_random(row["path"]) as source:
+                    found = _lines_from(source, row["start"], row["start"] + width)
+                    yield from _line_batches(row["object_key"], found, row["start"])
+
+    return _spread(ranges, "path", "start").mapInArrow(lines, _LINES)
+
+
+def _lines_from(source, start: int, end: int) -> Iterator[str]:
+    """Lines that begin in a range of bytes, the last one read to its end."""
+    # From the byte before, so that a line that begins at the start is seen whole.
+    at = max(start - 1, 0)
+    source.seek(at)
+    partial, rest = start > 0, b""
+    while True:
+        more = source.read(1 << 20)
+        *ended, rest = (rest + more).split(b"\n")
+        if not more and rest:
+            ended.append(rest)
+        for line in ended:
+            if partial:
+                partial = False
+            elif at < end:
+                yield from line.decode("utf-8", "replace").removesuffix("\r").split("\r")
+            else:
+                return
+            at += len(line) + 1
+        if not more or (not partial and at >= end):
+            return
 
-    def _line_batch(key: str, first: int, held: list[str]) -> pa.RecordBatch:
+
+def _line_batches(
+    key: str, lines: Iterator[str], block: int | None = None
+) -> Iterator[pa.RecordBatch]:
+    """Lines with their place; without a block they are numbered through."""
+    first = 0
+    while held := list(itertools.islice(lines, BATCH_ROWS)):
         n = len(held)
-        return pa.RecordBatch.from_pydict(
+        blocks = [(first + i) // BLOCK_ROWS if block is None else block for i in range(n)]
+        yield pa.RecordBatch.from_pydict(
             {
                 "object_key": pa.array([key] * n, pa.string()),
-                "block": pa.array([at // BLOCK_ROWS for at in range(first, first + n)], pa.int64()),
+                "block": pa.array(blocks, pa.int64()),
                 "row": pa.array(range(first, first + n), pa.int64()),
                 "line": pa.array(held, pa.string()),
             }
         )
+        first += n
 
-    return _spread(listed, "path").mapInArrow(
-        lines, "object_key string, block bigint, row bigint, line string"
-    )
 
+def compressed_lines(listed: DataFrame, compression: str) -> DataFrame:
+    """Lines of listed objects, each read as one stream."""
 
-def read_compressed_chunks(
-    spark: SparkSession,
-    root: str,
-    *,
-    compression: str,
-    chunk_size: int,
-    progress: DataFrame | None = None,
-    keep: Callable[[Column], Column] | None = None,
-    glob: str | None = None,
-) -> DataFrame:
-    listed = _listing(spark, root, keep, glob, progress)
-    return compressed_chunks(listed, compression, chunk_size)
+    def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for key, path in zip(batch["object_key"].to_pylist(), batch["path"].to_pylist()):
+                with _open(path, compression) as plain:
+                    text = io.TextIOWrapper(plain, encoding="utf-8", errors="replace")
+                    yield from _line_batches(key, (line.removesuffix("\n") for line in text))
+
+    return _spread(listed.filter("length > 0"), "path").mapInArrow(lines, _LINES)
 
 
 def compressed_chunks(listed: DataFrame, compression: str, chunk_size: int) -> DataFrame:

@@ -12,9 +12,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from sluice.functions.naming import match_source_name
-from sluice.session import ship_package
 from sluice.sources.objects import _decoded, clean_lines, is_bad_json, object_key_of
-from sluice.sources.streams import compressed_chunks, compressed_lines, range_chunks
+from sluice.sources.streams import compressed_chunks, compressed_lines, range_chunks, with_done
 
 _FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
@@ -87,13 +86,8 @@ def read_stream(
 def _listed(reader, root: str) -> DataFrame:
     """New objects without their bytes, which tasks read themselves."""
     files = reader.format("binaryFile").schema(_FILE_SCHEMA).load(root).filter(F.col("length") > 0)
-    ship_package(files.sparkSession)
-    return files.select(
-        object_key_of(F.col("path"), root).alias("object_key"),
-        "path",
-        "length",
-        F.lit(0).cast("bigint").alias("done"),
-    )
+    key = object_key_of(F.col("path"), root).alias("object_key")
+    return with_done(files.select(key, "path", "length"))
 
 
 def _key(root: str):

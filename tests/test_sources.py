@@ -129,6 +129,25 @@ def test_blank_and_trimmed_lines(spark):
     assert kept == ["\u2003 x", "\u00a0", "a b", "\u2007", "é"]
 
 
+@pytest.mark.parametrize("width", [1, 2, 3, 7, 50, 10_000])
+def test_an_inventory_in_place_of_listing(spark, tmp_path, monkeypatch, width):
+    """Every line is read once, wherever the ranges are cut."""
+    monkeypatch.setattr("sluice.sources.streams.RANGE_BYTES", width)
+    texts = {"a": "1\n22\n\n333\n", "b": "4\r\n5\r6\n\n\n7", "c": "\n", "d": "é" * 30 + "\n8"}
+    for name, text in texts.items():
+        put(str(tmp_path), name, text)
+    rows = [(n, f"{tmp_path}/{n}", len(t.encode())) for n, t in texts.items()]
+    listing = spark.createDataFrame([*rows, ("e", "/nowhere", 0)], "object_key string, path string, length bigint")
+    found = {}
+    for r in obj.read_lines(spark, "", listing=listing).orderBy("object_key", "block", "row").collect():
+        found.setdefault(r["object_key"], []).append(r["line"])
+    assert found == {"a": ["1", "22", "", "333"], "b": ["4", "5", "6", "", "", "7"], "c": [""], "d": ["é" * 30, "8"]}
+    read = obj.read_objects(spark, "", "jsonl", listing=listing, keep=lambda k: k < "d")
+    assert {k: sorted(v) for k, v in values(read).items()} == {"a": ["1", "22", "333"], "b": ["4", "5", "6", "7"]}
+    chunks = values(obj.read_objects(spark, "", "bytes", chunk_size=4, listing=listing))
+    assert {k: b"".join(bytes(c) for c in v).decode() for k, v in chunks.items()} == texts
+
+
 @pytest.mark.parametrize("compression", ["gzip", "snappy", "zstd"])
 def test_compressed(spark, tmp_path, compression, monkeypatch):
     monkeypatch.setattr("sluice.sources.streams.BATCH_ROWS", 7)
