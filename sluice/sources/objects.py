@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.functions.naming import match_source_name
+from sluice.sinks.store import local_path
 from sluice.operators.slices import SLICE_WIDTH, cut_at_first
 
 # Chunk size of the bytes format, and the formats there are.
@@ -60,17 +61,21 @@ def match_names(
 
 
 def object_key_of(path: Column, root: str) -> Column:
-    """Path below ``root``, for paths as ``binaryFile`` reports them."""
-    plain_root = root.rstrip("/").split("://", 1)[-1] + "/"
-    plain = F.regexp_replace(path, r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*(?=/))?/*(?=/)", "")
-    below = "/" + plain_root.split("/", 1)[1] if "://" in root else plain_root
-    return F.when(plain.startswith(below), F.substring(plain, len(below) + 1, 2**31 - 1)).otherwise(
-        plain
-    )
+    """Path below ``root``; schemes may differ, as ``s3`` and ``s3a`` do."""
+    scheme, sep, rest = root.partition("://")
+    if sep and scheme != "file":
+        below = f"//{rest.rstrip('/')}/"
+    else:
+        below = f"{local_path(root)}/".replace("//", "/")
+    at = F.instr(path, F.lit(below))
+    key = F.substring(path, at + F.lit(len(below)), F.lit(2**31 - 1))
+    return F.when(at > 0, key).otherwise(path)
 
 
 def _decoded(path: Column) -> Column:
-    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    """A path as ``_metadata`` has it, without its escapes."""
+    plain = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    return F.when(F.contains(path, F.lit("%")), plain).otherwise(path)
 
 
 def list_objects(

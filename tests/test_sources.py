@@ -44,6 +44,23 @@ def test_listing(spark, tmp_path):
     assert {r[0] for r in text.collect()} == {"a/1.txt", "a/10.txt", "a/2 +ü%41.txt", "b/1.txt"}
 
 
+@pytest.mark.parametrize(
+    "root, path, key",
+    [
+        ("s3://b/p", "s3a://b/p/a/b.txt", "a/b.txt"),
+        ("s3a://p/p/", "s3a://p/p/x", "x"),
+        ("gs://b", "gs://b/x/y", "x/y"),
+        ("/tmp/x", "file:/tmp/x/y", "y"),
+        ("file:///tmp/x/", "file:///tmp/x/tmp/x/y", "tmp/x/y"),
+        ("/", "file:/a/b", "a/b"),
+        ("/tmp/x", "file:/tmp/xy/z", "file:/tmp/xy/z"),
+    ],
+)
+def test_object_keys(spark, root, path, key):
+    df = spark.range(1).select(F.lit(path).alias("p"))
+    assert df.select(obj.object_key_of(F.col("p"), root)).first()[0] == key
+
+
 @pytest.mark.parametrize("size, second", [(4096, 1904), (3000, 3000), (4101, 1899)])
 def test_bytes(spark, tmp_path, size, second):
     data = bytes(i % 256 for i in range(6000))
