@@ -94,7 +94,8 @@ def group_records(
             local=F.col(_LOCAL),
         ),
     )
-    return started.withColumn("file_name", F.concat(F.lit(prefix), name)).drop("_key_string", _LOCAL, "_rendered_time")
+    named = started.withColumn("file_name", F.concat(F.lit(prefix), name))
+    return named.drop("_key_string", _LOCAL, "_rendered_time")
 
 
 def placed_width(

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from sluice.operators.slices import SLICE, SLICE_WIDTH, attach, before, row_numbers, with_slice, within

@@ -260,6 +260,15 @@ def test_bounded_set(spark):
     assert sorted(r[0] for r in prog.drop_processed(objects, processed).collect()) == ["b", "e", "f"]
 
 
+def test_records_are_numbered_across_blocks(spark):
+    rows = [("o", b, i, f"{b}/{i}") for b in (0, 100, 200) for i in range(5)] + [("p", 0, 9, "x")]
+    df = spark.createDataFrame(rows, "object_key string, block bigint, row bigint, value string")
+    numbered = prog.record_numbers(df, position="row", slice_by="block").orderBy("object_key", "record_no")
+    assert [(r["record_no"], r["value"]) for r in numbered.collect()] == [
+        *[(i + 1, v) for i, (_, _, _, v) in enumerate(rows[:15])], (1, "x"),
+    ]
+
+
 def test_resume_with_slices(spark):
     rows = [("o", i, str(i)) for i in range(20)] + [("p", 3, "x")]
     df = spark.createDataFrame(rows, "object_key string, position bigint, value string")
