@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sluice.llm import archive
+from sluice.llm import archive, packing
 from sluice.llm.common import table
 from sluice.session import scratch_path
 
@@ -12,6 +12,16 @@ QUERIES: dict = {}
 SQL: dict[str, str] = {}
 
 
+def tokenizer_files() -> dict[str, str]:
+    import public_tokenizers as public
+
+    return {
+        "tokenizer": public.path("byte_bpe_50k.json"),
+        "ranks": public.path("byte_bpe_50k.tiktoken"),
+        "pattern": public.PATTERN,
+    }
+
+
 def query(run):
     QUERIES[run.__name__] = run
     return run
@@ -42,3 +52,8 @@ SELECT page_id, payload_bytes,
        CASE WHEN page_id <> top THEN top END AS refers_to
 FROM p JOIN t USING (h)
 """
+
+
+@query
+def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), **tokenizer_files())
