@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sluice.llm import archive, packing
+from sluice.llm import archive, packing, simhash
 from sluice.llm.common import table
 from sluice.session import scratch_path
 
@@ -57,3 +57,8 @@ FROM p JOIN t USING (h)
 @query
 def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), **tokenizer_files())
+
+
+@query
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, max_bits=3)
