@@ -96,11 +96,11 @@ def write_archive(
         f"{path}/headers"
     )
 
-    wanted = tops.select(F.col("digest").alias("d"), F.col("top"))
-    stored = rows.select("digest", "page_id", "payload").join(
-        wanted, (F.col("digest") == F.col("d")) & F.col("page_id").eqNullSafe(F.col("top"))
-    )
-    stored.groupBy("digest", "page_id").agg(F.first("payload").alias("payload")).select(
+    def slot(page_id: str) -> Column:  # a null id is a slot too; the aggregate reuses the join's partitioning
+        return F.coalesce(F.col(page_id).cast("string"), F.lit("null")).alias("slot")
+
+    stored = rows.select("digest", slot("page_id"), "payload").join(tops.select("digest", slot("top")), ["digest", "slot"])
+    stored.groupBy("digest", "slot").agg(F.first("payload").alias("payload")).select(
         "digest", "payload"
     ).write.option("compression", "zstd").parquet(f"{path}/payloads")
 
