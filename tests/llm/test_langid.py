@@ -1,0 +1,65 @@
+"""Language profiles: vectors against the definition, held-out accuracy, odd rows."""
+
+import random
+from collections import Counter
+
+import numpy as np
+
+from sluice.llm import langid
+
+
+def test_vectors_by_definition():
+    dim, seed = 64, 3
+    letters = langid._letters(dim, seed).astype(int)
+    texts = ["Ab, ca!!  aB", "", None, "  123 ", "é", "ab" * 500]
+    found = langid.vectors(texts, dim, seed)
+    for text, got in zip(texts, found, strict=True):
+        words = "".join(c if c.isalpha() else " " for c in (text or "").lower()).split()
+        padded = " " + " ".join(words) + " " if words else ""
+        want = np.zeros(dim)
+        for gram, n in Counter(zip(padded, padded[1:], padded[2:])).items():
+            a, b, c = (letters[0 if x == " " else ord(x)] for x in gram)
+            want += n * np.roll(a, 2) * np.roll(b, 1) * c
+        assert (got == want).all()
+
+
+def test_pieces(monkeypatch):
+    text = "".join(random.Random(1).choices("abc é", k=3000))
+    whole = langid.ngrams(text)
+    monkeypatch.setattr(langid, "PIECE", 97)
+    cut = langid.ngrams(text)
+    assert (whole[0] == cut[0]).all() and (whole[1] == cut[1]).all()
+
+
+SYLLABLES = {"aa": ["ba", "lo", "mi"], "bb": ["ter", "ung", "sch"], "cc": ["ειν", "και", "το"]}
+
+
+def fixture(spark, n=240):
+    rng = random.Random(8)
+    rows = []
+    for i in range(n):
+        lang = sorted(SYLLABLES)[i % 3]
+        words = ["".join(rng.choices(SYLLABLES[lang], k=rng.randrange(1, 5))) for _ in range(rng.randrange(3, 60))]
+        rows.append((i, " ".join(words), lang, 0.0))
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, score double")
+
+
+def test_held_out(spark):
+    docs = fixture(spark)
+    rows = langid.predict(docs, langid.fit(docs)).collect()
+    held = [r for r in rows if r.held_out]
+    assert len(held) > 30 and all(r.lang_pred == sorted(SYLLABLES)[r.doc_id % 3] for r in held)
+    assert all(0 <= r.score <= 1 for r in rows)
+
+
+def test_odd_rows(spark):
+    docs = fixture(spark, 30)
+    odd = spark.createDataFrame(
+        [(None, None, None, 0.0), (1, "", "aa", 0.0), (1, "12 %%", None, 0.0), (2, "balo" * 400_000, None, 0.0)], docs.schema
+    )
+    model = langid.fit(docs.unionByName(odd))
+    rows = langid.predict(odd, model).collect()
+    assert [(r.lang_pred, r.score) for r in rows[:3]] == [("und", 0.0)] * 3 and rows[3].lang_pred == "aa"
+    empty = langid.fit(docs.limit(0))
+    assert {(r.lang_pred, r.score) for r in langid.predict(docs, empty).collect()} == {("und", 0.0)}
+    assert langid.predict(docs.limit(0), model).count() == 0
