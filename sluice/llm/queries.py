@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sluice.llm import archive, langid, packing, quality, simhash, toxicity
+from sluice.llm import archive, langid, lm, packing, quality, simhash, toxicity
 from sluice.llm.common import table
 from sluice.session import scratch_path
 
@@ -80,3 +80,8 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return langid.predict(docs, langid.fit(docs))
+
+
+@query
+def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"))
