@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sluice.llm import archive, langid, lm, packing, quality, simhash, toxicity
+from sluice.llm import archive, decontamination, langid, lm, packing, quality, simhash, toxicity
 from sluice.llm.common import table
 from sluice.session import scratch_path
 
@@ -85,3 +85,8 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
