@@ -108,7 +108,7 @@ def matches(
         raise ValueError("radius must be 0 to 63")
     known = items.select(F.col(item_id_col).alias("item_id"), words(item_text_col).alias("w")).where("size(w) > 0").distinct()
     known = keep(known, "items")
-    grams = known.select(F.size("w").alias("m"), F.posexplode(_shingle_hashes("w", shingle)).alias("j", "h")).distinct()
+    grams = known.select(F.size("w").alias("m"), F.posexplode_outer(_shingle_hashes("w", shingle)).alias("j", "h")).distinct()
     grams = keep(grams, "item-shingles")
     small = grams.count() <= broadcast_rows
 
@@ -152,15 +152,19 @@ def matches(
 
 
 def _hits(texts: DataFrame, grams: DataFrame, length: int, small: bool) -> DataFrame:
-    """``doc_id, digest, w, pos, m, j``: where texts have a shingle of an item."""
+    """``doc_id, digest, w, pos, m, j``: where texts have a shingle of an item.
+
+    The outer explode keeps Catalyst from inferring a filter on the size of the
+    hashes, which it would push below the projection, words and all.
+    """
     if small:
         rows = texts.withColumn("hs", _shingle_hashes("w", length))
         return (
-            rows.select("doc_id", "digest", "w", F.posexplode("hs").alias("pos", "h"))
+            rows.select("doc_id", "digest", "w", F.posexplode_outer("hs").alias("pos", "h"))
             .join(F.broadcast(grams), "h")
             .select("doc_id", "digest", "w", "pos", "m", "j")
         )
-    rows = texts.withColumn("hs", _shingle_hashes("w", length)).select("doc_id", "digest", F.posexplode("hs").alias("pos", "h"))
+    rows = texts.withColumn("hs", _shingle_hashes("w", length)).select("doc_id", "digest", F.posexplode_outer("hs").alias("pos", "h"))
     narrow = rows.join(grams, "h").select("doc_id", "digest", "pos", "m", "j").distinct().alias("n")
     same = F.col("n.doc_id").eqNullSafe(F.col("t.doc_id")) & (F.col("n.digest") == F.col("t.digest"))
     return narrow.join(texts.distinct().alias("t"), same).select("t.doc_id", "t.digest", "t.w", "n.pos", "n.m", "n.j")

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -79,32 +78,23 @@ def sample(labels: DataFrame, max_rows: int, id_col: str, label_col: str, allowe
     return known.where(F.pmod(F.xxhash64("id", F.lit("sample")), F.lit(steps)) < int(share * steps))
 
 
-def labelled_grams(
-    docs: DataFrame, chosen: DataFrame, id_col: str, text_col: str, featurize: Callable[[str | None], bytes], shards: int
-) -> DataFrame:
-    """``shard, id, label, grams`` of the sampled documents, ``grams`` as ``featurize`` packs them.
+def labelled_texts(docs: DataFrame, chosen: DataFrame, id_col: str, text_col: str, shards: int) -> DataFrame:
+    """``shard, id, label, text`` of the sampled documents.
 
-    The sample is bounded by its parameter and broadcast, so texts are not shuffled.
+    The sample is bounded by its parameter and broadcast, so the corpus is not
+    shuffled. Texts are smaller than their features, which are worked out anew
+    in each round.
     """
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     rows = rows.join(F.broadcast(chosen), "id")
     shard = F.pmod(F.xxhash64("id", F.lit("shard")), F.lit(shards)).cast("int")
-    rows = rows.select(shard.alias("shard"), F.col("id").cast("long").alias("id"), F.col("label").cast("long").alias("label"), "text")
+    return rows.select(shard.alias("shard"), F.col("id").cast("long").alias("id"), F.col("label").cast("long").alias("label"), "text")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [featurize(t.as_py()) for t in batch.column(3)]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:3], pa.array(found, pa.binary())], names=["shard", "id", "label", "grams"]
-            )
 
-    return rows.mapInArrow(run, "shard int, id long, label long, grams binary")
+Step = Callable[[dict, list, np.ndarray, int], dict]
 
 
-Step = Callable[[dict, list[bytes], np.ndarray, int], dict]
-
-
-def average_rounds(rows: DataFrame, params: dict, step: Step, rounds: int) -> dict:
+def average_rounds(rows: DataFrame, params: dict, featurize: Callable, step: Step, rounds: int) -> dict:
     """Parameter mixing: in each round every shard trains from the common
     parameters, and the results are averaged by the shards' rows.
 
@@ -114,7 +104,7 @@ def average_rounds(rows: DataFrame, params: dict, step: Step, rounds: int) -> di
     schema = "n long, " + ", ".join(f"{k} binary" for k in params)
     for number in range(rounds):
         shared = context.broadcast(params)
-        trained = rows.groupBy("shard").applyInPandas(_trainer(shared, step, number), schema)
+        trained = rows.groupBy("shard").applyInPandas(_trainer(shared, featurize, step, number), schema)
         total, sums = 0, {k: np.zeros(v.shape) for k, v in params.items()}
         for row in trained.toLocalIterator():
             total += row.n
@@ -125,11 +115,11 @@ def average_rounds(rows: DataFrame, params: dict, step: Step, rounds: int) -> di
     return params
 
 
-def _trainer(shared: Broadcast, step: Step, number: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
+def _trainer(shared: Broadcast, featurize: Callable, step: Step, number: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
     def train(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["id", "label"], kind="stable")
         params = {k: np.array(v) for k, v in shared.value.items()}
-        new = step(params, frame["grams"].tolist(), frame["label"].to_numpy(), number)
+        new = step(params, [featurize(t) for t in frame["text"]], frame["label"].to_numpy(), number)
         return pd.DataFrame({"n": [len(frame)], **{k: [v.astype("<f4").tobytes()] for k, v in new.items()}})
 
     return train

@@ -23,16 +23,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluice.llm.common import held_out, keep, ready
-from sluice.llm.features import average_rounds, labelled_grams, sample, weighted_grams
+from sluice.llm.features import average_rounds, labelled_texts, sample, weighted_grams
 
 SIZES = (1, 2, 3)
 BITS = 18
 SHARDS = 8
 
 
-def _features(text: str | None) -> bytes:
-    found, weights = weighted_grams(text, SIZES, BITS)
-    return found.tobytes() + weights.tobytes()
+def _features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    return weighted_grams(text, SIZES, BITS)
 
 
 def _sigmoid(x):
@@ -43,7 +42,7 @@ def fit(
     docs: DataFrame,
     labels: DataFrame,
     *,
-    max_rows: int = 16_000,
+    max_rows: int = 12_000,
     max_grades: int = 64,
     rounds: int = 6,
     rate: float = 8.0,
@@ -58,7 +57,7 @@ def fit(
     """
     ready(docs)
     chosen = keep(sample(labels, max_rows, id_col, label_col, ~held_out("id", *hold)), "chosen")
-    rows = keep(labelled_grams(docs, chosen, id_col, text_col, _features, SHARDS), "labelled")
+    rows = keep(labelled_texts(docs, chosen, id_col, text_col, SHARDS), "labelled")
     counts = sorted((r.label, r["count"]) for r in rows.groupBy("label").count().limit(max_grades + 1).collect())
     if len(counts) > max_grades:
         raise ValueError(f"more than {max_grades} grades")
@@ -67,14 +66,12 @@ def fit(
         return {"grades": grades, "weights": np.zeros(1 << BITS, np.float32), "thresholds": np.zeros(0)}
     below = np.cumsum([n for _, n in counts])[:-1] / sum(n for _, n in counts)
 
-    def step(params: dict, found: list[bytes], label: np.ndarray, number: int) -> dict:
+    def step(params: dict, found: list[tuple], label: np.ndarray, number: int) -> dict:
         w, cuts = params["w"], params["cuts"]
         pace = rate / (1 + number)
         at_grade = np.searchsorted(grades, label)
         for i in np.random.default_rng(number).permutation(len(found)):
-            half = len(found[i]) // 2
-            at = np.frombuffer(found[i][:half], np.uint32)
-            x = np.frombuffer(found[i][half:], np.float32)
+            at, x = found[i]
             total = float(w[at] @ x)
             y = int(at_grade[i])
             upper = _sigmoid(cuts[y] - total) if y < len(cuts) else 1.0
@@ -89,7 +86,7 @@ def fit(
         return {"w": w, "cuts": cuts}
 
     start = {"w": np.zeros(1 << BITS), "cuts": np.log(below / (1 - below))}
-    params = average_rounds(rows, start, step, rounds)
+    params = average_rounds(rows, start, _features, step, rounds)
     return {"grades": grades, "weights": params["w"].astype(np.float32), "thresholds": params["cuts"]}
 
 
@@ -116,7 +113,7 @@ def score(
         for batch in batches:
             means, tails = [None] * len(batch), [None] * len(batch)
             for i, text in enumerate(batch.column(1) if len(grades) else ()):
-                at, x = weighted_grams(text.as_py(), SIZES, BITS)
+                at, x = _features(text.as_py())
                 below = np.r_[0.0, _sigmoid(cuts - float(weights[at] @ x)), 1.0]
                 means[i] = float(np.diff(below) @ grades)
                 tails[i] = 1 - float(below[min(wanted, len(grades))])

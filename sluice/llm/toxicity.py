@@ -22,22 +22,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.llm.common import held_out, keep, ready
-from sluice.llm.features import average_rounds, grams, labelled_grams, sample
+from sluice.llm.features import average_rounds, grams, labelled_texts, sample
 
 SIZES = (3, 4, 5)
 BITS = 20
 SHARDS = 8
 
 
-def _features(text: str | None) -> bytes:
-    return grams(text, SIZES, BITS, True).tobytes()
+def _features(text: str | None) -> np.ndarray:
+    return grams(text, SIZES, BITS, True)
 
 
 def fit(
     docs: DataFrame,
     labels: DataFrame,
     *,
-    max_rows: int = 24_000,
+    max_rows: int = 12_000,
     rounds: int = 4,
     alpha: float = 1.0,
     id_col: str = "doc_id",
@@ -52,12 +52,12 @@ def fit(
     """
     ready(docs)
     chosen = keep(sample(labels, max_rows, id_col, label_col, ~held_out("id", *hold)), "chosen")
-    rows = keep(labelled_grams(docs, chosen, id_col, text_col, _features, SHARDS), "labelled")
+    rows = keep(labelled_texts(docs, chosen, id_col, text_col, SHARDS), "labelled")
 
     def counts(frame: pd.DataFrame) -> pd.DataFrame:
         found = np.zeros((2, 1 << BITS), np.int32)
-        for label, blob in zip(frame["label"], frame["grams"], strict=True):
-            found[int(label > 0), np.frombuffer(blob, np.uint32)] += 1
+        for label, text in zip(frame["label"], frame["text"], strict=True):
+            found[int(label > 0), _features(text)] += 1
         toxic = int((frame["label"] > 0).sum())
         return pd.DataFrame({"n": [len(frame)], "toxic": [toxic], "counts": [found.tobytes()]})
 
@@ -73,12 +73,12 @@ def fit(
     ratio = np.log(share[1] / share[0])
     ratio[found.sum(0) < 3] = 0.0  # too rare to tell from chance
 
-    def step(params: dict, found: list[bytes], label: np.ndarray, number: int) -> dict:
+    def step(params: dict, found: list[np.ndarray], label: np.ndarray, number: int) -> dict:
         w, b = params["w"], params["b"]
         order = np.random.default_rng(number).permutation(len(found))
         rate = 0.1 / (1 + number)
         for i in order:
-            at = np.frombuffer(found[i], np.uint32)
+            at = found[i]
             scale = ratio32[at]
             margin = float(scale @ w[at]) + b[0]
             error = (label[i] > 0) - 1 / (1 + np.exp(-np.clip(margin, -30, 30)))
@@ -91,7 +91,7 @@ def fit(
 
     ratio32 = ratio.astype(np.float32)
     start = {"w": np.full(1 << BITS, 0.0), "b": np.array([bias])}
-    params = average_rounds(rows, start, step, rounds)
+    params = average_rounds(rows, start, _features, step, rounds)
     return {"weights": (params["w"] * ratio).astype(np.float32), "bias": params["b"].astype(np.float32)}
 
 
