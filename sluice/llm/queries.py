@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sluice.llm import archive, decontamination, langid, lm, packing, quality, simhash, toxicity
+from sluice.llm import archive, decontamination, embeddings, langid, lm, packing, quality, simhash, toxicity
 from sluice.llm.common import table
 from sluice.session import scratch_path
 
@@ -90,3 +90,8 @@ def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op2_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"), least=0.95)
