@@ -19,12 +19,12 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BUCKET_BYTES = 32 << 20
+BUCKET_BYTES = 8 << 20
 BLOCK_BYTES = 8 << 20
 
 
 def n_buckets(docs: DataFrame, text_col: str) -> int:
-    """One bucket for each 32 MiB of text, 16 at least."""
+    """One bucket for each 8 MiB of text, 16 at least."""
     total = docs.agg(F.sum(F.octet_length(F.col(text_col).cast("string")).cast("double"))).first()[0]
     return max(16, -(-int(total or 0) // BUCKET_BYTES))
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sluice.llm import archive, decontamination, embeddings, langid, lm, packing, quality, simhash, toxicity
+from sluice.llm import archive, decontamination, embeddings, langid, lm, packing, quality, simhash, suffixes, toxicity
 from sluice.llm.common import table
 from sluice.session import scratch_path
 
@@ -95,3 +95,8 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"), least=0.95)
+
+
+@query
+def op6_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.deduplicate(table(spark, sf_dir, "documents"), width=50)
