@@ -20,7 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluice.llm.common import components, keep, ready
@@ -47,17 +47,22 @@ def fingerprint(text: str | None, words: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, *, words: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, fp`` (the 64 bits as a signed long) for every row."""
+    """``doc_id, digest, fp`` for every row: a hash of the text, and the 64 bits as a signed long."""
     ready(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = (fingerprint(t.as_py(), words) for t in batch.column(1))
             fps = np.fromiter(found, np.uint64, len(batch)).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps)], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:1], batch.column(2), pa.array(fps)], names=["doc_id", "digest", "fp"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, fp long")
+    text = F.col(text_col).cast("string")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), digest(text_col).alias("digest"))
+    return rows.mapInArrow(run, "doc_id long, digest long, fp long")
+
+
+def digest(text_col: str) -> Column:
+    return F.xxhash64(F.col(text_col).cast("string"))
 
 
 def position_sets(max_bits: int) -> list[tuple[int, ...]]:
@@ -180,14 +185,8 @@ def near_duplicates(
     reachable row has an id; ``kept`` says whether it is the row's own (rows
     that repeat an id are all kept or all left). Other columns are left out.
     """
-    marked = keep(fingerprints(docs, words=words, id_col=id_col, text_col=text_col), "fingerprints")
-    classes = keep(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), "classes")
-    joined = components(keep(links(classes.select("fp"), max_bits=max_bits), "near"))
-    joined = joined.select(F.col("node").alias("fp"), F.col("component").alias("centre"))
-    centred = keep(
-        classes.join(joined, "fp", "left").select("fp", "first", F.coalesce("centre", "fp").alias("centre")), "centred"
-    )
-    firsts = centred.groupBy("centre").agg(F.min("first").alias("component_id"))
+    marked, centred = _grouped(docs, words, max_bits, id_col, text_col)
+    firsts = centred.groupBy("centre").agg(F.min("first.doc_id").alias("component_id"))
     named = centred.join(firsts, "centre").select("fp", "component_id")
     return marked.join(named, "fp").select(
         "doc_id",
@@ -195,3 +194,33 @@ def near_duplicates(
         "component_id",
         F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"),
     )
+
+
+def _grouped(docs: DataFrame, words: int, max_bits: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """The rows' fingerprints; and per fingerprint its first row and its component's centre."""
+    marked = keep(fingerprints(docs, words=words, id_col=id_col, text_col=text_col), "fingerprints")
+    row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "digest")
+    classes = keep(marked.groupBy("fp").agg(F.min(row).alias("first")), "classes")
+    joined = components(keep(links(classes.select("fp"), max_bits=max_bits), "near"))
+    joined = joined.select(F.col("node").alias("fp"), F.col("component").alias("centre"))
+    centred = classes.join(joined, "fp", "left").select("fp", "first", F.coalesce("centre", "fp").alias("centre"))
+    return marked, keep(centred, "centred")
+
+
+def survivors(
+    docs: DataFrame, *, words: int = 3, max_bits: int = 3, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """One row of each group of near-duplicates, with all its columns.
+
+    The row with the smallest id stays (null comes last; of several texts with
+    that id, one by their hash; of rows equal in both, any one).
+    """
+    _, centred = _grouped(docs, words, max_bits, id_col, text_col)
+    first = centred.groupBy("centre").agg(F.min("first").alias("first"))
+
+    def slot(column: str) -> Column:
+        return F.coalesce(F.col(column).cast("string"), F.lit("null"))
+
+    wanted = keep(first.select(slot("first.doc_id").alias("_slot"), F.col("first.digest").alias("_digest")), "survivors")
+    rows = docs.withColumns({"_slot": slot(id_col), "_digest": digest(text_col)})
+    return rows.join(wanted, ["_slot", "_digest"], "left_semi").dropDuplicates(["_slot", "_digest"]).select(*docs.columns)

@@ -109,11 +109,9 @@ def score(
     shared = spark.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights, bias = shared.value["weights"], float(shared.value["bias"][0])
         for batch in batches:
-            margins = np.array([weights[grams(t.as_py(), SIZES, BITS, True)].sum(dtype=np.float64) for t in batch.column(1)])
-            scores = 1 / (1 + np.exp(-np.clip(margins + bias, -500, 500)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], names=["doc_id", "score"])
+            scores = pa.array(_scores(batch.column(1), shared.value), pa.float64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), scores], names=["doc_id", "score"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(run, "doc_id long, score double").select(
@@ -122,3 +120,21 @@ def score(
         "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"),
     )
+
+
+def clean(docs: DataFrame, model: dict[str, np.ndarray], *, threshold: float = 0.7, text_col: str = "text") -> DataFrame:
+    """The rows that score below the threshold, with all their columns."""
+    shared = ready(docs).sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            scores = _scores(batch.column(text_col), shared.value)
+            yield batch.filter(pa.array(scores < threshold))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
+def _scores(texts: pa.Array, model: dict[str, np.ndarray]) -> np.ndarray:
+    weights, bias = model["weights"], float(model["bias"][0])
+    margins = np.array([weights[_features(t.as_py())].sum(dtype=np.float64) for t in texts], np.float64)
+    return 1 / (1 + np.exp(-np.clip(margins + bias, -500, 500)))
