@@ -21,9 +21,6 @@ CODEC_SUFFIX = {"none": "", "gzip": ".gz", "snappy": ".snappy", "zstd": ".zst"}
 PARTITION_WIDTH = 10
 OFFSET_WIDTH = 20
 
-_PLACEHOLDER = re.compile(r"\{\{\s*(?P<name>\w+)?(?P<colon>:?)(?P<param>[\w=]+)?\s*\}\}", re.ASCII)
-
-
 @dataclass(frozen=True)
 class Part:
     """Literal text, or a variable with an optional ``param=value``."""
@@ -38,30 +35,55 @@ class Part:
         return (self.value or "").lower() == "true"
 
 
+def _word(text: str) -> bool:
+    return text.isascii() and text.replace("_", "a").isalnum()
+
+
+def _placeholder(text: str) -> Part | None:
+    """The variable between a pair of double braces; None if it is plain text.
+
+    A variable is a word, with blanks around it at most, and may carry one
+    ``:name=value`` of words (more ``=`` end the value). What is spelled like
+    one but lacks a part is an error.
+    """
+    variable, colon, setting = text[2:-2].strip().partition(":")
+    if (variable and not _word(variable)) or (setting and not _word(setting.replace("=", "a"))):
+        return None
+    pieces = setting.split("=")
+    lacking = [
+        what
+        for what, there in (
+            ("variable", variable),
+            ("parameter", pieces[0] or not colon),
+            ("value", "".join(pieces[1:2]) or not colon),
+        )
+        if not there
+    ]
+    if lacking:
+        raise ValueError(f"{text!r} has no {lacking[0]}")
+    return Part(text, variable, *pieces[:2]) if colon else Part(text, variable)
+
+
 def parse_template(template: str) -> list[Part]:
+    """Literal texts and variables in turn.
+
+    Each closing pair of braces is taken together with the nearest pair
+    before it that opens.
+    """
     parts: list[Part] = []
-    end = 0
-    for m in _PLACEHOLDER.finditer(template):
-        if m.start() > end:
-            parts.append(Part(template[end : m.start()]))
-        name, param = m["name"], m["param"]
-        if name is None:
-            raise ValueError(f"placeholder without a variable name in {template!r}")
-        if m["colon"] and param is None:
-            raise ValueError(f"variable {name!r} has ':' but no parameter")
-        key = value = None
-        if param is not None:
-            key, _, value = param.partition("=")
-            if not key:
-                raise ValueError(f"parameter of {name!r} has no name")
-            if not value:
-                raise ValueError(f"parameter {key!r} of {name!r} has no value")
-            value = value.split("=", 1)[0]
-        parts.append(Part(m.group(0), name, key, value))
-        end = m.end()
-    if end < len(template):
-        parts.append(Part(template[end:]))
-    return parts
+    literal, rest = "", template
+    while rest:
+        inside, closed, after = rest.partition("}}")
+        at = inside.rfind("{{") if closed else -1
+        part = _placeholder(inside[at:] + closed) if at >= 0 else None
+        if part is None:
+            literal, rest = literal + inside + closed, after
+            continue
+        literal += inside[:at]
+        parts += [Part(literal)] if literal else []
+        parts.append(part)
+        literal, rest = "", after
+    return parts + ([Part(literal)] if literal else [])
 
 
 def template_variables(template: str) -> list[str]:

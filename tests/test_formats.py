@@ -68,16 +68,16 @@ def test_csv_takes_bytes_only(spark):
 
 def test_json_lines(spark):
     df = spark.createDataFrame(
-        [(0, 1000, "key0", ("John",)), (1, None, None, None)],
-        "offset bigint, timestamp_ms bigint, key string, value struct<name:string>",
+        [(17, 86_400_250, "sku-9", ("teapot",)), (18, None, None, None)],
+        "offset bigint, timestamp_ms bigint, key string, value struct<item:string>",
     )
-    assert lines(df, fmt.json_line(["value"])) == ['{"value":{"name":"John"}}', '{"value":null}']
-    assert lines(df, fmt.json_line(["value"], envelope=False)) == ['{"name":"John"}', "null"]
-    assert lines(df, fmt.json_line(["offset"], envelope=False)) == ["0", "1"]
+    assert lines(df, fmt.json_line(["value"])) == ['{"value":{"item":"teapot"}}', '{"value":null}']
+    assert lines(df, fmt.json_line(["value"], envelope=False)) == ['{"item":"teapot"}', "null"]
+    assert lines(df, fmt.json_line(["offset"], envelope=False)) == ["17", "18"]
     whole = [json.loads(line) for line in lines(df, fmt.json_line(["key", "value", "timestamp", "offset"]))]
     assert whole == [
-        {"key": "key0", "value": {"name": "John"}, "timestamp": "1970-01-01T00:00:01Z", "offset": 0},
-        {"key": None, "value": None, "timestamp": None, "offset": 1},
+        {"key": "sku-9", "value": {"item": "teapot"}, "timestamp": "1970-01-02T00:00:00.250Z", "offset": 17},
+        {"key": None, "value": None, "timestamp": None, "offset": 18},
     ]
 
 

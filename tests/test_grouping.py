@@ -32,44 +32,48 @@ def files(df):
     return {name: sorted(offsets) for name, offsets in out.items()}
 
 
-INTERLEAVED = (
-    [rec("topic0", 0, o) for o in range(6)]
-    + [rec("topic0", 1, o) for o in range(10, 14)]
-    + [rec("topic1", 1, o) for o in range(1000, 1004)]
-)
+# Three partitions with gaps, their records dealt out in turn.
+INTERLEAVED = [
+    rec(topic, partition, offset)
+    for offsets in zip([3, 4, 8, 9, 15, 16, 17], [70, 72, 74, 76, 78, 80, 82], [0, 5, 500, 501, 502, 900, 901])
+    for (topic, partition), offset in zip([("clicks", 2), ("clicks", 7), ("views", 2)], offsets)
+]
 
 
 @pytest.mark.parametrize("width", [1, 3, 1 << 18])
 def test_unlimited(spark, width):
     df = spark.createDataFrame(INTERLEAVED, SCHEMA)
     assert files(group_records(df, CHANGELOG, slice_width=width)) == {
-        "topic0-0-0": [0, 1, 2, 3, 4, 5],
-        "topic0-1-10": [10, 11, 12, 13],
-        "topic1-1-1000": [1000, 1001, 1002, 1003],
+        "clicks-2-3": [3, 4, 8, 9, 15, 16, 17],
+        "clicks-7-70": [70, 72, 74, 76, 78, 80, 82],
+        "views-2-0": [0, 5, 500, 501, 502, 900, 901],
     }
 
 
 @pytest.mark.parametrize("width", [1, 3, 1 << 18])
 def test_limited(spark, width):
     df = spark.createDataFrame(INTERLEAVED, SCHEMA)
-    assert files(group_records(df, CHANGELOG, max_records=2, slice_width=width)) == {
-        "topic0-0-0": [0, 1],
-        "topic0-0-2": [2, 3],
-        "topic0-0-4": [4, 5],
-        "topic0-1-10": [10, 11],
-        "topic0-1-12": [12, 13],
-        "topic1-1-1000": [1000, 1001],
-        "topic1-1-1002": [1002, 1003],
+    assert files(group_records(df, CHANGELOG, max_records=3, slice_width=width)) == {
+        "clicks-2-3": [3, 4, 8],
+        "clicks-2-9": [9, 15, 16],
+        "clicks-2-17": [17],
+        "clicks-7-70": [70, 72, 74],
+        "clicks-7-76": [76, 78, 80],
+        "clicks-7-82": [82],
+        "views-2-0": [0, 5, 500],
+        "views-2-501": [501, 502, 900],
+        "views-2-901": [901],
     }
 
 
 def test_hours_share_the_start_offset(spark):
-    rows = [rec("topic0", 0, o, ms=HOUR * (o // 4)) for o in range(1, 6)]
+    rows = [rec("clicks", 5, o, ms=HOUR * (o // 30)) for o in (12, 20, 29, 31, 65)]
     template = CHANGELOG + "-{{timestamp:unit=HH}}"
     df = spark.createDataFrame(rows, SCHEMA)
     assert files(group_records(df, template, ts_source="event")) == {
-        "topic0-0-1-00": [1, 2, 3],
-        "topic0-0-1-01": [4, 5],
+        "clicks-5-12-00": [12, 20, 29],
+        "clicks-5-12-01": [31],
+        "clicks-5-12-02": [65],
     }
 
 
@@ -84,24 +88,27 @@ def test_late_record_goes_to_its_own_hour(spark):
 
 
 def test_schema_rotation(spark):
-    rows = [rec("topic0", 0, o, vs=1 if o < 4 else 2) for o in range(6)]
-    rows += [rec("topic0", 1, o, ks=1 if o < 12 else 2) for o in range(10, 14)]
+    # the key's schema changes once, the value's there and back
+    rows = [rec("views", 3, o, ks=1 if o < 40 else 5) for o in (30, 33, 39, 40, 48)]
+    rows += [rec("views", 4, o, vs=v) for o, v in zip((1, 2, 6, 7, 9, 11), (8, 8, 9, 9, 9, 8))]
     df = spark.createDataFrame(rows, SCHEMA)
     assert files(group_records(df, CHANGELOG, schema_rotation=True)) == {
-        "topic0-0-0": [0, 1, 2, 3],
-        "topic0-0-4": [4, 5],
-        "topic0-1-10": [10, 11],
-        "topic0-1-12": [12, 13],
+        "views-3-30": [30, 33, 39],
+        "views-3-40": [40, 48],
+        "views-4-1": [1, 2],
+        "views-4-6": [6, 7, 9],
+        "views-4-11": [11],
     }
 
 
 def test_schema_rotation_limited(spark):
-    rows = [rec("topic1", 0, o, vs=1 if o < 1003 else 2) for o in range(1000, 1004)]
+    rows = [rec("clicks", 0, o, vs=o // 25) for o in (20, 21, 22, 23, 24, 25, 26, 27, 50)]
     df = spark.createDataFrame(rows, SCHEMA)
-    assert files(group_records(df, CHANGELOG, schema_rotation=True, max_records=2)) == {
-        "topic1-0-1000": [1000, 1001],
-        "topic1-0-1002": [1002],
-        "topic1-0-1003": [1003],
+    assert files(group_records(df, CHANGELOG, schema_rotation=True, max_records=3)) == {
+        "clicks-0-20": [20, 21, 22],
+        "clicks-0-23": [23, 24],
+        "clicks-0-25": [25, 26, 27],
+        "clicks-0-50": [50],
     }
 
 
