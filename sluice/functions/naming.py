@@ -154,13 +154,18 @@ def record_bindings(
     return bindings
 
 
-def record_time(ts_source: str, tz: str, millis: Column | None = None) -> Column:
-    """Local time of a name: the record's own, or the start of the batch."""
+def record_time(
+    ts_source: str, tz: str, millis: Column | None = None, clock: Column | None = None
+) -> Column:
+    """Local time of a name: the record's own, or the start of the batch.
+
+    ``clock`` is that start where it is known; it defaults to the job's.
+    """
     source = ts_source.lower()
     if source == "event":
         return local_time(F.col("timestamp_ms") if millis is None else millis, tz)
     if source == "wallclock":
-        return local_time(F.unix_millis(F.current_timestamp()), tz)
+        return local_time(F.unix_millis(F.current_timestamp() if clock is None else clock), tz)
     raise ValueError(f"timestamp source must be event or wallclock, got {ts_source!r}")
 
 

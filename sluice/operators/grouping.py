@@ -38,6 +38,8 @@ from sluice.operators.slices import (
     without_seeds,
 )
 
+# When a flush began, where the records carry it; else the time of the job.
+FLUSH_TIME = "_flush_time"
 _LOCAL = "_local_time"
 _STATE = "_state"
 
@@ -61,13 +63,14 @@ def group_records(
     template = upgrade_template(template)
     mode = check_grouping(template, max_records)
     if mode.startswith("key"):
-        return compact_records(records, template, prefix=prefix)
+        return compact_records(records.drop(FLUSH_TIME), template, prefix=prefix)
 
     by = [c for c in ("batch_id",) if c in records.columns] + ["topic", "partition"]
     if mode == "topic_partition_key":
         records = records.withColumn("_key_string", key_string(F.col("key")))
         by.append("_key_string")
-    records = records.withColumn(_LOCAL, record_time(ts_source, tz))
+    clock = F.col(FLUSH_TIME) if FLUSH_TIME in records.columns else None
+    records = records.withColumn(_LOCAL, record_time(ts_source, tz, clock=clock)).drop(FLUSH_TIME)
     if schema_rotation:
         records = _require_schemas(records)
 
@@ -110,10 +113,13 @@ def placed_width(
     Groupings that end in a window over slices leave each slice of a file
     whole and in order, and key-based ones have files of one record; the
     writer need not shuffle them again. Unlimited ones end in a join and give
-    0, for no order at all.
+    0, for no order at all; so do timed ones cut by schema alone, whose files
+    of several times have their records in turn.
     """
-    mode = check_grouping(upgrade_template(template), max_records)
-    placed = mode.startswith("key") or max_records or schema_rotation
+    template = upgrade_template(template)
+    mode = check_grouping(template, max_records)
+    runs = schema_rotation and not timestamp_units(template)
+    placed = mode.startswith("key") or max_records or runs
     return slice_width if placed else 0
 
 

@@ -264,25 +264,6 @@ def drop_processed_objects(spark, sf_dir):
     return prog.drop_processed(docs.select("object_key"), processed)
 
 
-@query(
-    f"""WITH {DOCS}, recent AS (
-          SELECT object_key, doc_id FROM docs WHERE doc_id IN (SELECT doc_id FROM labels)
-          ORDER BY doc_id DESC LIMIT 100),
-        oldest AS (SELECT CASE WHEN count(*) = 100 THEN arg_min(object_key, doc_id) ELSE '' END AS k
-                   FROM recent)
-        SELECT object_key FROM docs WHERE object_key > (SELECT k FROM oldest)
-          AND object_key NOT IN (SELECT object_key FROM recent)"""
-)
-def drop_recent_objects(spark, sf_dir):
-    docs = _docs(spark, sf_dir)
-    processed = docs.join(table(spark, sf_dir, "labels"), "doc_id", "left_semi")
-    return prog.drop_recent(
-        docs.select("object_key"),
-        processed.withColumnRenamed("doc_id", "seq"),
-        ring_size=100,
-    )
-
-
 @query(
     f"""WITH {LINES}, done AS (SELECT object_key, count(*) // 2 AS record_count FROM good
              WHERE NOT starts_with(object_key, 'error') GROUP BY object_key),
@@ -360,8 +341,9 @@ def shard_partition(spark, sf_dir):
 
 @query(
     f"""WITH {NAMES} SELECT object_key, topic, "partition", start_offset FROM matched
-        WHERE "partition" IS NOT NULL"""
+        WHERE NOT contains(object_key, '/src3-')"""
 )
 def errors_tolerance_all(spark, sf_dir):
-    """A record whose partition did not fit cannot be built and is dropped."""
-    return obj.tolerate(_matched(spark, sf_dir), F.col("partition").isNull(), tolerance="all")
+    """Records that cannot be converted are dropped, those without a partition are not."""
+    failed = F.contains(F.col("object_key"), F.lit("/src3-"))
+    return obj.tolerate(_matched(spark, sf_dir), failed, tolerance="all")

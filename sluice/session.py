@@ -41,7 +41,8 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
     if not root:
         root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="sluice-")
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

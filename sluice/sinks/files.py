@@ -8,16 +8,20 @@ Three Spark jobs, none of which sends data or names through the driver:
 2. *manifest*: one row per piece, written as a table. Only pieces of
    successful attempts are in it.
 3. *publish*: a file of one piece is moved into place; the pieces of a larger
-   one are first put together, each copied to its byte position by its own
-   task (Parquet: row group by row group, up to ``parquet_pieces`` by a task).
-
-Nothing appears under its final name before all pieces are staged, and names
-follow from the data, so a repeated flush puts the same objects in place.
+   one are first put together below staging, each copied to its byte position by
+   its own task, and the whole is moved. Stores without positional writes, and
+   Parquet, whose one footer needs one writer, get one task per large file,
+   which streams it in bounded memory.
+
+Nothing appears under its final name before it is whole, and names follow from
+the data, so a repeated flush puts the same objects in place. Staging goes when
+the flush ends, well or not.
 """
 
 from __future__ import annotations
 
 import hashlib
+import itertools
 import os
 import uuid
 from collections.abc import Iterator, Sequence
@@ -30,16 +34,16 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from sluice.functions.formats import csv_line, envelope_columns, json_line, unwrap
-from sluice.session import ship_package
+from sluice.session import scratch_path, ship_package
 from sluice.sinks import store
 from sluice.sinks.codecs import CODECS, Encoder, encode
+from sluice.sinks.store import STAGING
 
-OUTPUT_FORMATS = ("avro", "csv", "json", "jsonl", "parquet")
-STAGING = "_staging"
+OUTPUT_FORMATS = ("csv", "json", "jsonl", "parquet")
 # Offsets per part of a file that is shuffled for writing.
 PART_OFFSETS = 1 << 18
-# Pieces that one task copies into one Parquet object.
-PARQUET_PIECES = 256
+# Bytes of records, as Arrow has them, per Parquet row group.
+ROW_GROUP_BYTES = 64 << 20
 # What stands before, between and after the records of a file.
 FRAMES = {
     "csv": (b"", b"\n", b""),
@@ -65,17 +69,14 @@ def write_files(
     map_keys: Sequence[str] = (),
     part_offsets: int = PART_OFFSETS,
     placed: int = 0,
-    parquet_pieces: int = PARQUET_PIECES,
     staging: str | None = None,
     options: dict[str, str] | None = None,
 ) -> DataFrame:
     """Writes every file of ``grouped`` below ``path``; returns what was written.
 
     ``grouped`` is one flush. The result has ``file_name, n_records, n_bytes,
-    n_parts``. A Parquet file of more than ``parquet_pieces`` parts becomes a
-    folder of that name, since Parquet files cannot be joined bytewise. The
-    result is read from the manifest below ``staging``, a new folder unless
-    one is given.
+    n_parts``, read from the manifest in the shared scratch folder. A path
+    without a scheme is on Spark's default file system.
 
     ``placed`` says that the tasks of ``grouped`` already hold every stretch
     of so many offsets of a file in order, as ``grouping.placed_width`` tells
@@ -88,7 +89,8 @@ def write_files(
         raise ValueError(f"compression must be one of {CODECS}, got {compression!r}")
     spark = grouped.sparkSession
     ship_package(spark)
-    staging = staging or staging_path(path)
+    path = store.qualified(spark, path)
+    staging = store.qualified(spark, staging) if staging else staging_path(path)
     part = F.call_function("div", F.col("offset"), F.lit(placed or part_offsets)).alias("part")
     place = ["file_name", "part", "offset"]
 
@@ -100,29 +102,26 @@ def write_files(
             _payload(grouped, fmt, fields, envelope, value_encoding).alias("payload"),
         )
         stage = _text_stage(staging, FRAMES[fmt], compression)
-    elif fmt == "parquet":
+    else:
         keyed = grouped.withColumn("_part", part).withColumn("_at", F.col("offset"))
         columns = _columns(keyed, fields, envelope, map_keys, ["file_name", "_part", "_at"])
         rows = columns.withColumnsRenamed({"_part": "part"})
         place = ["file_name", "part", "_at"]
         options = {"compression": compression, **(options or {})}
         stage = _parquet_stage(staging, options)
-    else:
-        from sluice.sinks.avro import avro_rows, avro_stage
-
-        rows, schema = avro_rows(grouped, part, fields, envelope, map_keys)
-        stage = avro_stage(staging, schema, compression, options or {})
-
     if not placed:
         rows = rows.repartition("file_name", "part").sortWithinPartitions(*place)
-    pieces = rows.mapInArrow(stage, _PIECE)
-    pieces.write.mode("overwrite").parquet(f"{staging}/manifest")
-    manifest = spark.read.parquet(f"{staging}/manifest")
-    if fmt == "parquet":
-        _publish_parquet(_in_order(manifest), path, staging, options, parquet_pieces)
-    else:
-        publish(manifest, path, staging, FRAMES.get(fmt, FRAMELESS), compression)
-    store.remove_tree(f"{staging}/pieces")
+    listed = scratch_path(spark, "manifest")
+    try:
+        rows.mapInArrow(stage, _PIECE).write.parquet(listed)
+        manifest = spark.read.schema(_PIECE).parquet(listed)
+        if fmt == "parquet":
+            _run(_in_order(manifest), _merger(path, staging, options), "file_name", "number")
+        else:
+            publish(manifest, path, staging, FRAMES.get(fmt, FRAMELESS), compression)
+    finally:
+        store.remove_tree(staging)
+        store.remove_if_empty(f"{path.rstrip('/')}/{STAGING}")
     return manifest.groupBy("file_name").agg(
         F.sum("n_records").alias("n_records"),
         F.sum("size").alias("n_bytes"),
@@ -265,18 +264,44 @@ class TextPiece(Piece):
         return self.row(len(self._head), len(self._head) + body + len(tail), len(tail))
 
 
+class RowGroups:
+    """A Parquet writer that gathers rows into row groups by bytes."""
+
+    def __init__(self, out, schema: pa.Schema, options: dict):
+        self._writer = pq.ParquetWriter(out, schema, **options)
+        self._held: list[pa.Table] = []
+        self._bytes = 0
+
+    def add(self, rows: pa.Table) -> None:
+        self._held.append(rows)
+        self._bytes += rows.nbytes
+        if self._bytes >= ROW_GROUP_BYTES:
+            self._flush()
+
+    def _flush(self) -> None:
+        if self._held:
+            rows = pa.concat_tables(self._held)
+            self._writer.write_table(rows, row_group_size=max(1, rows.num_rows))
+            self._held, self._bytes = [], 0
+
+    def close(self) -> None:
+        self._flush()
+        self._writer.close()
+
+
 class ParquetPiece(Piece):
     at = "_at"
 
     def __init__(self, staging, name, schema, options):
         super().__init__(staging, name)
-        self._writer = pq.ParquetWriter(self.out, schema, **options)
+        self._rows = RowGroups(self.out, schema, options)
 
     def add(self, batch: pa.RecordBatch) -> None:
-        self._writer.write_batch(batch.drop_columns(["file_name", "part", "_at"]))
+        plain = batch.drop_columns(["file_name", "part", "_at"])
+        self._rows.add(pa.Table.from_batches([plain]))
 
     def close(self) -> tuple:
-        self._writer.close()
+        self._rows.close()
         size = self.out.tell()
         self.out.close()
         return self.row(0, size, 0)
@@ -338,23 +363,15 @@ def publish(
     between = encode(frame[1], compression)
     pieces = _in_order(manifest)
     if not store.is_local(path):
-        _run(pieces, _joiner(path, between), "file_name", "number")
+        _run(pieces, _joiner(path, staging, between), "file_name", "number")
     elif _run(pieces, _placer(path, staging, between), "piece"):
-        whole = pieces.filter("n_parts > 1 and number = 1").select("file_name")
+        # The last piece tells the size: what stands before it, its body and the tail.
+        gaps = (F.col("n_parts") - 1) * len(between)
+        size = F.max(F.col("bodies_before") + F.col("size") + gaps).alias("whole")
+        whole = pieces.filter("n_parts > 1").groupBy("file_name").agg(size)
         _run(whole, _finisher(path, staging), "file_name")
 
 
-def _publish_parquet(
-    pieces: DataFrame, path: str, staging: str, options: dict, per_object: int
-) -> None:
-    part = F.call_function("div", F.col("number") - 1, F.lit(per_object))
-    target = F.when(F.col("n_parts") <= per_object, F.col("file_name")).otherwise(
-        F.concat("file_name", F.lit("/part-"), F.lpad(part.cast("string"), 5, "0"), F.lit(".parquet"))
-    )
-    pieces = pieces.select("piece", target.alias("target"), "number", "n_parts")
-    _run(pieces, _merger(path, staging, options), "target", "number")
-
-
 def _run(rows: DataFrame, task, by: str, order: str | None = None) -> int:
     """Runs a task over rows for its effect; the sum of what its partitions report.
 
@@ -372,36 +389,38 @@ def _report(n: int) -> pa.RecordBatch:
 
 
 def _merger(path: str, staging: str, options: dict):
-    """Copies the row groups of Parquet pieces, in order, into their object."""
-
-    def task(batches):
-        current = out = writer = merged = None
-        n = 0
-
-        def finish():
-            writer.close()
-            out.close()
-            store.move(merged, store.object_path(path, current))
+    """Copies the rows of Parquet pieces, in order, into their object."""
 
-        for batch in batches:
-            for row in batch.to_pylist():
-                n += 1
-                if row["n_parts"] == 1:
-                    store.move(row["piece"], store.object_path(path, row["target"]))
-                    continue
+    def merge(name: str, pieces: Iterator[dict]) -> None:
+        merged = f"{staging}/pieces/{uuid.uuid4().hex}"
+        with store.open_output(merged) as out:
+            rows = None
+            for row in pieces:
                 with store.open_random(row["piece"]) as source:
                     piece = pq.ParquetFile(source)
-                    if row["target"] != current:
-                        if writer:
-                            finish()
-                        current = row["target"]
-                        merged = f"{staging}/pieces/{uuid.uuid4().hex}"
-                        out = store.open_output(merged)
-                        writer = pq.ParquetWriter(out, piece.schema_arrow, **options)
+                    rows = rows or RowGroups(out, piece.schema_arrow, options)
                     for group in range(piece.num_row_groups):
-                        writer.write_table(piece.read_row_group(group))
-        if writer:
-            finish()
+                        rows.add(piece.read_row_group(group))
+            rows.close()
+            size = out.tell()
+        store.move(merged, store.object_path(path, name), size)
+
+    return _per_file(path, merge)
+
+
+def _per_file(path: str, put_together):
+    """Runs over manifest rows by file: moves single pieces, has others put together."""
+
+    def task(batches):
+        rows = (row for batch in batches for row in batch.to_pylist())
+        n = 0
+        for name, pieces in itertools.groupby(rows, key=lambda row: row["file_name"]):
+            first = next(pieces)
+            n += first["n_parts"]
+            if first["n_parts"] == 1:
+                store.move(first["piece"], store.object_path(path, name), first["size"])
+            else:
+                put_together(name, itertools.chain([first], pieces))
         yield _report(n)
 
     return task
@@ -438,7 +457,7 @@ def _placer(path: str, staging: str, between: bytes):
         for batch in batches:
             for row in batch.to_pylist():
                 if row["n_parts"] == 1:
-                    store.move(row["piece"], store.object_path(path, row["file_name"]))
+                    store.move(row["piece"], store.object_path(path, row["file_name"]), row["size"])
                 else:
                     place(row)
                     copied += 1
@@ -451,41 +470,35 @@ def _finisher(path: str, staging: str):
     def task(batches):
         n = 0
         for batch in batches:
-            for name in batch["file_name"].to_pylist():
-                store.move(_whole(staging, name), store.object_path(path, name))
+            for row in batch.to_pylist():
+                store.move(_whole(staging, row["file_name"]), store.object_path(path, row["file_name"]), row["whole"])
                 n += 1
         yield _report(n)
 
     return task
 
 
-def _joiner(path: str, between: bytes):
+def _joiner(path: str, staging: str, between: bytes):
     """Object stores have no positional writes: one stream per large object."""
 
-    def task(batches):
-        current = out = None
-        n = 0
-        for batch in batches:
-            for row in batch.to_pylist():
-                n += 1
-                if row["n_parts"] == 1:
-                    store.move(row["piece"], store.object_path(path, row["file_name"]))
-                    continue
+    def join(name: str, pieces: Iterator[dict]) -> None:
+        whole = f"{staging}/pieces/{uuid.uuid4().hex}"
+        size = 0
+        with store.open_output(whole) as out:
+            for row in pieces:
                 first, last = row["number"] == 1, row["number"] == row["n_parts"]
-                if row["file_name"] != current:
-                    current = row["file_name"]
-                    out = store.open_output(store.object_path(path, current))
                 if not first:
                     out.write(between)
+                    size += len(between)
                 skip = 0 if first else row["head"]
+                length = row["size"] - skip - (0 if last else row["tail"])
                 with store.open_input(row["piece"]) as source:
                     source.read(skip)
-                    _copy(source, out, row["size"] - skip - (0 if last else row["tail"]))
-                if last:
-                    out.close()
-        yield _report(n)
+                    _copy(source, out, length)
+                size += length
+        store.move(whole, store.object_path(path, name), size)
 
-    return task
+    return _per_file(path, join)
 
 
 def _copy(source, out, length: int) -> None:

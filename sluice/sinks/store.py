@@ -6,9 +6,32 @@ import os
 import posixpath
 
 from pyarrow import fs
+from pyspark.sql import SparkSession
 
 # Hadoop's names of the stores and the ones pyarrow knows.
 _SCHEMES = {"s3a": "s3", "s3n": "s3", "gcs": "gs"}
+# The folder below a target in which pieces wait to be published.
+STAGING = "_staging"
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path as Spark reads it: without a scheme it is on the default file system."""
+    if "://" in path or path.startswith("file:"):
+        return path
+    default = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///")
+    scheme, _, authority = default.partition("://")
+    inner = os.path.abspath(path)
+    if scheme == "file":
+        return f"file://{inner}"
+    return f"{scheme}://{authority.strip('/')}{inner}"
+
+
+def with_scheme(like: str, inner: str) -> str:
+    """A path that a file system has listed, as one of the kind of ``like``."""
+    scheme, sep, _ = like.partition("://")
+    if sep and scheme != "file":
+        return f"{scheme}://{inner}" if scheme != "hdfs" else like.split("/", 3)[0] + "//" + like.split("/", 3)[2] + inner
+    return f"file://{inner}"
 
 
 def file_system(path: str) -> tuple[fs.FileSystem, str]:
@@ -50,12 +73,22 @@ def exists(path: str) -> bool:
     return store.get_file_info(inner).type != fs.FileType.NotFound
 
 
-def move(source: str, target: str) -> None:
-    """Puts ``source`` in the place of ``target``; a repeat finds it done."""
+def move(source: str, target: str, size: int) -> None:
+    """Puts ``source``, of ``size`` bytes, in the place of ``target``.
+
+    A repeat finds it done: the source gone, and a target of that size.
+    Anything else is an error, such as an object of an earlier flush there.
+    """
     store, inner_target = file_system(target)
     inner_source = file_system(source)[1]
-    if store.get_file_info(inner_source).type == fs.FileType.NotFound and exists(target):
-        return
+    there = store.get_file_info(inner_source)
+    if there.type == fs.FileType.NotFound:
+        done = store.get_file_info(inner_target)
+        if done.type == fs.FileType.File and done.size == size:
+            return
+        raise FileNotFoundError(f"staged piece {source} is lost and {target} is not it")
+    if there.size != size:
+        raise OSError(f"staged piece {source} has {there.size} bytes, not {size}")
     if is_local(target):
         store.create_dir(posixpath.dirname(inner_target), recursive=True)
     store.move(inner_source, inner_target)
@@ -67,6 +100,15 @@ def remove_tree(path: str) -> None:
         store.delete_dir(inner)
 
 
+def remove_if_empty(path: str) -> None:
+    """Local folders only: stores have none."""
+    if is_local(path):
+        try:
+            os.rmdir(local_path(path))
+        except OSError:
+            pass
+
+
 def object_path(root: str, name: str) -> str:
     """Where an object of this name goes; it must stay below the root."""
     if any(step == ".." for step in name.split("/")) or name.startswith("/") or not name:

@@ -12,8 +12,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.functions.naming import match_source_name
-from sluice.sinks.store import local_path
 from sluice.operators.slices import SLICE_WIDTH, cut_at_first
+from sluice.sinks.store import local_path
+from sluice.sources.listing import list_files
 
 # Chunk size of the bytes format, and the formats there are.
 DEFAULT_CHUNK = 4096
@@ -86,17 +87,7 @@ def list_objects(
     after: str | None = None,
 ) -> DataFrame:
     """Non-empty objects below ``root`` without their bytes, in key order."""
-    found = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .load(root)
-        .select(
-            object_key_of(F.col("path"), root).alias("object_key"),
-            "path",
-            F.col("length").alias("size"),
-            F.col("modificationTime").alias("modified"),
-        )
-    )
+    found = list_files(spark, root).select("object_key", "path", F.col("length").alias("size"), "modified")
     return list_after(skip_empty(found), prefix=prefix, after=after)
 
 
@@ -114,7 +105,15 @@ def clean_lines(lines: DataFrame, line: str = "line") -> DataFrame:
 
 
 def is_bad_json(line: Column) -> Column:
-    return F.get_json_object(line, "$").isNull() & (line != F.lit("null"))
+    """Whether a line is anything but one JSON value.
+
+    It is parsed in full, as the first of two elements: the line's own hash
+    comes second. So single quotes fail, as does whatever follows the value.
+    """
+    mark = F.xxhash64(line).cast("string")
+    strict = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
+    pair = F.from_json(F.concat(F.lit("["), line, F.lit(","), mark, F.lit("]")), "array<string>", strict)
+    return ~F.coalesce((F.size(pair) == 2) & (F.get(pair, F.lit(1)) == mark), F.lit(False))
 
 
 def jsonl_records(
@@ -180,7 +179,11 @@ def envelope(records: DataFrame, *keep: str) -> DataFrame:
 
 
 def tolerate(records: DataFrame, error: Column, *, tolerance: str = "none") -> DataFrame:
-    """Records whose building failed (``error`` holds): fail, or drop them."""
+    """Records whose conversion failed (``error`` holds): fail, or drop them.
+
+    A record without a partition or offset is no such case: it is built with
+    nulls.
+    """
     if tolerance == "all":
         return records.filter(~F.coalesce(error, F.lit(False)))
     if tolerance != "none":
@@ -195,18 +198,17 @@ def tolerate(records: DataFrame, error: Column, *, tolerance: str = "none") -> D
 Keep = Callable[[Column], Column]
 
 
-def _reader(spark: SparkSession, glob: str | None):
-    reader = spark.read.option("recursiveFileLookup", "true")
-    return reader.option("pathGlobFilter", glob) if glob else reader
-
-
 def _file_key(root: str) -> Column:
     return object_key_of(_decoded(F.col("_metadata.file_path")), root)
 
 
-def _kept(files: DataFrame, key: Column, keep: Keep | None) -> DataFrame:
-    """Applied to the scan itself, so unwanted objects are not opened."""
-    return files.filter(keep(key)) if keep else files
+def _listed(
+    spark: SparkSession, root: str, keep: Keep | None, glob: str | None, listing: DataFrame | None
+) -> DataFrame:
+    """Objects to open; the others are told by name and not opened."""
+    if listing is None:
+        return list_files(spark, root, keep=keep, glob=glob)
+    return (listing.where(keep(F.col("object_key"))) if keep else listing).select("object_key", "path", "length")
 
 
 def read_lines(
@@ -220,17 +222,11 @@ def read_lines(
 ) -> DataFrame:
     """Lines of every object below ``root`` with their place in it.
 
-    Uncompressed objects are read in splits: ``block`` is where the split
-    starts, ``row`` rises within it. A compressed object is one stream, so
-    one task walks through it and numbers its blocks.
+    Uncompressed objects are read in ranges of bytes: ``block`` is where the
+    range starts, ``row`` rises within it, and both are the same in every
+    scan. A compressed object is one stream, so one task walks through it and
+    numbers its blocks.
     """
-    if listing is None and compression == "none":
-        return _kept(_reader(spark, glob).text(root), _file_key(root), keep).select(
-            _file_key(root).alias("object_key"),
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("row"),
-            F.col("value").alias("line"),
-        )
     from sluice.sources import streams
 
     listed = _listed(spark, root, keep, glob, listing)
@@ -239,16 +235,6 @@ def read_lines(
     return streams.compressed_lines(listed, compression)
 
 
-def _listed(
-    spark: SparkSession, root: str, keep: Keep | None, glob: str | None, listing: DataFrame | None
-) -> DataFrame:
-    from sluice.sources import streams
-
-    if listing is None:
-        return streams.list_files(spark, root, keep=keep, glob=glob)
-    return _kept(listing, F.col("object_key"), keep).select("object_key", "path", "length")
-
-
 def read_objects(
     spark: SparkSession,
     root: str,
@@ -267,22 +253,23 @@ def read_objects(
     Parquet and Avro give their own columns in place of ``value``. ``keep``
     tells from the object key whether to read an object. With ``progress``
     (``object_key, record_count``, one row each) the records an object has
-    already given are skipped. ``listing`` (``object_key, path, length``),
-    such as a store's inventory, takes the place of listing ``root``, which
-    Spark does on the driver. The last two are for jsonl and bytes only.
+    already given are skipped; for Parquet that is by the file's row order.
+    ``listing`` (``object_key, path, length``), such as a store's inventory,
+    takes the place of listing ``root``; not for Avro, which Spark lists.
     """
     if fmt not in INPUT_FORMATS:
         raise ValueError(f"input format must be one of {INPUT_FORMATS}, got {fmt!r}")
-    if fmt in ("parquet", "avro"):
+    if fmt == "avro":
         if listing is not None or progress is not None:
-            raise ValueError(f"{fmt} objects take neither a listing nor progress")
-        reader = _reader(spark, glob).format(fmt)
-        if fmt == "parquet":
-            reader = reader.option("mergeSchema", "true")
-        loaded = reader.load(root)
-        return _kept(loaded, _file_key(root), keep).select(
-            _file_key(root).alias("object_key"), *[F.col(f"`{c}`") for c in loaded.columns]
-        )
+            raise ValueError("avro objects take neither a listing nor progress")
+        reader = spark.read.option("recursiveFileLookup", "true")
+        loaded = (reader.option("pathGlobFilter", glob) if glob else reader).format(fmt).load(root)
+        rows = loaded.where(keep(_file_key(root))) if keep else loaded
+        return rows.select(_file_key(root).alias("object_key"), *[F.col(f"`{c}`") for c in loaded.columns])
+    if fmt == "parquet":
+        from sluice.sources.tables import read_tables
+
+        return read_tables(spark, _listed(spark, root, keep, glob, listing), progress)
 
     from sluice.sources import progress as prog
     from sluice.sources import streams

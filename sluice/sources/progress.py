@@ -9,10 +9,6 @@ from pyspark.sql import functions as F
 
 from sluice.operators.slices import SLICE, SLICE_WIDTH, attach, before, row_numbers, with_slice, within
 
-# Fixed value: processed keys remembered by the bounded set.
-RING_SIZE = 1000
-
-
 def record_numbers(
     records: DataFrame,
     *,
@@ -96,34 +92,3 @@ def merge_progress(
 def drop_processed(objects: DataFrame, processed: DataFrame) -> DataFrame:
     """Objects that are not among the processed keys."""
     return objects.join(processed.select("object_key").distinct(), "object_key", "left_anti")
-
-
-def drop_recent(
-    objects: DataFrame,
-    processed: DataFrame,
-    *,
-    ring_size: int = RING_SIZE,
-    start_after: str | None = None,
-) -> DataFrame:
-    """The bounded form: only the last ``ring_size`` processed keys count.
-
-    ``processed`` has ``object_key`` and ``seq``. Once the set is full the
-    listing starts after its oldest key, before that after ``start_after``.
-    The set is at most ``ring_size`` rows, whatever has been processed.
-    """
-    if ring_size < 1:
-        return objects if start_after is None else objects.filter(F.col("object_key") > start_after)
-    recent = (
-        processed.groupBy("object_key")
-        .agg(F.max("seq").alias("seq"))
-        .orderBy(F.desc("seq"))
-        .limit(ring_size)
-    )
-    oldest = recent.agg(
-        F.when(F.count(F.lit(1)) == ring_size, F.min_by("object_key", "seq"))
-        .otherwise(F.lit(start_after))
-        .alias("_after")
-    ).scalar()
-    return objects.filter(F.col("object_key") > F.coalesce(oldest, F.lit(""))).join(
-        F.broadcast(recent.select("object_key")), "object_key", "left_anti"
-    )

@@ -75,6 +75,8 @@ def log_records(log: DataFrame) -> DataFrame:
     """Rows of Spark's Kafka source as records.
 
     Expects the source's columns; read with ``includeHeaders`` for headers.
+    Keys and values are bytes throughout, which is one schema: columnar files
+    are not cut by it.
     """
     headers = (
         F.transform(
@@ -92,8 +94,8 @@ def log_records(log: DataFrame) -> DataFrame:
         "key",
         "value",
         headers.alias("headers"),
-        F.lit(None).cast("int").alias("key_schema_id"),
-        F.lit(None).cast("int").alias("value_schema_id"),
+        F.lit(0).alias("key_schema_id"),
+        F.lit(0).alias("value_schema_id"),
     )
 
 

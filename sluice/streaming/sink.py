@@ -1,8 +1,9 @@
 """A record stream written as objects: one micro-batch is one flush.
 
 Grouping state never outlives a flush, so each micro-batch is grouped with
-the batch operators. Names follow from the records, so a batch replayed after
-a failure puts the same objects in the same places. Spark commits the offsets
+the batch operators. Names follow from the records and from the time of the
+batch, which Spark keeps with its offsets, so a batch replayed after a failure,
+hours later even, puts the same objects in the same places. Spark commits the offsets
 of a batch only after ``write_files`` has published all of it.
 """
 
@@ -16,13 +17,11 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from sluice.functions.naming import default_template
-from sluice.operators.grouping import group_records, placed_width
-from sluice.sinks.files import staging_path, write_files
-from sluice.sinks.store import remove_tree
+from sluice.operators.grouping import FLUSH_TIME, group_records, placed_width
+from sluice.sinks.files import write_files
 
-# How often buffers are written, and how much is read per write.
+# Fixed value: how often buffers are written.
 FLUSH_INTERVAL = "10 seconds"
-FLUSH_BYTES = 60 * 1024 * 1024
 
 
 def record_stream(
@@ -31,18 +30,18 @@ def record_stream(
     schema: StructType | str,
     fmt: str = "parquet",
     *,
-    bytes_per_flush: int = FLUSH_BYTES,
+    bytes_per_flush: int | None = None,
     **options: str,
 ) -> DataFrame:
-    """Records from a growing folder, so many bytes of files to a flush."""
-    return (
-        spark.readStream.format(fmt)
-        .schema(schema)
-        .option("recursiveFileLookup", "true")
-        .option("maxBytesPerTrigger", bytes_per_flush)
-        .options(**options)
-        .load(path)
-    )
+    """Records from a growing folder; a flush takes all that is new.
+
+    ``bytes_per_flush`` bounds a flush of the whole application, and so cuts
+    files; the tasks' memory needs no bound.
+    """
+    reader = spark.readStream.format(fmt).schema(schema).option("recursiveFileLookup", "true")
+    if bytes_per_flush is not None:
+        reader = reader.option("maxBytesPerTrigger", bytes_per_flush)
+    return reader.options(**options).load(path)
 
 
 def write_stream(
@@ -75,29 +74,29 @@ def write_stream(
     def flush(batch: DataFrame, batch_id: int) -> None:
         if persist:
             batch = batch.persist()
-        staging = staging_path(path)
-        written = flush_batch(
-            batch,
-            batch_id,
-            path,
-            template,
-            fmt=fmt,
-            fields=fields,
-            max_records=max_records,
-            ts_source=ts_source,
-            tz=tz,
-            envelope=envelope,
-            compression=compression,
-            staging=staging,
-            **options,
-        )
-        if on_flush:
-            on_flush(written, batch_id)
-        remove_tree(staging)
-        if persist:
-            batch.unpersist()
+        try:
+            written = flush_batch(
+                batch,
+                batch_id,
+                path,
+                template,
+                fmt=fmt,
+                fields=fields,
+                max_records=max_records,
+                ts_source=ts_source,
+                tz=tz,
+                envelope=envelope,
+                compression=compression,
+                **options,
+            )
+            if on_flush:
+                on_flush(written, batch_id)
+        finally:
+            if persist:
+                batch.unpersist()
 
-    writer = records.writeStream.foreachBatch(flush).option("checkpointLocation", checkpoint)
+    timed = records.withColumn(FLUSH_TIME, F.current_timestamp())
+    writer = timed.writeStream.foreachBatch(flush).option("checkpointLocation", checkpoint)
     trigger = {"availableNow": True} if available_now else {"processingTime": interval}
     return writer.trigger(**trigger).start()
 
@@ -116,7 +115,7 @@ def flush_batch(
     **options,
 ) -> DataFrame:
     """Groups and writes one flush; schema rotation goes with columnar formats."""
-    rotation = fmt in ("avro", "parquet")
+    rotation = fmt == "parquet"
     grouped = group_records(
         batch.withColumn("batch_id", F.lit(batch_id).cast("bigint")),
         template,

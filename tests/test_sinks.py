@@ -1,11 +1,9 @@
 """Writing files and reading them back."""
 
 import gzip
-import hashlib
 import io
 import json
 import os
-import zlib
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -14,8 +12,10 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from sluice.operators.grouping import group_records, placed_width
-from sluice.sinks import avro, store
-from sluice.sinks.files import FRAMELESS, FRAMES, _joiner, _run, publish, write_files
+from sluice.sinks import files as sink_files
+from sluice.sinks import store
+from sluice.sinks.files import FRAMES, RowGroups, _joiner, _merger, _run, publish, write_files
+from sluice.sources.objects import read_objects
 from sluice.sources.streams import decompressed
 
 CHANGELOG = "{{topic}}-{{partition}}-{{start_offset}}"
@@ -99,21 +99,70 @@ def test_overlapping_pieces_fail(spark, tmp_path):
         publish(pieces, str(tmp_path), str(tmp_path / "_staging"), FRAMES["csv"], "none")
 
 
-def test_stores_without_positions_get_one_stream(spark, tmp_path):
-    """The way of joining parts that object stores need, on a local folder."""
+PARTS = "file_name string, number int, n_parts int, piece string, head bigint, size bigint, tail bigint"
+
+
+def staged(spark, tmp_path, pieces, head=0, tail=0):
+    """Pieces of one file ``f``, as the manifest tells of them."""
     from sluice.session import ship_package
 
     ship_package(spark)
-    bodies = [b"[\n" + body + b"\n]" for body in (b"1", b"22", b"333")]
     rows = []
-    for i, data in enumerate(bodies):
+    for i, data in enumerate(pieces):
         (tmp_path / f"piece{i}").write_bytes(data)
-        rows.append(("f", i + 1, 3, f"{tmp_path}/piece{i}", 2, len(data), 2))
-    parts = spark.createDataFrame(rows, "file_name string, number int, n_parts int, piece string, head bigint, size bigint, tail bigint")
-    _run(parts, _joiner(f"{tmp_path}/out", b",\n"), "file_name", "number")
+        rows.append(("f", i + 1, len(pieces), f"{tmp_path}/piece{i}", head, len(data), tail))
+    return spark.createDataFrame(rows, PARTS)
+
+
+def test_stores_without_positions_get_one_stream(spark, tmp_path):
+    """The way of joining parts that object stores need, on a local folder."""
+    parts = staged(spark, tmp_path, [b"[\n" + body + b"\n]" for body in (b"1", b"22", b"333")], 2, 2)
+    _run(parts, _joiner(f"{tmp_path}/out", f"{tmp_path}/out/_staging", b",\n"), "file_name", "number")
     assert contents(tmp_path / "out") == {"f": b"[\n1,\n22,\n333\n]"}
 
 
+@pytest.mark.parametrize("kind", ["join", "merge"])
+def test_a_lost_piece_publishes_nothing(spark, tmp_path, kind):
+    pieces = []
+    for i in range(3):
+        out = io.BytesIO()
+        pq.write_table(pa.table({"a": [i]}), out)
+        pieces.append(out.getvalue() if kind == "merge" else b"x" * 10)
+    parts = staged(spark, tmp_path, pieces)
+    os.remove(tmp_path / "piece1")
+    out = f"{tmp_path}/out"
+    task = _merger(out, f"{out}/_staging", {}) if kind == "merge" else _joiner(out, f"{out}/_staging", b"")
+    with pytest.raises(PySparkException, match="piece1"):
+        _run(parts, task, "file_name", "number")
+    assert contents(tmp_path / "out") == {}
+
+
+def test_moving(tmp_path):
+    source, target = f"{tmp_path}/s", f"{tmp_path}/t"
+    (tmp_path / "t").write_bytes(b"an earlier flush")
+    with pytest.raises(FileNotFoundError, match="lost"):
+        store.move(source, target, 3)
+    (tmp_path / "s").write_bytes(b"ab")
+    with pytest.raises(OSError, match="bytes"):
+        store.move(source, target, 3)
+    (tmp_path / "s").write_bytes(b"abc")
+    store.move(source, target, 3)
+    store.move(source, target, 3)  # a repeat
+    assert (tmp_path / "t").read_bytes() == b"abc"
+
+
+def test_paths_without_a_scheme_are_on_the_default_file_system(spark):
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    before = conf.get("fs.defaultFS")
+    try:
+        conf.set("fs.defaultFS", "hdfs://name:8020/")
+        assert store.qualified(spark, "/out/x") == "hdfs://name:8020/out/x"
+        assert store.qualified(spark, "s3://b/x") == "s3://b/x" and store.qualified(spark, "file:/x") == "file:/x"
+    finally:
+        conf.set("fs.defaultFS", before)
+    assert store.qualified(spark, "/out/x") == "file:///out/x"
+
+
 @pytest.mark.parametrize("fmt", ["csv", "json", "parquet"])
 def test_no_records_no_files(records, tmp_path, fmt):
     grouped = group_records(records.filter("offset < 0"), CHANGELOG, max_records=2)
@@ -136,15 +185,24 @@ def test_nothing_is_published_when_a_record_fails(records, tmp_path):
     assert contents(tmp_path) == {}
 
 
-def test_publishing_again_changes_nothing(spark, records, tmp_path):
+def test_publishing_again_changes_nothing(spark, records, tmp_path, monkeypatch):
     """A publish that is repeated after a lost executor finds its moves done."""
-    grouped = group_records(records, CHANGELOG)
-    write_files(grouped, str(tmp_path), "jsonl", fields=["offset"])
-    before = contents(tmp_path)
-    run = os.listdir(tmp_path / "_staging")[0]
-    staging = f"{tmp_path}/_staging/{run}"
-    publish(spark.read.parquet(f"{staging}/manifest"), str(tmp_path), staging, FRAMES["jsonl"], "none")
-    assert contents(tmp_path) == before
+    staging = []
+    monkeypatch.setattr(sink_files, "scratch_path", lambda spark, purpose: f"{tmp_path}/{purpose}")
+    monkeypatch.setattr(store, "remove_tree", staging.append)
+    write_files(group_records(records, CHANGELOG), f"{tmp_path}/out", "jsonl", fields=["offset"], part_offsets=20)
+    before = contents(tmp_path / "out")
+    publish(spark.read.parquet(f"{tmp_path}/manifest"), f"{tmp_path}/out", staging[0], FRAMES["jsonl"], "none")
+    assert contents(tmp_path / "out") == before
+
+
+def test_nothing_stays_in_staging(records, tmp_path):
+    write_files(group_records(records, CHANGELOG), str(tmp_path), "csv", part_offsets=9).count()
+    assert not os.path.exists(tmp_path / "_staging")
+    broken = records.withColumn("value", F.when(F.col("offset") < 40, F.col("value")).otherwise(F.raise_error(F.lit("broken"))))
+    with pytest.raises(PySparkException, match="broken"):
+        write_files(group_records(broken, CHANGELOG), str(tmp_path), "csv")
+    assert not os.path.exists(tmp_path / "_staging")
 
 
 @pytest.mark.parametrize("name", ["../x", "a/../../x", "/etc/x", ""])
@@ -178,11 +236,54 @@ def test_parquet_parts_become_one_object(records, tmp_path):
     assert pq.ParquetFile(io.BytesIO(files["t-0-0"])).metadata.row_group(0).column(0).compression == "ZSTD"
 
 
-def test_very_large_parquet_becomes_a_folder(spark, records, tmp_path):
-    write_files(group_records(records, CHANGELOG), str(tmp_path), "parquet", fields=["offset"], part_offsets=10, parquet_pieces=2)
-    assert set(contents(tmp_path)) == {f"t-{p}-{s}/part-0000{i}.parquet" for p, s in ((0, 0), (1, 5)) for i in range(3)}
-    read = spark.read.parquet(f"{tmp_path}/t-0-0").collect()
-    assert sorted(r["offset"] for r in read) == list(range(50))
+def test_parquet_of_many_pieces_is_one_object(spark, tmp_path):
+    rows = spark.range(600).selectExpr("'t' topic", "0 partition", "id as offset", "0L timestamp_ms", "'k' key", "'v' value")
+    written = write_files(group_records(rows, CHANGELOG), str(tmp_path), "parquet", fields=["offset"], part_offsets=2)
+    assert written.first()["n_parts"] == 300
+    files = contents(tmp_path)
+    assert list(files) == ["t-0-0"]
+    found = pq.ParquetFile(io.BytesIO(files["t-0-0"]))
+    assert found.read().column("offset").to_pylist() == list(range(600)) and found.num_row_groups == 1
+    read = read_objects(spark, str(tmp_path), "parquet")
+    assert read.select("object_key").distinct().count() == 1 and read.count() == 600
+
+
+def test_row_groups_go_by_bytes(monkeypatch):
+    monkeypatch.setattr(sink_files, "ROW_GROUP_BYTES", 8000)
+    out = io.BytesIO()
+    groups = RowGroups(out, pa.schema([("a", pa.int64())]), {})
+    for i in range(50):
+        groups.add(pa.table({"a": pa.array(range(i * 100, i * 100 + 100), pa.int64())}))
+    groups.close()
+    found = pq.ParquetFile(io.BytesIO(out.getvalue()))
+    assert [found.metadata.row_group(i).num_rows for i in range(found.num_row_groups)] == [1000] * 5
+    assert found.read().column("a").to_pylist() == list(range(5000))
+
+
+def test_hours_in_turn_are_two_objects_of_one_piece(spark, tmp_path):
+    rows = spark.range(2000).selectExpr(
+        "'t' topic", "0 partition", "id as offset", "(id % 2) * 3600000L as timestamp_ms", "'k' key", "'v' value", "1 key_schema_id", "1 value_schema_id"
+    )
+    template = CHANGELOG + "-{{timestamp:unit=HH}}"
+    grouped = group_records(rows, template, ts_source="event", schema_rotation=True)
+    width = placed_width(template, schema_rotation=True)
+    written = write_files(grouped, str(tmp_path), "parquet", fields=["offset"], placed=width)
+    assert {(r["file_name"], r["n_records"], r["n_parts"]) for r in written.collect()} == {("t-0-0-00", 1000, 1), ("t-0-0-01", 1000, 1)}
+
+
+@pytest.mark.parametrize("fmt", ["jsonl", "parquet"])
+def test_hidden_names_come_back(spark, tmp_path, fmt):
+    rows = spark.range(40).selectExpr(
+        "concat(array('_schemas', '.dot', 'a/_b', 'open')[id % 4]) as topic", "0 partition", "id as offset", "0L timestamp_ms", "'k' key", "'v' value"
+    )
+    write_files(group_records(rows, CHANGELOG), str(tmp_path), fmt, fields=["offset"]).count()
+    read = read_objects(spark, str(tmp_path), fmt)
+    counts = {r[0]: r[1] for r in read.groupBy("object_key").count().collect()}
+    assert counts == {"_schemas-0-0": 10, ".dot-0-1": 10, "a/_b-0-2": 10, "open-0-3": 10}
+    if fmt == "parquet":
+        progress = spark.createDataFrame([("_schemas-0-0", 7), ("open-0-3", 10)], "object_key string, record_count bigint")
+        rest = read_objects(spark, str(tmp_path), fmt, progress=progress).collect()
+        assert sorted(r["offset"] for r in rest) == sorted([28, 32, 36, *range(1, 40, 4), *range(2, 40, 4)])
 
 
 def test_unwrapped_parquet(records, tmp_path):
@@ -205,76 +306,3 @@ def test_arguments(records, tmp_path):
     for how in ({"fmt": "xml"}, {"compression": "lzo"}, {"fields": ["nope"]}):
         with pytest.raises(ValueError):
             write_files(group_records(records, CHANGELOG), str(tmp_path), **how)
-
-
-def read_container(data):
-    """Header fields and (count, bytes) of the blocks of an Avro container."""
-    source = io.BytesIO(data)
-
-    def number():
-        shift = n = 0
-        while True:
-            byte = source.read(1)[0]
-            n |= (byte & 0x7F) << shift
-            if byte < 0x80:
-                return (n >> 1) ^ -(n & 1)
-            shift += 7
-
-    assert source.read(4) == b"Obj\x01"
-    meta = {}
-    for _ in range(number()):
-        name = source.read(number()).decode()
-        meta[name] = source.read(number())
-    assert number() == 0
-    sync = source.read(16)
-    blocks = []
-    while source.tell() < len(data):
-        blocks.append((number(), source.read(number())))
-        assert source.read(16) == sync
-    return meta, blocks
-
-
-@pytest.mark.parametrize("codec", avro.BLOCK_CODECS)
-def test_avro_container(codec):
-    sync = hashlib.md5(b"f").digest()
-    records = [b"\x02a", b"\x04bb" * 100]
-    data = avro.header('"string"', codec, sync) + avro.block(records, codec, sync) + avro.block([b"\x00"], codec, sync)
-    meta, blocks = read_container(data)
-    assert meta == {"avro.schema": b'"string"', "avro.codec": codec.encode()}
-    undo = {
-        "null": bytes,
-        "deflate": lambda b: zlib.decompress(b, wbits=-15),
-        "snappy": lambda b: pa.Codec("snappy").decompress(b[:-4], len(b"".join(records)), asbytes=True),
-        "zstandard": lambda b: pa.CompressedInputStream(pa.BufferReader(b), "zstd").read(),
-    }[codec]
-    assert [n for n, _ in blocks] == [2, 1]
-    assert undo(blocks[0][1]) == b"".join(records)
-
-
-def test_avro_pieces_join(spark, tmp_path):
-    """Pieces of one container, staged and assembled by the writer."""
-    from sluice.session import ship_package
-    from sluice.sinks.files import _PIECE
-
-    ship_package(spark)
-    staging = f"{tmp_path}/_staging/run"
-    rows = spark.range(100).selectExpr("'f.avro' as file_name", "id div 30 as part", "id as offset", "cast(concat(char(2), 'x') as binary) as payload")
-    stage = avro.avro_stage(staging, '"string"', "none", {"avro.codec": "deflate"})
-    pieces = rows.repartition("file_name", "part").sortWithinPartitions("file_name", "part", "offset").mapInArrow(stage, _PIECE)
-    pieces.write.parquet(f"{staging}/manifest")
-    publish(spark.read.parquet(f"{staging}/manifest"), str(tmp_path), staging, FRAMELESS, "none")
-    meta, blocks = read_container(contents(tmp_path)["f.avro"])
-    assert sum(n for n, _ in blocks) == 100
-    assert b"".join(zlib.decompress(b, wbits=-15) for _, b in blocks) == b"\x02x" * 100
-
-
-def test_avro_write_needs_its_package(records, tmp_path):
-    with pytest.raises(Exception, match="(?i)avro"):
-        write_files(group_records(records, CHANGELOG), str(tmp_path), "avro")
-
-
-@pytest.mark.parametrize("n", [0, 1, -1, 63, 64, -65, 2**40])
-def test_varint(n):
-    data = avro.varint(n)
-    value = sum((b & 0x7F) << (7 * i) for i, b in enumerate(data))
-    assert (value >> 1) ^ -(value & 1) == n

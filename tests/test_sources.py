@@ -94,14 +94,8 @@ def test_large_object_is_read_in_ranges(spark, tmp_path, monkeypatch):
 
 
 @pytest.fixture
-def small_splits(spark):
-    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
-    before = {n: spark.conf.get(n) for n in names}
-    spark.conf.set(names[0], "2000")
-    spark.conf.set(names[1], "1")
-    yield
-    for n, v in before.items():
-        spark.conf.set(n, v)
+def small_ranges(monkeypatch):
+    monkeypatch.setattr("sluice.sources.streams.RANGE_BYTES", 2000)
 
 
 def jsonl(n, bad=()):
@@ -113,7 +107,7 @@ def jsonl(n, bad=()):
     return "\n".join(lines)
 
 
-def test_jsonl_across_splits(spark, tmp_path, small_splits):
+def test_jsonl_across_ranges(spark, tmp_path, small_ranges):
     put(str(tmp_path), "good.jsonl", jsonl(1000))
     put(str(tmp_path), "bad.jsonl", jsonl(1000, bad=(613, 700)))
     put(str(tmp_path), "first.jsonl", jsonl(10, bad=(0,)))
@@ -245,19 +239,20 @@ def test_progress_merge(spark):
     assert merged == {("b", "x"): 9, ("b", "y"): 7, ("c", "x"): 2}
 
 
-def test_bounded_set(spark):
+def test_processed_objects_are_left_out(spark):
     objects = spark.createDataFrame([(k,) for k in "abcdef"], "object_key string")
-    processed = spark.createDataFrame([("a", 1), ("c", 2), ("d", 3)], "object_key string, seq bigint")
+    processed = spark.createDataFrame([("a", 1), ("c", 2), ("d", 3), ("d", 4)], "object_key string, seq bigint")
+    assert sorted(r[0] for r in prog.drop_processed(objects, processed).collect()) == ["b", "e", "f"]
 
-    def left(**how):
-        return sorted(r[0] for r in prog.drop_recent(objects, processed, **how).collect())
 
-    assert left(ring_size=10) == ["b", "e", "f"]
-    assert left(ring_size=10, start_after="b") == ["e", "f"]
-    assert left(ring_size=3, start_after="d") == ["b", "e", "f"]
-    assert left(ring_size=2) == ["e", "f"]
-    assert left(ring_size=0) == list("abcdef")
-    assert sorted(r[0] for r in prog.drop_processed(objects, processed).collect()) == ["b", "e", "f"]
+@pytest.mark.parametrize(
+    "line, bad",
+    [("{'a':1}", True), ('{"b":2} trailing', True), ('{"a":1}{"b":2}', True), ("1,2", True), ("1],[2", True), ("[1,2", True),
+     ('{"a":NaN}', True), ('{"a":01}', True), ("nul", True), ('"a"b', True), ('{"a":1}', False), ("null", False), ("[]", False),
+     ('"x"', False), ("-1.5e3", False), ('{"a":1,"a":2}', False), ('{"a":{"b":[1,{"c":null}]}}', False)],
+)
+def test_json_is_strict(spark, line, bad):
+    assert spark.createDataFrame([(line,)], "l string").select(obj.is_bad_json(F.col("l"))).first()[0] is bad
 
 
 def test_records_are_numbered_across_blocks(spark):

@@ -1,12 +1,15 @@
 """Streams: flushes, restarts, rate caps."""
 
+import json
 import os
+from datetime import UTC, datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 from sluice.sinks.codecs import encode
-from sluice.sources.objects import read_lines
+from sluice.sources.objects import read_lines, read_objects
+from sluice.sources.records import log_records
 from sluice.streaming.sink import record_stream, write_stream
 from sluice.streaming.source import publish_stream, read_stream
 from test_sinks import contents
@@ -43,7 +46,7 @@ def test_one_batch_is_one_flush_and_restarts_go_on(spark, tmp_path):
     assert run(spark, tmp_path) == []
     feed(spark, f"{tmp_path}/in", "b", range(10, 16))
     assert run(spark, tmp_path) == [(1, 6)]
-    assert os.listdir(f"{tmp_path}/out/_staging") == []
+    assert not os.path.exists(f"{tmp_path}/out/_staging")
     # State ends with the flush: the second one opens files of its own.
     assert contents(f"{tmp_path}/out") == {
         "t-0-0": b"v0\nv2\nv4\nv6\nv8",
@@ -79,6 +82,44 @@ def test_replayed_flush_puts_the_same_objects(spark, tmp_path):
     assert contents(f"{tmp_path}/out") == before
 
 
+def test_a_flush_replayed_later_has_the_same_wallclock_names(spark, tmp_path):
+    """The time of a flush is in the checkpoint: made to be two days ago, a replay takes that."""
+    template = CHANGELOG + "-{{timestamp:unit=dd}}"
+    feed(spark, f"{tmp_path}/in", "a", range(0, 4))
+    run(spark, tmp_path, template=template)
+    before = set(contents(f"{tmp_path}/out"))
+    offsets = f"{tmp_path}/cp/offsets/0"
+    version, meta, *rest = open(offsets).read().split("\n")
+    told = json.loads(meta)
+    told["batchTimestampMs"] -= 2 * 24 * 3600 * 1000
+    open(offsets, "w").write("\n".join([version, json.dumps(told), *rest]))
+    for name in os.listdir(f"{tmp_path}/cp/offsets"):
+        if name.endswith(".crc"):
+            os.remove(f"{tmp_path}/cp/offsets/{name}")
+    for name in os.listdir(f"{tmp_path}/cp/commits"):
+        os.remove(f"{tmp_path}/cp/commits/{name}")
+    run(spark, tmp_path, template=template)
+    day = datetime.fromtimestamp(told["batchTimestampMs"] / 1000, UTC).strftime("%d")
+    assert set(contents(f"{tmp_path}/out")) - before == {f"t-0-0-{day}", f"t-1-1-{day}"}
+
+
+def test_a_log_as_parquet(spark, tmp_path):
+    """Rows as a log gives them have one schema, and columnar files of them are not cut."""
+    feed(spark, f"{tmp_path}/in", "a", range(0, 9))
+    log = record_stream(spark, f"{tmp_path}/in", SCHEMA).selectExpr(
+        "cast(key as binary) as key", "cast(value as binary) as value", "topic", "partition", "offset",
+        "timestamp_millis(timestamp_ms) as timestamp",
+    )
+    write_stream(
+        log_records(log), f"{tmp_path}/out", CHANGELOG, f"{tmp_path}/cp", fmt="parquet",
+        fields=["key", "value", "offset"], available_now=True,
+    ).awaitTermination()
+    read = read_objects(spark, f"{tmp_path}/out", "parquet")
+    assert sorted((r["object_key"], r["offset"], bytes(r["value"])) for r in read.collect()) == sorted(
+        (f"t-{o % 2}-{o % 2}", o, f"v{o}".encode()) for o in range(9)
+    )
+
+
 def test_a_failing_flush_is_not_committed(spark, tmp_path):
     feed(spark, f"{tmp_path}/in", "a", range(0, 4))
     blocked = tmp_path / "out"
