@@ -175,12 +175,6 @@ def first_record_keys(df: DataFrame, *order: str) -> list[str]:
     return list(row["keys"]) if row and row["keys"] else []
 
 
-def all_record_keys(df: DataFrame) -> list[str]:
-    """Every map key in use, sorted; one row per key reaches the driver as a column name."""
-    keys = df.select(F.explode(F.map_keys("value")).alias("k")).distinct()
-    return sorted(r["k"] for r in keys.toLocalIterator())
-
-
 def unknown_keys(df: DataFrame, known: Sequence[str]) -> Column:
     """Keys of a record's map that the file's columns do not have."""
     keys = F.coalesce(F.map_keys("value"), F.array())

@@ -5,16 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.operators.grouping import group_records
+from sluice.operators.grouping import group_records, placed_width
 from sluice.operators.slices import SLICE_WIDTH
-from sluice.plans.catalogue import DIALOGUE, RECORDS, query, table
+from sluice.plans.catalogue import DIALOGUE, EVENT_TIME, RECORDS, query, table
 from sluice.plans.formats import _B64_KEY, _B64_VALUE, _JSON_KEY, _K
 from sluice.plans.grouping import CHANGELOG, _starts
 from sluice.session import scratch_path
 from sluice.sinks.files import write_files
 from sluice.sources.connector import read_records
 from sluice.sources.objects import read_lines, read_objects
-from sluice.sources.records import conversation_records, event_records
+from sluice.sources.records import conversation_records, event_records, log_records
 from sluice.streaming.sink import write_stream
 from sluice.streaming.source import publish_stream, read_stream
 
@@ -75,6 +75,84 @@ def write_parquet(spark, sf_dir):
     return read_objects(spark, path, "parquet")
 
 
+@query(
+    _starts(_ALL, state="key_schema_id || '/' || value_schema_id")
+    + f""" SELECT {_FILE} || strftime({EVENT_TIME}, '-%H') AS object_key, key, "offset" FROM files"""
+)
+def write_parquet_hourly(spark, sf_dir):
+    """Hours in turn within the slices of a partition: one object for each."""
+    template = CHANGELOG + "-{{timestamp:unit=HH}}"
+    grouped = group_records(_one_flush(spark, sf_dir), template, ts_source="event", schema_rotation=True)
+    path = scratch_path(spark, "hourly")
+    placed = placed_width(template, schema_rotation=True)
+    write_files(grouped, path, "parquet", fields=["key", "offset"], placed=placed).count()
+    return read_objects(spark, path, "parquet")
+
+
+_HIDDEN = "CASE WHEN \"partition\" % 2 = 0 THEN '_' ELSE 'in/.' END || topic"
+
+
+@query(
+    f"""WITH {RECORDS}, hidden AS (SELECT *, {_HIDDEN} AS name FROM records),
+        files AS (SELECT *, min("offset") OVER (PARTITION BY name, "partition") AS start_offset FROM hidden)
+        SELECT name || '-' || "partition" || '-' || start_offset AS object_key, "offset" FROM files"""
+)
+def write_hidden_names(spark, sf_dir):
+    """Topics whose names Spark's own listing leaves out."""
+    even = F.pmod("partition", F.lit(2)) == 0
+    topic = F.concat(F.when(even, F.lit("_")).otherwise(F.lit("in/.")), F.col("topic"))
+    grouped = group_records(_one_flush(spark, sf_dir).withColumn("topic", topic), CHANGELOG)
+    path = scratch_path(spark, "hidden")
+    write_files(grouped, path, "parquet", fields=["offset"]).count()
+    return read_objects(spark, path, "parquet")
+
+
+@query(
+    _starts(_ALL)
+    + f""", numbered AS (SELECT {_FILE} AS object_key, key, "offset",
+              row_number() OVER (PARTITION BY topic, "partition" ORDER BY "offset") AS n,
+              count(*) OVER (PARTITION BY topic, "partition") // 4 AS done FROM files)
+        SELECT object_key, key, "offset" FROM numbered WHERE n > done"""
+)
+def resume_parquet(spark, sf_dir):
+    """Parquet objects of which the first quarter has been read before."""
+    path = scratch_path(spark, "resume")
+    grouped = group_records(_one_flush(spark, sf_dir), CHANGELOG)
+    write_files(grouped, path, "parquet", fields=["key", "offset"]).count()
+    quarter = F.call_function("div", F.count(F.lit(1)), F.lit(4))
+    progress = read_objects(spark, path, "parquet").groupBy("object_key").agg(quarter.alias("record_count"))
+    return read_objects(spark, path, "parquet", progress=progress)
+
+
+@query(
+    _starts(_ALL)
+    + f""" SELECT {_FILE} AS object_key, encode(key) AS key, encode(value) AS value, "offset" FROM files"""
+)
+def stream_log_parquet(spark, sf_dir):
+    """Rows as a log has them, through the sink into Parquet objects."""
+    schema = table(spark, sf_dir, "events").schema
+    events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    log = event_records(events).select(
+        F.col("key").cast("binary").alias("key"),
+        F.col("value").cast("binary").alias("value"),
+        "topic",
+        "partition",
+        "offset",
+        F.timestamp_millis("timestamp_ms").alias("timestamp"),
+    )
+    path = scratch_path(spark, "log")
+    write_stream(
+        log_records(log),
+        path,
+        CHANGELOG,
+        scratch_path(spark, "checkpoint"),
+        fmt="parquet",
+        fields=["key", "value", "offset"],
+        available_now=True,
+    ).awaitTermination()
+    return read_objects(spark, path, "parquet")
+
+
 @query(
     _starts(_ALL, limit=500)
     + f""" SELECT {_FILE} AS object_key,

@@ -11,8 +11,9 @@ from sluice.sources import objects as obj
 from sluice.sources import progress as prog
 
 # Fixed values of the rule below: which events are followed by a blank line,
-# which by a bad one, and the bad line itself.
-_BLANK_EVERY, _BAD_EVERY, _BAD_AT, _BAD_LINE = 97, 1009, 500, "invalid-json"
+# which by a bad one, and the bad lines in turn.
+_BLANK_EVERY, _BAD_EVERY, _BAD_AT = 97, 1009, 500
+_BAD_LINES = ["invalid-json", "{'a':1}", '{"b":2} trailing']
 
 DOCS = """
 docs AS (SELECT source || '/' || lang || '/' || doc_id || '.txt' AS object_key,
@@ -41,7 +42,8 @@ base AS (SELECT *, event_type || '/' || (user_id % 4) || '/' || strftime(ts, '%Y
 lines AS (
   SELECT object_key, event_id * 4 AS position, '  ' || json || ' ' AS line FROM base
   UNION ALL SELECT object_key, event_id * 4 + 1, '   ' FROM base WHERE event_id % {_BLANK_EVERY} = 0
-  UNION ALL SELECT object_key, event_id * 4 + 2, '{_BAD_LINE}' FROM base
+  UNION ALL SELECT object_key, event_id * 4 + 2,
+                   [{", ".join("'" + b.replace("'", "''") + "'" for b in _BAD_LINES)}][1 + event_id % 3] FROM base
             WHERE event_id % {_BAD_EVERY} = {_BAD_AT}),
 clean AS (SELECT object_key, position, trim(line) AS value FROM lines WHERE trim(line) <> ''),
 good AS (SELECT * FROM clean WHERE json_valid(value))
@@ -105,7 +107,7 @@ def event_lines(events: DataFrame) -> DataFrame:
         ),
         F.when(
             F.pmod(event, F.lit(_BAD_EVERY)) == _BAD_AT,
-            F.struct(F.lit(2).alias("at"), F.lit(_BAD_LINE).alias("line")),
+            F.struct(F.lit(2).alias("at"), F.array(*map(F.lit, _BAD_LINES))[F.pmod(event, F.lit(3)).cast("int")].alias("line")),
         ),
     )
     return (

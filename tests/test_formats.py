@@ -138,4 +138,3 @@ def test_unwrap(spark, records):
     whole = fmt.unwrap(maps, "value", "offset", map_keys=["a", "b"]).orderBy("offset")
     assert [tuple(r) for r in whole.collect()] == [(0, 1, None), (1, 3, 2)]
     assert lines(maps, fmt.unknown_keys(maps, first)) == [[], ["b"]]
-    assert fmt.all_record_keys(maps) == ["a", "b"]
