@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BUCKET_BYTES = 8 << 20
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 
 
 def n_buckets(docs: DataFrame, text_col: str) -> int:
