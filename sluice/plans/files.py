@@ -89,6 +89,41 @@ def write_parquet_hourly(spark, sf_dir):
     return read_objects(spark, path, "parquet")
 
 
+@query(
+    _starts(_ALL, state="key_schema_id || '/' || value_schema_id")
+    + f""" SELECT {_FILE} AS object_key, {_K} AS k,
+           CASE WHEN value_schema_id > 0 THEN key END AS owner,
+           CASE WHEN value_schema_id > 1 THEN "partition" END AS shard FROM files"""
+)
+def write_parquet_versions(spark, sf_dir):
+    """The value has one more field from version to version; files have those of theirs."""
+    records = _one_flush(spark, sf_dir)
+    value = F.struct(F.from_json("value", "k int").k.alias("k"), F.col("key").alias("owner"), F.col("partition").alias("shard"))
+    grouped = group_records(records.withColumn("value", value), CHANGELOG, schema_rotation=True)
+    path = scratch_path(spark, "versions")
+    whole = ["k", "owner", "shard"]
+    versions = {0: whole[:1], 1: whole[:2], 2: whole, 3: whole}
+    write_files(grouped, path, "parquet", envelope=False, versions=versions, placed=SLICE_WIDTH).count()
+    return read_objects(spark, path, "parquet")
+
+
+@query(
+    _starts(_ALL)
+    + f""" SELECT {_FILE} AS object_key, {_K} AS k, CASE WHEN "partition" = 0 THEN 0 END AS p0,
+           CASE WHEN "partition" = 1 THEN 1 END AS p1, CASE WHEN "partition" = 2 THEN 2 END AS p2,
+           CASE WHEN "partition" = 3 THEN 3 END AS p3 FROM files"""
+)
+def write_parquet_maps(spark, sf_dir):
+    """Maps whose keys differ by partition, and so do the columns of the files."""
+    records = _one_flush(spark, sf_dir)
+    own = F.concat(F.lit("p"), F.col("partition").cast("string"))
+    value = F.create_map(F.lit("k"), F.from_json("value", "k int").k, own, F.col("partition"))
+    grouped = group_records(records.withColumn("value", value), CHANGELOG)
+    path = scratch_path(spark, "maps")
+    write_files(grouped, path, "parquet", envelope=False).count()
+    return read_objects(spark, path, "parquet")
+
+
 _HIDDEN = "CASE WHEN \"partition\" % 2 = 0 THEN '_' ELSE 'in/.' END || topic"
 
 

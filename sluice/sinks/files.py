@@ -24,7 +24,7 @@ import hashlib
 import itertools
 import os
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -32,6 +32,7 @@ import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sluice.functions.formats import csv_line, envelope_columns, json_line, unwrap
 from sluice.session import scratch_path, ship_package
@@ -67,6 +68,7 @@ def write_files(
     compression: str = "none",
     value_encoding: str = "base64",
     map_keys: Sequence[str] = (),
+    versions: Mapping[int, Sequence[str]] | None = None,
     part_offsets: int = PART_OFFSETS,
     placed: int = 0,
     staging: str | None = None,
@@ -78,6 +80,11 @@ def write_files(
     n_parts``, read from the manifest in the shared scratch folder. A path
     without a scheme is on Spark's default file system.
 
+    Parquet files of unwrapped values have columns of their own. With
+    ``versions`` (the value's fields by ``value_schema_id``) a file has the
+    fields of its version; a map value without ``map_keys`` gives a file the
+    keys of its first record. A record that does not fit its file fails.
+
     ``placed`` says that the tasks of ``grouped`` already hold every stretch
     of so many offsets of a file in order, as ``grouping.placed_width`` tells
     of a grouping; the records are then not shuffled again. An order that
@@ -102,6 +109,12 @@ def write_files(
             _payload(grouped, fmt, fields, envelope, value_encoding).alias("payload"),
         )
         stage = _text_stage(staging, FRAMES[fmt], compression)
+    elif not envelope and (own := _own_fields(grouped, fields, map_keys, versions)) is not None:
+        rows = own.select("file_name", part, F.col("offset").alias("_at"), "_fields", F.col(fields[0]).alias("_value"))
+        place = ["file_name", "part", "_at"]
+        options = {"compression": compression, **(options or {})}
+        stage = _fields_stage(staging, options)
+        placed = placed if versions else 0  # a join has found the keys
     else:
         keyed = grouped.withColumn("_part", part).withColumn("_at", F.col("offset"))
         columns = _columns(keyed, fields, envelope, map_keys, ["file_name", "_part", "_at"])
@@ -133,6 +146,26 @@ def staging_path(path: str) -> str:
     return f"{path.rstrip('/')}/{STAGING}/{uuid.uuid4().hex}"
 
 
+def _own_fields(
+    grouped: DataFrame,
+    fields: Sequence[str],
+    map_keys: Sequence[str],
+    versions: Mapping[int, Sequence[str]] | None,
+) -> DataFrame | None:
+    """The records with ``_fields``, the columns of their file; None if all have the same."""
+    kind = grouped.schema[fields[0]].dataType if fields[0] in grouped.columns else None
+    if versions is not None and isinstance(kind, T.StructType):
+        known = F.create_map(*[F.lit(x) for v, names in versions.items() for x in (v, list(names))])
+        unknown = F.raise_error(F.concat(F.lit("no fields for schema "), F.col("value_schema_id").cast("string")))
+        names = F.coalesce(known[F.col("value_schema_id")], unknown.cast("array<string>"))
+        return grouped.withColumn("_fields", names)
+    if isinstance(kind, T.MapType) and not map_keys:
+        names = F.coalesce(F.min_by(F.map_keys(fields[0]), "offset"), F.array().cast("array<string>"))
+        firsts = grouped.groupBy("file_name").agg(names.alias("_fields"))
+        return grouped.join(firsts, "file_name")
+    return None
+
+
 def _payload(
     df: DataFrame, fmt: str, fields: Sequence[str], envelope: bool, value_encoding: str
 ) -> Column:
@@ -307,6 +340,54 @@ class ParquetPiece(Piece):
         return self.row(0, size, 0)
 
 
+class FieldsPiece(Piece):
+    """A Parquet piece of one value whose columns its file names."""
+
+    at = "_at"
+
+    def __init__(self, staging, name, options):
+        super().__init__(staging, name)
+        self._options, self._fields, self._rows = options, None, None
+
+    def add(self, batch: pa.RecordBatch) -> None:
+        if self._fields is None:
+            self._fields = batch["_fields"][0].as_py()
+        if pc.unique(_joined(batch["_fields"])).to_pylist() != ["\x1f".join(self._fields)]:
+            raise ValueError(f"the schema changes inside {self.name}")
+        rows = _columns_of(batch["_value"], self._fields, self.name)
+        if self._rows is None:
+            self._rows = RowGroups(self.out, rows.schema, self._options)
+        self._rows.add(rows)
+
+    def close(self) -> tuple:
+        self._rows.close()
+        size = self.out.tell()
+        self.out.close()
+        return self.row(0, size, 0)
+
+
+def _joined(names: pa.Array) -> pa.Array:
+    return pc.binary_join(names, "\x1f")
+
+
+def _columns_of(value: pa.Array, fields: list[str], name: str) -> pa.Table:
+    """A struct's or a map's entries as columns; a key without a column is an error."""
+    if pa.types.is_struct(value.type):
+        return pa.Table.from_arrays([pc.struct_field(value, f) for f in fields], names=fields)
+    value = value.take(pa.array(range(len(value))))  # a slice would still show all its parent's keys
+    extra = set(pc.unique(value.keys).to_pylist()) - set(fields)
+    if extra:
+        raise ValueError(f"no column for {', '.join(sorted(extra))} in {name}")
+    return pa.Table.from_arrays([pc.map_lookup(value, pa.scalar(f), "last") for f in fields], names=fields)
+
+
+def _fields_stage(staging: str, options: dict):
+    def stage(batches):
+        yield from _pieces(batches, lambda name: FieldsPiece(staging, name, options))
+
+    return stage
+
+
 def _text_stage(staging: str, frame: tuple[bytes, bytes, bytes], compression: str):
     def stage(batches):
         yield from _pieces(

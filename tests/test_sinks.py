@@ -306,3 +306,30 @@ def test_arguments(records, tmp_path):
     for how in ({"fmt": "xml"}, {"compression": "lzo"}, {"fields": ["nope"]}):
         with pytest.raises(ValueError):
             write_files(group_records(records, CHANGELOG), str(tmp_path), **how)
+
+
+def test_a_file_has_the_fields_of_its_version(records, tmp_path):
+    value = F.struct(F.col("offset").alias("a"), F.col("key").alias("b"))
+    grouped = group_records(records.withColumn("value", value), CHANGELOG, schema_rotation=True)
+    how = {"envelope": False, "placed": 1 << 16}
+    write_files(grouped, str(tmp_path), "parquet", versions={1: ["a"], 2: ["b", "a"]}, **how)
+    files = {n: pq.read_table(io.BytesIO(d)) for n, d in contents(tmp_path).items()}
+    assert {n: t.column_names for n, t in files.items()} == {"t-0-0": ["a"], "t-1-5": ["a"], "t-0-30": ["b", "a"], "t-1-31": ["b", "a"]}
+    assert files["t-0-30"].column("a").to_pylist() == list(range(30, 50))
+    with pytest.raises(PySparkException, match="no fields for schema 2"):
+        write_files(grouped, str(tmp_path / "x"), "parquet", versions={1: ["a"]}, **how)
+    mixed = group_records(records.withColumn("value", value), CHANGELOG)
+    with pytest.raises(PySparkException, match="schema changes inside"):
+        write_files(mixed, str(tmp_path / "y"), "parquet", envelope=False, versions={1: ["a"], 2: ["b", "a"]})
+
+
+def test_a_file_has_the_keys_of_its_first_record(records, tmp_path):
+    value = F.create_map(F.concat(F.lit("p"), F.col("partition").cast("string")), F.col("offset"))
+    grouped = group_records(records.withColumn("value", value), CHANGELOG)
+    write_files(grouped, str(tmp_path), "parquet", envelope=False, part_offsets=7)
+    files = {n: pq.read_table(io.BytesIO(d)) for n, d in contents(tmp_path).items()}
+    assert {n: t.column_names for n, t in files.items()} == {"t-0-0": ["p0"], "t-1-5": ["p1"]}
+    assert files["t-0-0"].column("p0").to_pylist() == list(range(50))
+    odd = F.create_map(F.when(F.col("offset") == 40, F.lit("z")).otherwise(F.lit("y")), F.col("offset"))
+    with pytest.raises(PySparkException, match="no column for z"):
+        write_files(group_records(records.withColumn("value", odd), CHANGELOG), str(tmp_path / "x"), "parquet", envelope=False)
