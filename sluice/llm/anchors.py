@@ -14,7 +14,7 @@ from dataclasses import dataclass
 import numpy as np
 
 K = 24
-SEGMENT = 1 << 22  # windows handled at a time; their numbers take 24 bits
+SEGMENT = 1 << 20  # windows handled at a time; their numbers take 24 bits
 _LOW = np.uint64((1 << 24) - 1)
 
 
@@ -85,4 +85,5 @@ def _segment(data: np.ndarray, ends: np.ndarray, start: int, width: int) -> Runs
 
     shape = ((last - first) << 8 | (at - first)).astype(np.uint64)
     context = _mix(_mix(window_hash(first), window_hash(last)), shape)
-    return Runs(at + start, first + start, last + start, gram[at], context)
+    # Anchors have small hashes; mixed once more they spread over all values.
+    return Runs(at + start, first + start, last + start, _mix(gram[at], np.uint64(0x27D4EB2F165667C5)), context)
