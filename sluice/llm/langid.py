@@ -97,7 +97,7 @@ def fit(
     *,
     dim: int = 1024,
     seed: int = 7,
-    max_langs: int = 1000,
+    max_langs: int = 10_000,
     id_col: str = "doc_id",
     text_col: str = "text",
     lang_col: str = "lang",

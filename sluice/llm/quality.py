@@ -43,7 +43,7 @@ def fit(
     labels: DataFrame,
     *,
     max_rows: int = 12_000,
-    max_grades: int = 64,
+    max_grades: int = 1000,
     rounds: int = 6,
     rate: float = 8.0,
     id_col: str = "doc_id",

@@ -11,7 +11,7 @@ COLUMNS = {
     "op2_embeddings": "vec_id n_links component_id kept",
     "op3_quality": "doc_id held_out expected_grade tail_probability selected",
     "op4_warc": "page_id payload_bytes payload_digest record_type refers_to",
-    "op5_decontamination": "doc_id contaminated items n_items similarity",
+    "op5_decontamination": "doc_id item_id start n_words similarity",
     "op6_suffixes": "doc_id n_bytes n_removed n_spans kept_sha256",
     "op7_toxicity": "doc_id held_out score predicted",
     "op8_language": "doc_id held_out lang_pred score cosine",
@@ -30,7 +30,7 @@ def test_matches_sql(spark, sf_dir, name):
     assert oracle.differences(QUERIES[name](spark, sf_dir), SQL[name], oracle.connect(sf_dir)) is None
 
 
-@pytest.mark.parametrize("name", [n for n in COLUMNS if n not in SQL and n != "op1_pack"])
+@pytest.mark.parametrize("name", [n for n in COLUMNS if n not in SQL and n not in ("op1_pack", "op5_decontamination")])
 def test_a_row_for_every_row(spark, sf_dir, name):
     df = QUERIES[name](spark, sf_dir)
     assert df.columns == COLUMNS[name].split()
@@ -38,3 +38,13 @@ def test_a_row_for_every_row(spark, sf_dir, name):
     key = "vec_id" if name == "op2_embeddings" else "doc_id"
     ids = sorted(r[0] for r in df.select(key).collect())
     assert ids == sorted(r[0] for r in spark.read.parquet(f"{sf_dir}/{source}.parquet").select(key).collect())
+
+
+def test_leaks_are_named(spark, sf_dir):
+    df = QUERIES["op5_decontamination"](spark, sf_dir)
+    assert df.columns == COLUMNS["op5_decontamination"].split()
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    items = {r.item_id: r.text for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()}
+    found = {(r.doc_id, r.item_id) for r in df.collect()}
+    verbatim = {(d, i) for d, text in docs.items() for i, item in items.items() if item in (text or "")}
+    assert verbatim and verbatim <= found
