@@ -322,7 +322,8 @@ def match_source_name(name: Column, pattern: str) -> SourceMatch:
     def group(label: str) -> Column:
         if label not in groups:
             return F.lit(None).cast("string")
-        return F.when(name.rlike(regex), F.regexp_extract(name, regex, groups[label]))
+        # No group matches the empty text, which stands for a name that does not fit.
+        return F.nullif(F.regexp_extract(name, regex, groups[label]), F.lit(""))
 
     return SourceMatch(
         matches=name.rlike(regex),
