@@ -18,8 +18,8 @@ def _mix(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint32(15))
 
 
-def grams(text: str | None, sizes: tuple[int, ...], bits: int, lower: bool) -> np.ndarray:
-    """The distinct buckets, ascending, of a whole text's character n-grams.
+def counted_grams(text: str | None, sizes: tuple[int, ...], bits: int, lower: bool) -> tuple[np.ndarray, np.ndarray, int]:
+    """The buckets, ascending, of a whole text's character n-grams, their counts, and its length.
 
     The text stands between two spaces, so an empty or null text has few, but
     defined, features.
@@ -28,30 +28,16 @@ def grams(text: str | None, sizes: tuple[int, ...], bits: int, lower: bool) -> n
     if lower:
         text = text.lower()
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-    widest = max(sizes)
-    if len(codes) <= PIECE:
-        return np.unique(_hashes(codes, sizes, bits))
-    seen = np.zeros(1 << bits, bool)
-    for at in range(0, len(codes), PIECE):
-        seen[_hashes(codes[at : at + PIECE + widest - 1], sizes, bits)] = True
-    return np.flatnonzero(seen).astype(np.uint32)
-
-
-def weighted_grams(text: str | None, sizes: tuple[int, ...], bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of the case-sensitive n-grams, and the square roots of their shares (of length 1)."""
-    codes = np.frombuffer(f" {text or ''} ".encode("utf-32-le", "surrogatepass"), np.uint32)
-    widest = max(sizes)
     if len(codes) <= PIECE:
         found, counts = np.unique(_hashes(codes, sizes, bits), return_counts=True)
-    else:
-        counts = np.zeros(1 << bits, np.int64)
-        for at in range(0, len(codes), PIECE):
-            for n in sizes:  # a gram belongs to the piece it starts in
-                here = _hashes(codes[at : at + PIECE + n - 1], (n,), bits)
-                counts += np.bincount(here[:PIECE], minlength=1 << bits)
-        found = np.flatnonzero(counts).astype(np.uint32)
-        counts = counts[found]
-    return found, np.sqrt(counts / counts.sum()).astype(np.float32)
+        return found, counts, len(codes)
+    counts = np.zeros(1 << bits, np.int64)
+    for at in range(0, len(codes), PIECE):
+        for n in sizes:  # a gram belongs to the piece it starts in
+            here = _hashes(codes[at : at + PIECE + n - 1], (n,), bits)
+            counts += np.bincount(here[:PIECE], minlength=1 << bits)
+    found = np.flatnonzero(counts).astype(np.uint32)
+    return found, counts[found], len(codes)
 
 
 def _hashes(codes: np.ndarray, sizes: tuple[int, ...], bits: int) -> np.ndarray:

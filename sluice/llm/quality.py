@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluice.llm.common import held_out, keep, ready
-from sluice.llm.features import average_rounds, labelled_texts, sample, weighted_grams
+from sluice.llm.features import average_rounds, counted_grams, labelled_texts, sample
 
 SIZES = (1, 2, 3)
 BITS = 18
@@ -31,7 +31,8 @@ SHARDS = 8
 
 
 def _features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    return weighted_grams(text, SIZES, BITS)
+    found, counts, _ = counted_grams(text, SIZES, BITS, False)
+    return found, np.sqrt(counts / max(counts.sum(), 1)).astype(np.float32)
 
 
 def _sigmoid(x):

@@ -1,9 +1,9 @@
 """Toxicity: a linear classifier of character n-grams scaled by naive Bayes log-count ratios.
 
-A document's features are the distinct hashed n-grams of its whole lower-cased
-text. From the labelled sample come smoothed counts of documents per bucket in
-either class; the logarithm of their ratio scales the bucket, and logistic
-regression is trained on the scaled features.
+A document's features are the hashed n-grams of its whole lower-cased text, by
+the logarithm of their density in it. From the labelled sample come smoothed
+sums of a bucket's feature in either class; the logarithm of their ratio scales
+the bucket, and logistic regression is trained on the scaled features.
 
 Documents without a label are scored like all others. A null or empty text has
 the features of an empty text and gets a score too. A training set without
@@ -22,15 +22,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.llm.common import held_out, keep, ready
-from sluice.llm.features import average_rounds, grams, labelled_texts, sample
+from sluice.llm.features import average_rounds, counted_grams, labelled_texts, sample
 
-SIZES = (3, 4, 5)
+SIZES = (4, 5, 6)
+DENSITY = 1500.0  # one occurrence in so many characters makes a feature log 2
 BITS = 20
 SHARDS = 8
 
 
-def _features(text: str | None) -> np.ndarray:
-    return grams(text, SIZES, BITS, True)
+def _features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    found, counts, length = counted_grams(text, SIZES, BITS, True)
+    return found, np.log1p(DENSITY * counts / length).astype(np.float32)
 
 
 def fit(
@@ -54,42 +56,49 @@ def fit(
     chosen = keep(sample(labels, max_rows, id_col, label_col, ~held_out("id", *hold)), "chosen")
     rows = keep(labelled_texts(docs, chosen, id_col, text_col, SHARDS), "labelled")
 
-    def counts(frame: pd.DataFrame) -> pd.DataFrame:
-        found = np.zeros((2, 1 << BITS), np.int32)
+    def sums(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values(["id", "label"], kind="stable")
+        found, seen, means = np.zeros((2, 1 << BITS), np.float32), np.zeros(1 << BITS, np.int32), 0.0
         for label, text in zip(frame["label"], frame["text"], strict=True):
-            found[int(label > 0), _features(text)] += 1
+            at, x = _features(text)
+            found[int(label > 0), at] += x
+            seen[at] += 1
+            means += float(x.mean()) if len(x) else 0.0
         toxic = int((frame["label"] > 0).sum())
-        return pd.DataFrame({"n": [len(frame)], "toxic": [toxic], "counts": [found.tobytes()]})
+        blobs = {"sums": [found.tobytes()], "seen": [seen.tobytes()]}
+        return pd.DataFrame({"n": [len(frame)], "toxic": [toxic], "means": [means], **blobs})
 
-    n = np.zeros(2)
-    found = np.zeros((2, 1 << BITS))
-    for row in rows.groupBy("shard").applyInPandas(counts, "n long, toxic long, counts binary").toLocalIterator():
+    n, means = np.zeros(2), 0.0
+    found, seen = np.zeros((2, 1 << BITS)), np.zeros(1 << BITS, np.int64)
+    schema = "n long, toxic long, means double, sums binary, seen binary"
+    for row in rows.groupBy("shard").applyInPandas(sums, schema).toLocalIterator():
         n += [row.n - row.toxic, row.toxic]
-        found += np.frombuffer(row.counts, np.int32).reshape(found.shape)
+        means += row.means
+        found += np.frombuffer(row.sums, np.float32).reshape(found.shape)
+        seen += np.frombuffer(row.seen, np.int32)
     bias = np.log((n[1] + alpha) / (n[0] + alpha))
     if not n.all():
         return {"weights": np.zeros(1 << BITS, np.float32), "bias": np.float32([bias])}
-    share = (found + alpha) / (n[:, None] + 2 * alpha)
+    share = (found + alpha * means / n.sum()) / (n[:, None] + 2 * alpha)
     ratio = np.log(share[1] / share[0])
-    ratio[found.sum(0) < 3] = 0.0  # too rare to tell from chance
+    ratio[seen < 3] = 0.0  # too rare to tell from chance
+    ratio32 = ratio.astype(np.float32)
 
-    def step(params: dict, found: list[np.ndarray], label: np.ndarray, number: int) -> dict:
+    def step(params: dict, found: list[tuple], label: np.ndarray, number: int) -> dict:
         w, b = params["w"], params["b"]
         order = np.random.default_rng(number).permutation(len(found))
         rate = 0.1 / (1 + number)
         for i in order:
-            at = found[i]
-            scale = ratio32[at]
-            margin = float(scale @ w[at]) + b[0]
+            at, x = found[i]
+            x = ratio32[at] * x
+            margin = float(x @ w[at]) + b[0]
             error = (label[i] > 0) - 1 / (1 + np.exp(-np.clip(margin, -30, 30)))
-            # Steps are divided by the row's squared length: long texts don't overshoot.
-            pace = rate * error / max(1.0, 0.003 * float(scale @ scale))
-            w[at] += pace * scale
+            # Steps are divided by the row's squared length: long rows don't overshoot.
+            w[at] += rate * error / max(1.0, 0.0005 * float(x @ x)) * x
             b[0] += rate * error
         w *= 1 - 1e-3
         return {"w": w, "b": b}
 
-    ratio32 = ratio.astype(np.float32)
     start = {"w": np.full(1 << BITS, 0.0), "b": np.array([bias])}
     params = average_rounds(rows, start, _features, step, rounds)
     return {"weights": (params["w"] * ratio).astype(np.float32), "bias": params["b"].astype(np.float32)}
@@ -136,5 +145,6 @@ def clean(docs: DataFrame, model: dict[str, np.ndarray], *, threshold: float = 0
 
 def _scores(texts: pa.Array, model: dict[str, np.ndarray]) -> np.ndarray:
     weights, bias = model["weights"], float(model["bias"][0])
-    margins = np.array([weights[_features(t.as_py())].sum(dtype=np.float64) for t in texts], np.float64)
+    rows = (_features(t.as_py()) for t in texts)
+    margins = np.array([np.dot(weights[at], x) for at, x in rows], np.float64)
     return 1 / (1 + np.exp(-np.clip(margins + bias, -500, 500)))

@@ -5,7 +5,6 @@ import random
 import numpy as np
 
 from sluice.llm import quality
-from sluice.llm.features import weighted_grams
 
 
 def fixture(spark, n=1200):
@@ -51,13 +50,3 @@ def test_few_grades(spark):
     assert {(r.expected_grade, r.tail_probability, r.selected) for r in none} == {(None, None, False)}
     one = quality.score(docs, quality.fit(docs, labels.where("quality = 2"))).collect()
     assert {(r.expected_grade, r.tail_probability, r.selected) for r in one} == {(2.0, 1.0, True)}
-
-
-def test_pieces_give_the_same_grams(monkeypatch):
-    from sluice.llm import features
-
-    text = "".join(random.Random(2).choices("abcdÉ ", k=5000))
-    whole = weighted_grams(text, (1, 2, 3), 18)
-    monkeypatch.setattr(features, "PIECE", 100)
-    cut = weighted_grams(text, (1, 2, 3), 18)
-    assert (cut[0] == whole[0]).all() and (cut[1] == whole[1]).all()

@@ -3,7 +3,6 @@
 import random
 
 from sluice.llm import toxicity
-from sluice.llm.features import grams
 
 
 def fixture(spark, n=900):
@@ -50,7 +49,10 @@ def test_without_training_rows(spark):
 def test_pieces_give_the_same_grams(monkeypatch):
     from sluice.llm import features
 
-    text = "".join(random.Random(2).choices("abcdé ", k=5000))
-    whole = grams(text, (3, 4, 5), 20, True)
-    monkeypatch.setattr(features, "PIECE", 100)
-    assert (grams(text, (3, 4, 5), 20, True) == whole).all()
+    text = "".join(random.Random(2).choices("abcdÉ ", k=5000))
+    for sizes, lower in (((4, 5, 6), True), ((1, 2, 3), False)):
+        monkeypatch.setattr(features, "PIECE", 1 << 18)
+        whole = features.counted_grams(text, sizes, 18, lower)
+        monkeypatch.setattr(features, "PIECE", 100)
+        cut = features.counted_grams(text, sizes, 18, lower)
+        assert (cut[0] == whole[0]).all() and (cut[1] == whole[1]).all() and cut[2] == whole[2] == 5002
