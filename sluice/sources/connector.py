@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.functions.hashing import shard_by_object, shard_by_partition
 from sluice.functions.naming import match_source_name
+from sluice.session import scratch_path
+from sluice.sources import progress as prog
+from sluice.sources.listing import list_files
 from sluice.sources.objects import DEFAULT_CHUNK, match_names, read_objects
 
 DISTRIBUTIONS = ("object_hash", "partition")
@@ -95,3 +100,28 @@ def read_records(
         "object_key",
         "start_offset",
     )
+
+
+def read_new_records(
+    spark: SparkSession, root: str, pattern: str, fmt: str = "bytes", *, state: str, **options
+) -> tuple[DataFrame, Callable[[], None]]:
+    """What the objects have given since the state kept below ``state``.
+
+    Returns the records and a function that stores how far they go, to be
+    called when they have been dealt with: until then a new run gives them
+    again. ``options`` are those of ``read_records``. Not for Avro.
+    """
+    done = prog.load_progress(spark, state)
+    # Listed once: what arrives later is neither read nor counted now.
+    listed = scratch_path(spark, "listed")
+    list_files(spark, root).select("object_key", "path", "length").write.parquet(listed)
+    found = spark.read.schema("object_key string, path string, length bigint").parquet(listed)
+    records = read_records(spark, root, pattern, fmt, progress=done, listing=found, **options)
+
+    def commit() -> None:
+        new = prog.object_progress(records).withColumnRenamed("record_count", "more")
+        both = done.join(new, "object_key", "full")
+        count = F.coalesce("record_count", F.lit(0)) + F.coalesce("more", F.lit(0))
+        prog.store_progress(both.select("object_key", count.alias("record_count")), state)
+
+    return records, commit

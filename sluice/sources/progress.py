@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.operators.slices import SLICE, SLICE_WIDTH, attach, before, row_numbers, with_slice, within
@@ -89,6 +89,41 @@ def merge_progress(
     return merged
 
 
+def load_progress(spark: SparkSession, path: str) -> DataFrame:
+    """The newest state below ``path``: ``object_key, record_count``; empty at first."""
+    newest = _versions(spark, path)
+    if not newest:
+        return spark.createDataFrame([], _STATE)
+    return spark.read.schema(_STATE).parquet(f"{path.rstrip('/')}/{_name(newest[-1])}")
+
+
+def store_progress(progress: DataFrame, path: str) -> None:
+    """Writes a new state beside the older ones, which readers may still use.
+
+    A state counts once Spark has marked it as whole.
+    """
+    spark = progress.sparkSession
+    number = (_versions(spark, path) or [0])[-1] + 1
+    # What a failed attempt has left under that name is replaced.
+    state = progress.select("object_key", F.col("record_count").cast("bigint").alias("record_count"))
+    state.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{_name(number)}")
+
+
+_STATE = "object_key string, record_count bigint"
+
+
+def _name(number: int) -> str:
+    return f"state-{number:012d}"
+
+
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    from sluice.sources.listing import walk
+
+    done = F.regexp_extract("path", r"/state-(\d+)/_SUCCESS$", 1)
+    rows = walk(spark, path).select(done.alias("n")).where("n <> ''").collect()
+    return sorted(int(r["n"]) for r in rows)
+
+
 def drop_processed(objects: DataFrame, processed: DataFrame) -> DataFrame:
     """Objects that are not among the processed keys."""
     return objects.join(processed.select("object_key").distinct(), "object_key", "left_anti")

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from sluice.functions.naming import match_source_name
+from sluice.sources.connector import object_filter
 from sluice.sources.objects import _decoded, clean_lines, is_bad_json, object_key_of
 from sluice.sources.streams import compressed_chunks, compressed_lines, range_chunks, with_done
 
@@ -31,12 +32,20 @@ def read_stream(
     objects_per_batch: int | None = None,
     bytes_per_batch: str | None = None,
     glob: str | None = None,
+    prefix: str = "",
+    after: str | None = None,
+    tasks: int = 1,
+    task: int | None = None,
+    distribution: str = "object_hash",
 ) -> DataFrame:
     """Records of new objects below ``root``, with topic and partition by name.
 
     A micro-batch takes ``bytes_per_batch`` or ``objects_per_batch`` where one
     is given, else all new objects.
 
+    With a ``pattern``, ``prefix``, ``after`` and the share of one of several
+    ``tasks`` choose objects as in ``connector.read_records``.
+
     Bad JSON lines are left out one by one here: a stream cannot look back
     into an object to cut it at its first bad line, as ``read_objects`` does.
     """
@@ -48,17 +57,24 @@ def read_stream(
     if glob:
         reader = reader.option("pathGlobFilter", glob)
 
+    def wanted(objects: DataFrame) -> DataFrame:
+        if pattern is None:
+            return objects
+        chosen = {"prefix": prefix, "after": after, "tasks": tasks, "task": task}
+        keep = object_filter(pattern, distribution=distribution, **chosen)
+        return objects.filter(keep(F.col("object_key")))
+
     if fmt == "jsonl":
         if compression == "none":
             lines = reader.format("text").load(root)
-            lines = lines.select(_key(root).alias("object_key"), F.col("value").alias("line"))
+            lines = wanted(lines.select(_key(root).alias("object_key"), F.col("value").alias("line")))
         else:
-            lines = compressed_lines(_listed(reader, root), compression)
+            lines = compressed_lines(wanted(_listed(reader, root)), compression)
             lines = lines.select("object_key", "line")
         records = clean_lines(lines).filter(~is_bad_json(F.col("line")))
         records = records.withColumnRenamed("line", "value")
     elif fmt == "bytes":
-        listed = _listed(reader, root)
+        listed = wanted(_listed(reader, root))
         if compression == "none":
             records = range_chunks(listed, chunk_size)
         else:
@@ -67,7 +83,7 @@ def read_stream(
         if schema is None:
             raise ValueError(f"a {fmt} stream needs a schema")
         rows = reader.format(fmt).schema(schema).load(root)
-        records = rows.select(_key(root).alias("object_key"), F.struct(*rows.columns).alias("value"))
+        records = wanted(rows.select(_key(root).alias("object_key"), F.struct(*rows.columns).alias("value")))
     else:
         raise ValueError(f"unknown input format {fmt!r}")
 

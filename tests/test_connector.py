@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sluice.settings import sink_arguments, source_arguments
-from sluice.sources.connector import read_records
+from sluice.sources.connector import read_new_records, read_records
 from test_sources import put
 
 PATTERN = "{{topic}}-{{partition}}-{{start_offset}}"
@@ -106,3 +106,35 @@ def test_properties_drive_the_reader_and_the_writer(spark, root, tmp_path_factor
     )
     read = {r["start_offset"]: bytes(r["value"]) for r in read_records(spark, out, **source).collect()}
     assert read == {0: b"MA==\nMQ==\nMg==\nMw==", 4: b"NA==\nNQ==\nNg==\nNw==", 8: b"OA==\nOQ=="}
+
+
+@pytest.mark.parametrize("fmt", ["jsonl", "bytes", "parquet"])
+def test_progress_is_kept_between_runs(spark, tmp_path, fmt):
+    root, state = f"{tmp_path}/in", f"{tmp_path}/state"
+
+    def grow(name, n):
+        if fmt == "parquet":
+            spark.range(n).coalesce(1).write.mode("overwrite").parquet(f"{tmp_path}/made")
+            part = next(p for p in (tmp_path / "made").iterdir() if p.suffix == ".parquet")
+            put(root, name, part.read_bytes())
+        else:
+            put(root, name, "".join(f"{i:03d}\n" if fmt == "bytes" else f"{i}\n" for i in range(n)))
+
+    def run(late=None, commit=True):
+        how = {"chunk_size": 4} if fmt == "bytes" else {}
+        records, done = read_new_records(spark, root, "{{topic}}-{{partition}}", fmt, state=state, **how)
+        if late:
+            grow(*late)
+        found = sorted((r["partition"], str(r["value"])) for r in records.collect())
+        if commit:
+            done()
+        return [sum(p == n for p, _ in found) for n in (1, 2, 3)]
+
+    grow("t-1", 5)
+    assert run(commit=False) == [5, 0, 0]
+    assert run() == [5, 0, 0]  # not stored before
+    assert run() == [0, 0, 0]
+    grow("t-1", 8)
+    grow("_t-2", 3)
+    assert run(late=("t-3", 4)) == [3, 3, 0]  # what comes during a run waits
+    assert run() == [0, 0, 4]

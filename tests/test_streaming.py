@@ -196,3 +196,12 @@ def test_parquet_stream(spark, tmp_path):
     spark.range(10).coalesce(1).write.parquet(f"{tmp_path}/objects/t-1")
     table = publish(spark, tmp_path, "parquet", schema="id bigint", pattern="{{topic}}-{{partition}}/")[1]
     assert sorted(r["value"]["id"] for r in table.collect()) == list(range(10))
+
+
+def test_a_stream_takes_its_share(spark, tmp_path):
+    for i in range(6):
+        put(f"{tmp_path}/objects", f"in/t-{i}", b"x")
+    put(f"{tmp_path}/objects", "other/t-1", b"x")
+    how = {"pattern": "{{topic}}-{{partition}}", "prefix": "in/", "after": "in/t-0", "tasks": 2, "task": 1, "distribution": "partition"}
+    table = publish(spark, tmp_path, "bytes", **how)[1]
+    assert sorted(r["object_key"] for r in table.collect()) == ["in/t-1", "in/t-3", "in/t-5"]
