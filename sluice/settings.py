@@ -35,6 +35,14 @@ _SINK: dict[str, tuple[str, Callable, str | None]] = {
     "format.output.fields.value.encoding": ("value_encoding", str.lower, "base64"),
     "format.output.envelope": ("envelope", _flag, "true"),
 }
+# Parquet properties, behind ``connect.``, and the writer's options.
+_PARQUET: dict[str, tuple[str, Callable]] = {
+    "parquet.block.size": ("row_group_bytes", int),
+    "parquet.page.size": ("data_page_size", int),
+    "parquet.dictionary.page.size": ("dictionary_pagesize_limit", int),
+    "parquet.enable.dictionary": ("use_dictionary", _flag),
+    "parquet.writer.version": ("data_page_version", {"v1": "1.0", "v2": "2.0"}.__getitem__),
+}
 _SOURCE: dict[str, tuple[str, Callable, str | None]] = {
     "file.name.template": ("pattern", str, None),
     "input.format": ("fmt", str.lower, "bytes"),
@@ -68,6 +76,12 @@ def sink_arguments(properties: Mapping[str, str]) -> dict:
     found["template"] = upgrade_template(found["template"])
     check_grouping(found["template"], found["max_records"])
     check_fields(found["fields"], found["envelope"])
+    if found["fmt"] == "parquet":
+        found["options"] = {
+            option: convert(properties[f"connect.{name}"].strip().lower())
+            for name, (option, convert) in _PARQUET.items()
+            if f"connect.{name}" in properties
+        }
     return found
 
 

@@ -301,6 +301,8 @@ class RowGroups:
     """A Parquet writer that gathers rows into row groups by bytes."""
 
     def __init__(self, out, schema: pa.Schema, options: dict):
+        options = dict(options)
+        self._target = options.pop("row_group_bytes", ROW_GROUP_BYTES)
         self._writer = pq.ParquetWriter(out, schema, **options)
         self._held: list[pa.Table] = []
         self._bytes = 0
@@ -308,7 +310,7 @@ class RowGroups:
     def add(self, rows: pa.Table) -> None:
         self._held.append(rows)
         self._bytes += rows.nbytes
-        if self._bytes >= ROW_GROUP_BYTES:
+        if self._bytes >= self._target:
             self._flush()
 
     def _flush(self) -> None:

@@ -138,3 +138,26 @@ def test_progress_is_kept_between_runs(spark, tmp_path, fmt):
     grow("_t-2", 3)
     assert run(late=("t-3", 4)) == [3, 3, 0]  # what comes during a run waits
     assert run() == [0, 0, 4]
+
+
+def test_parquet_properties(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    from sluice.operators.grouping import group_records
+    from sluice.sinks.files import write_files
+
+    found = sink_arguments(
+        {"format.output.type": "parquet", "connect.parquet.block.size": "4000", "connect.parquet.enable.dictionary": "false",
+         "connect.parquet.avro.schema": "{}", "connect.parquet.writer.version": "V2"}
+    )
+    assert found["options"] == {"row_group_bytes": 4000, "use_dictionary": False, "data_page_version": "2.0"}
+    rows = spark.range(2000).coalesce(1).selectExpr("'t' topic", "0 partition", "id as offset", "0L timestamp_ms", "'k' key", "'v' value")
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
+    try:
+        write_files(group_records(rows, PATTERN), str(tmp_path), "parquet", fields=["offset"], options=found["options"])
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    written = pq.ParquetFile(f"{tmp_path}/t-0-0")
+    assert written.num_row_groups == 4 and "PLAIN_DICTIONARY" not in written.metadata.row_group(0).column(0).encodings
+    assert "options" not in sink_arguments({"format.output.type": "csv"})
