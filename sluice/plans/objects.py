@@ -162,6 +162,17 @@ def jsonl_records(spark, sf_dir):
     return _good(spark, sf_dir)
 
 
+@query(
+    f"""WITH {LINES} SELECT object_key, position, CAST(json_extract_string(value, '$.event_id') AS BIGINT) AS event_id,
+          CAST(json_extract_string(value, '$.props.k') AS INTEGER) AS k FROM good"""
+)
+def jsonl_typed(spark, sf_dir):
+    """Values parsed by a schema; all of them objects here."""
+    schema = "event_id bigint, user_id bigint, props struct<k int>"
+    records = obj.jsonl_records(_lines(spark, sf_dir), on_error="drop", value_schema=schema)
+    return records.select("object_key", "position", "value.event_id", "value.props.k")
+
+
 @query(
     f"""WITH {LINES}, cuts AS (SELECT object_key, min(position) AS cut FROM clean
              WHERE NOT json_valid(value) GROUP BY object_key)

@@ -69,6 +69,7 @@ def read_records(
     on_error: str = "drop",
     progress: DataFrame | None = None,
     listing: DataFrame | None = None,
+    value_schema: str | None = None,
 ) -> DataFrame:
     """Records of the matching objects below ``root``.
 
@@ -88,6 +89,7 @@ def read_records(
         progress=progress,
         keep=keep,
         listing=listing,
+        value_schema=value_schema,
     )
     if fmt in ("parquet", "avro"):
         fields = [F.col(f"`{c}`") for c in read.columns if c != "object_key"]

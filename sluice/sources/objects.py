@@ -124,9 +124,13 @@ def jsonl_records(
     position: str = "position",
     slice_width: int = SLICE_WIDTH,
     slice_by: str | None = None,
+    value_schema: str | None = None,
 ) -> DataFrame:
     """Lines of JSON-lines objects as records with a ``value``.
 
+    The value is the line's text, a ``variant`` with that as ``value_schema``,
+    or of any other schema given, with nulls for what does not fit it.
+
     ``drop`` leaves out the bad lines, which ``rejects`` lists; ``truncate``
     ends an object silently at its first bad line and takes a second pass
     over the lines; ``fail`` stops the job.
@@ -142,7 +146,14 @@ def jsonl_records(
         kept = clean.withColumn("line", F.when(~bad, F.col("line")).otherwise(error.cast("string")))
     else:
         raise ValueError("on_error must be truncate, drop or fail")
-    return kept.withColumnRenamed("line", "value")
+    return kept.withColumn("line", parsed(F.col("line"), value_schema)).withColumnRenamed("line", "value")
+
+
+def parsed(line: Column, value_schema: str | None) -> Column:
+    """A line known to be JSON, as text, as a variant or by a schema."""
+    if value_schema is None:
+        return line
+    return F.parse_json(line) if value_schema.lower() == "variant" else F.from_json(line, value_schema)
 
 
 def rejects(lines: DataFrame) -> DataFrame:
@@ -247,6 +258,7 @@ def read_objects(
     keep: Keep | None = None,
     glob: str | None = None,
     listing: DataFrame | None = None,
+    value_schema: str | None = None,
 ) -> DataFrame:
     """Records of the objects below ``root``: ``object_key`` and ``value``.
 
@@ -278,7 +290,9 @@ def read_objects(
         lines = read_lines(
             spark, root, compression=compression, keep=keep, glob=glob, listing=listing
         )
-        records = jsonl_records(lines, on_error=on_error, position="row", slice_by="block")
+        records = jsonl_records(
+            lines, on_error=on_error, position="row", slice_by="block", value_schema=value_schema
+        )
         if progress is not None:
             records = prog.resume(records, progress, position="row", slice_by="block")
         return records.drop("block", "row", "record_no")

@@ -298,3 +298,13 @@ def test_conversation_offsets_rise_with_turns(spark, sf_dir):
     assert records.select("topic", "partition", "offset").distinct().count() == records.count()
     ranges = records.groupBy("batch_id").agg(F.min("offset").alias("low"), F.max("offset").alias("high")).orderBy("batch_id").collect()
     assert all(a["high"] < b["low"] for a, b in zip(ranges, ranges[1:]))
+
+
+def test_typed_values(spark, tmp_path):
+    put(str(tmp_path), "t-1", '{"a":1,"b":[true]}\n\'x\'\n{"a":2}\n7\n')
+    read = obj.read_objects(spark, str(tmp_path), "jsonl", value_schema="a int, b array<boolean>")
+    rows = sorted(str(r["value"].asDict() if r["value"] else None) for r in read.collect())
+    assert rows == sorted(map(str, [{"a": 1, "b": [True]}, {"a": 2, "b": None}, {"a": None, "b": None}]))
+    variant = obj.read_objects(spark, str(tmp_path), "jsonl", value_schema="variant")
+    found = variant.select(F.try_variant_get("value", "$.a", "int"), F.schema_of_variant("value")).collect()
+    assert sorted(map(str, (r[0] for r in found))) == ["1", "2", "None"] and "BIGINT" in {r[1] for r in found}
