@@ -77,35 +77,67 @@ def labelled_texts(docs: DataFrame, chosen: DataFrame, id_col: str, text_col: st
     return rows.select(shard.alias("shard"), F.col("id").cast("long").alias("id"), F.col("label").cast("long").alias("label"), "text")
 
 
-Step = Callable[[dict, list, np.ndarray, int], dict]
+SLICE = 1 << 16  # numbers of an array that are added up in one task
+_PART = "shard int, name string, part int, numbers binary"
 
 
-def average_rounds(rows: DataFrame, params: dict, featurize: Callable, step: Step, rounds: int) -> dict:
+def added(rows: DataFrame, make: Callable[[pd.DataFrame], dict[str, np.ndarray]]) -> dict[str, np.ndarray]:
+    """Runs ``make`` on the rows of each shard and adds its arrays up, by name.
+
+    The sums are made in slices by Spark, so the driver gets each array once,
+    however many shards there are. Shards are added in their order, which
+    makes the result the same in every run.
+    """
+
+    def parts(frame: pd.DataFrame) -> pd.DataFrame:
+        shard = int(frame["shard"].iloc[0])
+        found = make(frame.sort_values(["id", "label"], kind="stable"))
+        cut = [
+            (shard, name, at // SLICE, numbers[at : at + SLICE].astype("<f4").tobytes())
+            for name, numbers in found.items()
+            for at in range(0, len(numbers), SLICE)
+        ]
+        return pd.DataFrame(cut, columns=["shard", "name", "part", "numbers"])
+
+    def total(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values("shard")
+        numbers = sum(np.frombuffer(x, "<f4").astype(np.float64) for x in frame["numbers"])
+        first = frame.iloc[0]
+        return pd.DataFrame({"name": [first["name"]], "part": [first["part"]], "numbers": [numbers.astype("<f4").tobytes()]})
+
+    made = rows.groupBy("shard").applyInPandas(parts, _PART)
+    sums = made.groupBy("name", "part").applyInPandas(total, "name string, part int, numbers binary").collect()
+    found: dict[str, list] = {}
+    for row in sorted(sums, key=lambda row: (row.name, row.part)):
+        found.setdefault(row.name, []).append(np.frombuffer(row.numbers, "<f4"))
+    return {name: np.concatenate(pieces).astype(np.float64) for name, pieces in found.items()}
+
+
+Step = Callable[[dict, dict, list, np.ndarray, int], dict]
+
+
+def average_rounds(rows: DataFrame, params: dict, fixed: dict, featurize: Callable, step: Step, rounds: int) -> dict:
     """Parameter mixing: in each round every shard trains from the common
     parameters, and the results are averaged by the shards' rows.
 
-    Only parameters come back to the driver: ``shards`` arrays of fixed size.
+    ``fixed`` goes with the parameters and stays as it is.
     """
     context = rows.sparkSession.sparkContext
-    schema = "n long, " + ", ".join(f"{k} binary" for k in params)
     for number in range(rounds):
-        shared = context.broadcast(params)
-        trained = rows.groupBy("shard").applyInPandas(_trainer(shared, featurize, step, number), schema)
-        total, sums = 0, {k: np.zeros(v.shape) for k, v in params.items()}
-        for row in trained.toLocalIterator():
-            total += row.n
-            for k in sums:
-                sums[k] += row.n * np.frombuffer(row[k], "<f4").reshape(sums[k].shape)
-        if total:
-            params = {k: v / total for k, v in sums.items()}
+        shared = context.broadcast(({k: v.astype(np.float32) for k, v in params.items()}, fixed))
+        sums = added(rows, _trainer(shared, featurize, step, number))
+        if sums:
+            params = {k: sums[k] / sums["rows"][0] for k in params}
+        shared.destroy()
     return params
 
 
-def _trainer(shared: Broadcast, featurize: Callable, step: Step, number: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
-    def train(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(["id", "label"], kind="stable")
-        params = {k: np.array(v) for k, v in shared.value.items()}
-        new = step(params, [featurize(t) for t in frame["text"]], frame["label"].to_numpy(), number)
-        return pd.DataFrame({"n": [len(frame)], **{k: [v.astype("<f4").tobytes()] for k, v in new.items()}})
+def _trainer(shared: Broadcast, featurize: Callable, step: Step, number: int) -> Callable[[pd.DataFrame], dict]:
+    def train(frame: pd.DataFrame) -> dict:
+        params, fixed = shared.value
+        params = {k: np.array(v, np.float64) for k, v in params.items()}
+        new = step(params, fixed, [featurize(t) for t in frame["text"]], frame["label"].to_numpy(), number)
+        n = len(frame)
+        return {"rows": np.array([n]), **{k: v * n for k, v in new.items()}}
 
     return train

@@ -67,30 +67,32 @@ def fit(
         return {"grades": grades, "weights": np.zeros(1 << BITS, np.float32), "thresholds": np.zeros(0)}
     below = np.cumsum([n for _, n in counts])[:-1] / sum(n for _, n in counts)
 
-    def step(params: dict, found: list[tuple], label: np.ndarray, number: int) -> dict:
-        w, cuts = params["w"], params["cuts"]
-        pace = rate / (1 + number)
-        at_grade = np.searchsorted(grades, label)
-        for i in np.random.default_rng(number).permutation(len(found)):
-            at, x = found[i]
-            total = float(w[at] @ x)
-            y = int(at_grade[i])
-            upper = _sigmoid(cuts[y] - total) if y < len(cuts) else 1.0
-            lower = _sigmoid(cuts[y - 1] - total) if y else 0.0
-            mass = max(upper - lower, 1e-6)
-            w[at] += pace * (upper + lower - 1) * x
-            if y < len(cuts):
-                cuts[y] += 0.05 * pace * min(upper * (1 - upper) / mass, 1.0)
-            if y:
-                cuts[y - 1] -= 0.05 * pace * min(lower * (1 - lower) / mass, 1.0)
-            cuts[:] = np.maximum.accumulate(cuts)
-        return {"w": w, "cuts": cuts}
-
     start = {"w": np.zeros(1 << BITS), "cuts": np.log(below / (1 - below))}
-    params = average_rounds(rows, start, _features, step, rounds)
+    params = average_rounds(rows, start, {"grades": grades, "rate": rate}, _features, _step, rounds)
     return {"grades": grades, "weights": params["w"].astype(np.float32), "thresholds": params["cuts"]}
 
 
+def _step(params: dict, fixed: dict, found: list[tuple], label: np.ndarray, number: int) -> dict:
+    """One pass of stochastic gradient steps over a shard's rows."""
+    w, cuts = params["w"], params["cuts"]
+    pace = fixed["rate"] / (1 + number)
+    at_grade = np.searchsorted(fixed["grades"], label)
+    for i in np.random.default_rng(number).permutation(len(found)):
+        at, x = found[i]
+        total = float(w[at] @ x)
+        y = int(at_grade[i])
+        upper = _sigmoid(cuts[y] - total) if y < len(cuts) else 1.0
+        lower = _sigmoid(cuts[y - 1] - total) if y else 0.0
+        mass = max(upper - lower, 1e-6)
+        w[at] += pace * (upper + lower - 1) * x
+        if y < len(cuts):
+            cuts[y] += 0.05 * pace * min(upper * (1 - upper) / mass, 1.0)
+        if y:
+            cuts[y - 1] -= 0.05 * pace * min(lower * (1 - lower) / mass, 1.0)
+        cuts[:] = np.maximum.accumulate(cuts)
+    return {"w": w, "cuts": cuts}
+
+
 def score(
     docs: DataFrame,
     model: dict[str, np.ndarray],

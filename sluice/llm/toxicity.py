@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.llm.common import held_out, keep, ready
-from sluice.llm.features import average_rounds, counted_grams, labelled_texts, sample
+from sluice.llm.features import added, average_rounds, counted_grams, labelled_texts, sample
 
 SIZES = (4, 5, 6)
 DENSITY = 1500.0  # one occurrence in so many characters makes a feature log 2
@@ -56,54 +56,50 @@ def fit(
     chosen = keep(sample(labels, max_rows, id_col, label_col, ~held_out("id", *hold)), "chosen")
     rows = keep(labelled_texts(docs, chosen, id_col, text_col, SHARDS), "labelled")
 
-    def sums(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(["id", "label"], kind="stable")
-        found, seen, means = np.zeros((2, 1 << BITS), np.float32), np.zeros(1 << BITS, np.int32), 0.0
-        for label, text in zip(frame["label"], frame["text"], strict=True):
-            at, x = _features(text)
-            found[int(label > 0), at] += x
-            seen[at] += 1
-            means += float(x.mean()) if len(x) else 0.0
-        toxic = int((frame["label"] > 0).sum())
-        blobs = {"sums": [found.tobytes()], "seen": [seen.tobytes()]}
-        return pd.DataFrame({"n": [len(frame)], "toxic": [toxic], "means": [means], **blobs})
-
-    n, means = np.zeros(2), 0.0
-    found, seen = np.zeros((2, 1 << BITS)), np.zeros(1 << BITS, np.int64)
-    schema = "n long, toxic long, means double, sums binary, seen binary"
-    for row in rows.groupBy("shard").applyInPandas(sums, schema).toLocalIterator():
-        n += [row.n - row.toxic, row.toxic]
-        means += row.means
-        found += np.frombuffer(row.sums, np.float32).reshape(found.shape)
-        seen += np.frombuffer(row.seen, np.int32)
+    sums = added(rows, _class_sums)
+    n = sums.get("rows", np.zeros(2))
     bias = np.log((n[1] + alpha) / (n[0] + alpha))
     if not n.all():
         return {"weights": np.zeros(1 << BITS, np.float32), "bias": np.float32([bias])}
-    share = (found + alpha * means / n.sum()) / (n[:, None] + 2 * alpha)
-    ratio = np.log(share[1] / share[0])
-    ratio[seen < 3] = 0.0  # too rare to tell from chance
-    ratio32 = ratio.astype(np.float32)
-
-    def step(params: dict, found: list[tuple], label: np.ndarray, number: int) -> dict:
-        w, b = params["w"], params["b"]
-        order = np.random.default_rng(number).permutation(len(found))
-        rate = 0.1 / (1 + number)
-        for i in order:
-            at, x = found[i]
-            x = ratio32[at] * x
-            margin = float(x @ w[at]) + b[0]
-            error = (label[i] > 0) - 1 / (1 + np.exp(-np.clip(margin, -30, 30)))
-            # Steps are divided by the row's squared length: long rows don't overshoot.
-            w[at] += rate * error / max(1.0, 0.0005 * float(x @ x)) * x
-            b[0] += rate * error
-        w *= 1 - 1e-3
-        return {"w": w, "b": b}
-
-    start = {"w": np.full(1 << BITS, 0.0), "b": np.array([bias])}
-    params = average_rounds(rows, start, _features, step, rounds)
+    usual = alpha * sums["means"][0] / n.sum()
+    ratio = np.log((sums["toxic"] + usual) / (n[1] + 2 * alpha)) - np.log((sums["clean"] + usual) / (n[0] + 2 * alpha))
+    ratio[sums["seen"] < 3] = 0.0  # too rare to tell from chance
+    ratio = ratio.astype(np.float32)
+    del sums
+    start = {"w": np.zeros(1 << BITS), "b": np.array([bias])}
+    params = average_rounds(rows, start, {"ratio": ratio}, _features, _step, rounds)
     return {"weights": (params["w"] * ratio).astype(np.float32), "bias": params["b"].astype(np.float32)}
 
 
+def _class_sums(frame: pd.DataFrame) -> dict[str, np.ndarray]:
+    """Rows of either class, sums of the features in them, and documents by bucket (to three)."""
+    found, seen = np.zeros((2, 1 << BITS)), np.zeros(1 << BITS, np.uint8)
+    n, means = np.zeros(2), 0.0
+    for label, text in zip(frame["label"], frame["text"], strict=True):
+        at, x = _features(text)
+        toxic = int(label > 0)
+        found[toxic, at] += x
+        seen[at] += seen[at] < 3
+        n[toxic] += 1
+        means += float(x.mean()) if len(x) else 0.0
+    return {"rows": n, "means": np.array([means]), "clean": found[0], "toxic": found[1], "seen": seen}
+
+
+def _step(params: dict, fixed: dict, found: list[tuple], label: np.ndarray, number: int) -> dict:
+    """One pass of stochastic gradient steps over a shard's rows."""
+    w, b, ratio = params["w"], params["b"], fixed["ratio"]
+    rate = 0.1 / (1 + number)
+    for i in np.random.default_rng(number).permutation(len(found)):
+        at, x = found[i]
+        x = ratio[at] * x
+        margin = float(x @ w[at]) + b[0]
+        error = (label[i] > 0) - 1 / (1 + np.exp(-np.clip(margin, -30, 30)))
+        # Steps are divided by the row's squared length: long rows don't overshoot.
+        w[at] += rate * error / max(1.0, 0.0005 * float(x @ x)) * x
+        b[0] += rate * error
+    return {"w": w * (1 - 1e-3), "b": b}
+
+
 def score(
     docs: DataFrame,
     model: dict[str, np.ndarray],
