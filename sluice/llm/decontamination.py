@@ -195,10 +195,11 @@ def decontaminate(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id",
 def clean(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows in which no item was found, with all their columns."""
 
-    def keys(id_column: str, digest: Column) -> dict[str, Column]:
-        return {"_slot": F.coalesce(F.col(id_column).cast("string"), F.lit("null")), "_digest": digest}
+    def slot(column: str) -> Column:
+        return F.coalesce(F.col(column).cast("string"), F.lit("null")).alias("slot")
 
     found = matches(docs, items, id_col=id_col, text_col=text_col, **options)
-    found = keep(found.select(*(c.alias(n) for n, c in keys("doc_id", F.col("digest")).items())).distinct(), "contaminated")
-    rows = docs.withColumns(keys(id_col, F.xxhash64(F.col(text_col).cast("string"))))
-    return rows.join(found, ["_slot", "_digest"], "left_anti").select(*docs.columns)
+    found = keep(found.select(slot("doc_id"), "digest").distinct(), "contaminated")
+    digest = F.xxhash64(F.col(text_col).cast("string")).alias("digest")
+    rows = docs.select(F.struct("*").alias("row"), slot(id_col), digest)
+    return rows.join(found, ["slot", "digest"], "left_anti").select("row.*")

@@ -28,7 +28,7 @@ from sluice.llm.common import components, keep, ready
 from sluice.llm.hnsw import Graph
 
 MARGIN = 1e-4  # what single precision may lose before the exact check
-QUERIES = 8192  # classes that meet a shard's graph at a time
+QUERIES, SPREAD = 8192, 16  # small inputs are still asked in blocks of so many, up to so many blocks
 
 
 def usable(v: str) -> Column:
@@ -157,8 +157,10 @@ def near_duplicates(
     grouped = rows.where(usable("v")).groupBy("v").agg(F.min("vec_id").alias("first"), F.count("*").alias("n"))
     classes = keep(grouped.select("*", F.size("v").alias("dim"), F.monotonically_increasing_id().alias("cid")), "vectors")
     size = classes.agg(F.count("*").alias("n"), F.sum("dim").alias("floats")).first()
-    shards = max(min_shards, -(-4 * (size.floats or 0) // shard_bytes))
-    blocks = max(1, -(-size.n // QUERIES))
+    parts = -(-4 * (size.floats or 0) // shard_bytes)
+    shards = max(min_shards, parts)
+    # A block of queries is as large as a shard, so neither is copied much more than the other.
+    blocks = max(1, parts, min(SPREAD, -(-size.n // QUERIES)))
     dealt = classes.withColumn("shard", F.pmod(F.xxhash64("cid"), F.lit(shards)).cast("int")).withColumn(
         "block", F.pmod(F.xxhash64("cid", F.lit("block")), F.lit(blocks)).cast("int")
     )

@@ -221,6 +221,7 @@ def survivors(
     def slot(column: str) -> Column:
         return F.coalesce(F.col(column).cast("string"), F.lit("null"))
 
-    wanted = keep(first.select(slot("first.doc_id").alias("_slot"), F.col("first.digest").alias("_digest")), "survivors")
-    rows = docs.withColumns({"_slot": slot(id_col), "_digest": digest(text_col)})
-    return rows.join(wanted, ["_slot", "_digest"], "left_semi").dropDuplicates(["_slot", "_digest"]).select(*docs.columns)
+    wanted = keep(first.select(slot("first.doc_id").alias("slot"), F.col("first.digest").alias("digest")), "survivors")
+    # As one column, the rows' own names cannot clash with the keys'.
+    rows = docs.select(F.struct("*").alias("row"), slot(id_col).alias("slot"), digest(text_col).alias("digest"))
+    return rows.join(wanted, ["slot", "digest"], "left_semi").dropDuplicates(["slot", "digest"]).select("row.*")
