@@ -279,9 +279,18 @@ def read_objects(
         rows = loaded.where(keep(_file_key(root))) if keep else loaded
         return rows.select(_file_key(root).alias("object_key"), *[F.col(f"`{c}`") for c in loaded.columns])
     if fmt == "parquet":
-        from sluice.sources.tables import read_tables
-
-        return read_tables(spark, _listed(spark, root, keep, glob, listing), progress)
+        from sluice.sources.tables import ROW_INDEX, read_tables
+
+        def visible() -> DataFrame:
+            """The filter is on the scan's files, so unwanted objects are not opened."""
+            reader = spark.read.option("recursiveFileLookup", "true").option("mergeSchema", "true")
+            rows = (reader.option("pathGlobFilter", glob) if glob else reader).parquet(root)
+            kept = rows.where(keep(_file_key(root))) if keep else rows
+            at = F.col("_metadata.row_index").alias(ROW_INDEX)
+            return kept.select(_file_key(root).alias("object_key"), at, *[F.col(f"`{c}`") for c in rows.columns])
+
+        listed = _listed(spark, root, keep, glob, listing)
+        return read_tables(spark, listed, visible if listing is None else None, progress)
 
     from sluice.sources import progress as prog
     from sluice.sources import streams

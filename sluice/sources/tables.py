@@ -1,13 +1,13 @@
 """Parquet objects, whatever their names.
 
 Spark reads the objects whose names its readers accept; those that start with
-``_`` or ``.`` somewhere are read by row groups in tasks. Schemas are merged, as
-for one table.
+``_`` or ``.`` somewhere, and those of an inventory, are read by row groups in
+tasks. Schemas are merged, as for one table.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -19,20 +19,29 @@ from sluice.session import ship_package
 from sluice.sinks import store
 from sluice.sources.listing import is_hidden
 
-_AT = "_row_index"
+ROW_INDEX = "_row_index"
 
 
-def read_tables(spark: SparkSession, listed: DataFrame, progress: DataFrame | None = None) -> DataFrame:
-    """``object_key`` and the objects' own columns, less the rows already read."""
+def read_tables(
+    spark: SparkSession,
+    listed: DataFrame,
+    rows_of_visible: Callable[[], DataFrame] | None,
+    progress: DataFrame | None = None,
+) -> DataFrame:
+    """``object_key`` and the objects' own columns, less the rows already read.
+
+    ``rows_of_visible`` gives what Spark's reader makes of the listed objects
+    it can see, with ``object_key`` and ``_row_index``; without it all objects
+    are read by row groups.
+    """
     ship_package(spark)
     listed = listed.select("object_key", "path", "length")
-    hidden = listed.where(is_hidden(F.col("object_key")))
+    hidden = listed.where(is_hidden(F.col("object_key"))) if rows_of_visible else listed
     parts = []
     if not hidden.isEmpty():
         parts.append(_row_groups(spark, hidden))
-    plain = listed.where(~is_hidden(F.col("object_key")))
-    if not plain.isEmpty():
-        parts.append(_spark_files(spark, plain))
+    if rows_of_visible and not listed.where(~is_hidden(F.col("object_key"))).isEmpty():
+        parts.append(rows_of_visible())
     if not parts:
         return spark.createDataFrame([], "object_key string")
     rows = parts[0]
@@ -40,31 +49,8 @@ def read_tables(spark: SparkSession, listed: DataFrame, progress: DataFrame | No
         rows = rows.unionByName(more, allowMissingColumns=True)
     if progress is not None:
         rows = rows.join(progress.select("object_key", "record_count"), "object_key", "left")
-        rows = rows.where(F.col(_AT) >= F.coalesce("record_count", F.lit(0))).drop("record_count")
-    return rows.drop(_AT)
-
-
-def _spark_files(spark: SparkSession, listed: DataFrame) -> DataFrame:
-    """Spark's reader over the folders that hold the objects, kept to those listed."""
-    folder = F.regexp_replace("path", r"/[^/]*$", "")
-    roots = [r[0] for r in listed.select(folder.alias("f")).distinct().collect()]
-    rows = spark.read.option("mergeSchema", "true").option("recursiveFileLookup", "true").parquet(*_outermost(roots))
-    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-    inner = F.regexp_replace(path, r"^[a-z0-9]+:/*", "/")
-    named = rows.select(
-        inner.alias("_inner"), F.col("_metadata.row_index").alias(_AT), *[F.col(f"`{c}`") for c in rows.columns]
-    )
-    keys = listed.select("object_key", F.regexp_replace("path", r"^[a-z0-9]+:/*", "/").alias("_inner"))
-    return named.join(keys, "_inner").select("object_key", _AT, *[F.col(f"`{c}`") for c in rows.columns])
-
-
-def _outermost(folders: list[str]) -> list[str]:
-    """Folders that lie in no other of them."""
-    found: list[str] = []
-    for folder in sorted(folders):
-        if not found or not f"{folder}/".startswith(f"{found[-1]}/"):
-            found.append(folder)
-    return found
+        rows = rows.where(F.col(ROW_INDEX) >= F.coalesce("record_count", F.lit(0))).drop("record_count")
+    return rows.drop(ROW_INDEX)
 
 
 def _row_groups(spark: SparkSession, listed: DataFrame) -> DataFrame:
@@ -95,7 +81,7 @@ def _row_groups(spark: SparkSession, listed: DataFrame) -> DataFrame:
     )
     schemas = [pa.ipc.read_schema(pa.py_buffer(r[0])) for r in groups.select("schema").distinct().collect()]
     merged = pa.unify_schemas(schemas, promote_options="permissive")
-    schema = from_arrow_schema(pa.schema([("object_key", pa.string()), (_AT, pa.int64()), *merged]))
+    schema = from_arrow_schema(pa.schema([("object_key", pa.string()), (ROW_INDEX, pa.int64()), *merged]))
     target = to_arrow_schema(schema)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
