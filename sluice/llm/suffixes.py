@@ -52,7 +52,7 @@ from sluice.llm.common import keep, ready
 
 LAST = (1 << 63) - 1  # stands for a null id
 UNIQUE, COVERED, OPEN = 0, 1, 2
-BATCH = 20_000  # contexts sorted at a time, if groups end there
+BATCH = 8_000  # contexts sorted at a time, if groups end there
 _BLOCK = "block long, ids array<long>, lengths array<long>, data binary, rest binary"
 _PART = "block long, spans binary, gram long, context binary, windows int, id long, at long"
 
@@ -262,7 +262,9 @@ def repeats(contexts: list[bytes], windows: np.ndarray, ids: np.ndarray, width:
         return none, none, none
     length = (sizes[of] - place).astype(np.int64)
     wide = int(length.max())
-    suffix = buffer[np.minimum(at[:, None] + np.arange(wide), len(buffer) - 1)]
+    reach = np.minimum(at[:, None].astype(np.int32) + np.arange(wide, dtype=np.int32), len(buffer) - 1)
+    suffix = buffer[reach]
+    del reach
     suffix[np.arange(wide) >= length[:, None]] = 0
     order = np.argsort(length, kind="stable")
     order = order[np.argsort(suffix[order].view(f"S{wide}").ravel(), kind="stable")]
@@ -292,7 +294,7 @@ def _scan(width: int):
         owner, start, end = owner[order], start[order], end[order]
         edges = np.flatnonzero(np.r_[np.ones(min(1, len(owner)), bool), owner[1:] != owner[:-1]])
         spans = []
-        for a, b in zip(edges, np.r_[edges[1:], len(owner)], strict=True):
+        for a, b in zip(edges, [*edges[1:], len(owner)], strict=False):
             spans.append(blobs.pack(*_merged(start[a:b], end[a:b])))
         return pa.RecordBatch.from_arrays([pa.array(owner[edges]), pa.array(spans, pa.binary())], names=["block", "spans"])
 
@@ -329,21 +331,24 @@ def _cut(schema: pa.Schema, with_text: bool):
         single = right.filter(pa.compute.is_valid(right.column("start")))
         np.add.at(depth, single.column("start").to_numpy(), 1)
         np.add.at(depth, single.column("end").to_numpy(), -1)
-        gone = np.cumsum(depth[:-1]) > 0
+        gone = np.cumsum(depth[:-1], dtype=np.int32) > 0
         lengths = np.asarray(row["lengths"], np.int64)
         starts = block.ends - lengths
-        opens = gone & ~np.r_[False, gone[:-1]]
+        opens = gone.copy()
+        opens[1:] &= ~gone[:-1]
         inner = starts[(starts < size) & (lengths > 0)]
         opens[inner] = gone[inner]
-        total = np.r_[0, np.cumsum(gone)]
-        spans = np.r_[0, np.cumsum(opens)]
+        total, spans = depth, np.zeros(size + 1, np.int32)  # how many before each byte
+        total[0] = 0
+        np.cumsum(gone, out=total[1:])
+        np.cumsum(opens, out=spans[1:])
         kept = [block.data[a:b][~gone[a:b]].tobytes() for a, b in zip(starts, block.ends, strict=True)]
         rest = pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(row["rest"])).read_all()
         columns = [
             *rest.columns,
             pa.array(lengths),
-            pa.array(total[block.ends] - total[starts]),
-            pa.array(spans[block.ends] - spans[starts]),
+            pa.array((total[block.ends] - total[starts]).astype(np.int64)),
+            pa.array((spans[block.ends] - spans[starts]).astype(np.int64)),
             pa.array([hashlib.sha256(k).hexdigest() for k in kept], pa.string()),
         ]
         if with_text:

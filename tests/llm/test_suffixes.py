@@ -112,3 +112,55 @@ def test_intervals_by_definition():
                     want.add((at[0], at[-1], length, min(ids[i] for i in at)))
     got = suffixes.intervals(np.array(common), np.array(ids), np.array(before), 2)
     assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_small_segments_and_blocks(monkeypatch):
+    """The steps one after another in this process, where segments and blocks can be made small."""
+    import types
+
+    import pandas as pd
+    import pyarrow as pa
+
+    rows = fixture(9, 60)
+    monkeypatch.setattr(anchors, "SEGMENT", 300)
+    monkeypatch.setattr(blobs, "BLOCK_BYTES", 1500)
+    monkeypatch.setattr(suffixes, "BATCH", 10)
+    monkeypatch.setattr(suffixes, "TaskContext", types.SimpleNamespace(get=lambda: types.SimpleNamespace(partitionId=lambda: 3)))
+    batch = pa.RecordBatch.from_pydict(
+        {"doc_id": pa.array([r[0] for r in rows], pa.int64()), "_text": pa.array([r[1] for r in rows], pa.string())}
+    )
+    blocks = pa.Table.from_batches(suffixes._encode(iter([batch])))
+    assert len(blocks) > 10
+    asked = pa.Table.from_batches(suffixes._ask(50, 40, 4)(iter(blocks.to_batches()))).to_pandas()
+    replies = pd.concat([suffixes._state(frame.reset_index(drop=True)) for _, frame in asked.groupby("bucket")])
+    parts = []
+    for i, number in enumerate(blocks.column("block").to_pylist()):
+        mine = pa.Table.from_pandas(replies[replies["block"] == number], preserve_index=False)
+        parts.append(suffixes._sort_out(50, 40)(blocks.slice(i, 1), mine))
+    parts = pa.concat_tables(parts)
+    contexts = parts.filter(pa.compute.is_valid(parts.column("gram"))).sort_by("gram")
+    scanned = pa.Table.from_batches(suffixes._scan(50)(iter(contexts.to_batches(max_chunksize=7))))
+    told = parts.filter(pa.compute.is_valid(parts.column("spans"))).select(["block", "spans"])
+    spans = pa.concat_tables([told, scanned])
+    for c in ("start", "end"):
+        spans = spans.append_column(c, pa.nulls(len(spans), pa.int64()))
+    schema = pa.schema(
+        [("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("kept_text", pa.string())]
+    )
+    out = []
+    for i, number in enumerate(blocks.column("block").to_pylist()):
+        mine = spans.filter(pa.compute.equal(spans.column("block"), number))
+        out += suffixes._cut(schema, True)(blocks.slice(i, 1), mine).to_pylist()
+    assert sorted((str(r["doc_id"]), *list(r.values())[1:]) for r in out) == brute(rows)
+
+
+def test_only_short_texts(spark):
+    df = spark.createDataFrame([(1, "a"), (2, None), (3, "b" * 49), (4, "b" * 49)], "doc_id long, text string")
+    assert found(df) == brute([(1, "a"), (2, None), (3, "b" * 49), (4, "b" * 49)])
+
+
+def test_contexts_without_repeats(spark):
+    """Anchor strings are shared, windows are not."""
+    shared = "".join(chr(97 + i * 7 % 26) for i in range(40))
+    rows = [(i, f"{'xyzw'[i] * 30}{shared}{'pqrs'[i] * 30}") for i in range(4)]
+    assert found(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows)
