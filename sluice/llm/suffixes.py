@@ -39,13 +39,15 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import pyarrow.compute
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructField, StructType
-import pandas as pd
 
 from sluice.llm import anchors, blobs
 from sluice.llm.common import keep, ready
@@ -55,6 +57,7 @@ UNIQUE, COVERED, OPEN = 0, 1, 2
 BATCH = 8_000  # contexts sorted at a time, if groups end there
 _BLOCK = "block long, ids array<long>, lengths array<long>, data binary, rest binary"
 _PART = "block long, spans binary, gram long, context binary, windows int, id long, at long"
+_PART_TYPES = {"gram": pa.int64(), "context": pa.binary(), "windows": pa.int32(), "id": pa.int64(), "at": pa.int64()}
 
 
 def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -192,9 +195,6 @@ def _sort_out(width: int, gram_bits: int):
     return run
 
 
-_PART_TYPES = {"gram": pa.int64(), "context": pa.binary(), "windows": pa.int32(), "id": pa.int64(), "at": pa.int64()}
-
-
 def _merged(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Touching spans as one; those given are all within documents."""
     if not len(start):
@@ -409,7 +409,5 @@ def deduplicate(
     if with_text:
         result.append(*StructType.fromDDL("kept_text string").fields)
     result = StructType([StructField(f.name, f.dataType, True) for f in result])
-    from pyspark.sql.pandas.types import to_arrow_schema
-
     spans = keep(spans, "spans")
     return blocks.groupBy("block").cogroup(spans.groupBy("block")).applyInArrow(_cut(to_arrow_schema(result), with_text), result)
