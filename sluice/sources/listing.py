@@ -2,7 +2,7 @@
 
 Spark's own listing runs on the driver and leaves out names that start with
 ``_`` or ``.``. Here each folder (or store prefix) is listed by a task, level by
-level; only the number of levels comes back to the driver.
+level; only the number of folders comes back to the driver.
 """
 
 from __future__ import annotations
@@ -53,15 +53,14 @@ def walk(spark: SparkSession, root: str) -> DataFrame:
     root = store.qualified(spark, root).rstrip("/")
     level = spark.createDataFrame([(root,)], "path string")
     tasks = spark.sparkContext.defaultParallelism * 4
-    levels = []
-    while True:
+    levels, folders = [], 1
+    while folders:
         out = scratch_path(spark, "listing")
-        level.repartition(tasks, "path").mapInArrow(_children, _FOUND).write.parquet(out)
+        level.repartition(min(tasks, folders)).mapInArrow(_children, _FOUND).write.parquet(out)
         found = spark.read.schema(_FOUND).parquet(out)
         levels.append(found)
         level = found.where(F.col("folder") & (F.col("path") != f"{root}/{store.STAGING}")).select("path")
-        if level.isEmpty():
-            break
+        folders = level.count()
     files = levels[0]
     for more in levels[1:]:
         files = files.unionByName(more)
