@@ -5,7 +5,8 @@ of vectors at most in one, ``min_shards`` at least), each of which becomes a
 hierarchical small-world graph. Every class queries every shard: its beam is
 widened while it is full of vectors at the threshold, and a shard's first beam
 is widened until an audit against brute force finds ``recall`` of the links of
-``audit_rows`` of its vectors. Pairs found are verified by cosine in double
+its vectors, row by row: ``audit_rows`` with few links to others (sampled until
+so many are found), as many with more, and as many moved copies. Pairs found are verified by cosine in double
 precision. Tasks hand on counts and spanning forests, never pairs, and
 components are joined by Spark.
 
@@ -29,6 +30,9 @@ from sluice.llm.hnsw import Graph
 
 MARGIN = 1e-4  # what single precision may lose before the exact check
 QUERIES, SPREAD = 8192, 16  # small inputs are still asked in blocks of so many, up to so many blocks
+FIRST = 64  # the first beam's width; rows with fewer links are audited apart
+LOW, FLOOR = 0.02, 0.9  # all audited rows but this share have at least this share of their links
+CELLS = 1 << 23  # similarities worked out at a time
 
 
 def usable(v: str) -> Column:
@@ -52,8 +56,7 @@ def verified(a: np.ndarray, b: np.ndarray, least: float) -> np.ndarray:
     return dots / (np.linalg.norm(a, axis=1) * np.linalg.norm(b, axis=1)) >= least
 
 
-def _pairs(graph: Graph, own: np.ndarray, queries: np.ndarray, least: float, ef: int) -> tuple[np.ndarray, np.ndarray]:
-    left, right = graph.within(_units(queries), least - MARGIN, ef)
+def _sure(own: np.ndarray, queries: np.ndarray, left: np.ndarray, right: np.ndarray, least: float):
     good = np.zeros(len(left), bool)
     for at in range(0, len(left), 65536):
         part = slice(at, at + 65536)
@@ -61,17 +64,78 @@ def _pairs(graph: Graph, own: np.ndarray, queries: np.ndarray, least: float, ef:
     return left[good], right[good]
 
 
+def _pairs(graph: Graph, own: np.ndarray, queries: np.ndarray, least: float, ef: int) -> tuple[np.ndarray, np.ndarray]:
+    return _sure(own, queries, *graph.within(_units(queries), least - MARGIN, ef), least)
+
+
+def _blocks(n: int, own: np.ndarray):
+    step = max(1, CELLS // len(own))
+    return [slice(at, at + step) for at in range(0, n, step)]
+
+
+def _sampled(own: np.ndarray, units: np.ndarray, least: float, rows: int) -> np.ndarray:
+    """Rows with another link: ``rows`` with few links, unless the shard has no more, and as many with more."""
+    some = np.random.default_rng(0).permutation(len(own))
+    few, many = np.zeros(0, int), np.zeros(0, int)
+    for part in _blocks(len(own), own):
+        at = some[part]
+        left, right = _sure(own, own[at], *np.nonzero(units[at] @ units.T >= least - MARGIN), least)
+        links = np.bincount(left[at[left] != right], minlength=len(at))
+        few = np.concatenate([few, at[(links > 0) & (links < FIRST)]])[:rows]
+        many = np.concatenate([many, at[links >= FIRST]])[:rows]
+        if len(few) == rows:
+            break
+    return np.concatenate([few, many])
+
+
+def _moved(own: np.ndarray, least: float, rows: int) -> np.ndarray:
+    """Some rows moved nearly as far as a link goes: what classes of other shards ask for."""
+    rng = np.random.default_rng(1)
+    units = own[rng.permutation(len(own))[:rows]]
+    units = units / np.linalg.norm(units, axis=1, keepdims=True)
+    aside = rng.standard_normal(units.shape)
+    aside -= np.einsum("ij,ij->i", aside, units)[:, None] * units
+    aside /= np.maximum(np.linalg.norm(aside, axis=1, keepdims=True), 1e-30)
+    near = min(1.0, 0.9 * least + 0.1)
+    return near * units + np.sqrt(1 - near * near) * aside
+
+
+def _recalls(graph: Graph, own: np.ndarray, units: np.ndarray, asked: np.ndarray, selves: np.ndarray, least: float, ef: int):
+    """For each query with links other than its own row (-1 for none): how many, and the share found."""
+    links, shares = [], []
+    for part in _blocks(len(asked), own):
+        queries, self_ = asked[part], selves[part]
+        left, right = _sure(own, queries, *np.nonzero(_units(queries) @ units.T >= least - MARGIN), least)
+        other = self_[left] != right
+        left, right = left[other], right[other]
+        got_left, got_right = _pairs(graph, own, queries, least, ef)
+        got = np.isin(left * len(own) + right, got_left * len(own) + got_right)
+        n = np.bincount(left, minlength=len(queries))
+        hit = np.bincount(left, got, minlength=len(queries))
+        links.append(n[n > 0])
+        shares.append(hit[n > 0] / n[n > 0])
+    return np.concatenate(links or [np.zeros(0, int)]), np.concatenate(shares or [np.zeros(0)])
+
+
 def audited(graph: Graph, own: np.ndarray, least: float, recall: float, rows: int) -> int:
-    """The first beam width at which the audit passes; the whole shard always does."""
-    some = np.random.default_rng(0).permutation(len(own))[:rows]
+    """The first beam width at which the audit passes, or one of the whole shard.
+
+    Rows count alike whatever their number of links, and those with few links and
+    those with more must pass each for themselves: ``recall`` in the mean, and all
+    but ``LOW`` of them with at least ``FLOOR`` of their links.
+    """
     units = _units(own)
-    true = 0
-    for at in range(0, len(some), 256):
-        part = some[at : at + 256]
-        left, right = np.nonzero(units[part] @ units.T >= least - MARGIN)
-        true += int(verified(own[part[left]], own[right], least).sum())
-    ef = 64
-    while ef < len(own) and len(_pairs(graph, own, own[some], least, ef)[0]) < recall * true:
+    linked = _sampled(own, units, least, rows)
+    asked = np.concatenate([own[linked], _moved(own, least, rows)])
+    selves = np.concatenate([linked, np.full(len(asked) - len(linked), -1)])
+
+    def passes(ef: int) -> bool:
+        links, shares = _recalls(graph, own, units, asked, selves, least, ef)
+        parts = [shares[links < FIRST], shares[links >= FIRST]]
+        return all(p.mean() >= recall and np.quantile(p, LOW, method="lower") >= FLOOR for p in parts if len(p))
+
+    ef = FIRST
+    while ef < len(own) and not passes(ef):
         ef *= 2
     return ef
 

@@ -81,3 +81,42 @@ def test_audit_widens_the_beam(monkeypatch):
     monkeypatch.setattr(embeddings, "_pairs", poor)
     ef = embeddings.audited(graph, own, -1.0, 0.9, 20)  # all 20 x 600 pairs link
     assert asked == [64, 128, 256, 512] and ef == 1024
+
+
+def tight_third():
+    """A third of the shard in one tight group, 100 isolated pairs, the rest alone."""
+    rng = np.random.default_rng(5)
+    own = rng.standard_normal((3000, 32))
+    own[:1000] = own[0] + rng.standard_normal((1000, 32)) * 0.01
+    own[1000:1100] = own[1100:1200] + rng.standard_normal((100, 32)) * 0.02
+    return own
+
+
+def test_audit_sees_lost_pairs(monkeypatch):
+    own = tight_third()
+    graph = Graph(embeddings._units(own))
+    real, asked = embeddings._pairs, []
+
+    def poor(graph, own, queries, least, ef):
+        asked.append(ef)
+        left, right = real(graph, own, queries, least, ef)
+        alike = np.einsum("ij,ij->i", queries[left], own[right])
+        alike /= np.linalg.norm(queries[left], axis=1) * np.linalg.norm(own[right], axis=1)
+        lost = (right >= 1000) & (right < 1200) & (alike < 1 - 1e-9) if ef < 256 else np.zeros(len(left), bool)
+        return left[~lost], right[~lost]
+
+    monkeypatch.setattr(embeddings, "_pairs", poor)
+    assert embeddings.audited(graph, own, 0.95, 0.995, 512) >= 256 and {64, 128} <= {*asked}
+
+
+def test_audit_without_links_asks_moved_rows(monkeypatch):
+    own = np.random.default_rng(6).standard_normal((500, 32))
+    real = embeddings._pairs
+
+    def poor(graph, own, queries, least, ef):
+        left, right = real(graph, own, queries, least, ef)
+        found = np.linalg.norm(queries[left] - own[right], axis=1) < 1e-9
+        return left[found], right[found]
+
+    monkeypatch.setattr(embeddings, "_pairs", poor)
+    assert embeddings.audited(Graph(embeddings._units(own)), own, 0.95, 0.995, 64) >= 500
