@@ -6,7 +6,8 @@ hierarchical small-world graph. Every class queries every shard: its beam is
 widened while it is full of vectors at the threshold, and a shard's first beam
 is widened until an audit against brute force finds ``recall`` of the links of
 its vectors, row by row: ``audit_rows`` with few links to others (sampled until
-so many are found), as many with more, and as many moved copies. Pairs found are verified by cosine in double
+so many are found), as many with more, and as many moved copies. Where beams would have to be wider
+than comparing all rows is worth, all are compared. Pairs found are verified by cosine in double
 precision. Tasks hand on counts and spanning forests, never pairs, and
 components are joined by Spark.
 
@@ -118,7 +119,7 @@ def _recalls(graph: Graph, own: np.ndarray, units: np.ndarray, asked: np.ndarray
 
 
 def audited(graph: Graph, own: np.ndarray, least: float, recall: float, rows: int) -> int:
-    """The first beam width at which the audit passes, or one of the whole shard.
+    """The first beam width at which the audit passes, or the shard's size: then all rows are compared.
 
     Rows count alike whatever their number of links, and those with few links and
     those with more must pass each for themselves: ``recall`` in the mean, and all

@@ -4,7 +4,8 @@ Nodes have levels drawn by chance (each level holds about a sixteenth of the one
 below). Layers are built from the top down; a batch of nodes searches the layer
 above and then its own, takes diverse neighbours among what it found, and is
 linked back. A search goes through the layers with narrow beams and through the
-bottom layer with a beam of ``ef``.
+bottom layer with a beam of ``ef``. A beam sees only what links lead to; one so
+wide that comparing with every row costs less is not run: every row is compared.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ import numpy as np
 BRANCH = 16
 TOP = 64  # the top layer is scanned as a whole
 BATCH = 256
+CELLS = 1 << 23  # similarities worked out at a time
 
 
 def select(vectors: np.ndarray, queries: np.ndarray, found: np.ndarray, m: int) -> np.ndarray:
@@ -137,11 +139,12 @@ class Graph:
         source = np.repeat(new, self.m)
         target = links[new, : self.m].reshape(-1)
         source, target = source[target >= 0], target[target >= 0]
-        by = np.argsort(target, kind="stable")
+        near = np.einsum("rd,rd->r", self.sorted[source], self.sorted[target])
+        by = np.lexsort((-near, target))
         source, target = source[by], target[by]
         nodes, at, n = np.unique(target, return_index=True, return_counts=True)
         place = np.arange(len(target)) - np.repeat(at, n)
-        keep = place < 4 * width  # bounds one step; the nearest of a hub come again
+        keep = place < 4 * width  # bounds one step: the nearest of a hub
         added = np.full((len(nodes), int(min(n.max(initial=0), 4 * width))), -1)
         added[np.repeat(np.arange(len(nodes)), n)[keep], place[keep]] = source[keep]
         every = np.concatenate([links[nodes], added], 1)
@@ -170,16 +173,36 @@ class Graph:
         ids, sims = beam(self.sorted, held[-1], queries, entry, ef)
         return np.where(ids >= 0, self.order[ids], -1), sims
 
+    def whole(self, width: int) -> bool:
+        """Whether a beam of that width costs more than comparing with every row."""
+        return width >= len(self.sorted) or width * width >= 4 * len(self.sorted)
+
+    def every(self, queries: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs (query, row) of at least that similarity, by comparing all."""
+        left, right = [], []
+        step = max(1, CELLS // max(1, len(self.sorted)))
+        for at in range(0, len(queries), step):
+            rows, found = np.nonzero(queries[at : at + step] @ self.sorted.T >= least)
+            left.append(rows + at)
+            right.append(self.order[found])
+        return np.concatenate(left or [np.zeros(0, int)]), np.concatenate(right or [np.zeros(0, int)])
+
     def within(self, queries: np.ndarray, least: float, ef: int) -> tuple[np.ndarray, np.ndarray]:
         """Pairs (query, row) of at least that similarity; a beam that is full of them is widened."""
+        queries = np.ascontiguousarray(queries, np.float32)
+        if self.whole(ef):
+            return self.every(queries, least)
         left, right = [], []
         for at in range(0, len(queries), BATCH):
             todo, width = np.arange(at, min(len(queries), at + BATCH)), ef
-            while len(todo):
+            while len(todo) and not self.whole(width):
                 ids, sims = self.search(queries[todo], width)
-                full = (sims[:, -1] >= least) & (width < len(self.sorted))
+                full = sims[:, -1] >= least
                 hit = (sims >= least) & (ids >= 0) & ~full[:, None]
                 left.append(np.repeat(todo, hit.sum(1)))
                 right.append(ids[hit])
                 todo, width = todo[full], width * 4
+            rows, found = self.every(queries[todo], least)
+            left.append(todo[rows])
+            right.append(found)
         return np.concatenate(left or [np.zeros(0, int)]), np.concatenate(right or [np.zeros(0, int)])

@@ -120,3 +120,28 @@ def test_audit_without_links_asks_moved_rows(monkeypatch):
 
     monkeypatch.setattr(embeddings, "_pairs", poor)
     assert embeddings.audited(Graph(embeddings._units(own)), own, 0.95, 0.995, 64) >= 500
+
+
+def test_unreachable_rows_are_found_in_the_end():
+    own = np.random.default_rng(7).standard_normal((1500, 16))
+    own[1000:1200] = own[500:700] + np.random.default_rng(8).standard_normal((200, 16)) * 0.02
+    graph = Graph(embeddings._units(own))
+    lost = np.isin(graph.order, np.arange(1000, 1200))
+    for links in graph.layers:  # nothing links to these rows, and none is a start
+        links[lost[links] & (links >= 0)] = -1
+    graph._entry = lambda queries, width=4: np.tile(np.flatnonzero(~lost)[:width], (len(queries), 1))
+    units = own / np.linalg.norm(own, axis=1, keepdims=True)
+    true = {*zip(*np.nonzero(units @ units.T >= 0.95), strict=True)}
+    ef = embeddings.audited(graph, own, 0.95, 0.995, 512)
+    assert {*zip(*embeddings._pairs(graph, own, own, 0.95, ef), strict=True)} == true
+    assert {*zip(*graph.within(embeddings._units(own), 0.95, len(own)), strict=True)} == true
+
+
+def test_nearest_of_a_hub_are_linked_back():
+    angles = np.concatenate([[0.0], np.linspace(1.5, 0.1, 200)])  # the hub, then ever nearer
+    graph = Graph.__new__(Graph)
+    graph.sorted, graph.m = np.stack([np.cos(angles), np.sin(angles)], 1).astype(np.float32), 12
+    links = np.full((201, 24), -1)
+    links[1:, 0] = 0
+    graph._link_back(links, np.arange(1, 201))
+    assert 200 in links[0]
