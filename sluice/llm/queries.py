@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sluice.llm import archive, decontamination, embeddings, langid, lm, packing, quality, simhash, suffixes, toxicity
+from sluice.llm import alignment, archive, decontamination, embeddings, langid, lm, packing, quality, simhash, suffixes, toxicity
 from sluice.llm.common import table
 from sluice.session import scratch_path
 
@@ -102,3 +102,12 @@ def op2_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.deduplicate(table(spark, sf_dir, "documents"), width=50)
+
+
+@query
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers as public
+
+    return alignment.align(
+        table(spark, sf_dir, "documents"), model=public.path("piece_bpe_32k.model"), **tokenizer_files()
+    )

@@ -16,6 +16,7 @@ COLUMNS = {
     "op7_toxicity": "doc_id held_out score predicted",
     "op8_language": "doc_id held_out lang_pred score cosine",
     "op9_simhash": "doc_id fingerprint component_id kept",
+    "op13_alignment": "doc_id n_a n_b n_groups n_links n_best count_sum groups_sha256",
     "op10_lm": "doc_id held_out n_tokens n_known train_tokens base_score score",
 }
 
