@@ -16,7 +16,8 @@ split the same bytes, so byte offsets are a common ruler:
    are safe to broadcast.
 4. A second pass over the stored ids joins counts to links.
 
-Documents are tokenized once; their ids are stored in the shared folder. A null
+Documents are tokenized once; their ids are stored in the shared folder, a batch
+of documents as one compressed Arrow stream, so that Spark moves few rows. A null
 or empty text has no tokens, nor has one whose joined A or B bytes are not the
 space and the text (texts that hold U+2581, for example): no groups, no links,
 zeros and an empty digest. Rows with equal or null ids are documents of their
@@ -43,7 +44,7 @@ from sluice.llm.common import keep, ready
 
 BATCH_BYTES = 1 << 20
 MERGE_ROWS = 1 << 20  # partial counts are merged when they reach this many rows
-ENCODED = "doc_id long, a array<int>, b array<int>, count_a array<int>, count_b array<int>, count_n array<long>"
+ENCODED = "ids binary, count_a array<int>, count_b array<int>, count_n array<long>"
 SUMMARY = (
     "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
 )
@@ -190,10 +191,27 @@ def _batches(ids: pa.Array, texts: pa.Array) -> Iterator[tuple[list, list]]:
         yield held_ids, held
 
 
-def _row_counts(table: pa.Table) -> pa.RecordBatch:
-    columns = [pa.nulls(1, pa.int64()), *(pa.nulls(1, pa.list_(pa.int32())) for _ in range(2))]
-    columns += [pa.array([table[c].to_numpy()], pa.list_(t)) for c, t in (("a", pa.int32()), ("b", pa.int32()), ("n", pa.int64()))]
-    return pa.RecordBatch.from_arrays(columns, names=["doc_id", "a", "b", "count_a", "count_b", "count_n"])
+_COUNTS = {"a": pa.int32(), "b": pa.int32(), "n": pa.int64()}
+_STORED = ["ids", "count_a", "count_b", "count_n"]
+
+
+def _count_row(table: pa.Table) -> pa.RecordBatch:
+    columns = [pa.array([table[c].to_numpy()], pa.list_(t)) for c, t in _COUNTS.items()]
+    return pa.RecordBatch.from_arrays([pa.nulls(1, pa.binary()), *columns], names=_STORED)
+
+
+def _ids_row(doc_ids: list, a: pa.ListArray, b: pa.ListArray) -> pa.RecordBatch:
+    """The batch as a compressed Arrow stream, ids in two bytes where they fit."""
+    columns = [pa.array(doc_ids, pa.int64())]
+    for side in (a, b):
+        small = pc.max(side.flatten()).as_py() or 0
+        columns.append(side.cast(pa.list_(pa.uint16() if small < 1 << 16 else pa.int32())))
+    batch = pa.RecordBatch.from_arrays(columns, names=["doc_id", "a", "b"])
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_batch(batch)
+    none = [pa.nulls(1, pa.list_(t)) for t in _COUNTS.values()]
+    return pa.RecordBatch.from_arrays([pa.array([sink.getvalue().to_pybytes()], pa.binary()), *none], names=_STORED)
 
 
 def encode(
@@ -230,11 +248,9 @@ def encode(
                 counts.append(_pair_counts([found.select(["a", "b"]).append_column("n", one)]))
                 if sum(map(len, counts)) > MERGE_ROWS:
                     counts = [_pair_counts(counts)]
-                none = [pa.nulls(len(a), pa.list_(t)) for t in (pa.int32(), pa.int32(), pa.int64())]
-                columns = [pa.array(ids, pa.int64()), a, b, *none]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "a", "b", "count_a", "count_b", "count_n"])
+                yield _ids_row(ids, a, b)
         if counts:
-            yield _row_counts(_pair_counts(counts))
+            yield _count_row(_pair_counts(counts))
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return Encoded(keep(rows.mapInArrow(run, ENCODED), "token-ids"), shared)
@@ -247,9 +263,17 @@ class Encoded:
         self.stored, self.shared = stored, shared
 
     @property
+    def batches(self) -> DataFrame:
+        return self.stored.where("ids IS NOT NULL").select("ids")
+
     def tokens(self) -> DataFrame:
         """``doc_id, a, b``: the ids of both sides; no ids where they do not spell the text."""
-        return self.stored.where("a IS NOT NULL").select("doc_id", "a", "b")
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for ids, a, b in _stored(batches):
+                yield pa.RecordBatch.from_arrays([ids, a, b], names=["doc_id", "a", "b"])
+
+        return self.batches.mapInArrow(run, "doc_id long, a array<int>, b array<int>")
 
     def pair_counts(self) -> DataFrame:
         """``a_id, b_id, n, best``: the links of each id pair; best if none of the same B id has more."""
@@ -282,7 +306,7 @@ class Encoded:
                 columns = [ids.take(pa.array(doc)), *(pa.array(x.astype(np.int64)) for x in (number, start, end)), *lists]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "group", "start", "end", "a", "b"])
 
-        return self.tokens.mapInArrow(run, GROUPS)
+        return self.batches.mapInArrow(run, GROUPS)
 
     def summary(self) -> DataFrame:
         """One row per document: sizes, links with the counts of their pairs, and a digest of the groups."""
@@ -318,25 +342,16 @@ class Encoded:
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names=[p.split()[0] for p in SUMMARY.split(", ")])
 
-        return self.tokens.mapInArrow(run, SUMMARY)
+        return self.batches.mapInArrow(run, SUMMARY)
 
 
 def _stored(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, pa.ListArray, pa.ListArray]]:
-    """Stored ids in slices of about a quarter million tokens, each with offsets from 0."""
+    """The stored batches of documents."""
     for batch in batches:
-        n = np.cumsum(pc.list_value_length(batch.column(1)).to_numpy())
-        at = 0
-        while at < len(batch):
-            done = n[at - 1] if at else 0
-            stop = max(at + 1, int(np.searchsorted(n, done + (1 << 18), side="right")))
-            part = batch.slice(at, stop - at)
-            yield part.column(0), *(pa.concat_arrays([_rebased(part.column(i))]) for i in (1, 2))
-            at = stop
-
-
-def _rebased(ids: pa.ListArray) -> pa.ListArray:
-    offsets = pc.subtract(ids.offsets, ids.offsets[0])
-    return pa.ListArray.from_arrays(offsets, ids.flatten())
+        for stored in batch.column(0):
+            table = pa.ipc.open_stream(stored.as_buffer()).read_all().combine_chunks()
+            ids, a, b = (table.column(i).chunk(0) for i in range(3))
+            yield ids, a.cast(pa.list_(pa.int32())), b.cast(pa.list_(pa.int32()))
 
 
 class _Cut:

@@ -129,6 +129,8 @@ def test_groups_spell_the_text(spark, docs):
     vocabularies = alignment.Vocabularies({**{k: None for k in ("ranks", "pattern")}, **read_spec()})
     a, b = vocabularies.a.to_pylist(), vocabularies.b.to_pylist()
     texts = dict(TEXTS)
+    ids = {r.doc_id: r for r in encoded.tokens().collect()}
+    assert {d: b"".join(a[i] for i in r.a).decode() for d, r in ids.items()} == {d: " " + texts[d] for d in (1, 2, 7, 8)}
     found = {}
     for g in encoded.groups().collect():
         spelt = b"".join(a[i] for i in g.a)
