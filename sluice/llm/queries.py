@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sluice.llm import alignment, archive, decontamination, embeddings, langid, lm, packing, quality, simhash, suffixes, toxicity
+from sluice.llm import alignment, archive, codes, decontamination, embeddings, langid, lm, packing, quality, simhash, suffixes, toxicity
 from sluice.llm.common import table
 from sluice.session import scratch_path
 
@@ -111,3 +111,54 @@ def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align(
         table(spark, sf_dir, "documents"), model=public.path("piece_bpe_32k.model"), **tokenizer_files()
     )
+
+
+@query
+def op11_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.fit(table(spark, sf_dir, "embeddings"), parts=8, entries=16, rounds=6).summary()
+
+
+def _codes_sql(rounds: int) -> str:
+    """The rounds written out: each assigns all parts and moves the entries."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""
+a{r} AS MATERIALIZED (
+  SELECT vec_id, part, any_value(p.x) AS x,
+         min({{'d': CAST(list_sum(list_transform(list_zip(p.x, c.x), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT),
+              'e': entry}}) AS m
+  FROM p JOIN c{r} c USING (part) GROUP BY vec_id, part)""")
+        if r < rounds:
+            steps.append(f"""
+c{r + 1} AS MATERIALIZED (
+  SELECT c.part, c.entry, coalesce(n.x, c.x) AS x
+  FROM c{r} c LEFT JOIN (
+    SELECT part, entry, list((s - ((s % n) + n) % n) // n ORDER BY k) AS x
+    FROM (SELECT part, m.e AS entry, k, CAST(sum(x[k]) AS BIGINT) AS s, count(*) AS n
+          FROM a{r}, range(1, 9) t(k) GROUP BY ALL)
+    GROUP BY part, entry) n ON n.part = c.part AND n.entry = c.entry)""")
+    return f"""
+WITH v AS (
+  SELECT vec_id, label,
+         list_transform(embedding, lambda x: CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT)) AS x
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS MATERIALIZED (
+  SELECT vec_id, label, part, x[8 * part + 1 : 8 * part + 8] AS x FROM v, range(8) t(part)),
+c0 AS MATERIALIZED (
+  SELECT part, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS entry, x
+  FROM p QUALIFY entry < 16),{",".join(steps)},
+found AS (
+  SELECT vec_id, string_agg(printf('%02x', m.e), '' ORDER BY part) AS code, CAST(sum(m.d) AS BIGINT) AS error
+  FROM a{rounds} GROUP BY vec_id),
+book AS (
+  SELECT sha256(string_agg(CAST(x[k] AS VARCHAR), ',' ORDER BY part, entry, k)) AS digest
+  FROM c{rounds}, range(1, 9) t(k))
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       digest AS codebooks_sha256
+FROM found JOIN v USING (vec_id), book
+"""
+
+
+# Parts of eight components, as the tables have 64.
+SQL["op11_codes"] = _codes_sql(6)
