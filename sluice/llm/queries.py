@@ -4,7 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sluice.llm import alignment, archive, codes, decontamination, embeddings, langid, lm, packing, quality, simhash, suffixes, toxicity
+from sluice.llm import (
+    alignment,
+    archive,
+    codes,
+    decontamination,
+    embeddings,
+    langid,
+    lm,
+    packing,
+    quality,
+    recompression,
+    simhash,
+    suffixes,
+    toxicity,
+)
 from sluice.llm.common import table
 from sluice.session import scratch_path
 
@@ -162,3 +176,26 @@ FROM found JOIN v USING (vec_id), book
 
 # Parts of eight components, as the tables have 64.
 SQL["op11_codes"] = _codes_sql(6)
+
+
+@query
+def op12_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recompression.deduplicate(table(spark, sf_dir, "documents"), width=20)
+
+
+SQL["op12_recompression"] = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+w AS (
+  SELECT doc_id, s, array_to_string(words[s : s + 19], ' ') AS g
+  FROM d, unnest(range(1, greatest(len(words) - 18, 1))) t(s)),
+later AS (SELECT doc_id, s FROM w QUALIFY row_number() OVER (PARTITION BY g ORDER BY doc_id, s) > 1),
+gone AS (SELECT DISTINCT doc_id, s + k AS p FROM later, range(20) t(k)),
+each AS (SELECT doc_id, p, words[p] AS word FROM d, unnest(range(1, len(words) + 1)) t(p)),
+kept AS (
+  SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS text
+  FROM each ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words,
+       CAST(len(words) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""

@@ -18,6 +18,7 @@ COLUMNS = {
     "op9_simhash": "doc_id fingerprint component_id kept",
     "op13_alignment": "doc_id n_a n_b n_groups n_links n_best count_sum groups_sha256",
     "op11_codes": "vec_id code error label_error codebooks_sha256",
+    "op12_recompression": "doc_id n_words n_removed kept_sha256",
     "op10_lm": "doc_id held_out n_tokens n_known train_tokens base_score score",
 }
 
