@@ -142,6 +142,22 @@ def write_hidden_names(spark, sf_dir):
     return read_objects(spark, path, "parquet")
 
 
+_ODD = """CASE "partition" WHEN 0 THEN '_a=b/' WHEN 1 THEN '_staging/0/' WHEN 2 THEN '_metadata' ELSE '.' END
+  || topic || '-' || start_offset || CASE "partition" WHEN 2 THEN '._COPYING_' WHEN 3 THEN '.crc' ELSE '' END"""
+
+
+@query(_starts(_ALL) + f""" SELECT {_ODD} AS object_key, "offset" FROM files""")
+def read_odd_names(spark, sf_dir):
+    """Names that Spark's readers, Hadoop's checksums or the writer's staging could claim: each is read once."""
+    grouped = group_records(_one_flush(spark, sf_dir), CHANGELOG)
+    steps = F.array(*map(F.lit, ["_a=b/", "_staging/0/", "_metadata", "."]))
+    ends = F.array(*map(F.lit, ["", "", "._COPYING_", ".crc"]))
+    name = F.concat(steps[F.col("partition")], "topic", F.lit("-"), F.col("start_offset").cast("string"), ends[F.col("partition")])
+    path = scratch_path(spark, "odd")
+    write_files(grouped.withColumn("file_name", name), path, "parquet", fields=["offset"]).count()
+    return read_objects(spark, path, "parquet")
+
+
 @query(
     _starts(_ALL)
     + f""", numbered AS (SELECT {_FILE} AS object_key, key, "offset",

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import posixpath
+from collections.abc import Callable, Iterator
+from datetime import UTC, datetime
 
 from pyarrow import fs
 from pyspark.sql import SparkSession
@@ -12,6 +14,10 @@ from pyspark.sql import SparkSession
 _SCHEMES = {"s3a": "s3", "s3n": "s3", "gcs": "gs"}
 # The folder below a target in which pieces wait to be published.
 STAGING = "_staging"
+# The folders there, one for each attempt to write, as a pattern for what follows the folder.
+ATTEMPT = r"\A[0-9a-f]{32}(/|\z)"
+# Fixed value: how the checksums begin that Hadoop puts beside local files.
+_CHECKSUM = b"crc\x00"
 
 
 def qualified(spark: SparkSession, path: str) -> str:
@@ -68,9 +74,48 @@ def open_output(path: str):
     return store.open_output_stream(inner, compression=None)
 
 
-def exists(path: str) -> bool:
-    store, inner = file_system(path)
-    return store.get_file_info(inner).type != fs.FileType.NotFound
+def names(folder: str) -> Iterator[str]:
+    """Names in a local folder, one at a time; none if there is no such folder."""
+    try:
+        with os.scandir(local_path(folder)) as entries:
+            for entry in entries:
+                yield entry.name
+    except FileNotFoundError:
+        return
+
+
+def children(folder: str, wanted: Callable[[str], bool] = lambda name: True) -> Iterator[tuple]:
+    """``(name, is a folder, size, modification time)`` of the wanted names right below."""
+    if not is_local(folder):
+        store, inner = file_system(folder)
+        for f in store.get_file_info(fs.FileSelector(inner, allow_not_found=True)):
+            if wanted(f.base_name):
+                yield f.base_name, f.type == fs.FileType.Directory, f.size, f.mtime
+        return
+    try:
+        entries = os.scandir(local_path(folder))
+    except FileNotFoundError:
+        return
+    with entries:
+        for entry in entries:
+            if wanted(entry.name):
+                try:
+                    known = entry.stat()
+                except FileNotFoundError:  # gone since
+                    continue
+                at = datetime.fromtimestamp(known.st_mtime_ns // 1000 / 1_000_000, UTC)
+                yield entry.name, entry.is_dir(), known.st_size, at
+
+
+def is_checksum(folder: str, name: str) -> bool:
+    """Whether a local file is Hadoop's checksum of the file beside it, by name and by its first bytes."""
+    if not (name.startswith(".") and name.endswith(".crc")):
+        return False
+    inner = local_path(folder)
+    if not os.path.isfile(os.path.join(inner, name[1:-4])):
+        return False
+    with open(os.path.join(inner, name), "rb") as source:
+        return source.read(len(_CHECKSUM)) == _CHECKSUM
 
 
 def move(source: str, target: str, size: int) -> None:

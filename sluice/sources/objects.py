@@ -279,18 +279,30 @@ def read_objects(
         rows = loaded.where(keep(_file_key(root))) if keep else loaded
         return rows.select(_file_key(root).alias("object_key"), *[F.col(f"`{c}`") for c in loaded.columns])
     if fmt == "parquet":
+        from sluice.sources.listing import is_hidden
         from sluice.sources.tables import ROW_INDEX, read_tables
 
-        def visible() -> DataFrame:
-            """The filter is on the scan's files, so unwanted objects are not opened."""
-            reader = spark.read.option("recursiveFileLookup", "true").option("mergeSchema", "true")
-            rows = (reader.option("pathGlobFilter", glob) if glob else reader).parquet(root)
-            kept = rows.where(keep(_file_key(root))) if keep else rows
+        reader = spark.read.option("recursiveFileLookup", "true").option("mergeSchema", "true")
+
+        def scanned(rows: DataFrame, kept: DataFrame) -> DataFrame:
             at = F.col("_metadata.row_index").alias(ROW_INDEX)
             return kept.select(_file_key(root).alias("object_key"), at, *[F.col(f"`{c}`") for c in rows.columns])
 
+        def below_root(seen: DataFrame) -> DataFrame:
+            """The filter is on the scan's files, so unwanted objects are not opened."""
+            rows = (reader.option("pathGlobFilter", glob) if glob else reader).parquet(root)
+            return scanned(rows, rows.where(keep(_file_key(root))) if keep else rows)
+
+        def of_listing(seen: DataFrame) -> DataFrame:
+            """Spark's index of the files keeps their paths on the driver in any case."""
+            rows = reader.parquet(*[r["path"] for r in seen.select("path").toLocalIterator()])
+            return scanned(rows, rows)
+
         listed = _listed(spark, root, keep, glob, listing)
-        return read_tables(spark, listed, visible if listing is None else None, progress)
+        if listing is None:
+            return read_tables(spark, listed, below_root, progress)
+        # A path that looks like a pattern would be taken as one.
+        return read_tables(spark, listed, of_listing, progress, lambda key: is_hidden(key) | key.rlike(r"[\[\]{}*?\\]"))
 
     from sluice.sources import progress as prog
     from sluice.sources import streams

@@ -1,8 +1,9 @@
 """Parquet objects, whatever their names.
 
-Spark reads the objects whose names its readers accept; those that start with
-``_`` or ``.`` somewhere, and those of an inventory, are read by row groups in
-tasks. Schemas are merged, as for one table.
+Spark reads the objects whose names its readers accept, with its own column
+pruning and filters; the others, such as those that start with ``_`` or ``.``
+somewhere, are read by row groups in tasks. Every object is read in one of the
+two ways. Schemas are merged, as for one table.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.parquet as pq
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema, to_arrow_schema
 
@@ -25,23 +26,24 @@ ROW_INDEX = "_row_index"
 def read_tables(
     spark: SparkSession,
     listed: DataFrame,
-    rows_of_visible: Callable[[], DataFrame] | None,
+    rows_of_visible: Callable[[DataFrame], DataFrame],
     progress: DataFrame | None = None,
+    hidden: Callable[[Column], Column] = is_hidden,
 ) -> DataFrame:
     """``object_key`` and the objects' own columns, less the rows already read.
 
     ``rows_of_visible`` gives what Spark's reader makes of the listed objects
-    it can see, with ``object_key`` and ``_row_index``; without it all objects
-    are read by row groups.
+    that are not ``hidden`` to it, with ``object_key`` and ``_row_index``.
     """
     ship_package(spark)
     listed = listed.select("object_key", "path", "length")
-    hidden = listed.where(is_hidden(F.col("object_key"))) if rows_of_visible else listed
+    unseen = listed.where(hidden(F.col("object_key")))
+    seen = listed.where(~hidden(F.col("object_key")))
     parts = []
-    if not hidden.isEmpty():
-        parts.append(_row_groups(spark, hidden))
-    if rows_of_visible and not listed.where(~is_hidden(F.col("object_key"))).isEmpty():
-        parts.append(rows_of_visible())
+    if not unseen.isEmpty():
+        parts.append(_row_groups(spark, unseen))
+    if not seen.isEmpty():
+        parts.append(rows_of_visible(seen))
     if not parts:
         return spark.createDataFrame([], "object_key string")
     rows = parts[0]
@@ -53,6 +55,19 @@ def read_tables(
     return rows.drop(ROW_INDEX)
 
 
+def _unified(schemas: list[bytes]) -> pa.Schema:
+    return pa.unify_schemas([pa.ipc.read_schema(pa.py_buffer(s)) for s in schemas], promote_options="permissive")
+
+
+def _merged_schemas(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    merged = None
+    for batch in batches:
+        for plain in batch.column(0).to_pylist():
+            merged = _unified([plain] if merged is None else [merged, plain]).serialize().to_pybytes()
+    if merged is not None:
+        yield pa.RecordBatch.from_pydict({"schema": pa.array([merged], pa.binary())})
+
+
 def _row_groups(spark: SparkSession, listed: DataFrame) -> DataFrame:
     def footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -79,8 +94,9 @@ def _row_groups(spark: SparkSession, listed: DataFrame) -> DataFrame:
     groups = listed.select("object_key", "path").repartition("path").mapInArrow(
         footers, "object_key string, path string, number int, first long, schema binary"
     )
-    schemas = [pa.ipc.read_schema(pa.py_buffer(r[0])) for r in groups.select("schema").distinct().collect()]
-    merged = pa.unify_schemas(schemas, promote_options="permissive")
+    # Tasks merge what they have seen: one schema a task comes back, however many objects there are.
+    seen = groups.select("schema").distinct().mapInArrow(_merged_schemas, "schema binary").collect()
+    merged = _unified([r[0] for r in seen])
     schema = from_arrow_schema(pa.schema([("object_key", pa.string()), (ROW_INDEX, pa.int64()), *merged]))
     target = to_arrow_schema(schema)
 
