@@ -16,7 +16,7 @@ from sluice.sources.connector import read_records
 from sluice.sources.objects import read_lines, read_objects
 from sluice.sources.records import conversation_records, event_records, log_records
 from sluice.streaming.sink import write_stream
-from sluice.streaming.source import publish_stream, read_stream
+from sluice.streaming.source import drain, drop_processed_stream, publish_stream, read_stream
 
 _ALL = 'topic, "partition"'
 _FILE = "topic || '-' || \"partition\" || '-' || start_offset"
@@ -239,7 +239,7 @@ def stream_read_objects(spark, sf_dir):
     grouped = group_records(_one_flush(spark, sf_dir), template, max_records=2000)
     write_files(grouped, path, "jsonl", fields=["key", "offset"]).count()
     records = read_stream(
-        spark, path, "jsonl", pattern="{{topic}}/{{partition}}/{{start_offset}}"
+        spark, path, "jsonl", state=scratch_path(spark, "state"), pattern="{{topic}}/{{partition}}/{{start_offset}}"
     )
     publish_stream(
         records, scratch_path(spark, "checkpoint"), path=out, available_now=True
@@ -247,6 +247,44 @@ def stream_read_objects(spark, sf_dir):
     return spark.read.parquet(out).select("topic", "partition", "value")
 
 
+@query(
+    f"""WITH {RECORDS}, hidden AS (SELECT *, {_HIDDEN} AS name FROM records),
+        files AS (SELECT *, min("offset") OVER (PARTITION BY name, "partition") AS start_offset FROM hidden)
+        SELECT name || '-' || "partition" || '-' || start_offset AS object_key,
+               regexp_replace(name, '.*/', '') AS topic, "partition", "offset" FROM files"""
+)
+def stream_hidden_names(spark, sf_dir):
+    """Objects whose names Spark's file source leaves out, picked up by a capped stream and published once.
+
+    A topic in a name holds no slash, so a folder before it is no part of it.
+    """
+    even = F.pmod("partition", F.lit(2)) == 0
+    topic = F.concat(F.when(even, F.lit("_")).otherwise(F.lit("in/.")), F.col("topic"))
+    grouped = group_records(_one_flush(spark, sf_dir).withColumn("topic", topic), CHANGELOG)
+    path, out = scratch_path(spark, "objects"), scratch_path(spark, "published")
+    write_files(grouped, path, "parquet", fields=["offset"]).count()
+    how = {"pattern": CHANGELOG, "schema": "offset bigint", "objects_per_batch": 12, "state": scratch_path(spark, "state")}
+    checkpoint = scratch_path(spark, "checkpoint")
+    drain(lambda: publish_stream(read_stream(spark, path, "parquet", **how), checkpoint, path=out, available_now=True))
+    return spark.read.parquet(out).select("object_key", "topic", "partition", F.col("value.offset").alias("offset"))
+
+
+@query(
+    """SELECT DISTINCT event_type || '/' || user_id AS object_key, user_id % 4 AS partition FROM events"""
+)
+def stream_drop_processed(spark, sf_dir):
+    """Events as notices of objects, most of them told of often; each object is dealt with once."""
+    schema = table(spark, sf_dir, "events").schema
+    events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    key = F.concat_ws("/", "event_type", F.col("user_id").cast("string"))
+    notices = events.select(key.alias("object_key"), F.pmod("user_id", F.lit(4)).alias("partition"), F.col("ts").cast("timestamp").alias("modified"))
+    out = scratch_path(spark, "noticed")
+    new = drop_processed_stream(notices, forget_after="3650 days")
+    writer = new.writeStream.format("parquet").option("path", out).option("checkpointLocation", scratch_path(spark, "checkpoint"))
+    writer.trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(out).select("object_key", "partition")
+
+
 @query(
     f"""WITH {DIALOGUE}, ranked AS (
           SELECT *, row_number() OVER (PARTITION BY key

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import posixpath
+import uuid
 from collections.abc import Callable, Iterator
 from datetime import UTC, datetime
 
@@ -139,10 +140,38 @@ def move(source: str, target: str, size: int) -> None:
     store.move(inner_source, inner_target)
 
 
+def exists(path: str) -> bool:
+    store, inner = file_system(path)
+    return store.get_file_info(inner).type != fs.FileType.NotFound
+
+
+def read_bytes(path: str) -> bytes:
+    with open_input(path) as source:
+        return source.read()
+
+
+def write_bytes(path: str, data: bytes) -> None:
+    """Puts a small object in its place whole: written beside it and renamed where that is needed."""
+    if not is_local(path):
+        with open_output(path) as out:
+            out.write(data)
+        return
+    inner = local_path(path)
+    os.makedirs(os.path.dirname(inner), exist_ok=True)
+    aside = f"{inner}.{uuid.uuid4().hex}"
+    with open(aside, "wb") as out:
+        out.write(data)
+    os.replace(aside, inner)
+
+
 def remove_tree(path: str) -> None:
+    """Removes a folder with all below it, or a single object."""
     store, inner = file_system(path)
-    if store.get_file_info(inner).type == fs.FileType.Directory:
+    kind = store.get_file_info(inner).type
+    if kind == fs.FileType.Directory:
         store.delete_dir(inner)
+    elif kind == fs.FileType.File:
+        store.delete_file(inner)
 
 
 def remove_if_empty(path: str) -> None:

@@ -15,6 +15,7 @@ import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema, to_arrow_schema
+from pyspark.sql.types import StructType
 
 from sluice.session import ship_package
 from sluice.sinks import store
@@ -69,6 +70,15 @@ def _merged_schemas(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 
 def _row_groups(spark: SparkSession, listed: DataFrame) -> DataFrame:
+    groups = row_groups(listed)
+    # Tasks merge what they have seen: one schema a task comes back, however many objects there are.
+    seen = groups.select("schema").distinct().mapInArrow(_merged_schemas, "schema binary").collect()
+    return rows_of(groups, from_arrow_schema(_unified([r[0] for r in seen])))
+
+
+def row_groups(listed: DataFrame) -> DataFrame:
+    """``object_key, path, number, first, schema`` of the objects' row groups; ``first`` is the row it starts with."""
+
     def footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
@@ -91,20 +101,21 @@ def _row_groups(spark: SparkSession, listed: DataFrame) -> DataFrame:
                     ),
                 )
 
-    groups = listed.select("object_key", "path").repartition("path").mapInArrow(
+    return listed.select("object_key", "path").repartition("path").mapInArrow(
         footers, "object_key string, path string, number int, first long, schema binary"
     )
-    # Tasks merge what they have seen: one schema a task comes back, however many objects there are.
-    seen = groups.select("schema").distinct().mapInArrow(_merged_schemas, "schema binary").collect()
-    merged = _unified([r[0] for r in seen])
-    schema = from_arrow_schema(pa.schema([("object_key", pa.string()), (ROW_INDEX, pa.int64()), *merged]))
+
+
+def rows_of(groups: DataFrame, schema: StructType) -> DataFrame:
+    """``object_key``, the row's number, and the columns of ``schema``; those an object has not are null."""
+    schema = StructType([*StructType.fromDDL(f"object_key string, {ROW_INDEX} long").fields, *schema.fields])
     target = to_arrow_schema(schema)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 with store.open_random(row["path"]) as source:
-                    table = pq.ParquetFile(source).read_row_group(row["number"])
+                    table = pq.ParquetFile(source).read_row_group(row["number"], [f.name for f in list(target)[2:]])
                 n = table.num_rows
                 columns = [pa.array([row["object_key"]] * n, pa.string()), pa.array(range(row["first"], row["first"] + n), pa.int64())]
                 for field in list(target)[2:]:

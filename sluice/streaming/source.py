@@ -1,11 +1,9 @@
-"""Objects picked up as they arrive.
-
-Spark's file source keeps the log of objects it has read in the checkpoint: a
-restart goes on where the last run ended, and no object is read twice.
-"""
+"""Objects picked up as they arrive, and their records."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,10 +11,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from sluice.functions.naming import match_source_name
 from sluice.sources.connector import object_filter
-from sluice.sources.objects import _decoded, clean_lines, is_bad_json, object_key_of
-from sluice.sources.streams import compressed_chunks, compressed_lines, range_chunks, with_done
-
-_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
+from sluice.sources.objects import _file_key, clean_lines, is_bad_json
+from sluice.sources.streams import compressed_chunks, compressed_lines, range_chunks, range_lines, with_done
+from sluice.sources.tables import ROW_INDEX, row_groups, rows_of
+from sluice.streaming.objects import new_objects
 
 
 def read_stream(
@@ -24,38 +22,41 @@ def read_stream(
     root: str,
     fmt: str = "bytes",
     *,
+    state: str,
     pattern: str | None = None,
     target_topic: str | None = None,
     schema: T.StructType | str | None = None,
     chunk_size: int = 4096,
     compression: str = "none",
     objects_per_batch: int | None = None,
-    bytes_per_batch: str | None = None,
+    bytes_per_batch: int | None = None,
     glob: str | None = None,
     prefix: str = "",
     after: str | None = None,
     tasks: int = 1,
     task: int | None = None,
     distribution: str = "object_hash",
+    forget_after: float | None = None,
 ) -> DataFrame:
     """Records of new objects below ``root``, with topic and partition by name.
 
-    A micro-batch takes ``bytes_per_batch`` or ``objects_per_batch`` where one
-    is given, else all new objects.
+    Objects of any name are found, and read once (``streaming.objects``, which
+    also says what ``state`` and ``forget_after`` are). A micro-batch takes
+    ``bytes_per_batch`` or ``objects_per_batch`` where one is given, else all
+    new objects.
 
     With a ``pattern``, ``prefix``, ``after`` and the share of one of several
     ``tasks`` choose objects as in ``connector.read_records``.
 
     Bad JSON lines are left out one by one here: a stream cannot look back
     into an object to cut it at its first bad line, as ``read_objects`` does.
+    Parquet objects are read by row groups; columns they lack are null. Avro
+    objects are found by Spark's file source, without hidden names or caps.
     """
-    reader = spark.readStream.option("recursiveFileLookup", "true")
-    if bytes_per_batch:
-        reader = reader.option("maxBytesPerTrigger", bytes_per_batch)
-    elif objects_per_batch:
-        reader = reader.option("maxFilesPerTrigger", objects_per_batch)
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
+    if fmt not in ("jsonl", "bytes", "parquet", "avro"):
+        raise ValueError(f"unknown input format {fmt!r}")
+    if fmt in ("parquet", "avro") and schema is None:
+        raise ValueError(f"a {fmt} stream needs a schema")
 
     def wanted(objects: DataFrame) -> DataFrame:
         if pattern is None:
@@ -64,29 +65,13 @@ def read_stream(
         keep = object_filter(pattern, distribution=distribution, **chosen)
         return objects.filter(keep(F.col("object_key")))
 
-    if fmt == "jsonl":
-        if compression == "none":
-            lines = reader.format("text").load(root)
-            lines = wanted(lines.select(_key(root).alias("object_key"), F.col("value").alias("line")))
-        else:
-            lines = compressed_lines(wanted(_listed(reader, root)), compression)
-            lines = lines.select("object_key", "line")
-        records = clean_lines(lines).filter(~is_bad_json(F.col("line")))
-        records = records.withColumnRenamed("line", "value")
-    elif fmt == "bytes":
-        listed = wanted(_listed(reader, root))
-        if compression == "none":
-            records = range_chunks(listed, chunk_size)
-        else:
-            records = compressed_chunks(listed, compression, chunk_size)
-    elif fmt in ("parquet", "avro"):
-        if schema is None:
-            raise ValueError(f"a {fmt} stream needs a schema")
-        rows = reader.format(fmt).schema(schema).load(root)
-        records = wanted(rows.select(_key(root).alias("object_key"), F.struct(*rows.columns).alias("value")))
+    if fmt == "avro":
+        rows = spark.readStream.option("recursiveFileLookup", "true").format(fmt).schema(schema).load(root)
+        records = wanted(rows.select(_file_key(root).alias("object_key"), F.struct(*rows.columns).alias("value")))
     else:
-        raise ValueError(f"unknown input format {fmt!r}")
-
+        caps = {"objects_per_batch": objects_per_batch, "bytes_per_batch": bytes_per_batch}
+        found = new_objects(spark, root, state, prefix=prefix, after=after, glob=glob, forget_after=forget_after, **caps)
+        records = _records(wanted(found), fmt, schema, chunk_size, compression)
     if pattern is None:
         return records
     found = match_source_name(F.col("object_key"), pattern)
@@ -99,15 +84,30 @@ def read_stream(
     )
 
 
-def _listed(reader, root: str) -> DataFrame:
-    """New objects without their bytes, which tasks read themselves."""
-    files = reader.format("binaryFile").schema(_FILE_SCHEMA).load(root).filter(F.col("length") > 0)
-    key = object_key_of(F.col("path"), root).alias("object_key")
-    return with_done(files.select(key, "path", "length"))
-
-
-def _key(root: str):
-    return object_key_of(_decoded(F.col("_metadata.file_path")), root)
+def _records(objects: DataFrame, fmt: str, schema, chunk_size: int, compression: str) -> DataFrame:
+    """The records of listed objects; tasks read the objects themselves."""
+    if fmt == "jsonl":
+        lines = range_lines(objects) if compression == "none" else compressed_lines(objects, compression)
+        records = clean_lines(lines.select("object_key", "line")).filter(~is_bad_json(F.col("line")))
+        return records.withColumnRenamed("line", "value")
+    if fmt == "bytes":
+        listed = with_done(objects.drop("modified"))
+        return range_chunks(listed, chunk_size) if compression == "none" else compressed_chunks(listed, compression, chunk_size)
+    kind = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+    rows = rows_of(row_groups(objects), kind).drop(ROW_INDEX)
+    return rows.select("object_key", F.struct(*[f"`{c}`" for c in kind.names]).alias("value"))
+
+
+def drop_processed_stream(objects: DataFrame, *, forget_after: str, at: str = "modified") -> DataFrame:
+    """Objects of a stream whose key has not come before, by keyed state.
+
+    For streams that may tell of an object more than once, such as a store's
+    notifications or inventories taken again and again. A key is kept in the
+    state store until the newest ``at`` (a timestamp) has passed its own by
+    ``forget_after``, such as ``"7 days"``; what is older than that on arrival
+    is taken as dealt with. So state is bounded by the keys of that time.
+    """
+    return objects.withWatermark(at, forget_after).dropDuplicatesWithinWatermark(["object_key"])
 
 
 def publish_stream(
@@ -132,3 +132,18 @@ def publish_stream(
         raise ValueError("give servers or a path")
     writer = writer.option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
+
+
+def drain(start: Callable[[], StreamingQuery]) -> int:
+    """Runs an ``available_now`` stream until a run finds nothing new; how many runs found something.
+
+    Spark takes one batch of this source in such a run, so capped batches need
+    several.
+    """
+    runs = 0
+    while True:
+        query = start()
+        query.awaitTermination()
+        if not any(p["numInputRows"] for p in query.recentProgress):
+            return runs
+        runs += 1

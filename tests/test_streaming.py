@@ -11,7 +11,8 @@ from sluice.sinks.codecs import encode
 from sluice.sources.objects import read_lines, read_objects
 from sluice.sources.records import log_records
 from sluice.streaming.sink import record_stream, write_stream
-from sluice.streaming.source import publish_stream, read_stream
+from sluice.streaming.objects import ObjectReader
+from sluice.streaming.source import drain, drop_processed_stream, publish_stream, read_stream
 from test_sinks import contents
 
 CHANGELOG = "{{topic}}-{{partition}}-{{start_offset}}"
@@ -156,7 +157,7 @@ def put(root, name, data):
 
 
 def publish(spark, tmp_path, fmt, **how):
-    records = read_stream(spark, f"{tmp_path}/objects", fmt, **how)
+    records = read_stream(spark, f"{tmp_path}/objects", fmt, state=f"{tmp_path}/state", **how)
     query = publish_stream(records, f"{tmp_path}/cp", path=f"{tmp_path}/table", available_now=True)
     query.awaitTermination()
     return query, spark.read.parquet(f"{tmp_path}/table")
@@ -167,9 +168,8 @@ def test_new_objects_are_picked_up_once(spark, tmp_path):
     for i in range(5):
         put(f"{tmp_path}/objects", f"t-{i}-0.jsonl", b'{"a":1}\n\n bad \n{"a":2}\n')
     put(f"{tmp_path}/objects", "unnamed.jsonl", b'{"a":1}\n')
-    query, table = publish(spark, tmp_path, "jsonl", **how)
-    assert table.count() == 10
-    assert len([p for p in query.recentProgress if p["numInputRows"]]) == 3
+    runs = drain(lambda: publish(spark, tmp_path, "jsonl", **how)[0])
+    assert runs == 3 and spark.read.parquet(f"{tmp_path}/table").count() == 10
     put(f"{tmp_path}/objects", "later/t-9-4.jsonl", b'{"a":3}\n')
     table = publish(spark, tmp_path, "jsonl", **how)[1]
     rows = sorted((r["topic"], r["partition"], r["start_offset"]) for r in table.collect())
@@ -205,3 +205,106 @@ def test_a_stream_takes_its_share(spark, tmp_path):
     how = {"pattern": "{{topic}}-{{partition}}", "prefix": "in/", "after": "in/t-0", "tasks": 2, "task": 1, "distribution": "partition"}
     table = publish(spark, tmp_path, "bytes", **how)[1]
     assert sorted(r["object_key"] for r in table.collect()) == ["in/t-1", "in/t-3", "in/t-5"]
+
+
+NAMES = ["_schemas-0-0", "plain-0-0", ".dot-1-0", "in/_x-2-0", "_a=b-3-0", "x._COPYING_", "_staging/t-4-0", "a b%20+-5-0"]
+
+
+@pytest.mark.parametrize("fmt", ["bytes", "jsonl", "parquet"])
+def test_names_of_any_kind_are_published_once(spark, tmp_path, fmt):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    for name in NAMES:
+        put(f"{tmp_path}/objects", name, b'{"v":1}')
+        if fmt == "parquet":
+            pq.write_table(pa.table({"v": [1, 2]}), f"{tmp_path}/objects/{name}")
+    how = {"schema": "v bigint, w string"} if fmt == "parquet" else {}
+    publish(spark, tmp_path, fmt, **how)
+    rows = publish(spark, tmp_path, fmt, **how)[1].collect()  # a second run finds nothing new
+    assert sorted(r.object_key for r in rows) == sorted(NAMES * (2 if fmt == "parquet" else 1))
+    if fmt == "parquet":
+        assert {(r.value.v, r.value.w) for r in rows} == {(1, None), (2, None)}
+
+
+def reader(tmp_path, **how):
+    options = dict.fromkeys(["objects", "bytes", "after", "glob", "forget"]) | {"prefix": ""} | how
+    return ObjectReader(root=f"file://{tmp_path}/objects", state=f"file://{tmp_path}/state", **options)
+
+
+def taken(r, start, end):
+    return [k for p in r.partitions({"batch": start}, {"batch": end}) for b in r.read(p) for k in b.column(0).to_pylist()]
+
+
+def test_batches_are_the_same_when_run_again_and_after_a_restart(tmp_path):
+    for i in range(7):
+        put(f"{tmp_path}/objects", f"t-{i}", b"x" * (i + 1))
+    first = reader(tmp_path, objects=3)
+    assert [first.latestOffset()["batch"] for _ in range(4)] == [1, 2, 3, 3]
+    put(f"{tmp_path}/objects", "a-late", b"x")
+    os.utime(f"{tmp_path}/objects/a-late", (1, 1))  # renamed into place: older than all that was seen
+    again = reader(tmp_path, objects=3)  # batch 3 was logged and may not have run: its objects stay in it
+    assert again.latestOffset() == {"batch": 4}
+    assert taken(again, 0, 3) == taken(first, 0, 3) == [f"t-{i}" for i in range(7)]
+    assert taken(again, 3, 4) == ["a-late"] and taken(again, 4, 4) == []
+
+
+def test_a_batch_without_its_marker_does_not_count(tmp_path):
+    put(f"{tmp_path}/objects", "t-1", b"x")
+    put(f"{tmp_path}/state/log/000000000001", "000000", b'["lost", 1, 1]\n')
+    r = reader(tmp_path)
+    assert r.latestOffset() == {"batch": 1} and taken(r, 0, 1) == ["t-1"]
+
+
+def test_caps_prefix_start_and_glob(tmp_path):
+    for name in ["a/1.x", "a/2.x", "a/3.y", "b/1.x", "b/2.x", "c"]:
+        put(f"{tmp_path}/objects", name, b"12345")
+    r = reader(tmp_path, bytes=12)
+    assert r.latestOffset() == {"batch": 1} and taken(r, 0, 1) == ["a/1.x", "a/2.x"]
+    other = ObjectReader(f"file://{tmp_path}/objects", f"file://{tmp_path}/s2", 1, None, "", "a/3", "?.x", None)
+    assert [other.latestOffset()["batch"] for _ in range(3)] == [1, 2, 2]
+    assert taken(other, 0, 2) == ["b/1.x", "b/2.x"]
+    third = ObjectReader(f"file://{tmp_path}/objects", f"file://{tmp_path}/s3", None, None, "b/", None, None, None)
+    assert sorted(taken(third, 0, third.latestOffset()["batch"])) == ["b/1.x", "b/2.x"]
+
+
+def test_the_log_is_written_together_and_old_keys_are_forgotten(tmp_path, monkeypatch):
+    from sluice.streaming import objects
+
+    monkeypatch.setattr(objects, "COMPACT", 3)
+    r = reader(tmp_path, forget=100)
+    for i in range(8):
+        put(f"{tmp_path}/objects", f"t-{i}", b"x")
+        os.utime(f"{tmp_path}/objects/t-{i}", (1000 + 60 * i, 1000 + 60 * i))
+        assert r.latestOffset() == {"batch": i + 1}
+    assert len(r.seen) == 2  # those of the last 100 seconds
+    names = sorted(os.listdir(f"{tmp_path}/state/log"))
+    assert "000000000001" not in names and "seen-000000000006" in names and "seen-000000000003" not in names
+    again = reader(tmp_path, forget=100)
+    put(f"{tmp_path}/objects", "t-8", b"x")
+    assert again.latestOffset() == {"batch": 9} and taken(again, 8, 9) == ["t-8"]
+
+
+def test_processed_keys_are_kept_for_a_time(spark, tmp_path):
+    def told(name, rows):
+        spark.createDataFrame(rows, "object_key string, at long").coalesce(1).write.parquet(f"{tmp_path}/in/{name}")
+
+    def run():
+        notices = spark.readStream.schema("object_key string, at long").option("recursiveFileLookup", "true").parquet(f"{tmp_path}/in")
+        notices = notices.withColumn("modified", F.timestamp_seconds("at"))
+        new = drop_processed_stream(notices, forget_after="100 seconds")
+        query = new.writeStream.format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/cp")
+        query = query.trigger(availableNow=True).start()
+        query.awaitTermination()
+        return query.lastProgress["stateOperators"][0]["numRowsTotal"]
+
+    told("a", [(f"k{i}", 1000 + i) for i in range(50)] * 2)
+    run()
+    told("b", [(f"k{i}", 1000 + i) for i in range(50)] + [("new", 1060)])  # all told of again
+    run()
+    told("c", [("k1", 1001), ("later", 5000)])
+    run()
+    told("d", [("k1", 1001), ("later", 5000), ("last", 5001)])  # k1 is forgotten, and too old to be new
+    assert run() <= 3
+    keys = [r.object_key for r in spark.read.parquet(f"{tmp_path}/out").collect()]
+    assert sorted(keys) == sorted([f"k{i}" for i in range(50)] + ["new", "later", "last"])
