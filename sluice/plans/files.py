@@ -15,6 +15,7 @@ from sluice.sinks.files import write_files
 from sluice.sources.connector import read_records
 from sluice.sources.objects import read_lines, read_objects
 from sluice.sources.records import conversation_records, event_records, log_records
+from sluice.streaming.flushes import Flushes
 from sluice.streaming.sink import write_stream
 from sluice.streaming.source import drain, drop_processed_stream, publish_stream, read_stream
 
@@ -142,6 +143,55 @@ def write_hidden_names(spark, sf_dir):
     return read_objects(spark, path, "parquet")
 
 
+_PIECES, _PIECE_BYTES = 8, 6_000
+
+
+@query(
+    f"""WITH RECURSIVE {RECORDS}, bounds AS (SELECT min("offset") AS low, max("offset") AS high FROM records),
+        dealt AS (SELECT r.*, CAST(("offset" - low) * {_PIECES} // (high - low + 1) AS INTEGER) AS batch
+                  FROM records r, bounds),
+        sizes AS (SELECT batch, topic, "partition",
+                         sum(20 + coalesce(strlen(key), 0) + coalesce(strlen(value), 0)) AS bytes
+                  FROM dealt GROUP BY ALL),
+        spans AS (SELECT f.batch AS first, t.batch AS last FROM range({_PIECES}) f(batch), range({_PIECES}) t(batch)
+                  WHERE f.batch <= t.batch),
+        reached AS (SELECT DISTINCT first, last FROM (
+                      SELECT first, last, topic, "partition", sum(bytes) AS total
+                      FROM spans JOIN sizes ON batch BETWEEN first AND last GROUP BY ALL)
+                    WHERE total >= {_PIECE_BYTES}),
+        ends AS (SELECT first, coalesce(min(last), {_PIECES} - 1) AS last
+                 FROM range({_PIECES}) f(first) LEFT JOIN reached USING (first) GROUP BY first),
+        flushes AS (SELECT first, last FROM ends WHERE first = 0
+                    UNION ALL SELECT e.first, e.last FROM flushes f JOIN ends e ON e.first = f.last + 1),
+        files AS (SELECT *, min("offset") OVER (PARTITION BY first, topic, "partition") AS start_offset
+                  FROM dealt JOIN flushes ON batch BETWEEN first AND last)
+        SELECT {_FILE} AS object_key, {_B64_KEY} || ',' || {_B64_VALUE} || ',' || "offset" AS line FROM files"""
+)
+def stream_flush_by_size(spark, sf_dir):
+    """Events in eight micro-batches; a flush ends when a file has 6,000 bytes, and the rest is published at the end."""
+    events = table(spark, sf_dir, "events")
+    low, high = events.agg(F.min("event_id"), F.max("event_id")).first()
+    source = scratch_path(spark, "arriving")
+    number = F.call_function("div", (F.col("event_id") - low) * _PIECES, F.lit(high - low + 1))
+    for i in range(_PIECES):  # one after another, as the stream takes them by time
+        events.where(number == i).coalesce(1).write.mode("append").parquet(source)
+    arriving = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    path, pending = scratch_path(spark, "sized"), scratch_path(spark, "pending")
+    fields = ["key", "value", "offset"]
+    write_stream(
+        event_records(arriving).drop("batch_id"),
+        path,
+        CHANGELOG,
+        scratch_path(spark, "checkpoint"),
+        fields=fields,
+        pending=pending,
+        flush_bytes=_PIECE_BYTES,
+        available_now=True,
+    ).awaitTermination()
+    Flushes(spark, path, CHANGELOG, pending, fields=fields).close()
+    return read_lines(spark, path).select("object_key", "line")
+
+
 _ODD = """CASE "partition" WHEN 0 THEN '_a=b/' WHEN 1 THEN '_staging/0/' WHEN 2 THEN '_metadata' ELSE '.' END
   || topic || '-' || start_offset || CASE "partition" WHEN 2 THEN '._COPYING_' WHEN 3 THEN '.crc' ELSE '' END"""
 

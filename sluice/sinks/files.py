@@ -52,7 +52,7 @@ FRAMES = {
     "json": (b"[\n", b",\n", b"\n]"),
 }
 FRAMELESS = (b"", b"", b"")
-_PIECE = (
+PIECE = (
     "file_name string, first bigint, last bigint, piece string, head bigint, size bigint,"
     " tail bigint, n_records bigint"
 )
@@ -90,14 +90,56 @@ def write_files(
     of a grouping; the records are then not shuffled again. An order that
     does not hold fails the job.
     """
+    spark = grouped.sparkSession
+    path = store.qualified(spark, path)
+    staging = store.qualified(spark, staging) if staging else staging_path(path)
+    listed = scratch_path(spark, "manifest")
+    try:
+        how = {"fields": fields, "envelope": envelope, "compression": compression, "value_encoding": value_encoding}
+        own = {"map_keys": map_keys, "versions": versions, "part_offsets": part_offsets, "placed": placed, "options": options}
+        manifest = stage_files(grouped, staging, listed, fmt, **how, **own)
+        publish_files(manifest, path, staging, fmt, compression=compression, options=options)
+    finally:
+        store.remove_tree(staging)
+        store.remove_if_empty(f"{path.rstrip('/')}/{STAGING}")
+    return written(manifest)
+
+
+def written(manifest: DataFrame) -> DataFrame:
+    """Per file of a manifest: ``file_name, n_records, n_bytes, n_parts``."""
+    return manifest.groupBy("file_name").agg(
+        F.sum("n_records").alias("n_records"),
+        F.sum("size").alias("n_bytes"),
+        F.count(F.lit(1)).cast("bigint").alias("n_parts"),
+    )
+
+
+def stage_files(
+    grouped: DataFrame,
+    staging: str,
+    listed: str,
+    fmt: str = "csv",
+    *,
+    fields: Sequence[str] = ("value",),
+    envelope: bool = True,
+    compression: str = "none",
+    value_encoding: str = "base64",
+    map_keys: Sequence[str] = (),
+    versions: Mapping[int, Sequence[str]] | None = None,
+    part_offsets: int = PART_OFFSETS,
+    placed: int = 0,
+    options: dict[str, str] | None = None,
+) -> DataFrame:
+    """Writes the records as pieces below ``staging`` and their manifest to ``listed``, which it returns.
+
+    Arguments are those of :func:`write_files`.
+    """
     if fmt not in OUTPUT_FORMATS:
         raise ValueError(f"output format must be one of {OUTPUT_FORMATS}, got {fmt!r}")
     if compression not in CODECS:
         raise ValueError(f"compression must be one of {CODECS}, got {compression!r}")
     spark = grouped.sparkSession
     ship_package(spark)
-    path = store.qualified(spark, path)
-    staging = store.qualified(spark, staging) if staging else staging_path(path)
     part = F.call_function("div", F.col("offset"), F.lit(placed or part_offsets)).alias("part")
     place = ["file_name", "part", "offset"]
 
@@ -112,34 +154,36 @@ def write_files(
     elif not envelope and (own := _own_fields(grouped, fields, map_keys, versions)) is not None:
         rows = own.select("file_name", part, F.col("offset").alias("_at"), "_fields", F.col(fields[0]).alias("_value"))
         place = ["file_name", "part", "_at"]
-        options = {"compression": compression, **(options or {})}
-        stage = _fields_stage(staging, options)
+        stage = _fields_stage(staging, {"compression": compression, **(options or {})})
         placed = placed if versions else 0  # a join has found the keys
     else:
         keyed = grouped.withColumn("_part", part).withColumn("_at", F.col("offset"))
         columns = _columns(keyed, fields, envelope, map_keys, ["file_name", "_part", "_at"])
         rows = columns.withColumnsRenamed({"_part": "part"})
         place = ["file_name", "part", "_at"]
-        options = {"compression": compression, **(options or {})}
-        stage = _parquet_stage(staging, options)
+        stage = _parquet_stage(staging, {"compression": compression, **(options or {})})
     if not placed:
         rows = rows.repartition("file_name", "part").sortWithinPartitions(*place)
-    listed = scratch_path(spark, "manifest")
-    try:
-        rows.mapInArrow(stage, _PIECE).write.parquet(listed)
-        manifest = spark.read.schema(_PIECE).parquet(listed)
-        if fmt == "parquet":
-            _run(_in_order(manifest), _merger(path, staging, options), "file_name", "number")
-        else:
-            publish(manifest, path, staging, FRAMES.get(fmt, FRAMELESS), compression)
-    finally:
-        store.remove_tree(staging)
-        store.remove_if_empty(f"{path.rstrip('/')}/{STAGING}")
-    return manifest.groupBy("file_name").agg(
-        F.sum("n_records").alias("n_records"),
-        F.sum("size").alias("n_bytes"),
-        F.count(F.lit(1)).cast("bigint").alias("n_parts"),
-    )
+    rows.mapInArrow(stage, PIECE).write.mode("overwrite").parquet(listed)
+    return spark.read.schema(PIECE).parquet(listed)
+
+
+def publish_files(
+    manifest: DataFrame,
+    path: str,
+    staging: str,
+    fmt: str,
+    *,
+    compression: str = "none",
+    options: dict[str, str] | None = None,
+) -> None:
+    """Puts the staged pieces of a manifest in their places below ``path``."""
+    ship_package(manifest.sparkSession)
+    if fmt == "parquet":
+        merge = _merger(path, staging, {"compression": compression, **(options or {})})
+        _run(_in_order(manifest), merge, "file_name", "number")
+    else:
+        publish(manifest, path, staging, FRAMES.get(fmt, FRAMELESS), compression)
 
 
 def staging_path(path: str) -> str:

@@ -1,0 +1,148 @@
+"""Flushes over several micro-batches: thresholds, heads, replays."""
+
+import json
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from sluice.sources.objects import read_objects
+from sluice.streaming.flushes import Flushes
+from sluice.streaming.sink import write_stream
+from test_sinks import contents
+
+CHANGELOG = "{{topic}}-{{partition}}-{{start_offset}}"
+SCHEMA = "topic string, partition int, offset bigint, timestamp_ms bigint, key string, value string, key_schema_id int, value_schema_id int"
+
+
+def feed(spark, tmp_path, *batches):
+    """One file a batch, each record ``(offset, partition, value, schema)``."""
+    for rows in batches:
+        full = [("t", p, o, o * 1000, f"k{o % 3}", v, 1, s) for o, p, v, s in rows]
+        spark.createDataFrame(full, SCHEMA).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+
+
+def run(spark, tmp_path, template=CHANGELOG, **how):
+    records = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+    flushed = []
+    query = write_stream(
+        records, f"{tmp_path}/out", template, f"{tmp_path}/cp", value_encoding="none", available_now=True,
+        pending=f"{tmp_path}/pending", on_flush=lambda m, i: flushed.append((i, m.agg(F.sum("n_records")).first()[0])), **how,
+    )
+    query.awaitTermination()
+    return flushed
+
+
+def rest(spark, tmp_path, template=CHANGELOG, **how):
+    return Flushes(spark, f"{tmp_path}/out", template, f"{tmp_path}/pending", value_encoding="none", **how).close()
+
+
+def simple(*offsets):
+    return [(o, o % 2, f"v{o}", 1) for o in offsets]
+
+
+def test_unlimited_files_go_on_over_batches(spark, tmp_path):
+    feed(spark, tmp_path, simple(0, 1, 2), simple(4, 6), simple(3, 8), simple(10, 11, 12))
+    assert run(spark, tmp_path, flush_records=5) == [(2, 7)]  # the even file has five then
+    assert contents(f"{tmp_path}/out") == {"t-0-0": b"v0\nv2\nv4\nv6\nv8", "t-1-1": b"v1\nv3"}
+    assert rest(spark, tmp_path).count() == 2
+    assert contents(f"{tmp_path}/out") == {
+        "t-0-0": b"v0\nv2\nv4\nv6\nv8", "t-1-1": b"v1\nv3", "t-0-10": b"v10\nv12", "t-1-11": b"v11",
+    }
+    assert rest(spark, tmp_path) is None
+
+
+def test_a_flush_goes_on_after_a_restart(spark, tmp_path):
+    feed(spark, tmp_path, simple(0, 2))
+    assert run(spark, tmp_path, flush_bytes=100) == []
+    feed(spark, tmp_path, simple(4))
+    assert run(spark, tmp_path, flush_bytes=70) == [(1, 3)]  # 24 bytes a record
+    assert contents(f"{tmp_path}/out") == {"t-0-0": b"v0\nv2\nv4"}
+
+
+def test_limited_files_start_anew_in_every_batch(spark, tmp_path):
+    feed(spark, tmp_path, simple(0, 2, 4), simple(6, 8))
+    run(spark, tmp_path, max_records=2, flush_records=100)
+    rest(spark, tmp_path, max_records=2)
+    assert contents(f"{tmp_path}/out") == {"t-0-0": b"v0\nv2", "t-0-4": b"v4", "t-0-6": b"v6\nv8"}
+
+
+def test_schemas_rotate_over_batches(spark, tmp_path):
+    feed(
+        spark, tmp_path,
+        [(0, 0, "a", 1), (2, 0, "b", 2)],
+        [(4, 0, "c", 2), (6, 0, "d", 3)],
+        [(8, 0, "e", 3), (1, 1, "f", 3)],
+    )
+    run(spark, tmp_path, fmt="parquet", fields=["value"], flush_records=100)
+    rest(spark, tmp_path, fmt="parquet", fields=["value"])
+    rows = {(r.object_key, r.value) for r in read_objects(spark, f"{tmp_path}/out", "parquet").collect()}
+    assert rows == {("t-0-0", "a"), ("t-0-2", "b"), ("t-0-2", "c"), ("t-0-6", "d"), ("t-0-6", "e"), ("t-1-1", "f")}
+
+
+def test_keys_keep_their_last_record(spark, tmp_path):
+    feed(spark, tmp_path, simple(0, 1, 2), simple(3), simple(4))
+    assert run(spark, tmp_path, template="{{key}}", flush_records=100) == []
+    rest(spark, tmp_path, template="{{key}}")
+    assert contents(f"{tmp_path}/out") == {"k0": b"v3", "k1": b"v4", "k2": b"v2"}
+
+
+def test_groups_by_key_go_on(spark, tmp_path):
+    template = "{{topic}}-{{partition}}-{{key}}-{{start_offset}}"
+    feed(spark, tmp_path, simple(0, 2, 4), simple(6, 8))
+    run(spark, tmp_path, template=template, flush_records=100)
+    rest(spark, tmp_path, template=template)
+    assert contents(f"{tmp_path}/out") == {"t-0-k0-0": b"v0\nv6", "t-0-k2-2": b"v2\nv8", "t-0-k1-4": b"v4"}
+
+
+def test_a_flush_ends_by_its_time(spark, tmp_path):
+    feed(spark, tmp_path, simple(0), simple(2))
+    run(spark, tmp_path, flush_seconds=3600)
+    journal = f"{tmp_path}/pending/journal/000000000001"
+    entry = json.load(open(journal))
+    json.dump({**entry, "opened": entry["opened"] - 3_600_000}, open(journal, "w"))
+    feed(spark, tmp_path, simple(4))
+    assert run(spark, tmp_path, flush_seconds=3600) == [(2, 3)]
+    assert contents(f"{tmp_path}/out") == {"t-0-0": b"v0\nv2\nv4"}
+
+
+@pytest.mark.parametrize("noted", [True, False])
+def test_a_batch_run_again_changes_nothing(spark, tmp_path, noted):
+    """The checkpoint has forgotten the last commits, the journal perhaps its last entry too."""
+    feed(spark, tmp_path, simple(0, 1, 2), simple(4, 6, 8), simple(10, 12))
+    assert run(spark, tmp_path, flush_records=5) == [(1, 6)]
+    before = contents(f"{tmp_path}/out")
+    for number in ("1", "2", ".1.crc", ".2.crc"):
+        os.remove(f"{tmp_path}/cp/commits/{number}")
+    for number in ("2", ".2.crc"):
+        os.remove(f"{tmp_path}/cp/offsets/{number}")
+    if not noted:
+        os.remove(f"{tmp_path}/pending/journal/000000000002")
+    assert run(spark, tmp_path, flush_records=5) == []
+    assert contents(f"{tmp_path}/out") == before
+    rest(spark, tmp_path)
+    assert contents(f"{tmp_path}/out") == {"t-0-0": b"v0\nv2\nv4\nv6\nv8", "t-1-1": b"v1", "t-0-10": b"v10\nv12"}
+
+
+def test_publishing_twice_puts_the_same_objects(spark, tmp_path, monkeypatch):
+    """A crash after the objects are in place and before the journal says so."""
+    feed(spark, tmp_path, simple(0, 1, 2), simple(4, 6, 8))
+    note = Flushes._note
+
+    def crash(self, entry):
+        if entry["published"]:
+            raise RuntimeError("crash")
+        note(self, entry)
+
+    with monkeypatch.context() as m:
+        m.setattr(Flushes, "_note", crash)
+        with pytest.raises(Exception, match="crash"):
+            run(spark, tmp_path, flush_records=5)
+    assert run(spark, tmp_path, flush_records=5) == [(1, 6)]
+    assert contents(f"{tmp_path}/out") == {"t-0-0": b"v0\nv2\nv4\nv6\nv8", "t-1-1": b"v1"}
+
+
+def test_thresholds_need_a_place(spark, tmp_path):
+    records = spark.readStream.schema(SCHEMA).parquet(f"{tmp_path}")
+    with pytest.raises(ValueError, match="pending"):
+        write_stream(records, f"{tmp_path}/out", CHANGELOG, f"{tmp_path}/cp", flush_bytes=1)
