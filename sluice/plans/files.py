@@ -17,7 +17,7 @@ from sluice.sources.objects import read_lines, read_objects
 from sluice.sources.records import conversation_records, event_records, log_records
 from sluice.streaming.flushes import Flushes
 from sluice.streaming.sink import write_stream
-from sluice.streaming.source import drain, drop_processed_stream, publish_stream, read_stream
+from sluice.streaming.source import drain, drop_processed_stream, publish_stream, read_growing, read_stream
 
 _ALL = 'topic, "partition"'
 _FILE = "topic || '-' || \"partition\" || '-' || start_offset"
@@ -319,6 +319,21 @@ def stream_hidden_names(spark, sf_dir):
     return spark.read.parquet(out).select("object_key", "topic", "partition", F.col("value.offset").alias("offset"))
 
 
+@query(
+    _starts(_ALL)
+    + f""" SELECT {_FILE} AS object_key, '{{"key":' || {_JSON_KEY} || ',"offset":' || "offset" || '}}' AS value FROM files"""
+)
+def stream_resume_objects(spark, sf_dir):
+    """Objects that a stream reads when they hold a part of their records and again when they hold all."""
+    path, out, state, checkpoint = (scratch_path(spark, p) for p in ("growing", "published", "state", "checkpoint"))
+    grouped = group_records(_one_flush(spark, sf_dir), CHANGELOG)
+    half = grouped.agg(F.percentile_approx("offset", 0.5)).first()[0]
+    for part in (grouped.where(F.col("offset") <= half), grouped):
+        write_files(part, path, "jsonl", fields=["key", "offset"]).count()
+        publish_stream(read_growing(spark, path, state=state), checkpoint, path=out, available_now=True).awaitTermination()
+    return spark.read.parquet(out).select("object_key", "value")
+
+
 @query(
     """SELECT DISTINCT event_type || '/' || user_id AS object_key, user_id % 4 AS partition FROM events"""
 )

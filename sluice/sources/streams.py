@@ -184,10 +184,15 @@ def range_lines(listed: DataFrame) -> DataFrame:
 
     A line belongs to the range its first byte is in.
     """
-    starts = F.sequence(
-        F.lit(0).cast("bigint"), F.col("length") - 1, F.lit(RANGE_BYTES).cast("bigint")
-    )
-    ranges = listed.filter("length > 0").select("object_key", "path", F.explode(starts).alias("start"))
+    whole = listed.filter("length > 0").withColumn("start", F.lit(0).cast("bigint"))
+    return lines_between(whole.withColumn("end", F.lit(2**62).cast("bigint")))
+
+
+def lines_between(stretches: DataFrame) -> DataFrame:
+    """Lines that begin from ``start`` to before ``end`` of plain objects (with ``path, length``)."""
+    last = F.least(F.col("length"), F.col("end")) - 1
+    starts = F.sequence(F.col("start"), last, F.lit(RANGE_BYTES).cast("bigint"))
+    ranges = stretches.filter(F.col("start") <= last).select("object_key", "path", F.explode(starts).alias("start"), "end")
     width = RANGE_BYTES
 
     def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -196,7 +201,7 @@ def range_lines(listed: DataFrame) -> DataFrame:
         for batch in batches:
             for row in batch.to_pylist():
                 with open_random(row["path"]) as source:
-                    found = _lines_from(source, row["start"], row["start"] + width)
+                    found = _lines_from(source, row["start"], min(row["start"] + width, row["end"]))
                     yield from _line_batches(row["object_key"], found, row["start"])
 
     return _spread(ranges, "path", "start").mapInArrow(lines, _LINES)

@@ -55,12 +55,14 @@ def new_objects(
     after: str | None = None,
     glob: str | None = None,
     forget_after: float | None = None,
+    growing: bool = False,
 ) -> DataFrame:
     """``object_key, path, length, modified`` of objects below ``root`` as they arrive.
 
     ``state`` is a folder of this stream's own on storage that the tasks share;
     it belongs to the query's checkpoint and must be kept with it. A capped
-    batch holds at least one object. ``forget_after`` is in seconds.
+    batch holds at least one object. ``forget_after`` is in seconds. With
+    ``growing`` an object is told again whenever its length is another one.
     """
     ship_package(spark)
     spark.dataSource.register(ObjectSource)
@@ -73,6 +75,7 @@ def new_objects(
         "after": after,
         "glob": glob,
         "forget": forget_after,
+        "growing": growing,
     }
     return spark.readStream.format("sluice_objects").option("how", json.dumps(options)).load()
 
@@ -95,10 +98,10 @@ class Part(InputPartition):
 
 
 class ObjectReader(DataSourceStreamReader):
-    def __init__(self, root, state, objects, bytes, prefix, after, glob, forget):  # noqa: A002
+    def __init__(self, root, state, objects, bytes, prefix, after, glob, forget, growing=False):  # noqa: A002
         self.root, self.log = root, f"{state}/log"
         self.most, self.most_bytes = objects, bytes
-        self.prefix, self.after, self.forget = prefix, after, forget
+        self.prefix, self.after, self.forget, self.growing = prefix, after, forget, growing
         self.glob = re.compile(_pattern(glob)) if glob else None
         self.seen: dict[bytes, int] | None = None
         self.batch = 0
@@ -144,7 +147,7 @@ class ObjectReader(DataSourceStreamReader):
         oldest = self.newest - int(self.forget * 1e6) if self.forget is not None else None
         for key, size, modified in self._listed(""):
             at = int(modified.timestamp() * 1_000_000) if modified else int(time.time() * 1e6)
-            if size > 0 and (oldest is None or at >= oldest) and _digest(key) not in self.seen:
+            if size > 0 and (oldest is None or at >= oldest) and self._digest(key, size) not in self.seen:
                 yield key, size, at
 
     def _listed(self, folder: str) -> Iterator[tuple[str, int, datetime | None]]:
@@ -177,6 +180,10 @@ class ObjectReader(DataSourceStreamReader):
                     return page[:n]
         return page
 
+    def _digest(self, key: str, size: int) -> bytes:
+        told = f"{key}\0{size}" if self.growing else key
+        return hashlib.blake2b(told.encode("utf-8", "surrogatepass"), digest_size=16).digest()
+
     # --- the log -----------------------------------------------------------------------
 
     def _folder(self, batch: int) -> str:
@@ -195,7 +202,7 @@ class ObjectReader(DataSourceStreamReader):
         added: list[tuple[bytes, int]] = []
         for row in found:
             held.append(row)
-            added.append((_digest(row[0]), row[2]))
+            added.append((self._digest(row[0], row[1]), row[2]))
             if len(held) == PART_OBJECTS:
                 part()
         if held:
@@ -237,14 +244,10 @@ class ObjectReader(DataSourceStreamReader):
                 break
             for part in range(json.loads(store.read_bytes(marker))["parts"]):
                 rows = map(json.loads, store.read_bytes(f"{self._folder(batch)}/{part:06d}").splitlines())
-                self._remember([(_digest(key), at) for key, _, at in rows])
+                self._remember([(self._digest(key, size), at) for key, size, at in rows])
             self.batch = batch
 
 
-def _digest(key: str) -> bytes:
-    return hashlib.blake2b(key.encode("utf-8", "surrogatepass"), digest_size=16).digest()
-
-
 def _pattern(glob: str) -> str:
     return "".join({"*": ".*", "?": "."}.get(c) or re.escape(c) for c in glob)
 

@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import json
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState
 
 from sluice.functions.naming import match_source_name
+from sluice.sinks import store
 from sluice.sources.connector import object_filter
 from sluice.sources.objects import _file_key, clean_lines, is_bad_json
-from sluice.sources.streams import compressed_chunks, compressed_lines, range_chunks, range_lines, with_done
+from sluice.sources.streams import compressed_chunks, compressed_lines, lines_between, range_chunks, range_lines, with_done
 from sluice.sources.tables import ROW_INDEX, row_groups, rows_of
 from sluice.streaming.objects import new_objects
 
@@ -98,6 +102,65 @@ def _records(objects: DataFrame, fmt: str, schema, chunk_size: int, compression:
     return rows.select("object_key", F.struct(*[f"`{c}`" for c in kind.names]).alias("value"))
 
 
+def read_growing(
+    spark: SparkSession,
+    root: str,
+    *,
+    state: str,
+    prefix: str = "",
+    glob: str | None = None,
+) -> DataFrame:
+    """JSON lines of objects that grow at their end: ``object_key, value``, each record once.
+
+    An object is told again when it is longer. Keyed state has its number of
+    records and where they end, and it is read on from there. A last line
+    without a newline counts if it is JSON; if not, it is left until it grows.
+    Counting reads what is new once more, an object in one task, in bounded
+    memory. A shorter object than before gives nothing.
+    """
+    objects = new_objects(spark, root, state, prefix=prefix, glob=glob, growing=True)
+    stretches = objects.groupBy("object_key").applyInPandasWithState(
+        _read_on, "object_key string, path string, length bigint, start bigint, end bigint, first_record bigint",
+        "records bigint, bytes bigint", "append", "NoTimeout",
+    )
+    lines = clean_lines(lines_between(stretches).select("object_key", "line"))
+    return lines.filter(~is_bad_json(F.col("line"))).withColumnRenamed("line", "value")
+
+
+def _read_on(key: tuple, told: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """The stretch of an object behind what has been read; the state moves to its end."""
+    newest = max((row for frame in told for row in zip(frame["length"], frame["path"], strict=True)), default=(0, ""))
+    length, path = newest
+    records, start = state.get if state.exists else (0, 0)
+    n, end = _complete(path, start, length)
+    if n:
+        state.update((records + n, end))
+        names = ["object_key", "path", "length", "start", "end", "first_record"]
+        yield pd.DataFrame([(key[0], path, length, start, end, records + 1)], columns=names)
+
+
+def _complete(path: str, start: int, length: int) -> tuple[int, int]:
+    """Lines that are not blank from ``start`` on, and where the last whole one ends."""
+    n, end, rest = 0, start, b""
+    if length <= start:
+        return 0, start
+    with store.open_random(path) as source:
+        source.seek(start)
+        left = length - start
+        while left > 0 and (more := source.read(min(left, 1 << 20))):
+            left -= len(more)
+            *ended, rest = (rest + more).split(b"\n")
+            n += sum(1 for line in ended if line.strip())
+            end += sum(len(line) + 1 for line in ended)
+    if rest.strip():
+        try:
+            json.loads(rest)
+        except ValueError:
+            return n, end
+        return n + 1, end + len(rest)
+    return n, end
+
+
 def drop_processed_stream(objects: DataFrame, *, forget_after: str, at: str = "modified") -> DataFrame:
     """Objects of a stream whose key has not come before, by keyed state.
 

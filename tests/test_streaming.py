@@ -12,7 +12,7 @@ from sluice.sources.objects import read_lines, read_objects
 from sluice.sources.records import log_records
 from sluice.streaming.sink import record_stream, write_stream
 from sluice.streaming.objects import ObjectReader
-from sluice.streaming.source import drain, drop_processed_stream, publish_stream, read_stream
+from sluice.streaming.source import drain, drop_processed_stream, publish_stream, read_growing, read_stream
 from test_sinks import contents
 
 CHANGELOG = "{{topic}}-{{partition}}-{{start_offset}}"
@@ -308,3 +308,22 @@ def test_processed_keys_are_kept_for_a_time(spark, tmp_path):
     assert run() <= 3
     keys = [r.object_key for r in spark.read.parquet(f"{tmp_path}/out").collect()]
     assert sorted(keys) == sorted([f"k{i}" for i in range(50)] + ["new", "later", "last"])
+
+
+def test_objects_that_grow_are_read_on(spark, tmp_path):
+    def run():
+        records = read_growing(spark, f"{tmp_path}/objects", state=f"{tmp_path}/state")
+        publish_stream(records, f"{tmp_path}/cp", path=f"{tmp_path}/table", available_now=True).awaitTermination()
+        return sorted((r.object_key, r.value) for r in spark.read.parquet(f"{tmp_path}/table").collect())
+
+    put(f"{tmp_path}/objects", "a", b'{"n":1}\n\n{"n":2}\n{"n":')  # the last line is not whole yet
+    put(f"{tmp_path}/objects", "_b", b'{"n":1}')  # whole without a newline
+    first = [("_b", '{"n":1}'), ("a", '{"n":1}'), ("a", '{"n":2}')]
+    assert run() == first and run() == first
+    put(f"{tmp_path}/objects", "a", b'{"n":1}\n\n{"n":2}\n{"n":3}\nbad\n{"n":4}\n')
+    put(f"{tmp_path}/objects", "_b", b'{"n":1}\n{"n":2}\n')
+    put(f"{tmp_path}/objects", "c", b'{"n":9}\n')
+    second = sorted([*first, ("a", '{"n":3}'), ("a", '{"n":4}'), ("_b", '{"n":2}'), ("c", '{"n":9}')])
+    assert run() == second
+    put(f"{tmp_path}/objects", "c", b"{}")  # shorter than before
+    assert run() == second
