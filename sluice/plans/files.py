@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluice.operators.grouping import group_records, placed_width
+from sluice.operators.reconcile import reconcile
 from sluice.operators.slices import SLICE_WIDTH
 from sluice.plans.catalogue import DIALOGUE, EVENT_TIME, RECORDS, query, table
 from sluice.plans.formats import _B64_KEY, _B64_VALUE, _JSON_KEY, _K
@@ -13,7 +14,7 @@ from sluice.plans.grouping import CHANGELOG, _starts
 from sluice.session import scratch_path
 from sluice.sinks.files import write_files
 from sluice.sources.connector import read_records
-from sluice.sources.objects import read_lines, read_objects
+from sluice.sources.objects import match_names, read_lines, read_objects
 from sluice.sources.records import conversation_records, event_records, log_records
 from sluice.streaming.flushes import Flushes
 from sluice.streaming.sink import write_stream
@@ -143,6 +144,43 @@ def write_hidden_names(spark, sf_dir):
     return read_objects(spark, path, "parquet")
 
 
+@query(
+    _starts(_ALL, state="key_schema_id || '/' || value_schema_id")
+    + f""" SELECT {_FILE} AS object_key, key, "offset" FROM files"""
+)
+def write_guarded(spark, sf_dir):
+    """Files of one schema each: the writer sees to it before it publishes."""
+    grouped = group_records(_one_flush(spark, sf_dir), CHANGELOG, schema_rotation=True)
+    path = scratch_path(spark, "guarded")
+    write_files(grouped, path, "parquet", fields=["key", "offset"], placed=SLICE_WIDTH, guard=True).count()
+    return read_objects(spark, path, "parquet")
+
+
+@query(
+    f"""WITH {RECORDS}, marked AS (
+          SELECT *, "offset" // 64 AS slice, "offset" % 500 = 17 AS lost, "offset" % 500 = 171 AS doubled,
+                 "offset" % 500 = 333 AS altered FROM records),
+        counted AS (
+          SELECT topic, "partition", slice, count(*) AS n_log,
+                 count(*) - count_if(lost) + count_if(doubled) AS n_objects,
+                 bool_or(lost OR doubled OR altered) AS differs FROM marked GROUP BY ALL)
+        SELECT topic, "partition", slice, CAST(n_log AS BIGINT) AS n_log, CAST(n_objects AS BIGINT) AS n_objects,
+               CASE WHEN n_objects < n_log THEN 'missing' WHEN n_objects > n_log THEN 'extra' ELSE 'changed' END AS state
+        FROM counted WHERE differs"""
+)
+def flush_reconcile(spark, sf_dir):
+    """Written objects, with a few records lost, doubled and changed by hand, held against the log."""
+    log = _one_flush(spark, sf_dir)
+    at = F.pmod("offset", F.lit(500))
+    damaged = log.where(at != 17)
+    damaged = damaged.unionByName(damaged.where(at == 171).withColumn("topic", F.concat(F.lit("again/"), "topic")))
+    damaged = damaged.withColumn("value", F.when(at == 333, F.concat("value", F.lit(" "))).otherwise(F.col("value")))
+    path = scratch_path(spark, "reconciled")
+    write_files(group_records(damaged, CHANGELOG), path, "parquet", fields=["key", "value", "offset"]).count()
+    found = match_names(read_objects(spark, path, "parquet"), CHANGELOG)
+    return reconcile(log, found, slice_width=64)
+
+
 _PIECES, _PIECE_BYTES = 8, 6_000
 
 

@@ -183,6 +183,20 @@ def jsonl_truncate_at_error(spark, sf_dir):
     return obj.jsonl_records(_lines(spark, sf_dir), on_error="truncate")
 
 
+@query(
+    f"""WITH {LINES} SELECT object_key, position, value AS text, NOT json_valid(value) AS rejected,
+               count(*) OVER () AS n_lines, sum(CAST(NOT json_valid(value) AS BIGINT)) OVER ()::BIGINT AS n_rejects
+        FROM clean"""
+)
+def rejects_one_pass(spark, sf_dir):
+    """Records and rejects of one job, with its counts."""
+    split = obj.split_lines(_lines(spark, sf_dir))
+    good = split.records.select("object_key", "position", F.col("value").alias("text"), F.lit(False).alias("rejected"))
+    bad = split.rejects.select("object_key", "position", F.col("line").alias("text"), F.lit(True).alias("rejected"))
+    counts = {"n_lines": F.lit(split.n_lines).cast("bigint"), "n_rejects": F.lit(split.n_rejects).cast("bigint")}
+    return good.unionByName(bad).withColumns(counts)
+
+
 @query(
     f"WITH {LINES} SELECT object_key, position, value AS line FROM clean WHERE NOT json_valid(value)"
 )

@@ -54,6 +54,7 @@ _SOURCE: dict[str, tuple[str, Callable, str | None]] = {
     "native.start.key": ("after", str, None),
     "aws.s3.prefix": ("prefix", str, ""),
     "azure.blob.prefix": ("prefix", str, ""),
+    "errors.tolerance": ("tolerance", str.lower, None),
 }
 
 

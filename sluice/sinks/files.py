@@ -54,8 +54,10 @@ FRAMES = {
 FRAMELESS = (b"", b"", b"")
 PIECE = (
     "file_name string, first bigint, last bigint, piece string, head bigint, size bigint,"
-    " tail bigint, n_records bigint"
+    " tail bigint, n_records bigint, schema_low bigint, schema_high bigint"
 )
+# What a record's schemas are, as one number, where a writer is to guard them.
+_SCHEMA = "_schema"
 
 
 def write_files(
@@ -71,6 +73,7 @@ def write_files(
     versions: Mapping[int, Sequence[str]] | None = None,
     part_offsets: int = PART_OFFSETS,
     placed: int = 0,
+    guard: bool = False,
     staging: str | None = None,
     options: dict[str, str] | None = None,
 ) -> DataFrame:
@@ -89,6 +92,10 @@ def write_files(
     of so many offsets of a file in order, as ``grouping.placed_width`` tells
     of a grouping; the records are then not shuffled again. An order that
     does not hold fails the job.
+
+    ``guard`` makes a file whose records differ in ``key_schema_id``, in
+    ``value_schema_id`` or, where headers are written, in having any, fail the
+    flush before anything is published.
     """
     spark = grouped.sparkSession
     path = store.qualified(spark, path)
@@ -96,7 +103,7 @@ def write_files(
     listed = scratch_path(spark, "manifest")
     try:
         how = {"fields": fields, "envelope": envelope, "compression": compression, "value_encoding": value_encoding}
-        own = {"map_keys": map_keys, "versions": versions, "part_offsets": part_offsets, "placed": placed, "options": options}
+        own = {"map_keys": map_keys, "versions": versions, "part_offsets": part_offsets, "placed": placed, "options": options, "guard": guard}
         manifest = stage_files(grouped, staging, listed, fmt, **how, **own)
         publish_files(manifest, path, staging, fmt, compression=compression, options=options)
     finally:
@@ -128,6 +135,7 @@ def stage_files(
     versions: Mapping[int, Sequence[str]] | None = None,
     part_offsets: int = PART_OFFSETS,
     placed: int = 0,
+    guard: bool = False,
     options: dict[str, str] | None = None,
 ) -> DataFrame:
     """Writes the records as pieces below ``staging`` and their manifest to ``listed``, which it returns.
@@ -142,23 +150,26 @@ def stage_files(
     ship_package(spark)
     part = F.call_function("div", F.col("offset"), F.lit(placed or part_offsets)).alias("part")
     place = ["file_name", "part", "offset"]
+    schemas = [_schema_number(grouped, fields).alias(_SCHEMA)] if guard else []
 
     if fmt in FRAMES:
         rows = grouped.select(
             "file_name",
             part,
             "offset",
+            *schemas,
             _payload(grouped, fmt, fields, envelope, value_encoding).alias("payload"),
         )
         stage = _text_stage(staging, FRAMES[fmt], compression)
     elif not envelope and (own := _own_fields(grouped, fields, map_keys, versions)) is not None:
-        rows = own.select("file_name", part, F.col("offset").alias("_at"), "_fields", F.col(fields[0]).alias("_value"))
+        at, value = F.col("offset").alias("_at"), F.col(fields[0]).alias("_value")
+        rows = own.select("file_name", part, at, *schemas, "_fields", value)
         place = ["file_name", "part", "_at"]
         stage = _fields_stage(staging, {"compression": compression, **(options or {})})
         placed = placed if versions else 0  # a join has found the keys
     else:
-        keyed = grouped.withColumn("_part", part).withColumn("_at", F.col("offset"))
-        columns = _columns(keyed, fields, envelope, map_keys, ["file_name", "_part", "_at"])
+        keyed = grouped.select("*", *schemas).withColumn("_part", part).withColumn("_at", F.col("offset"))
+        columns = _columns(keyed, fields, envelope, map_keys, ["file_name", "_part", "_at", *([_SCHEMA] if guard else [])])
         rows = columns.withColumnsRenamed({"_part": "part"})
         place = ["file_name", "part", "_at"]
         stage = _parquet_stage(staging, {"compression": compression, **(options or {})})
@@ -179,6 +190,10 @@ def publish_files(
 ) -> None:
     """Puts the staged pieces of a manifest in their places below ``path``."""
     ship_package(manifest.sparkSession)
+    ends = manifest.groupBy("file_name").agg(F.min("schema_low").alias("low"), F.max("schema_high").alias("high"))
+    mixed = ends.where("low <> high").limit(3).collect()
+    if mixed:
+        raise ValueError(f"the schema changes inside {', '.join(r['file_name'] for r in mixed)}; nothing is published")
     if fmt == "parquet":
         merge = _merger(path, staging, {"compression": compression, **(options or {})})
         _run(_in_order(manifest), merge, "file_name", "number")
@@ -190,6 +205,14 @@ def staging_path(path: str) -> str:
     return f"{path.rstrip('/')}/{STAGING}/{uuid.uuid4().hex}"
 
 
+def _schema_number(grouped: DataFrame, fields: Sequence[str]) -> Column:
+    ids = [F.col(c) for c in ("key_schema_id", "value_schema_id") if c in grouped.columns]
+    if "headers" in fields:
+        ids.append(F.coalesce(F.size("headers"), F.lit(0)) > 0)
+    # A null is a schema of its own.
+    return F.xxhash64(F.lit(0), *[x for c in ids for x in (c.isNull(), c)])
+
+
 def _own_fields(
     grouped: DataFrame,
     fields: Sequence[str],
@@ -281,6 +304,8 @@ def _piece_batch(rows: list[tuple]) -> pa.RecordBatch:
         "size": number,
         "tail": number,
         "n_records": number,
+        "schema_low": number,
+        "schema_high": number,
     }
     arrays = [pa.array(column, kind) for column, kind in zip(zip(*rows), fields.values())]
     return pa.RecordBatch.from_arrays(arrays, names=list(fields))
@@ -294,6 +319,7 @@ class Piece:
     def __init__(self, staging: str, name: str):
         self.name, self.n = name, 0
         self.first = self.last = None
+        self.schemas: tuple[int, int] | None = None
         self.path = f"{staging}/pieces/{uuid.uuid4().hex}"
         self.out = store.open_output(self.path)
 
@@ -304,11 +330,16 @@ class Piece:
         if self.first is None:
             self.first = int(offsets[0])
         self.last = int(offsets[-1])
+        if _SCHEMA in batch.schema.names:
+            seen = pc.min_max(batch[_SCHEMA]).as_py()
+            low, high = self.schemas or (seen["min"], seen["max"])
+            self.schemas = (min(low, seen["min"]), max(high, seen["max"]))
+            batch = batch.drop_columns([_SCHEMA])
         self.add(batch)
         self.n += batch.num_rows
 
     def row(self, head: int, size: int, tail: int) -> tuple:
-        return (self.name, self.first, self.last, self.path, head, size, tail, self.n)
+        return (self.name, self.first, self.last, self.path, head, size, tail, self.n, *(self.schemas or (None, None)))
 
     def abandon(self) -> None:
         self.out.close()
@@ -453,7 +484,7 @@ def _parquet_stage(staging: str, options: dict):
         def seen():
             nonlocal schema
             for batch in batches:
-                schema = batch.drop_columns(["file_name", "part", "_at"]).schema
+                schema = batch.drop_columns([c for c in ("file_name", "part", "_at", _SCHEMA) if c in batch.schema.names]).schema
                 yield batch
 
         yield from _pieces(seen(), start)

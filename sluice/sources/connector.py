@@ -67,6 +67,7 @@ def read_records(
     compression: str = "none",
     chunk_size: int = DEFAULT_CHUNK,
     on_error: str = "drop",
+    tolerance: str | None = None,
     progress: DataFrame | None = None,
     listing: DataFrame | None = None,
     value_schema: str | None = None,
@@ -75,7 +76,13 @@ def read_records(
 
     Columns: ``topic, partition, key`` (the object key in UTF-8), ``value,
     object_key, start_offset``. Parquet and Avro rows are a struct.
+    ``tolerance`` (none or all) says in the connector's words what a bad line
+    does, in place of ``on_error``: fail, or be left out.
     """
+    if tolerance is not None:
+        if tolerance not in ("none", "all"):
+            raise ValueError("errors tolerance must be none or all")
+        on_error = "drop" if tolerance == "all" else "fail"
     keep = object_filter(
         pattern, prefix=prefix, after=after, tasks=tasks, task=task, distribution=distribution
     )

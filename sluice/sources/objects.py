@@ -7,12 +7,15 @@ An object table has ``object_key`` and, where the bytes are at hand,
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StructField, StructType
 
 from sluice.functions.naming import match_source_name
 from sluice.operators.slices import SLICE_WIDTH, cut_at_first
+from sluice.session import scratch_path
 from sluice.sinks.store import local_path
 from sluice.sources.listing import list_files
 
@@ -161,6 +164,43 @@ def rejects(lines: DataFrame) -> DataFrame:
     return clean_lines(lines).filter(is_bad_json(F.col("line")))
 
 
+@dataclass
+class Split:
+    """Lines parted into records and rejects, and how many there were."""
+
+    records: DataFrame
+    rejects: DataFrame
+    n_lines: int
+    n_rejects: int
+
+
+def split_lines(lines: DataFrame, *, tolerance: str = "all", value_schema: str | None = None) -> Split:
+    """Good and bad JSON lines in one pass over the objects.
+
+    Every line is read and parsed once; one job writes both tables to the
+    shared scratch folder and counts as it goes. ``records`` have a ``value``
+    as in :func:`jsonl_records`, ``rejects`` their ``line``. With tolerance
+    ``none`` a bad line is an error, which names the first one.
+    """
+    if tolerance not in ("none", "all"):
+        raise ValueError("errors tolerance must be none or all")
+    spark = lines.sparkSession
+    marked = clean_lines(lines).withColumn("_bad", is_bad_json(F.col("line")))
+    value = F.when(~F.col("_bad"), parsed(F.when(~F.col("_bad"), F.col("line")), value_schema))
+    seen = Observation()
+    first = F.min(F.when(F.col("_bad"), F.col("line")))
+    counted = marked.observe(seen, F.count(F.lit(1)).alias("n"), F.count_if("_bad").alias("bad"), first.alias("first"))
+    path = scratch_path(spark, "lines")
+    parted = counted.withColumn("value", value).withColumn("line", F.when(F.col("_bad"), F.col("line")))
+    parted.write.partitionBy("_bad").parquet(path)
+    told = seen.get
+    if told["bad"] and tolerance == "none":
+        raise ValueError(f"{told['bad']} of {told['n']} lines are not JSON, such as {told['first'][:200]!r}")
+    both = spark.read.schema(StructType([*parted.drop("_bad").schema.fields, StructField("_bad", BooleanType())])).parquet(path)
+    good = both.where(~F.col("_bad")).drop("_bad", "line")
+    return Split(good, both.where("_bad").drop("_bad", "value"), told["n"], told["bad"])
+
+
 def bytes_chunks(objects: DataFrame, chunk_size: int = DEFAULT_CHUNK) -> DataFrame:
     """Fixed-size chunks of ``content``; the last may be short, empty gives none."""
     if chunk_size < 1:

@@ -75,7 +75,7 @@ class Flushes:
         self.grouping["schema_rotation"] = rotation
         self.placed = placed_width(self.template, max_records=max_records, schema_rotation=rotation)
         self.writing = {"compression": compression, "options": options}
-        self.staged = {**self.writing, **how}
+        self.staged = {"guard": rotation, **self.writing, **how}
         mode = check_grouping(self.template, max_records)
         self.keyed = mode.startswith("key")
         # Files go on over batches where nothing limits them.

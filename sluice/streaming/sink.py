@@ -139,4 +139,4 @@ def flush_batch(
         schema_rotation=rotation,
     )
     placed = placed_width(template, max_records=max_records, schema_rotation=rotation)
-    return write_files(grouped, path, fmt, placed=placed, **options)
+    return write_files(grouped, path, fmt, placed=placed, guard=rotation, **options)
