@@ -88,3 +88,36 @@ def test_empty(spark):
     b = spark.createDataFrame(items, "item_id long, text string")
     assert dec.decontaminate(d.limit(0), b).count() == 0
     assert not any(r.contaminated for r in dec.decontaminate(d, b.limit(0)).collect())
+
+
+def test_copies_cut_to_just_the_threshold_are_all_found(spark):
+    """As many words of the item cut off its ends as 0.8 allows, in texts of other words."""
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choices("abcdefghij", k=6))
+    items = [(i, " ".join(word() for _ in range(m))) for i, m in enumerate([14, 22, 40, 60, 100] * 40)]
+    docs = []
+    for n in range(6000):
+        i, text = items[n % len(items)]
+        w = text.split()
+        cut = (len(w) - 4) // 9  # (m - 4 - cut) / (m - 4 + cut) is 0.8 or a little more
+        head = rng.randint(0, cut)
+        part = w[head : len(w) - (cut - head)]
+        docs.append((n, " ".join([*(word() for _ in range(20)), *part, *(word() for _ in range(20))])))
+    found = dec.matches(
+        spark.createDataFrame(docs, "doc_id long, text string").repartition(4), spark.createDataFrame(items, "item_id long, text string")
+    )
+    pairs = {(r.doc_id, r.item_id) for r in found.collect()}
+    assert pairs == {(n, n % len(items)) for n in range(6000)}
+
+
+def test_windows_meet_the_items_of_their_shingles_only(spark, sf_dir):
+    """Rows of the block join stay near the number of windows, far below windows times items."""
+    docs, items = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "benchmark"))
+    kept = {}
+    original, dec.keep = dec.keep, lambda df, name: kept.setdefault(name, original(df, name))
+    try:
+        assert dec.matches(docs, items).count() > 0
+    finally:
+        dec.keep = original
+    prints, targets = kept["window-prints"], kept["item-prints"]
+    assert prints.count() < prints.select("m", "window").distinct().join(targets.select("m"), "m").count()
