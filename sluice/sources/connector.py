@@ -86,6 +86,9 @@ def read_records(
     keep = object_filter(
         pattern, prefix=prefix, after=after, tasks=tasks, task=task, distribution=distribution
     )
+    by_spark = fmt in ("parquet", "avro")
+    # Names are taken apart once for each object, where tasks of our own read it.
+    tag = None if by_spark else lambda listed: match_names(listed, pattern, target_topic=target_topic)
     read = read_objects(
         spark,
         root,
@@ -97,11 +100,12 @@ def read_records(
         keep=keep,
         listing=listing,
         value_schema=value_schema,
+        tag=tag,
     )
-    if fmt in ("parquet", "avro"):
+    if by_spark:
         fields = [F.col(f"`{c}`") for c in read.columns if c != "object_key"]
-        read = read.select("object_key", F.struct(*fields).alias("value"))
-    return match_names(read, pattern, target_topic=target_topic).select(
+        read = match_names(read.select("object_key", F.struct(*fields).alias("value")), pattern, target_topic=target_topic)
+    return read.select(
         "topic",
         "partition",
         F.encode("object_key", "UTF-8").alias("key"),

@@ -262,6 +262,15 @@ def _listed(
     return (listing.where(keep(F.col("object_key"))) if keep else listing).select("object_key", "path", "length")
 
 
+Tag = Callable[[DataFrame], DataFrame]
+
+
+def _tagged(listed: DataFrame, tag: Tag | None) -> tuple[DataFrame, list[str]]:
+    """The listing with the columns that ``tag`` adds, once for each object, and their names."""
+    with_tags = tag(listed) if tag else listed
+    return with_tags, [c for c in with_tags.columns if c not in listed.columns]
+
+
 def read_lines(
     spark: SparkSession,
     root: str,
@@ -270,20 +279,21 @@ def read_lines(
     keep: Keep | None = None,
     glob: str | None = None,
     listing: DataFrame | None = None,
+    tag: Tag | None = None,
 ) -> DataFrame:
     """Lines of every object below ``root`` with their place in it.
 
     Uncompressed objects are read in ranges of bytes: ``block`` is where the
     range starts, ``row`` rises within it, and both are the same in every
-    scan. A compressed object is one stream, so one task walks through it and
-    numbers its blocks.
+    scan. So are compressed ones, in ranges of whole streams; a range of many
+    lines has several blocks. What ``tag`` adds to the listing every line has.
     """
-    from sluice.sources import streams
+    from sluice.sources import compressed, streams
 
-    listed = _listed(spark, root, keep, glob, listing)
+    listed, tags = _tagged(_listed(spark, root, keep, glob, listing), tag)
     if compression == "none":
-        return streams.range_lines(listed)
-    return streams.compressed_lines(listed, compression)
+        return streams.range_lines(listed, tags)
+    return compressed.compressed_lines(listed, compression, tags)
 
 
 def read_objects(
@@ -299,6 +309,7 @@ def read_objects(
     glob: str | None = None,
     listing: DataFrame | None = None,
     value_schema: str | None = None,
+    tag: Tag | None = None,
 ) -> DataFrame:
     """Records of the objects below ``root``: ``object_key`` and ``value``.
 
@@ -308,9 +319,13 @@ def read_objects(
     already given are skipped; for Parquet that is by the file's row order.
     ``listing`` (``object_key, path, length``), such as a store's inventory,
     takes the place of listing ``root``; not for Avro, which Spark lists.
+    ``tag`` adds columns to the listing that all records of an object get; not
+    for Parquet and Avro, whose files Spark reads.
     """
     if fmt not in INPUT_FORMATS:
         raise ValueError(f"input format must be one of {INPUT_FORMATS}, got {fmt!r}")
+    if tag and fmt in ("avro", "parquet"):
+        raise ValueError(f"{fmt} objects take no tags")
     if fmt == "avro":
         if listing is not None or progress is not None:
             raise ValueError("avro objects take neither a listing nor progress")
@@ -345,11 +360,11 @@ def read_objects(
         return read_tables(spark, listed, of_listing, progress, lambda key: is_hidden(key) | key.rlike(r"[\[\]{}*?\\]"))
 
     from sluice.sources import progress as prog
-    from sluice.sources import streams
+    from sluice.sources import compressed, streams
 
     if fmt == "jsonl":
         lines = read_lines(
-            spark, root, compression=compression, keep=keep, glob=glob, listing=listing
+            spark, root, compression=compression, keep=keep, glob=glob, listing=listing, tag=tag
         )
         records = jsonl_records(
             lines, on_error=on_error, position="row", slice_by="block", value_schema=value_schema
@@ -357,7 +372,7 @@ def read_objects(
         if progress is not None:
             records = prog.resume(records, progress, position="row", slice_by="block")
         return records.drop("block", "row", "record_no")
-    listed = streams.with_done(_listed(spark, root, keep, glob, listing), progress)
+    listed, tags = _tagged(streams.with_done(_listed(spark, root, keep, glob, listing), progress), tag)
     if compression == "none":
-        return streams.range_chunks(listed, chunk_size)
-    return streams.compressed_chunks(listed, compression, chunk_size)
+        return streams.range_chunks(listed, chunk_size, tags)
+    return compressed.compressed_chunks(listed, compression, chunk_size, tags)

@@ -1,7 +1,7 @@
-"""Compressed objects, read as streams inside tasks.
+"""Objects, read in ranges inside tasks.
 
-A compressed object cannot be split, so one task walks through it in bounded
-memory; many objects are spread over the tasks.
+Ranges are dealt to the tasks by their bytes. Whatever ``tags`` a listing has,
+columns beside key, path and length, every record of the object carries.
 """
 
 from __future__ import annotations
@@ -10,15 +10,19 @@ import gzip
 import io
 import itertools
 import struct
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructField, StructType
 
 from sluice.session import ship_package
 
-_LINES = "object_key string, block bigint, row bigint, line string"
+_LINES = "block bigint, row bigint, line string"
+_CHUNKS = "record_no bigint, value binary"
 BATCH_ROWS = 4096
 # Rows per block of a compressed object, and bytes per range of a plain one.
 BLOCK_ROWS = 1 << 18
@@ -104,12 +108,52 @@ def with_done(listed: DataFrame, progress: DataFrame | None = None) -> DataFrame
     )
 
 
-def _spread(df: DataFrame, *by: str) -> DataFrame:
-    ship_package(df.sparkSession)
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism * 4, *by)
+#: Groups that the running sums of bytes are worked out in; one row of each is broadcast.
+_SUM_GROUPS = 1024
 
 
-def range_chunks(listed: DataFrame, chunk_size: int) -> DataFrame:
+def dealt_by_bytes(ranges: DataFrame, size: str, *place: str, tasks: int | None = None) -> DataFrame:
+    """The ranges in tasks of equal shares of all bytes, whichever objects they are of.
+
+    ``place`` names a range, ``size`` its bytes. The ranges are put in a row by
+    running sums and the row is cut into equal lengths, so a task has at most
+    its share and one range. Groups of ranges are summed first, so no task sees
+    them all. A stream, which has no sums, is dealt by the hash of ``place``.
+    """
+    ship_package(ranges.sparkSession)
+    n = tasks or ranges.sparkSession.sparkContext.defaultParallelism * 4
+    if ranges.isStreaming:
+        return ranges.repartition(n, *place)
+    grouped = ranges.withColumn("_group", F.pmod(F.xxhash64(*place), F.lit(_SUM_GROUPS)))
+    sums = grouped.groupBy("_group").agg(F.sum(size).alias("_sum"))
+    row = W.partitionBy(F.lit(0)).orderBy("_group")
+    earlier = F.sum("_sum").over(row.rowsBetween(W.unboundedPreceding, -1))
+    bases = sums.select(
+        "_group", F.coalesce(earlier, F.lit(0)).alias("_base"), F.sum("_sum").over(W.partitionBy(F.lit(0))).alias("_all")
+    )
+    inside = W.partitionBy("_group").orderBy(*place).rowsBetween(W.unboundedPreceding, -1)
+    at = F.col("_base") + F.coalesce(F.sum(size).over(inside), F.lit(0))
+    share = F.least(F.floor(at / F.col("_all") * n), F.lit(n - 1)).cast("int")
+    placed = grouped.join(F.broadcast(bases), "_group").withColumn("_task", F.coalesce(share, F.lit(0)))
+    return placed.repartitionById(n, "_task").drop("_group", "_base", "_all", "_task")
+
+
+def record_schema(listed: DataFrame, tags: Sequence[str], columns: str) -> StructType:
+    """Of records with the key and the tags of their object."""
+    head = [StructField(c, listed.schema[c].dataType) for c in ("object_key", *tags)]
+    return StructType([*head, *StructType.fromDDL(columns).fields])
+
+
+def batch_of(row: dict, schema: pa.Schema, /, **columns: list) -> pa.RecordBatch:
+    """Columns of records beside the key and tags of their object."""
+    n = len(next(iter(columns.values())))
+    arrays = [
+        pa.array(columns[f.name], f.type) if f.name in columns else pa.repeat(pa.scalar(row[f.name], f.type), n) for f in schema
+    ]
+    return pa.RecordBatch.from_arrays(arrays, schema=schema)
+
+
+def range_chunks(listed: DataFrame, chunk_size: int, tags: Sequence[str] = ()) -> DataFrame:
     """Fixed-size chunks of plain objects (``object_key, path, length, done``).
 
     An object is cut into ranges of whole chunks, so a large one is read by
@@ -121,9 +165,13 @@ def range_chunks(listed: DataFrame, chunk_size: int) -> DataFrame:
     per_range = max(1, RANGE_BYTES // chunk_size) * chunk_size
     begin = F.col("done") * chunk_size
     starts = F.sequence(begin, F.col("length") - 1, F.lit(per_range).cast("bigint"))
-    ranges = listed.filter(begin < F.col("length")).select(
-        "object_key", "path", F.explode(starts).alias("start")
+    ranges = (
+        listed.filter(begin < F.col("length"))
+        .select("object_key", "path", *tags, "length", F.explode(starts).alias("start"))
+        .withColumn("bytes", F.least(F.col("length") - F.col("start"), F.lit(per_range)))
     )
+    schema = record_schema(listed, tags, _CHUNKS)
+    arrow = to_arrow_schema(schema)
 
     def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from sluice.sinks.store import open_random
@@ -133,17 +181,13 @@ def range_chunks(listed: DataFrame, chunk_size: int) -> DataFrame:
                 with open_random(row["path"]) as source:
                     source.seek(row["start"])
                     first = row["start"] // chunk_size + 1
-                    yield from _chunk_batches(
-                        row["object_key"], source, chunk_size, first, per_range // chunk_size
-                    )
+                    yield from chunk_batches(row, arrow, source, chunk_size, first, per_range // chunk_size)
 
-    return _spread(ranges, "path", "start").mapInArrow(
-        chunks, "object_key string, record_no bigint, value binary"
-    )
+    return dealt_by_bytes(ranges, "bytes", "path", "start").mapInArrow(chunks, schema)
 
 
-def _chunk_batches(
-    key: str, source, size: int, first: int, limit: int | None
+def chunk_batches(
+    row: dict, schema: pa.Schema, source, size: int, first: int, limit: int | None
 ) -> Iterator[pa.RecordBatch]:
     """Chunks from where ``source`` stands, a few megabytes to a batch."""
     per_batch = max(1, (4 << 20) // size)
@@ -154,13 +198,7 @@ def _chunk_batches(
         while len(held) < room and (data := _fill(source, size)):
             held.append(data)
         if held:
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "object_key": pa.array([key] * len(held), pa.string()),
-                    "record_no": pa.array(range(number, number + len(held)), pa.int64()),
-                    "value": pa.array(held, pa.binary()),
-                }
-            )
+            yield batch_of(row, schema, record_no=list(range(number, number + len(held))), value=held)
         number += len(held)
         if len(held) < room:
             return
@@ -173,27 +211,27 @@ def _fill(source, size: int) -> bytes:
     return data
 
 
-def _open(path: str, compression: str):
-    from sluice.sinks.store import open_input
-
-    return decompressed(open_input(path), compression)
-
-
-def range_lines(listed: DataFrame) -> DataFrame:
+def range_lines(listed: DataFrame, tags: Sequence[str] = ()) -> DataFrame:
     """Lines of listed plain objects, read in ranges.
 
     A line belongs to the range its first byte is in.
     """
     whole = listed.filter("length > 0").withColumn("start", F.lit(0).cast("bigint"))
-    return lines_between(whole.withColumn("end", F.lit(2**62).cast("bigint")))
+    return lines_between(whole.withColumn("end", F.lit(2**62).cast("bigint")), tags)
 
 
-def lines_between(stretches: DataFrame) -> DataFrame:
+def lines_between(stretches: DataFrame, tags: Sequence[str] = ()) -> DataFrame:
     """Lines that begin from ``start`` to before ``end`` of plain objects (with ``path, length``)."""
     last = F.least(F.col("length"), F.col("end")) - 1
     starts = F.sequence(F.col("start"), last, F.lit(RANGE_BYTES).cast("bigint"))
-    ranges = stretches.filter(F.col("start") <= last).select("object_key", "path", F.explode(starts).alias("start"), "end")
+    ranges = (
+        stretches.filter(F.col("start") <= last)
+        .select("object_key", "path", *tags, "length", F.explode(starts).alias("start"), "end")
+        .withColumn("bytes", F.least(last + 1 - F.col("start"), F.lit(RANGE_BYTES)))
+    )
     width = RANGE_BYTES
+    schema = record_schema(stretches, tags, _LINES)
+    arrow = to_arrow_schema(schema)
 
     def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from sluice.sinks.store import open_random
@@ -202,9 +240,9 @@ def lines_between(stretches: DataFrame) -> DataFrame:
             for row in batch.to_pylist():
                 with open_random(row["path"]) as source:
                     found = _lines_from(source, row["start"], min(row["start"] + width, row["end"]))
-                    yield from _line_batches(row["object_key"], found, row["start"])
+                    yield from line_batches(row, arrow, found, row["start"])
 
-    return _spread(ranges, "path", "start").mapInArrow(lines, _LINES)
+    return dealt_by_bytes(ranges, "bytes", "path", "start").mapInArrow(lines, schema)
 
 
 def _lines_from(source, start: int, end: int) -> Iterator[str]:
@@ -230,55 +268,18 @@ def _lines_from(source, start: int, end: int) -> Iterator[str]:
             return
 
 
-def _line_batches(
-    key: str, lines: Iterator[str], block: int | None = None
+def line_batches(
+    row: dict, schema: pa.Schema, lines: Iterator[str], block: int, block_rows: int | None = None
 ) -> Iterator[pa.RecordBatch]:
-    """Lines with their place; without a block they are numbered through."""
+    """Lines with their place: the block, or with ``block_rows`` those that follow it, and a number."""
     first = 0
     while held := list(itertools.islice(lines, BATCH_ROWS)):
-        n = len(held)
-        blocks = [(first + i) // BLOCK_ROWS if block is None else block for i in range(n)]
-        yield pa.RecordBatch.from_pydict(
-            {
-                "object_key": pa.array([key] * n, pa.string()),
-                "block": pa.array(blocks, pa.int64()),
-                "row": pa.array(range(first, first + n), pa.int64()),
-                "line": pa.array(held, pa.string()),
-            }
-        )
-        first += n
-
-
-def compressed_lines(listed: DataFrame, compression: str) -> DataFrame:
-    """Lines of listed objects, each read as one stream."""
-
-    def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for key, path in zip(batch["object_key"].to_pylist(), batch["path"].to_pylist()):
-                with _open(path, compression) as plain:
-                    text = io.TextIOWrapper(plain, encoding="utf-8", errors="replace")
-                    yield from _line_batches(key, (line.removesuffix("\n") for line in text))
-
-    return _spread(listed.filter("length > 0"), "path").mapInArrow(lines, _LINES)
-
-
-def compressed_chunks(listed: DataFrame, compression: str, chunk_size: int) -> DataFrame:
-    """Chunks of listed objects, each read as one stream."""
-
-    def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                with _open(row["path"], compression) as plain:
-                    _discard(plain, row["done"] * chunk_size)
-                    yield from _chunk_batches(
-                        row["object_key"], plain, chunk_size, row["done"] + 1, None
-                    )
-
-    return _spread(listed, "path").mapInArrow(
-        chunks, "object_key string, record_no bigint, value binary"
-    )
+        numbers = range(first, first + len(held))
+        blocks = [block + i // block_rows if block_rows else block for i in numbers]
+        yield batch_of(row, schema, block=blocks, row=list(numbers), line=held)
+        first += len(held)
 
 
-def _discard(source, n: int) -> None:
+def discard(source, n: int) -> None:
     while n > 0 and (data := source.read(min(n, 1 << 20))):
         n -= len(data)

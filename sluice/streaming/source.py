@@ -16,7 +16,8 @@ from sluice.functions.naming import match_source_name
 from sluice.sinks import store
 from sluice.sources.connector import object_filter
 from sluice.sources.objects import _file_key, clean_lines, is_bad_json
-from sluice.sources.streams import compressed_chunks, compressed_lines, lines_between, range_chunks, range_lines, with_done
+from sluice.sources.compressed import compressed_chunks, compressed_lines
+from sluice.sources.streams import lines_between, range_chunks, range_lines, with_done
 from sluice.sources.tables import ROW_INDEX, row_groups, rows_of
 from sluice.streaming.objects import new_objects
 
