@@ -31,6 +31,7 @@ from sluice.operators.slices import (
     before,
     rank,
     running,
+    running_totals,
     seeded,
     with_seeds,
     with_slice,
@@ -54,14 +55,22 @@ def group_records(
     schema_rotation: bool = False,
     prefix: str = "",
     slice_width: int = SLICE_WIDTH,
+    totals: dict[str, Column] | None = None,
 ) -> DataFrame:
     """The records with ``start_offset`` and ``file_name`` added.
 
     The template's variables choose the grouping. Key-based names keep only
-    the last record of each name and carry no start offset.
+    the last record of each name and carry no start offset. ``totals`` adds
+    running sums within each file, up to and including the record; where a
+    group is one file, they come from the same slices as its start.
     """
     template = upgrade_template(template)
     mode = check_grouping(template, max_records)
+    if totals and (mode.startswith("key") or max_records or schema_rotation or timestamp_units(template)):
+        how = {"ts_source": ts_source, "tz": tz, "schema_rotation": schema_rotation, "prefix": prefix}
+        grouped = group_records(records, template, max_records=max_records, slice_width=slice_width, **how)
+        file = [c for c in ("batch_id",) if c in grouped.columns] + ["file_name"]
+        return running_totals(grouped, file, "offset", totals, width=slice_width)
     if mode.startswith("key"):
         return compact_records(records.drop(FLUSH_TIME), template, prefix=prefix)
 
@@ -84,6 +93,8 @@ def group_records(
         started = _limited_starts(records, by, state, max_records, slice_width)
     elif state:
         started = _run_starts(records, by, state, slice_width)
+    elif totals:
+        started = _group_totals(records, by, slice_width, totals)
     else:
         started = _group_starts(records, by, slice_width)
 
@@ -143,6 +154,23 @@ def _group_starts(records: DataFrame, by: Sequence[str], width: int) -> DataFram
     return attach(sliced, starts, by).drop(SLICE)
 
 
+def _group_totals(records: DataFrame, by: Sequence[str], width: int, totals: dict[str, Column]) -> DataFrame:
+    """Unlimited files: the first offset of the whole group and running sums, from one table of slices."""
+    added = {f"_add_{name}": expr for name, expr in totals.items()}
+    sliced = with_slice(records, "offset", width).withColumns(added)
+    per_slice = sliced.groupBy(*by, SLICE).agg(F.min("offset").alias("_first"), *[F.sum(a).alias(a) for a in added])
+    seeds = per_slice.select(
+        *by,
+        SLICE,
+        F.min("_first").over(W.partitionBy(*by)).alias("_entry"),
+        *[F.coalesce(F.sum(a).over(before(by)), F.lit(0)).alias(a) for a in added],
+    )
+    window = running(by, "offset")
+    sums = {name: F.sum(f"_add_{name}").over(window) for name in totals}
+    summed = with_seeds(sliced, seeds).withColumns(sums | {"start_offset": F.max("_entry").over(window)})
+    return without_seeds(summed, "_entry", *added)
+
+
 def _differs(window) -> Column:
     """True where the state is not that of the row before, seeds included."""
     previous = F.lag(_STATE).over(window)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from sluice.operators.audit import file_audit, file_manifest, schema_guard
 from sluice.operators.compaction import compact_records
 from sluice.operators.grouping import group_records
-from sluice.operators.sizing import record_size, threshold_flags
+from sluice.operators.sizing import group_with_flags, record_size
 from sluice.plans.catalogue import DIALOGUE, EVENT_TIME, RECORDS, query, table
 from sluice.sources.records import conversation_records, event_records
 
@@ -205,8 +205,7 @@ def record_size_estimate(spark, sf_dir):
                           ORDER BY "offset"))"""
 )
 def file_threshold_flags(spark, sf_dir):
-    grouped = group_records(_records(spark, sf_dir), CHANGELOG)
-    return threshold_flags(grouped, max_bytes=600, max_records=25).select(
+    return group_with_flags(_records(spark, sf_dir), CHANGELOG, max_bytes=600, max_records=25).select(
         "batch_id",
         "topic",
         "partition",

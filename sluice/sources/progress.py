@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.operators.slices import SLICE, SLICE_WIDTH, attach, before, row_numbers, with_slice, within
+from sluice.sinks import store
+
 
 def record_numbers(
     records: DataFrame,
@@ -98,18 +100,26 @@ def load_progress(spark: SparkSession, path: str) -> DataFrame:
 
 
 def store_progress(progress: DataFrame, path: str) -> None:
-    """Writes a new state beside the older ones, which readers may still use.
+    """Writes a new state, and removes all but it and the one before, which readers may still use.
 
-    A state counts once Spark has marked it as whole.
+    A state counts once a mark of its own lies beside it, so clusters that
+    have Spark write no ``_SUCCESS`` find it too.
     """
     spark = progress.sparkSession
-    number = (_versions(spark, path) or [0])[-1] + 1
+    versions = _versions(spark, path)
+    number = (versions or [0])[-1] + 1
     # What a failed attempt has left under that name is replaced.
     state = progress.select("object_key", F.col("record_count").cast("bigint").alias("record_count"))
     state.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{_name(number)}")
+    root = store.qualified(spark, path).rstrip("/")
+    store.write_bytes(f"{root}/{_name(number)}{_WHOLE}", b"")
+    for old in versions[:-1]:
+        store.remove_tree(f"{root}/{_name(old)}")
+        store.remove_tree(f"{root}/{_name(old)}{_WHOLE}")
 
 
 _STATE = "object_key string, record_count bigint"
+_WHOLE = ".whole"
 
 
 def _name(number: int) -> str:
@@ -117,11 +127,16 @@ def _name(number: int) -> str:
 
 
 def _versions(spark: SparkSession, path: str) -> list[int]:
-    from sluice.sources.listing import walk
-
-    done = F.regexp_extract("path", r"/state-(\d+)/_SUCCESS$", 1)
-    rows = walk(spark, path).select(done.alias("n")).where("n <> ''").collect()
-    return sorted(int(r["n"]) for r in rows)
+    """Numbers of the whole states, told by the few names right below ``path``."""
+    root = store.qualified(spark, path).rstrip("/")
+    found = {}
+    for name, folder, _, _ in store.children(root, lambda name: name.startswith("state-")):
+        number = name.removeprefix("state-").removesuffix(_WHOLE)
+        if number.isdigit():
+            # Earlier states have Spark's mark alone.
+            whole = not folder or store.exists(f"{root}/{name}/_SUCCESS")
+            found[int(number)] = found.get(int(number), False) or whole
+    return sorted(n for n, whole in found.items() if whole)
 
 
 def drop_processed(objects: DataFrame, processed: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from sluice.functions.naming import check_grouping, resolve_mode
 from sluice.operators.audit import file_audit, file_manifest, require_one_schema, schema_guard
 from sluice.operators.compaction import compact_records
 from sluice.operators.grouping import group_records
-from sluice.operators.sizing import record_size, threshold_flags
+from sluice.operators.sizing import group_with_flags, record_size, threshold_flags
 from sluice.operators.slices import cut_at_first, row_numbers, running_totals
 
 SCHEMA = (
@@ -18,6 +18,7 @@ SCHEMA = (
     " key string, value string, key_schema_id int, value_schema_id int"
 )
 CHANGELOG = "{{topic}}-{{partition}}-{{start_offset}}"
+HOURLY = "{{topic}}/{{timestamp:unit=yyyy}}{{timestamp:unit=HH}}/{{partition}}-{{start_offset}}"
 HOUR = 3_600_000
 
 
@@ -312,3 +313,17 @@ def test_slices_against_plain_windows(spark):
             if v == 8:
                 stop.setdefault(g, at)
         assert {(r["g"], r["at"]) for r in kept.collect()} == {(g, at) for g, at, _ in rows if at < stop.get(g, 10**9)}
+
+
+def test_flags_come_with_the_groups(spark):
+    """The same flags as in two steps, and three shuffles in place of seven."""
+    df = spark.createDataFrame(random_rows(11, batches=30), SCHEMA)
+    limits = {"max_bytes": 48, "max_records": 3}
+    for template, how in ((CHANGELOG, {}), (CHANGELOG, {"schema_rotation": False, "prefix": "p/"}), (HOURLY, {"ts_source": "event"})):
+        for width in (1, 3, 1 << 16):
+            apart = threshold_flags(group_records(df, template, slice_width=width, **how), slice_width=width, **limits)
+            once = group_with_flags(df, template, slice_width=width, **limits, **how)
+            assert sorted(once.columns) == sorted(apart.columns)
+            assert once.select(apart.columns).exceptAll(apart).isEmpty() and once.count() == apart.count()
+    plan = group_with_flags(df, CHANGELOG, **limits)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") <= 3
