@@ -9,7 +9,8 @@ Of the records with one payload, the one with the largest page id is the
 response and the others are revisits of it; payloads below ``min_bytes`` are
 all responses. Rows that share the largest id (repeated rows) are all
 responses; the smallest id is null. A null payload is empty, a null url is left
-out of the header, and line breaks in a url are percent-encoded.
+out of the header, and line breaks in a url are percent-encoded. A payload is
+one value however long it is; an empty table gives an archive without records.
 """
 
 from __future__ import annotations

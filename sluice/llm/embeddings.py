@@ -14,7 +14,8 @@ components are joined by Spark.
 Vectors that are null, empty, zero, or hold null or non-finite components link
 with nothing, nor do vectors of different lengths with each other. Ids may be
 null or repeat: the result has a row for every row, repeated rows link with
-each other, and a null id is never the smallest. Other columns are left out.
+each other, and a null id is never the smallest. An empty table gives no rows;
+vectors of any length are compared whole. Other columns are left out.
 """
 
 from __future__ import annotations

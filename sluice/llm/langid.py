@@ -10,7 +10,8 @@ in order of name).
 Text is lower-cased; everything that is not a letter separates words, and runs
 of it count once. A text that is null or has no letter is ``und`` with score 0;
 so is every text where nothing was learned. Null languages are not learned
-from; null and repeated ids are kept. Other columns are left out.
+from; null and repeated ids are kept. Texts of any length count whole, and an
+empty table gives no rows. Other columns are left out.
 """
 
 from __future__ import annotations

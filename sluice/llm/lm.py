@@ -11,7 +11,8 @@ Words are runs of bytes other than space and 0x09-0x0D, with A-Z in lower case;
 each document ends in one end token and starts after a start context that
 occurs once per document. A null or empty text is the end token alone. Ids may
 be null or repeat; every row is a document. Without training rows N and V are
-0, and every token has probability 1. Other columns are left out.
+0, and every token has probability 1. A text of any length is read whole, in one
+block; an empty table gives no rows. Other columns are left out.
 
 How it runs: documents become blocks of token numbers, written once. Each block
 asks for the counts of its distinct words and bigrams (``sluice.llm.blobs``);

@@ -9,8 +9,9 @@ the tail probability that of ``select_grade`` or more.
 
 A null or empty text has the features of an empty text. Without labelled rows
 there is no grade: expected grade and tail probability are null and nothing is
-selected. With one grade alone, every row has it. Null ids are kept; other
-columns are left out.
+selected. With one grade alone, every row has it. Texts of any length count
+whole, and an empty table gives no rows. Null ids are kept; other columns are
+left out.
 """
 
 from __future__ import annotations

@@ -10,6 +10,10 @@ positional bytes), kept if they reach the guaranteed count, and verified by bit
 distance. Equal fingerprints are one class before all this; a posting with
 many fingerprints is dealt out in squares of bounded size; tasks hand on
 spanning forests, never all pairs.
+
+The shingles of a text of any length are counted whole, some at a time. A null
+text, or one without words, has fingerprint zero and is linked like any other;
+an empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -30,7 +30,9 @@ with one anchor string. Neighbouring windows with one anchor are a *context*.
 A null or empty text has no bytes. Rows with equal ids are not smaller than
 each other; a null id is larger than all others. Cutting within a character
 leaves bytes that are not UTF-8; ``kept_text`` is without them, ``kept_sha256``
-is of the bytes as they are left. Other columns may be carried along.
+is of the bytes as they are left. A text of any length is one row of one block,
+whole in the memory of its task; an empty table gives no rows. Other columns may
+be carried along.
 """
 
 from __future__ import annotations

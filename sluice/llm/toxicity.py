@@ -8,7 +8,8 @@ the bucket, and logistic regression is trained on the scaled features.
 Documents without a label are scored like all others. A null or empty text has
 the features of an empty text and gets a score too. A training set without
 rows gives the score 0.5; one with a single class gives that class's share,
-smoothed. Null ids are kept; other columns are left out.
+smoothed. Texts of any length count whole, and an empty table gives no rows.
+Null ids are kept; other columns are left out.
 """
 
 from __future__ import annotations

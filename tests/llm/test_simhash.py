@@ -3,6 +3,7 @@
 import itertools
 import random
 import re
+from collections import Counter
 
 import xxhash
 
@@ -90,3 +91,15 @@ def test_hot_postings(spark):
 
 def test_empty(spark):
     assert simhash.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_a_text_longer_than_one_piece():
+    """Counted in pieces of 65,536 shingles, it has the fingerprint of a plain count, ties and repeats included."""
+    rng = random.Random(3)
+    for n in (65_537, 65_538, 140_000):
+        words = [f"w{rng.randrange(50)}" for _ in range(n)]
+        shingles = Counter(" ".join(words[i : i + 3]) for i in range(n - 2))
+        total = sum(shingles.values())
+        hashes = [(xxhash.xxh64_intdigest(s.encode(), 42), k) for s, k in shingles.items()]
+        plain = sum(1 << b for b in range(64) if 2 * sum(k for h, k in hashes if h >> b & 1) > total)
+        assert simhash.fingerprint(" ".join(words)) == plain
