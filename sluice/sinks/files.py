@@ -161,7 +161,7 @@ def stage_files(
             _payload(grouped, fmt, fields, envelope, value_encoding).alias("payload"),
         )
         stage = _text_stage(staging, FRAMES[fmt], compression)
-    elif not envelope and (own := _own_fields(grouped, fields, map_keys, versions)) is not None:
+    elif not envelope and (own := _own_fields(grouped, part, fields, map_keys, versions)) is not None:
         at, value = F.col("offset").alias("_at"), F.col(fields[0]).alias("_value")
         rows = own.select("file_name", part, at, *schemas, "_fields", value)
         place = ["file_name", "part", "_at"]
@@ -215,6 +215,7 @@ def _schema_number(grouped: DataFrame, fields: Sequence[str]) -> Column:
 
 def _own_fields(
     grouped: DataFrame,
+    part: Column,
     fields: Sequence[str],
     map_keys: Sequence[str],
     versions: Mapping[int, Sequence[str]] | None,
@@ -227,9 +228,13 @@ def _own_fields(
         names = F.coalesce(known[F.col("value_schema_id")], unknown.cast("array<string>"))
         return grouped.withColumn("_fields", names)
     if isinstance(kind, T.MapType) and not map_keys:
-        names = F.coalesce(F.min_by(F.map_keys(fields[0]), "offset"), F.array().cast("array<string>"))
-        firsts = grouped.groupBy("file_name").agg(names.alias("_fields"))
-        return grouped.join(firsts, "file_name")
+        # The first record of the file has them. They reach its records by part, so no join key is larger.
+        by = ["file_name", "_own_part"]
+        parts = grouped.withColumn("_own_part", part)
+        heads = parts.groupBy(*by).agg(F.min_by(F.map_keys(fields[0]), "offset").alias("_names"), F.min("offset").alias("_first"))
+        names = F.min_by("_names", "_first").over(W.partitionBy("file_name"))
+        firsts = heads.select(*by, F.coalesce(names, F.array().cast("array<string>")).alias("_fields"))
+        return parts.join(firsts, by).drop("_own_part")
     return None
 
 

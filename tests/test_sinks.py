@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from sluice.operators.grouping import group_records, placed_width
 from sluice.sinks import files as sink_files
 from sluice.sinks import store
-from sluice.sinks.files import FRAMES, RowGroups, _joiner, _merger, _run, publish, write_files
+from sluice.sinks.files import FRAMES, RowGroups, _joiner, _merger, _own_fields, _run, publish, write_files
 from sluice.sources.objects import read_objects
 from sluice.sources.streams import decompressed
 
@@ -296,6 +296,20 @@ def test_unwrapped_parquet(records, tmp_path):
     assert pq.read_table(io.BytesIO(contents(f"{tmp_path}/m")["t-0-0"])).column("id").to_pylist() == list(range(50))
 
 
+def test_map_columns_are_those_of_the_first_record(records, tmp_path):
+    """They reach all parts of a file, and no join is on the file's name alone."""
+    both = F.create_map(F.lit("id"), "offset", F.lit("early"), "offset")
+    maps = records.withColumn("value", F.when(F.col("offset") < 20, both).otherwise(F.create_map(F.lit("id"), "offset")))
+    grouped = group_records(maps, CHANGELOG)
+    write_files(grouped, str(tmp_path), "parquet", envelope=False, part_offsets=8)
+    table = pq.read_table(io.BytesIO(contents(tmp_path)["t-0-0"]))
+    assert table.column_names == ["id", "early"]
+    assert table.column("early").to_pylist() == [i if i < 20 else None for i in range(50)]
+    own = _own_fields(grouped, F.floor(F.col("offset") / 8), ["value"], [], None)
+    plan = own._jdf.queryExecution().optimizedPlan().toString()
+    assert "(_own_part" in plan.split("Join Inner", 1)[1].split("\n", 1)[0]
+
+
 def test_bare_json(records, tmp_path):
     write_files(group_records(records, CHANGELOG), str(tmp_path), "jsonl", fields=["key"], envelope=False, compression="gzip")
     lines = gzip.decompress(contents(tmp_path)["t-1-5"]).decode().split("\n")
