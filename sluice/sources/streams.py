@@ -134,7 +134,7 @@ def dealt_by_bytes(ranges: DataFrame, size: str, *place: str, tasks: int | None
     inside = W.partitionBy("_group").orderBy(*place).rowsBetween(W.unboundedPreceding, -1)
     at = F.col("_base") + F.coalesce(F.sum(size).over(inside), F.lit(0))
     share = F.least(F.floor(at / F.col("_all") * n), F.lit(n - 1)).cast("int")
-    placed = grouped.join(F.broadcast(bases), "_group").withColumn("_task", F.coalesce(share, F.lit(0)))
+    placed = grouped.join(F.broadcast(bases), "_group", "left").withColumn("_task", F.coalesce(share, F.lit(0)))
     return placed.repartitionById(n, "_task").drop("_group", "_base", "_all", "_task")
 
 
