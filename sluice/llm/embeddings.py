@@ -1,13 +1,15 @@
 """Near-duplicate embeddings: a navigable graph per shard, every shard queried.
 
 Equal vectors are one class. Classes are dealt to shards by hash (``shard_bytes``
-of vectors at most in one, ``min_shards`` at least), each of which becomes a
+of vectors at most in one, ``min_shards`` at least; by default one for 2,048 classes,
+eight at most, so that a shard is worth a graph), each of which becomes a
 hierarchical small-world graph. Every class queries every shard: its beam is
 widened while it is full of vectors at the threshold, and a shard's first beam
 is widened until an audit against brute force finds ``recall`` of the links of
 its vectors, row by row: ``audit_rows`` with few links to others (sampled until
-so many are found), as many with more, and as many moved copies. Where beams would have to be wider
-than comparing all rows is worth, all are compared. Pairs found are verified by cosine in double
+so many are found), as many with more, and as many moved copies. Rows whose first beam is full,
+and shards that fail their audit, are asked with wider beams; where those would cost more than
+comparing all rows, all are compared for them. Pairs found are verified by cosine in double
 precision. Tasks hand on counts and spanning forests, never pairs, and
 components are joined by Spark.
 
@@ -28,11 +30,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluice.llm.common import components, keep, ready
-from sluice.llm.hnsw import Graph
+from sluice.llm.hnsw import FIRST, Graph
 
 MARGIN = 1e-4  # what single precision may lose before the exact check
 QUERIES, SPREAD = 8192, 16  # small inputs are still asked in blocks of so many, up to so many blocks
-FIRST = 64  # the first beam's width; rows with fewer links are audited apart
+SHARDS, SHARD_CLASSES = 8, 2048  # small inputs have a shard for so many classes, up to so many shards
 LOW, FLOOR = 0.02, 0.9  # all audited rows but this share have at least this share of their links
 CELLS = 1 << 23  # similarities worked out at a time
 
@@ -76,7 +78,7 @@ def _blocks(n: int, own: np.ndarray):
 
 
 def _sampled(own: np.ndarray, units: np.ndarray, least: float, rows: int) -> np.ndarray:
-    """Rows with another link: ``rows`` with few links, unless the shard has no more, and as many with more."""
+    """Rows with another link: ``rows`` with fewer links than the first beam has places, unless the shard has no more, and as many with more."""
     some = np.random.default_rng(0).permutation(len(own))
     few, many = np.zeros(0, int), np.zeros(0, int)
     for part in _blocks(len(own), own):
@@ -213,7 +215,7 @@ def near_duplicates(
     recall: float = 0.995,
     audit_rows: int = 512,
     shard_bytes: int = 64 << 20,
-    min_shards: int = 8,
+    min_shards: int | None = None,
     id_col: str = "vec_id",
     vector_col: str = "embedding",
 ) -> DataFrame:
@@ -224,7 +226,7 @@ def near_duplicates(
     classes = keep(grouped.select("*", F.size("v").alias("dim"), F.monotonically_increasing_id().alias("cid")), "vectors")
     size = classes.agg(F.count("*").alias("n"), F.sum("dim").alias("floats")).first()
     parts = -(-4 * (size.floats or 0) // shard_bytes)
-    shards = max(min_shards, parts)
+    shards = max(1, parts, min(SHARDS, size.n // SHARD_CLASSES) if min_shards is None else min_shards)
     # A block of queries is as large as a shard, so neither is copied much more than the other.
     blocks = max(1, parts, min(SPREAD, -(-size.n // QUERIES)))
     dealt = classes.withColumn("shard", F.pmod(F.xxhash64("cid"), F.lit(shards)).cast("int")).withColumn(

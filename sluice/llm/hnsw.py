@@ -4,8 +4,9 @@ Nodes have levels drawn by chance (each level holds about a sixteenth of the one
 below). Layers are built from the top down; a batch of nodes searches the layer
 above and then its own, takes diverse neighbours among what it found, and is
 linked back. A search goes through the layers with narrow beams and through the
-bottom layer with a beam of ``ef``. A beam sees only what links lead to; one so
-wide that comparing with every row costs less is not run: every row is compared.
+bottom layer with a beam of ``ef``. The first beam, ``FIRST`` wide, is run at every
+size above it. A beam sees only what links lead to; a wider one that would cost more
+than comparing with every row is not run: every row is compared.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from __future__ import annotations
 import numpy as np
 
 BRANCH = 16
+FIRST = 64  # the width of the first beam
 TOP = 64  # the top layer is scanned as a whole
 BATCH = 256
 CELLS = 1 << 23  # similarities worked out at a time
@@ -174,8 +176,8 @@ class Graph:
         return np.where(ids >= 0, self.order[ids], -1), sims
 
     def whole(self, width: int) -> bool:
-        """Whether a beam of that width costs more than comparing with every row."""
-        return width >= len(self.sorted) or width * width >= 4 * len(self.sorted)
+        """Whether a beam beyond the first costs more than comparing with every row."""
+        return width >= len(self.sorted) or (width > FIRST and width * width >= 4 * len(self.sorted))
 
     def every(self, queries: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
         """Pairs (query, row) of at least that similarity, by comparing all."""

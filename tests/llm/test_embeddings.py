@@ -145,3 +145,38 @@ def test_nearest_of_a_hub_are_linked_back():
     links[1:, 0] = 0
     graph._link_back(links, np.arange(1, 201))
     assert 200 in links[0]
+
+
+def test_small_shards_are_asked_through_the_graph(monkeypatch):
+    """Shards of the size the given tables have: no row is compared with all others."""
+    rng = np.random.default_rng(9)
+    for n in (80, 500, 2000):
+        own = rng.standard_normal((n, 32))
+        own[: n // 4] = own[n // 4 : n // 2] + rng.standard_normal((n // 4, 32)) * 0.02
+        graph = Graph(embeddings._units(own))
+        units = own / np.linalg.norm(own, axis=1, keepdims=True)
+        true = {*zip(*np.nonzero(units @ units.T >= 0.95), strict=True)}
+        assert embeddings.audited(graph, own, 0.95, 0.995, 512) == 64
+        compared = []
+        monkeypatch.setattr(graph, "every", lambda queries, least, real=graph.every: compared.append(len(queries)) or real(queries, least))
+        assert {*zip(*embeddings._pairs(graph, own, own, 0.95, 64), strict=True)} == true
+        assert sum(compared) == 0
+
+
+def test_graphs_of_twenty_thousand(spark):
+    """A tight group of a third and isolated pairs, over several shards, against blocks of all pairs."""
+    rng = np.random.default_rng(10)
+    n, group, pairs = 20_000, 6_600, 800
+    own = rng.standard_normal((n, 32))
+    own[:group] = own[0] + rng.standard_normal((group, 32)) * 0.02
+    own[group : group + pairs] = own[group + pairs : group + 2 * pairs] + rng.standard_normal((pairs, 32)) * 0.02
+    own = own.astype(np.float32)
+    units = own.astype(np.float64)
+    units /= np.linalg.norm(units, axis=1, keepdims=True)
+    links = np.concatenate([(units[at : at + 1000] @ units.T >= 0.95).sum(1) - 1 for at in range(0, n, 1000)])
+    low = np.arange(n)
+    low[:group] = 0
+    low[group + pairs : group + 2 * pairs] -= pairs
+    rows = spark.createDataFrame([(i, v) for i, v in enumerate(own.tolist())], "vec_id long, embedding array<float>")
+    found = sorted(embeddings.near_duplicates(rows).collect())
+    assert [(r.vec_id, r.n_links, r.component_id) for r in found] == [*zip(range(n), links.tolist(), low.tolist(), strict=True)]
