@@ -154,3 +154,24 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
         "payload",
         F.concat("header", body, F.lit(TAIL.encode())).alias("record"),
     )
+
+
+def summary(records: DataFrame) -> DataFrame:
+    """What the rebuilt bytes of each record say: ``page_id, payload_bytes, payload_digest, record_type, refers_to``.
+
+    Types and ids are parsed from ``record`` (its header ends at the first empty
+    line), length and digest are worked out anew from the joined ``payload``.
+    """
+    text = F.col("record").cast("string")
+
+    def said(name: str, value: str) -> Column:
+        return F.regexp_extract(text, rf"^WARC/1\.1\r\n(?:[^\r]+\r\n)*?{name}: {value}\r\n", 1)
+
+    number = r"<urn:page:(-?\d+)>"
+    return records.select(
+        F.nullif(said("WARC-Record-ID", number), F.lit("")).cast("long").alias("page_id"),
+        F.octet_length("payload").cast("long").alias("payload_bytes"),
+        base32_sha1(F.col("payload")).alias("payload_digest"),
+        said("WARC-Type", r"([^\r]*)").alias("record_type"),
+        F.nullif(said("WARC-Refers-To", number), F.lit("")).cast("long").alias("refers_to"),
+    )

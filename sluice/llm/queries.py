@@ -45,9 +45,7 @@ def query(run):
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "archive")
     archive.write_archive(table(spark, sf_dir, "pages"), path)
-    return archive.read_archive(spark, path).select(
-        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
-    )
+    return archive.summary(archive.read_archive(spark, path))
 
 
 # DuckDB: SHA-1 in hex, five digits a group, four letters each.
