@@ -62,8 +62,13 @@ def running(by: Sequence[str], position: str):
 
 
 def attach(df: DataFrame, per_slice: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Join the slice table back; no key of this join exceeds the slice width."""
-    return df.join(per_slice, [*by, SLICE])
+    """Join the table of all slices back; no key of this join exceeds the slice width.
+
+    An outer join, as Spark may send its right side alone through the driver:
+    rows read from objects look as small to it as the listing they come from.
+    """
+    keys = [*by, SLICE]
+    return df.dropna(subset=keys).join(per_slice, keys, "left")
 
 
 def with_seeds(df: DataFrame, seeds: DataFrame) -> DataFrame:
@@ -149,8 +154,8 @@ def cut_at_first(
     open_slices = stops.withColumn(
         "_ended", F.coalesce(F.bool_or(F.col("_stop").isNotNull()).over(before(by)), F.lit(False))
     ).filter(~F.col("_ended"))
-    return (
-        attach(sliced, open_slices.drop("_ended"), by)
-        .filter(F.col("_stop").isNull() | (F.col(position) < F.col("_stop")))
-        .drop(SLICE, "_stop")
-    )
+    # A semi join, which never broadcasts the rows.
+    rows, ends = sliced.alias("r"), open_slices.alias("s")
+    same = [F.col(f"r.{c}") == F.col(f"s.{c}") for c in (*by, SLICE)]
+    early = F.col("s._stop").isNull() | (F.col(f"r.{position}") < F.col("s._stop"))
+    return rows.join(ends, [*same, early], "left_semi").drop(SLICE)

@@ -7,7 +7,17 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.operators.slices import SLICE, SLICE_WIDTH, attach, before, row_numbers, with_slice, within
+from sluice.operators.slices import (
+    SLICE,
+    SLICE_WIDTH,
+    before,
+    rank,
+    row_numbers,
+    running,
+    with_seeds,
+    with_slice,
+    without_seeds,
+)
 from sluice.sinks import store
 
 
@@ -47,25 +57,22 @@ def resume(
 
     ``progress`` has ``by`` and ``record_count``, one row per object. It is
     matched to the slice table, not to the records, so a large object does
-    not make one large join key. Lines read from files have ``position="row"``
-    and ``slice_by="block"``.
+    not make one large join key; the records get it by seeds, so no join can
+    send them through the driver. Lines read from files have
+    ``position="row"`` and ``slice_by="block"``.
     """
     sliced = with_slice(records, position, slice_width, slice_by)
-    per_slice = (
+    seeds = (
         sliced.groupBy(*by, SLICE)
         .agg(F.count(F.lit(1)).alias("_n"))
         .withColumn("_base", F.coalesce(F.sum("_n").over(before(by)), F.lit(0)))
         .join(progress.select(*by, "record_count"), list(by), "left")
-        .withColumn("_done", F.coalesce("record_count", F.lit(0)))
-        .filter(F.col("_base") + F.col("_n") > F.col("_done"))
-        .select(*by, SLICE, "_base", "_done")
+        .select(*by, SLICE, "_base", F.coalesce("record_count", F.lit(0)).alias("_done"))
     )
-    return (
-        attach(sliced, per_slice, by)
-        .withColumn("record_no", F.col("_base") + F.row_number().over(within(by, position)))
-        .filter(F.col("record_no") > F.col("_done"))
-        .drop(SLICE, "_base", "_done")
+    numbered = with_seeds(sliced, seeds).withColumns(
+        {"record_no": rank("_base", by, position), "_done": F.max("_done").over(running(by, position))}
     )
+    return without_seeds(numbered.filter(F.col("record_no") > F.col("_done")), "_base", "_done")
 
 
 def merge_progress(

@@ -10,6 +10,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from sluice.functions.naming import match_source_name
+from sluice.operators.grouping import group_records
 from sluice.sinks.codecs import encode
 from sluice.sources import objects as obj
 from sluice.sources import progress as prog
@@ -308,3 +309,21 @@ def test_typed_values(spark, tmp_path):
     variant = obj.read_objects(spark, str(tmp_path), "jsonl", value_schema="variant")
     found = variant.select(F.try_variant_get("value", "$.a", "int"), F.schema_of_variant("value")).collect()
     assert sorted(map(str, (r[0] for r in found))) == ["1", "2", "None"] and "BIGINT" in {r[1] for r in found}
+
+
+def test_records_of_objects_are_never_broadcast(spark, tmp_path):
+    """To Spark they look as small as their listing; only tables of slices may go through the driver."""
+    for name in "abc":
+        put(str(tmp_path), name, jsonl(300, bad=(250,)))
+    good = obj.read_objects(spark, str(tmp_path), "jsonl")
+    done = prog.object_progress(good).withColumn("record_count", F.call_function("div", "record_count", F.lit(3)))
+    resumed = obj.read_objects(spark, str(tmp_path), "jsonl", progress=done)
+    cut = obj.read_objects(spark, str(tmp_path), "jsonl", on_error="truncate")
+    lines = obj.clean_lines(obj.read_lines(spark, str(tmp_path)))
+    records = lines.select(F.col("object_key").alias("topic"), F.lit(0).alias("partition"), F.col("row").alias("offset"), F.col("line").alias("key"))
+    grouped = group_records(records, "{{topic}}-{{partition}}-{{start_offset}}")
+    for found, n in ((resumed, 3 * (299 - 99)), (cut, 3 * 250), (grouped, 3 * 300)):
+        assert len(found.collect()) == n
+        assert "BuildLeft" not in found._jdf.queryExecution().executedPlan().toString()
+    ids = [i for i in range(300) if i != 250][99:]
+    assert {k: sorted(json.loads(v)["id"] for v in vs) for k, vs in values(resumed).items()} == dict.fromkeys("abc", ids)
