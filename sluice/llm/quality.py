@@ -16,7 +16,7 @@ left out.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -24,11 +24,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluice.llm.common import held_out, keep, ready
-from sluice.llm.features import average_rounds, counted_grams, labelled_texts, sample
+from sluice.llm.features import average_rounds, counted_grams, known_labels, labelled_texts
 
 SIZES = (1, 2, 3)
 BITS = 18
-SHARDS = 8
 
 
 def _features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
@@ -44,7 +43,6 @@ def fit(
     docs: DataFrame,
     labels: DataFrame,
     *,
-    max_rows: int = 12_000,
     max_grades: int = 1000,
     rounds: int = 6,
     rate: float = 8.0,
@@ -55,11 +53,12 @@ def fit(
 ) -> dict[str, np.ndarray]:
     """``grades`` ascending, ``weights`` by bucket, ``thresholds`` between grades.
 
-    Learns from about ``max_rows`` labelled rows that are not held out.
+    Learns from all labelled rows that are not held out.
     """
     ready(docs)
-    chosen = keep(sample(labels, max_rows, id_col, label_col, ~held_out("id", *hold)), "chosen")
-    rows = keep(labelled_texts(docs, chosen, id_col, text_col, SHARDS), "labelled")
+    allowed = ~held_out("id", *hold)
+    known = keep(known_labels(labels, id_col, label_col, allowed), "known")
+    rows = labelled_texts(docs, known, id_col, text_col, allowed)
     counts = sorted((r.label, r["count"]) for r in rows.groupBy("label").count().limit(max_grades + 1).collect())
     if len(counts) > max_grades:
         raise ValueError(f"more than {max_grades} grades")
@@ -73,7 +72,7 @@ def fit(
     return {"grades": grades, "weights": params["w"].astype(np.float32), "thresholds": params["cuts"]}
 
 
-def _step(params: dict, fixed: dict, found: list[tuple], label: np.ndarray, number: int) -> dict:
+def _step(params: dict, fixed: dict, found: Sequence[tuple], label: np.ndarray, number: int) -> dict:
     """One pass of stochastic gradient steps over a shard's rows."""
     w, cuts = params["w"], params["cuts"]
     pace = fixed["rate"] / (1 + number)

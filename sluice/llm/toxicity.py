@@ -1,7 +1,7 @@
 """Toxicity: a linear classifier of character n-grams scaled by naive Bayes log-count ratios.
 
 A document's features are the hashed n-grams of its whole lower-cased text, by
-the logarithm of their density in it. From the labelled sample come smoothed
+the logarithm of their density in it. From the labelled documents come smoothed
 sums of a bucket's feature in either class; the logarithm of their ratio scales
 the bucket, and logistic regression is trained on the scaled features.
 
@@ -14,21 +14,19 @@ Null ids are kept; other columns are left out.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.llm.common import held_out, keep, ready
-from sluice.llm.features import added, average_rounds, counted_grams, labelled_texts, sample
+from sluice.llm.features import added, average_rounds, counted_grams, known_labels, labelled_texts
 
 SIZES = (4, 5, 6)
 DENSITY = 1500.0  # one occurrence in so many characters makes a feature log 2
 BITS = 20
-SHARDS = 8
 
 
 def _features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
@@ -40,7 +38,6 @@ def fit(
     docs: DataFrame,
     labels: DataFrame,
     *,
-    max_rows: int = 12_000,
     rounds: int = 4,
     alpha: float = 1.0,
     id_col: str = "doc_id",
@@ -50,12 +47,13 @@ def fit(
 ) -> dict[str, np.ndarray]:
     """``weights`` by bucket (ratios included) and ``bias``.
 
-    Learns from about ``max_rows`` labelled rows at most, none of which is
-    held out (``hold``: modulus and remainder of crc32 of the id).
+    Learns from all labelled rows that are not held out (``hold``: modulus and
+    remainder of crc32 of the id).
     """
     ready(docs)
-    chosen = keep(sample(labels, max_rows, id_col, label_col, ~held_out("id", *hold)), "chosen")
-    rows = keep(labelled_texts(docs, chosen, id_col, text_col, SHARDS), "labelled")
+    allowed = ~held_out("id", *hold)
+    known = keep(known_labels(labels, id_col, label_col, allowed), "known")
+    rows = labelled_texts(docs, known, id_col, text_col, allowed)
 
     sums = added(rows, _class_sums)
     n = sums.get("rows", np.zeros(2))
@@ -72,13 +70,13 @@ def fit(
     return {"weights": (params["w"] * ratio).astype(np.float32), "bias": params["b"].astype(np.float32)}
 
 
-def _class_sums(frame: pd.DataFrame) -> dict[str, np.ndarray]:
+def _class_sums(table: pa.Table) -> dict[str, np.ndarray]:
     """Rows of either class, sums of the features in them, and documents by bucket (to three)."""
     found, seen = np.zeros((2, 1 << BITS)), np.zeros(1 << BITS, np.uint8)
     n, means = np.zeros(2), 0.0
-    for label, text in zip(frame["label"], frame["text"], strict=True):
-        at, x = _features(text)
-        toxic = int(label > 0)
+    for label, text in zip(table["label"], table["text"], strict=True):
+        at, x = _features(text.as_py())
+        toxic = int(label.as_py() > 0)
         found[toxic, at] += x
         seen[at] += seen[at] < 3
         n[toxic] += 1
@@ -86,7 +84,7 @@ def _class_sums(frame: pd.DataFrame) -> dict[str, np.ndarray]:
     return {"rows": n, "means": np.array([means]), "clean": found[0], "toxic": found[1], "seen": seen}
 
 
-def _step(params: dict, fixed: dict, found: list[tuple], label: np.ndarray, number: int) -> dict:
+def _step(params: dict, fixed: dict, found: Sequence[tuple], label: np.ndarray, number: int) -> dict:
     """One pass of stochastic gradient steps over a shard's rows."""
     w, b, ratio = params["w"], params["b"], fixed["ratio"]
     rate = 0.1 / (1 + number)
